@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from barpath.llm import pii
+from barpath.llm import pii, simhash
 
 QUERIES = {
     "op5_pii": pii.op5_pii,
+    "op8_simhash": simhash.op8_simhash,
 }
 ORACLE_SQL: dict[str, str] = {}
