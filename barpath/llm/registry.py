@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from barpath.llm import pii, simhash
+from barpath.llm import decontaminate, pii, simhash
 
 QUERIES = {
     "op5_pii": pii.op5_pii,
     "op8_simhash": simhash.op8_simhash,
+    "op9_decontaminate": decontaminate.op9_decontaminate,
 }
 ORACLE_SQL: dict[str, str] = {}
