@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from barpath.llm import decontaminate, pii, simhash
+from barpath.llm import decontaminate, pii, simhash, tokens
 
 QUERIES = {
     "op5_pii": pii.op5_pii,
     "op8_simhash": simhash.op8_simhash,
     "op9_decontaminate": decontaminate.op9_decontaminate,
+    "op10_tokens": tokens.op10_tokens,
 }
 ORACLE_SQL: dict[str, str] = {}
