@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from barpath.llm import decontaminate, pii, simhash, tokens
+from barpath.llm import decontaminate, packing, pii, simhash, tokens
 
 QUERIES = {
+    "op2_packing": packing.op2_packing,
     "op5_pii": pii.op5_pii,
     "op8_simhash": simhash.op8_simhash,
     "op9_decontaminate": decontaminate.op9_decontaminate,
