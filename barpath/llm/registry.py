@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from barpath.llm import decontaminate, packing, pii, simhash, tokens
+from barpath.llm import decontaminate, packing, pii, quality, sharding, simhash, tokens
 
 QUERIES = {
     "op2_packing": packing.op2_packing,
     "op5_pii": pii.op5_pii,
+    "op6_sharding": sharding.op6_sharding,
+    "op7_quality": quality.op7_quality,
     "op8_simhash": simhash.op8_simhash,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_tokens": tokens.op10_tokens,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op6_sharding": sharding.oracle_sql()}
