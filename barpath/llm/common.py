@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,3 +40,21 @@ def with_columns(batch: pa.RecordBatch, schema: pa.Schema, new: dict[str, list],
 
 def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return (b for b in it if b.num_rows)
+
+
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A star forest with the components of the links (a, b): every node that is not the least of its own, and that least."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    i, j = at[: len(a)], at[len(a) :]
+    root = np.arange(len(nodes))
+    while len(i):
+        low, high = np.minimum(root[i], root[j]), np.maximum(root[i], root[j])
+        apart = low < high
+        if not apart.any():
+            break
+        i, j = i[apart], j[apart]
+        np.minimum.at(root, high[apart], low[apart])
+        while (root[root] != root).any():
+            root = root[root]
+    child = np.flatnonzero(root != np.arange(len(nodes)))
+    return nodes[child], nodes[root[child]]

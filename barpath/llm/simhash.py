@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barpath.llm.common import batches, small_batches, table
+from barpath.llm.common import batches, forest, small_batches, table
 from barpath.operators.components import components
 from barpath.session import materialise
 
@@ -112,21 +112,6 @@ class BKForest:
                 stack.append((np.repeat(query, n), child))
 
 
-def _forest_links(n: int, a: np.ndarray, b: np.ndarray, root: np.ndarray) -> None:
-    """Join (a, b) in the union-find ``root`` (in place)."""
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    for x, y in zip(a.tolist(), b.tolist(), strict=True):
-        x, y = find(x), find(y)
-        if x != y:
-            root[max(x, y)] = min(x, y)
-
-
 def fingerprint_links(prints: DataFrame, radius: int = RADIUS, tree_rows: int = TREE_ROWS) -> DataFrame:
     """Links ``(a, b)`` that join distinct ``fingerprint`` values within ``radius`` bits: a spanning forest of every shard.
 
@@ -153,13 +138,11 @@ def fingerprint_links(prints: DataFrame, radius: int = RADIUS, tree_rows: int =
         def flush(block: np.ndarray) -> Iterator[pa.RecordBatch]:
             key = np.unique(block[:, 1:], axis=0, return_inverse=True)[1].ravel()
             p = np.ascontiguousarray(block[:, 0]).view(np.uint64)
-            tree, root = BKForest(p, key), np.arange(len(p))
-            for a, b in tree.search(p, key, radius):
+            for a, b in BKForest(p, key).search(p, key, radius):
                 keep = a < b
-                _forest_links(len(p), a[keep], b[keep], root)
-            child = np.flatnonzero(root != np.arange(len(p)))
-            if len(child):
-                yield pa.RecordBatch.from_pydict({"a": pa.array(block[child, 0]), "b": pa.array(block[root[child], 0])})
+                a, b = forest(block[a[keep], 0], block[b[keep], 0])
+                if len(a):
+                    yield pa.RecordBatch.from_pydict({"a": pa.array(a), "b": pa.array(b)})
 
         for batch in batches(it):
             held.append(np.column_stack([batch.column(c).to_numpy() for c in ("fingerprint", "shard", "cell")]))
