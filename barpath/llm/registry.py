@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from barpath.llm import decontaminate, extract, packing, pii, quality, sharding, simhash, tokens
+from barpath.llm import decontaminate, embeddings, extract, packing, pii, quality, sharding, simhash, tokens
 
 QUERIES = {
     "op2_packing": packing.op2_packing,
     "op3_extract": extract.op3_extract,
+    "op4_embeddings": embeddings.op4_embeddings,
     "op5_pii": pii.op5_pii,
     "op6_sharding": sharding.op6_sharding,
     "op7_quality": quality.op7_quality,
