@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from barpath.llm import decontaminate, embeddings, extract, packing, pii, quality, sharding, simhash, tokens
+from barpath.llm import decontaminate, embeddings, extract, katz, packing, pii, quality, sharding, simhash, tokens
 
 QUERIES = {
+    "op1_katz": katz.op1_katz,
     "op2_packing": packing.op2_packing,
     "op3_extract": extract.op3_extract,
     "op4_embeddings": embeddings.op4_embeddings,
