@@ -154,6 +154,21 @@ def fit(rows: DataFrame, positives: DataFrame, prior: float, steps: int = STEPS)
     return model
 
 
+def _featured(docs: DataFrame, key: str, text: str) -> DataFrame:
+    added = ("held_out", "score", "predicted", "x")
+    rows = with_features(docs.select(*[c for c in docs.columns if c not in added]), text)
+    return materialise(rows.withColumn("held_out", crc32_mod(key, FOLDS) == HELD_OUT), "features")
+
+
+def _fitted(rows: DataFrame, labels: DataFrame, key: str, quality: str) -> Model:
+    known = labels.where(F.col(quality).isin(0, 1) & F.col(key).isNotNull() & (crc32_mod(key, FOLDS) != HELD_OUT))
+    known = known.groupBy(key).agg(F.min(quality).alias("__good"))
+    prior = known.agg(F.avg("__good")).first()[0]
+    unlabelled = rows.where("not held_out").select("x")
+    positives = materialise(rows.join(known.where("__good = 1"), key, "left_semi").select("x"), "positives")
+    return fit(unlabelled, positives, 1.0 if prior is None else min(max(prior, 0.01), 0.99))
+
+
 def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", quality: str = "quality") -> DataFrame:
     """All columns but the text, ``held_out``, ``score`` (0 to 1) and ``predicted`` (1 from a score of THRESHOLD).
 
@@ -162,15 +177,8 @@ def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     labelled keys of those folds; without labels it is 1, and every row is kept. Null texts are empty and get a score as
     any other. Every row stays, repeated ones too; rows of a null key are never labelled.
     """
-    added = ("held_out", "score", "predicted", "x")
-    rows = with_features(docs.select(*[c for c in docs.columns if c not in added]), text)
-    rows = materialise(rows.withColumn("held_out", crc32_mod(key, FOLDS) == HELD_OUT), "features")
-    known = labels.where(F.col(quality).isin(0, 1) & F.col(key).isNotNull() & (crc32_mod(key, FOLDS) != HELD_OUT))
-    known = known.groupBy(key).agg(F.min(quality).alias("__good"))
-    prior = known.agg(F.avg("__good")).first()[0]
-    unlabelled = rows.where("not held_out").select("x")
-    positives = materialise(rows.join(known.where("__good = 1"), key, "left_semi").select("x"), "positives")
-    model = fit(unlabelled, positives, 1.0 if prior is None else min(max(prior, 0.01), 0.99))
+    rows = _featured(docs, key, text)
+    model = _fitted(rows, labels, key, quality)
     names = [c for c in rows.columns if c != "x"]
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,6 +191,19 @@ def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     return rows.mapInArrow(run, schema)
 
 
+def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", quality: str = "quality") -> DataFrame:
+    """The rows of ``docs`` that ``classify`` predicts good, with their columns. Each text is described again where it is
+    kept, so that no text is shuffled and rows that share a key are judged by themselves."""
+    model = _fitted(_featured(docs.select(key, text), key, text), labels, key, quality)
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(it):
+            x = np.array([features(t) for t in batch.column(text).to_pylist()], dtype=np.float32).astype(np.float64)
+            yield batch.filter(pa.array(model.score(x) >= THRESHOLD))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op7_quality(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return classify(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")

@@ -27,6 +27,8 @@ RADIUS = 3
 WORDS = 3
 #: Fingerprints that one tree holds at most; larger shards are searched in pairs of parts.
 TREE_ROWS = 4000
+#: Keys that are broadcast at most when duplicates are dropped.
+BROADCAST_ROWS = 200_000
 #: Shingles whose bits are counted at a time.
 BLOCK = 1 << 15
 
@@ -175,14 +177,22 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ra
     return prints.join(classes, "fingerprint")
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """One row of each group of near-duplicates, with the columns of ``docs``: that with the smallest key, and of rows that
-    share it the one of the smallest fingerprint and hash of the text. Rows that have a null key all stay: nothing names them."""
-    groups = near_duplicates(docs.select(key, text), key, text).where(F.col(key) == F.col("component_id")).select(key)
-    kept = docs.join(groups.distinct(), key, "left_semi")
-    cols = docs.columns
-    one = kept.groupBy(key).agg(F.min_by(F.struct(*cols), F.xxhash64(*cols)).alias("__row")).select("__row.*")
-    return one.unionByName(docs.where(F.col(key).isNull()))
+    share it the one of the least hash over all columns. Rows of a null key all stay: nothing names them.
+
+    The keys to go are broadcast up to ``broadcast_rows`` of them, and joined by a shuffle beyond.
+    """
+    groups = materialise(near_duplicates(docs.select(key, text), key, text).where(F.col(key).isNotNull()).select(key, "component_id"), "groups")
+    go = groups.where(F.col(key) != F.col("component_id")).select(key)
+    repeated = groups.where(F.col(key) == F.col("component_id")).groupBy(key).count().where("count > 1").select(key)
+    out = go.unionByName(repeated)
+    n = out.count()
+    kept = docs.join(F.broadcast(out) if n <= broadcast_rows else out, key, "left_anti").select(*docs.columns)
+    if not repeated.isEmpty():
+        same = docs.join(repeated, key, "left_semi").groupBy(key).agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("__row"))
+        kept = kept.unionByName(same.select("__row.*"))
+    return kept
 
 
 def op8_simhash(spark, sf_dir: str) -> DataFrame:
