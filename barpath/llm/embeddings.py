@@ -22,14 +22,14 @@ from barpath.session import materialise, shuffle_partitions
 COSINE = 0.95
 #: Dimensions of a block, cells along each of the two gridded ones, vectors that a task holds at once.
 BLOCK_DIMS = 8
-CUTS = 2
+CUTS = 3
 CELL_ROWS = 32_768
 #: Vectors whose quantiles place the grid. Any grid gives the same links.
 SAMPLE = 4096
 #: What the distances in single precision may be off, and distances of the same two rotated vectors at most.
 LOOSE, SLACK = 1e-4, 1e-6
 #: Distances computed at a time.
-TILE = 1 << 22
+TILE = 1 << 20
 
 
 class Space:
@@ -86,8 +86,11 @@ class Group:
         self.raw = raw
         self.unit = unit(raw)
         self.rotated = space.rotated(self.unit)
-        self.near = np.ascontiguousarray(self.rotated[:, space.blocks[block]])
-        self.square = np.einsum("ij,ij->i", self.near, self.near)
+        near = self.rotated[:, space.blocks[block]]
+        half, one = np.einsum("ij,ij->i", near, near) / 2, np.ones(len(near), np.float32)
+        # the product of these two is minus half the squared distance
+        self.as_probe = np.column_stack([near, -half, -one])
+        self.as_vector = np.ascontiguousarray(np.column_stack([near, one, half]).T)
 
     def links(self, probes: Group, cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(probe, vector) indices of the linked pairs that this block counts."""
@@ -96,8 +99,7 @@ class Group:
         step = max(1, TILE // max(1, len(self.rep)))
         for at in range(0, len(probes.rep), step):
             end = at + step
-            d = probes.square[at:end, None] + self.square - 2 * (probes.near[at:end] @ self.near.T)
-            i, j = np.nonzero(d <= space.budgets[b] + LOOSE)
+            i, j = np.divmod(np.flatnonzero(probes.as_probe[at:end] @ self.as_vector >= -(space.budgets[b] + LOOSE) / 2), len(self.rep))
             i += at
             x, y = probes.rotated[i, first], self.rotated[j, first]
             keep = (x < y) | (x == y) & (probes.rep[i] < self.rep[j])
