@@ -47,7 +47,7 @@ def analytics(s1, s2, s3, c1, c2, c3) -> list[Column]:
 
 def competition_age(date, birth_year, given_age=None) -> tuple[Column, Column]:
     """FN-5: (age, birth year), each from the other and the year of the date where one is missing."""
-    year = F.year(F.try_to_date(col(date), F.lit("yyyy-MM-dd")))
+    year = F.year(F.try_to_date(col(date), "yyyy-MM-dd"))
     by = col(birth_year)
     given = F.lit(None).cast("int") if given_age is None else col(given_age)
     age = F.when(year.isNotNull() & by.isNotNull(), year - by).when(year.isNotNull() & given.isNotNull(), given)

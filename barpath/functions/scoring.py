@@ -37,6 +37,11 @@ def sex(gender) -> Column:
     return F.when(g.isin("M", "MALE"), "M").when(g.isin("F", "FEMALE"), "F")
 
 
+def _let(value: Column, f) -> Column:
+    """f(value) with the value computed once: long formulas stay small enough to compile."""
+    return F.transform(F.array(value), f)[0]
+
+
 def _poly(x: Column, coefficients) -> Column:
     out = F.lit(float(coefficients[0]))
     for c in coefficients[1:]:
@@ -104,9 +109,8 @@ def with_youth_factor(df: DataFrame, factors: DataFrame, age="age", body_weight=
 
 def erf(x) -> Column:
     """FN-13: within 1.5e-7 of the error function."""
-    a = F.abs(col(x))
-    t = 1 / (1 + F.lit(ERF_T) * a)
-    return F.signum(col(x)) * (1 - _poly(t, ERF) * t * F.exp(-a * a))
+    part = lambda x, a: _let(1 / (1 + F.lit(ERF_T) * a), lambda t: F.signum(x) * (1 - _poly(t, ERF) * t * F.exp(-a * a)))
+    return _let(col(x).cast("double"), lambda x: part(x, F.abs(x)))
 
 
 def norm_cdf(x) -> Column:
@@ -116,13 +120,12 @@ def norm_cdf(x) -> Column:
 
 def norm_inv(p) -> Column:
     """FN-15: infinite at 0 and 1, null outside."""
-    p = col(p)
-    tail = lambda q: _poly(F.sqrt(-2 * F.ln(q)), INV_C) / _poly(F.sqrt(-2 * F.ln(q)), INV_D)
-    q = p - 0.5
-    middle = _poly(q * q, INV_A) * q / _poly(q * q, INV_B)
-    return (
-        F.when((p < 0) | (p > 1), None).when(p == 0, float("-inf")).when(p == 1, float("inf"))
-        .when(p < INV_LOW, tail(p)).when(p > 1 - INV_LOW, -tail(1 - p)).otherwise(middle)
+    tail = lambda q: _let(F.sqrt(-2 * F.ln(q)), lambda t: _poly(t, INV_C) / _poly(t, INV_D))
+    middle = lambda q: _let(q * q, lambda r: _poly(r, INV_A) * q / _poly(r, INV_B))
+    return _let(
+        col(p),
+        lambda p: F.when((p < 0) | (p > 1), None).when(p == 0, float("-inf")).when(p == 1, float("inf"))
+        .when(p < INV_LOW, tail(p)).when(p > 1 - INV_LOW, -tail(1 - p)).otherwise(middle(p - 0.5)),
     )
 
 

@@ -99,7 +99,7 @@ def listing_dates(text) -> Column:
     clean = F.regexp_replace(F.regexp_replace(col(text), r"(?i)\s*\d{1,2}:\d{2}\s*(am|pm)?", ""), r"\s*\([A-Z]{2,4}\)", "")
     clean = F.regexp_replace(clean, r"(?i)(\d+)(st|nd|rd|th)\b", "$1")
     parts = F.split(clean, r"\s+-\s+")
-    day = lambda s: F.coalesce(F.try_to_date(F.trim(s), F.lit("MMMM d yyyy")), F.try_to_date(F.trim(s), F.lit("MMMM d, yyyy")), F.try_to_date(F.trim(s), F.lit("yyyy-MM-dd")))
+    day = lambda s: F.coalesce(F.try_to_date(F.trim(s), "MMMM d yyyy"), F.try_to_date(F.trim(s), "MMMM d, yyyy"), F.try_to_date(F.trim(s), "yyyy-MM-dd"))
     first, last = day(F.get(parts, F.lit(0))), day(F.get(parts, F.size(parts) - 1))
     both = first.isNotNull() & last.isNotNull()
     return F.struct(F.when(both, first).alias("start_date"), F.when(both, last).alias("end_date"))
@@ -108,7 +108,7 @@ def listing_dates(text) -> Column:
 def year_of(text, as_of) -> Column:
     """DAT-2: the year of a text date by the first format that fits, else of ``as_of``."""
     t = col(text)
-    return F.coalesce(F.year(F.try_to_date(t, F.lit("yyyy-MM-dd"))), F.year(F.try_to_date(t, F.lit("MM/dd/yyyy"))), F.regexp_extract(t, r"\b((?:19|20)\d{2})\b", 1).try_cast("int"), F.year(col(as_of)))
+    return F.coalesce(F.year(F.try_to_date(t, "yyyy-MM-dd")), F.year(F.try_to_date(t, "MM/dd/yyyy")), F.regexp_extract(t, r"\b((?:19|20)\d{2})\b", 1).try_cast("int"), F.year(col(as_of)))
 
 
 def friendly_duration(start, end) -> Column:
@@ -124,13 +124,13 @@ def friendly_duration(start, end) -> Column:
 def sanction_date(text) -> Column:
     """DAT-4: d.m.yyyy (a doubled dot too) or yyyy-MM-dd between 1990 and 2040; other texts are null."""
     t = F.regexp_replace(F.trim(col(text)), r"\.+", ".")
-    d = F.coalesce(F.try_to_date(t, F.lit("d.M.yyyy")), F.try_to_date(t, F.lit("yyyy-MM-dd")))
+    d = F.coalesce(F.try_to_date(t, "d.M.yyyy"), F.try_to_date(t, "yyyy-MM-dd"))
     return F.when(F.year(d).between(1990, 2040), d)
 
 
 def day_gap(a, b) -> Column:
     """DAT-8: days between two text dates, 9999 if one is none."""
-    return F.coalesce(F.abs(F.datediff(F.try_to_date(col(a), F.lit("yyyy-MM-dd")), F.try_to_date(col(b), F.lit("yyyy-MM-dd")))), F.lit(9999))
+    return F.coalesce(F.abs(F.datediff(F.try_to_date(col(a), "yyyy-MM-dd"), F.try_to_date(col(b), "yyyy-MM-dd"))), F.lit(9999))
 
 
 def date_format_class(text) -> Column:
