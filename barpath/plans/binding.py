@@ -28,7 +28,7 @@ VIEWS = {
             'Athlete ' || CAST(o_custkey % 700 AS STRING) AS lifter_name,
             CASE WHEN o_custkey % 13 = 0 THEN NULL ELSE CAST(o_custkey % 1100 AS STRING) END AS membership_number,
             CASE WHEN o_orderkey % 3 = 0 THEN 'IWF' ELSE 'USAW' END AS source, CAST(o_orderdate AS TIMESTAMP) AS created_at
-        FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""",
+        FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE o_custkey % 29 <> 0""",
     "bests": f"""
         SELECT *, COALESCE({_LIFT.format(', '.join(_INT.format(f's{k}') for k in (1, 2, 3)))}, 0) AS best_snatch,
             COALESCE({_LIFT.format(', '.join(_INT.format(f'c{k}') for k in (1, 2, 3)))}, 0) AS best_cj

@@ -1,0 +1,415 @@
+"""Queries over identities, places, keyed tables, sources, documents and streams."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from barpath.functions import attempts, geo, parse, text
+from barpath.operators import identity, series, tables
+from barpath.operators.components import components
+from barpath.plans.registry import query
+from barpath.sources import readers
+from barpath.streaming import streams
+
+
+def count():
+    return F.count("*")
+
+
+# Places.
+
+_KM = "ROUND(2 * 6371 * atan2(sqrt(h), sqrt(1 - h)), 1)"
+_H = "power(sin(radians({lat2} - {lat1}) / 2), 2) + cos(radians({lat1})) * cos(radians({lat2})) * power(sin(radians({lng2} - {lng1}) / 2), 2)"
+
+
+def _rings(v):
+    pt = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
+    ring = F.array(pt("min_x", "min_y"), pt("max_x", "min_y"), pt("max_x", "max_y"), pt("min_x", "max_y"))
+    return v.regions.select("region", F.array(F.array(ring)).alias("shape"))
+
+
+@query("mth_2_haversine", f", d AS (SELECT meet_id, {_H.format(lat1='latitude', lat2='40.0', lng1='longitude', lng2='-100.0')} AS h FROM meets) SELECT meet_id, {_KM} AS km FROM d")
+def mth_2(v):
+    return v.meets.select("meet_id", geo.haversine_km("latitude", "longitude", F.lit(40.0), F.lit(-100.0)).alias("km"))
+
+
+@query("mth_3_diversity", "SELECT club_name, ROUND(COUNT(DISTINCT wso) / ln(COUNT(DISTINCT meet_id) + 1), 2) AS diversity FROM results GROUP BY 1")
+def mth_3(v):
+    return v.results.groupBy("club_name").agg(F.count_distinct("wso").alias("w"), F.count_distinct("meet_id").alias("m")).select("club_name", geo.diversity("w", "m").alias("diversity"))
+
+
+@query("geo_1_bbox", "SELECT region, min_x, max_x, min_y, max_y FROM regions")
+def geo_1(v):
+    return _rings(v).select("region", geo.bbox("shape").alias("b")).select("region", "b.*")
+
+
+_IN = "m.longitude > r.min_x AND m.longitude < r.max_x AND m.latitude > r.min_y AND m.latitude < r.max_y"
+
+
+@query("geo_2_point_in_polygon", f"SELECT m.meet_id, r.region FROM meets m JOIN regions r ON {_IN} WHERE m.longitude * 10 % 10 <> 0 AND m.latitude * 10 % 10 <> 0")
+def geo_2(v):
+    # regions are a short list of fixed size, so each meet is tried against all; the box is tested before the polygon
+    box = _rings(v).withColumn("box", geo.bbox("shape"))
+    near = v.meets.where("longitude * 10 % 10 <> 0 and latitude * 10 % 10 <> 0").join(F.broadcast(box), geo.in_bbox("longitude", "latitude", "box"))
+    return near.where(geo.in_shape("longitude", "latitude", "shape")).select("meet_id", "region")
+
+
+@query("geo_3_unique_box", ", h AS (SELECT m.meet_id, MIN(r.region) AS region, COUNT(*) AS n FROM meets m JOIN regions r ON m.longitude BETWEEN r.min_x AND r.max_x AND m.latitude BETWEEN r.min_y AND r.max_y GROUP BY 1) SELECT meet_id, region FROM h WHERE n = 1")
+def geo_3(v):
+    hits = v.meets.join(F.broadcast(v.regions), F.col("longitude").between(F.col("min_x"), F.col("max_x")) & F.col("latitude").between(F.col("min_y"), F.col("max_y")))
+    return hits.groupBy("meet_id").agg(F.min("region").alias("region"), count().alias("n")).where("n = 1").select("meet_id", "region")
+
+
+@query("geo_4_box_then_nearest", ", h AS (SELECT m.meet_id, r.region, ROW_NUMBER() OVER (PARTITION BY m.meet_id ORDER BY power(m.longitude - (r.min_x + r.max_x) / 2, 2) + power(m.latitude - (r.min_y + r.max_y) / 2, 2), r.region) AS n FROM meets m JOIN regions r ON m.longitude BETWEEN r.min_x AND r.max_x AND m.latitude BETWEEN r.min_y AND r.max_y) SELECT meet_id, region FROM h WHERE n = 1")
+def geo_4(v):
+    hits = v.meets.join(F.broadcast(v.regions), F.col("longitude").between(F.col("min_x"), F.col("max_x")) & F.col("latitude").between(F.col("min_y"), F.col("max_y")))
+    far = F.pow(F.col("longitude") - (F.col("min_x") + F.col("max_x")) / 2, 2) + F.pow(F.col("latitude") - (F.col("min_y") + F.col("max_y")) / 2, 2)
+    return hits.groupBy("meet_id").agg(F.min_by("region", F.struct(far, "region")).alias("region"))
+
+
+_STATES = {"TX": "Texas", "CA": "California", "WA": "Washington", "KS": "Kansas", "AR": "Arkansas"}
+_ADDRESS = ", a AS (SELECT meet_id, CASE meet_id % 5 WHEN 0 THEN 'Texas' WHEN 1 THEN 'California' WHEN 2 THEN 'Arkansas' WHEN 3 THEN 'Kansas' END AS state FROM meets) "
+
+
+def _addresses(v):
+    m = F.col("meet_id") % 5
+    a = F.when(m == 0, "1 Main St, Austin, TX 73301, USA").when(m == 1, "Hall, Los Angeles, California").when(m == 2, "2 Elm Ave, Little Rock, Arkansas, USA").when(m == 3, "Gym, Topeka, KS").otherwise("Somewhere")
+    return v.meets.select("meet_id", "latitude", "longitude", a.alias("address"))
+
+
+@query("geo_6_state_of_address", _ADDRESS + "SELECT meet_id, state FROM a")
+def geo_6(v):
+    return _addresses(v).select("meet_id", geo.state_of_address("address", _STATES).alias("state"))
+
+
+@query("geo_8_cascade", _ADDRESS + "SELECT meet_id, COALESCE(CASE WHEN meet_id % 7 = 0 THEN 'Field' END, state, 'Unknown') AS region, CASE WHEN meet_id % 7 = 0 THEN 'state_field' WHEN state IS NOT NULL THEN 'address' ELSE 'default' END AS method, CASE WHEN meet_id % 7 = 0 THEN 0.98 WHEN state IS NOT NULL THEN 0.85 ELSE 0.30 END::DOUBLE AS confidence FROM a")
+def geo_8(v):
+    field = F.when(F.col("meet_id") % 7 == 0, "Field")
+    steps = {"state_field": field, "address": geo.state_of_address("address", _STATES), "default": F.lit("Unknown")}
+    return _addresses(v).select("meet_id", geo.cascade(steps).alias("x")).select("meet_id", "x.*")
+
+
+@query("geo_10_address_parts", "SELECT meet_id, CASE meet_id % 5 WHEN 0 THEN 'Austin' WHEN 1 THEN 'Los Angeles' WHEN 2 THEN 'Little Rock' WHEN 3 THEN 'Topeka' END AS city, CASE WHEN meet_id % 5 = 0 THEN '73301' END AS zip, CASE WHEN meet_id % 5 IN (0, 2) THEN 'United States' END AS country FROM meets")
+def geo_10(v):
+    return _addresses(v).select("meet_id", geo.address_parts("address").alias("x")).select("meet_id", "x.city", "x.zip", "x.country")
+
+
+@query("geo_11_precision", "SELECT meet_id, CAST(CASE meet_id % 5 WHEN 0 THEN 9 WHEN 1 THEN 2 WHEN 2 THEN 7 WHEN 3 THEN 2 ELSE 0 END AS INT) AS points FROM meets")
+def geo_11(v):
+    return _addresses(v).select("meet_id", geo.address_precision("address").alias("points"))
+
+
+@query("geo_12_placeholders", "SELECT meet_id FROM meets WHERE abs(latitude - 39.8) <= 2 AND abs(longitude + 98.5) <= 2")
+def geo_12(v):
+    return v.meets.where(geo.near_any("latitude", "longitude", [(39.8, -98.5)], 2.0)).select("meet_id")
+
+
+@query("geo_13_travel", f", d AS (SELECT r.meet_id, r.wso, {_H.format(lat1='m.latitude', lat2='c.latitude', lng1='m.longitude', lng2='c.longitude')} AS h FROM results r JOIN meets m ON m.meet_id = r.meet_id JOIN clubs c ON c.club_name = r.club_name) SELECT meet_id, COUNT(DISTINCT wso) AS regions, ROUND(AVG({_KM}), 2) AS avg_km, MAX({_KM}) AS farthest FROM d GROUP BY 1")
+def geo_13(v):
+    clubs = v.clubs.select("club_name", F.col("latitude").alias("lat"), F.col("longitude").alias("lng"))
+    km = geo.haversine_km("latitude", "longitude", "lat", "lng")
+    rows = v.results.join(v.meets.select("meet_id", "latitude", "longitude"), "meet_id").join(clubs, "club_name").withColumn("km", km)
+    return rows.groupBy("meet_id").agg(F.count_distinct("wso").alias("regions"), F.round(F.avg("km"), 2).alias("avg_km"), F.max("km").alias("farthest"))
+
+
+@query("geo_14_travel_burden", "SELECT meet_id, COUNT(DISTINCT wso) AS regions FROM results GROUP BY 1 ORDER BY regions DESC, meet_id LIMIT 10")
+def geo_14(v):
+    return v.results.dropDuplicates(["meet_id", "wso"]).groupBy("meet_id").agg(count().alias("regions")).orderBy(F.desc("regions"), "meet_id").limit(10)
+
+
+@query("geo_15_within_radius", f", d AS (SELECT club_name, {_H.format(lat1='latitude', lat2='35.0', lng1='longitude', lng2='-95.0')} AS h FROM clubs) SELECT club_name, {_KM} AS km FROM d WHERE {_KM} <= 1500")
+def geo_15(v):
+    return v.clubs.select("club_name", geo.haversine_km("latitude", "longitude", F.lit(35.0), F.lit(-95.0)).alias("km")).where("km <= 1500")
+
+
+@query("geo_20_feature_collection")
+def geo_20(v):
+    return readers.feature_collection(v.meets, "longitude", "latitude", ["meet_id", "meet_name", "level"])
+
+
+@query("agg_19_region_activity", ", c AS (SELECT m.meet_id, MIN(r.region) AS region FROM meets m JOIN regions r ON m.longitude BETWEEN r.min_x AND r.max_x AND m.latitude BETWEEN r.min_y AND r.max_y GROUP BY 1) SELECT region, COUNT(DISTINCT r.meet_id) AS meets, COUNT(DISTINCT lifter_id) AS lifters, COUNT(*) AS participations, ROUND(COUNT(*)::DOUBLE / COUNT(DISTINCT lifter_id), 2) AS activity_factor FROM results r JOIN c ON c.meet_id = r.meet_id WHERE date BETWEEN '1995-01-01' AND '1995-12-31' GROUP BY 1")
+def agg_19(v):
+    hits = v.meets.join(F.broadcast(v.regions), F.col("longitude").between(F.col("min_x"), F.col("max_x")) & F.col("latitude").between(F.col("min_y"), F.col("max_y")))
+    region = hits.groupBy("meet_id").agg(F.min("region").alias("region"))
+    return series.activity(v.results.join(region, "meet_id"), "region", "1995-01-01", "1995-12-31")
+
+
+@query("agg_31_contamination", "SELECT COUNT(*) AS n, COUNT(*) FILTER (total > 0 AND birth_year IS NOT NULL) AS valid, COUNT(*) FILTER (total = 0) AS contaminated, ROUND(100.0 * COUNT(*) FILTER (total = 0) / COUNT(*), 2)::DOUBLE AS rate FROM results")
+def agg_31(v):
+    bad = F.count_if(F.col("total") == 0)
+    return v.results.agg(count().alias("n"), F.count_if((F.col("total") > 0) & F.col("birth_year").isNotNull()).alias("valid"), bad.alias("contaminated"), F.round(100 * bad / count(), 2).alias("rate"))
+
+
+@query("agg_34_travel_extremes", ", t AS (SELECT meet_id, COUNT(DISTINCT wso) AS regions FROM results GROUP BY 1), k AS (SELECT *, ROW_NUMBER() OVER (ORDER BY regions DESC, meet_id) AS a, ROW_NUMBER() OVER (ORDER BY regions, meet_id) AS b FROM t) SELECT 'top' AS side, meet_id, regions FROM k WHERE a <= 10 UNION ALL SELECT 'bottom', meet_id, regions FROM k WHERE b <= 10")
+def agg_34(v):
+    t = v.results.groupBy("meet_id").agg(F.count_distinct("wso").alias("regions"))
+    side = lambda name, *order: t.orderBy(*order).limit(10).select(F.lit(name).alias("side"), "meet_id", "regions")
+    return side("top", F.desc("regions"), "meet_id").unionByName(side("bottom", "regions", "meet_id"))
+
+
+@query("agg_44_assignment_report", _ADDRESS + ", r AS (SELECT CASE WHEN meet_id % 7 = 0 THEN 0.98 WHEN state IS NOT NULL THEN 0.85 ELSE 0.30 END AS c FROM a) SELECT CASE WHEN c >= 0.8 THEN 'high' WHEN c >= 0.6 THEN 'medium' ELSE 'low' END AS bucket, COUNT(*) AS n FROM r GROUP BY 1")
+def agg_44(v):
+    c = F.col("confidence")
+    return geo_8(v).groupBy(F.when(c >= 0.8, "high").when(c >= 0.6, "medium").otherwise("low").alias("bucket")).agg(count().alias("n"))
+
+
+# Identities and data quality.
+
+
+@query("dq_1_resolve", ", e AS (SELECT entry_id, CAST(lifter_text AS BIGINT) AS lid FROM entries), x AS (SELECT e.entry_id, CASE WHEN lid % 3 = 0 THEN l.lifter_id END AS k1, l.membership_number AS m, l.athlete_name AS nm FROM e JOIN lifters l ON l.lifter_id = lid) SELECT entry_id, COALESCE(k1, (SELECT MIN(lifter_id) FROM lifters WHERE membership_number = x.m), (SELECT MIN(lifter_id) FROM lifters WHERE athlete_name = x.nm)) AS lifter_id, CAST(CASE WHEN k1 IS NOT NULL THEN 1 WHEN m IS NOT NULL THEN 2 ELSE 3 END AS INT) AS rule FROM x")
+def dq_1(v):
+    p = v.lifters.select("lifter_id", F.col("lifter_id").alias("exact"), "membership_number", "athlete_name")
+    e = v.entries.select("entry_id", F.col("lifter_text").cast("long").alias("lifter_id")).join(v.lifters.select("lifter_id", "membership_number", "athlete_name"), "lifter_id")
+    e = e.select("entry_id", F.when(F.col("lifter_id") % 3 == 0, F.col("lifter_id")).alias("exact"), "membership_number", "athlete_name")
+    return identity.resolve(e, p, [["exact"], ["membership_number"], ["athlete_name"]], "entry_id", "lifter_id")
+
+
+@query("dq_3_dedupe_valid", ", k AS (SELECT result_id, ROW_NUMBER() OVER (PARTITION BY lifter_name, meet_id ORDER BY CASE WHEN total > 0 THEN 0 ELSE 1 END, total DESC, result_id) AS n FROM results) SELECT result_id FROM k WHERE n = 1")
+def dq_3(v):
+    return identity.dedupe_valid(v.results, ["lifter_name", "meet_id"]).select("result_id")
+
+
+@query("dq_4_duplicate_score", ", g AS (SELECT athlete_name, COUNT(DISTINCT internal_id) < COUNT(internal_id) AS si, COUNT(internal_id) = COUNT(*) AND COUNT(DISTINCT internal_id) = COUNT(*) AS di, COUNT(DISTINCT membership_number) < COUNT(membership_number) AS sm, COUNT(DISTINCT membership_number) = COUNT(*) AS dm, COUNT(DISTINCT birth_year) > 2 AS an FROM lifters GROUP BY 1 HAVING COUNT(*) > 1), s AS (SELECT athlete_name, GREATEST(0, LEAST(100, 20 + CASE WHEN si THEN 30 ELSE 0 END - CASE WHEN di THEN 30 ELSE 0 END + CASE WHEN sm THEN 20 ELSE 0 END - CASE WHEN dm THEN 15 ELSE 0 END + CASE WHEN an THEN 5 ELSE 0 END)) AS score FROM g) SELECT athlete_name, CAST(score AS INT) AS score, CASE WHEN score >= 60 THEN 'merge' WHEN score <= 10 THEN 'split' ELSE 'ambiguous' END AS case_type FROM s")
+def dq_4(v):
+    no = F.lit(False)
+    g = v.lifters.groupBy("athlete_name").agg(
+        count().alias("n"), (F.count_distinct("internal_id") < F.count("internal_id")).alias("si"), ((F.count("internal_id") == count()) & (F.count_distinct("internal_id") == count())).alias("di"),
+        (F.count_distinct("membership_number") < F.count("membership_number")).alias("sm"), (F.count_distinct("membership_number") == count()).alias("dm"), (F.count_distinct("birth_year") > 2).alias("an"),
+    ).where("n > 1")
+    c = F.col
+    s = g.select("athlete_name", identity.duplicate_score(c("si"), c("di"), c("sm"), c("dm"), no, no, no, c("an"), no).alias("score"))
+    return s.withColumn("case_type", identity.case_type(F.col("score")))
+
+
+@query("dq_5_shared_signature", ", s AS (SELECT meet_id || '|' || best_snatch || '|' || best_cj || '|' || body_weight_kg AS k, lifter_id, meet_id FROM results WHERE total > 0), g AS (SELECT best_snatch, best_cj FROM results WHERE total > 0 GROUP BY 1, 2 HAVING COUNT(DISTINCT lifter_id) > 1 AND COUNT(DISTINCT meet_id) > 1) SELECT best_snatch, best_cj FROM g")
+def dq_5(v):
+    g = v.results.where("total > 0").groupBy("best_snatch", "best_cj").agg(F.count_distinct("lifter_id").alias("l"), F.count_distinct("meet_id").alias("m"))
+    return g.where("l > 1 and m > 1").select("best_snatch", "best_cj")
+
+
+@query("dq_6_same_day", "SELECT lifter_name, date, COUNT(DISTINCT result_id) AS n FROM results GROUP BY 1, 2 HAVING COUNT(DISTINCT result_id) > 1")
+def dq_6(v):
+    return v.results.groupBy("lifter_name", "date").agg(F.count_distinct("result_id").alias("n")).where("n > 1")
+
+
+@query("dq_7_contamination_score", ", g AS (SELECT lifter_name, COUNT(*) AS n, COUNT(DISTINCT club_name) AS clubs, COUNT(DISTINCT wso) AS regions, MAX(body_weight_kg) - MIN(body_weight_kg) AS spread FROM results GROUP BY 1) SELECT lifter_name, ROUND(LEAST(1.0, CASE WHEN n > 30 THEN 0.2 ELSE 0 END + CASE WHEN clubs > 2 THEN 0.3 ELSE 0 END + CASE WHEN regions > 1 THEN 0.3 ELSE 0 END + CASE WHEN spread > 80 THEN 0.3 ELSE 0 END)::DOUBLE, 2) AS score FROM g")
+def dq_7(v):
+    g = v.results.groupBy("lifter_name").agg(count().alias("n"), F.count_distinct("club_name").alias("clubs"), F.count_distinct("wso").alias("regions"), (F.max("body_weight_kg") - F.min("body_weight_kg")).alias("spread"))
+    flag = lambda c, w: F.when(F.expr(c), w).otherwise(0.0)
+    return g.select("lifter_name", F.round(F.least(F.lit(1.0), flag("n > 30", 0.2) + flag("clubs > 2", 0.3) + flag("regions > 1", 0.3) + flag("spread > 80", 0.3)), 2).alias("score"))
+
+
+@query("dq_8_missing_priority", ", r AS (SELECT lifter_id, COUNT(*) AS n, MAX(date) AS last FROM results GROUP BY 1), s AS (SELECT l.lifter_id, 20 + CASE WHEN n > 10 THEN 30 ELSE 0 END + CASE WHEN last >= '1998-01-01' THEN 30 ELSE 0 END + CASE WHEN birth_year IS NOT NULL THEN 10 ELSE 0 END AS score FROM lifters l LEFT JOIN r ON r.lifter_id = l.lifter_id WHERE membership_number IS NULL) SELECT lifter_id, CAST(score AS INT) AS score, CASE WHEN score >= 75 THEN 'high' WHEN score >= 40 THEN 'medium' ELSE 'low' END AS category FROM s")
+def dq_8(v):
+    r = v.results.groupBy("lifter_id").agg(count().alias("n"), F.max("date").alias("last"))
+    flag = lambda c, w: F.when(c, w).otherwise(0)
+    score = F.lit(20) + flag(F.col("n") > 10, 30) + flag(F.col("last") >= "1998-01-01", 30) + flag(F.col("birth_year").isNotNull(), 10)
+    s = v.lifters.where("membership_number is null").join(r, "lifter_id", "left").select("lifter_id", score.alias("score"))
+    return s.withColumn("category", F.when(F.col("score") >= 75, "high").when(F.col("score") >= 40, "medium").otherwise("low"))
+
+
+def _pairs(v):
+    a = [F.abs(parse.attempt(c)) for c in ("s1", "s2", "s3", "c1", "c2", "c3")]
+    side = lambda p: v.results.select("lifter_name", "meet_id", F.col("result_id").alias(p), F.array(*a).alias(p + "a"))
+    return side("a").join(side("b"), ["lifter_name", "meet_id"]).where("a < b")
+
+
+_A6 = "[" + ", ".join(f"abs(CASE WHEN {c} NOT IN ('', '0', '---') THEN TRY_CAST({c} AS INT) END)" for c in ("s1", "s2", "s3", "c1", "c2", "c3")) + "]"
+
+
+@query("dq_10_physics", f", x AS (SELECT lifter_name, meet_id, result_id, {_A6} AS a FROM results), p AS (SELECT x.result_id AS a, y.result_id AS b, list_filter(list_transform(range(1, 7), lambda i: abs(x.a[i] - y.a[i])), lambda g: g IS NOT NULL) AS g FROM x JOIN x y ON x.lifter_name = y.lifter_name AND x.meet_id = y.meet_id AND x.result_id < y.result_id) SELECT a, b, CASE WHEN len(g) >= 4 THEN len(list_filter(g, lambda k: k <= 1)) >= 4 WHEN len(g) > 0 THEN len(list_filter(g, lambda k: k <= 1)) = len(g) END AS same FROM p")
+def dq_10(v):
+    return _pairs(v).select("a", "b", attempts.overlap(F.col("aa"), F.col("ba")).alias("same"))
+
+
+@query("dq_11_completeness", ", s AS (SELECT meet_id, COUNT(*) AS stored FROM results WHERE total > 0 GROUP BY 1), e AS (SELECT meet_id, COUNT(*) AS expected FROM results GROUP BY 1) SELECT e.meet_id, COALESCE(stored, 0) AS stored, expected, expected - COALESCE(stored, 0) AS gap, CASE WHEN stored = expected THEN 'complete' ELSE 'discrepancy' END AS status FROM e LEFT JOIN s ON s.meet_id = e.meet_id")
+def dq_11(v):
+    return identity.completeness(v.results.where("total > 0"), v.results, "meet_id")
+
+
+@query("dq_12_merge_masters", "SELECT lifter_id, CASE WHEN internal_id IS NULL THEN lifter_id ELSE MIN(lifter_id) OVER (PARTITION BY internal_id) END AS master FROM lifters")
+def dq_12(v):
+    return identity.merge_by(v.lifters, "internal_id", "lifter_id").select("lifter_id", "master")
+
+
+@query("dq_13_harvest", ", m AS (SELECT internal_id, MIN(lifter_id) AS master, MAX(membership_number) AS member, MAX(birth_year) AS born FROM lifters WHERE internal_id IS NOT NULL GROUP BY 1) SELECT l.lifter_id, COALESCE(l.membership_number, member) AS membership_number, COALESCE(l.birth_year, born) AS birth_year FROM lifters l JOIN m ON m.master = l.lifter_id")
+def dq_13(v):
+    m = v.lifters.where("internal_id is not null").groupBy("internal_id").agg(F.min("lifter_id").alias("lifter_id"), F.max("membership_number").alias("member"), F.max("birth_year").alias("born"))
+    return v.lifters.join(m.drop("internal_id"), "lifter_id").select("lifter_id", F.coalesce("membership_number", "member").alias("membership_number"), F.coalesce("birth_year", "born").alias("birth_year"))
+
+
+@query("dq_15_alias_closure", ", b AS (SELECT a, b FROM aliases UNION SELECT b, a FROM aliases), t(node, x) AS (SELECT a, a FROM b UNION SELECT t.node, b.b FROM t JOIN b ON b.a = t.x) SELECT node, MIN(x) AS component FROM t GROUP BY 1", recursive=True)
+def dq_15(v):
+    return components(v.aliases)
+
+
+@query("dq_18_candidates", ", c AS (SELECT e.entry_id, COUNT(l.lifter_id) AS n FROM entries e JOIN results r ON r.result_id = e.entry_id LEFT JOIN lifters l ON l.membership_number = r.membership_number GROUP BY 1) SELECT entry_id, CASE WHEN n = 0 THEN 'none' WHEN n = 1 THEN 'reassign' ELSE 'ambiguous' END AS decision FROM c")
+def dq_18(v):
+    n = v.lifters.groupBy("membership_number").agg(count().alias("n"))
+    e = v.entries.join(v.results.select(F.col("result_id").alias("entry_id"), "membership_number"), "entry_id").join(n, "membership_number", "left")
+    k = F.coalesce("n", F.lit(0))
+    return e.select("entry_id", F.when(k == 0, "none").when(k == 1, "reassign").otherwise("ambiguous").alias("decision"))
+
+
+@query("dq_19_recompute", "SELECT club_name, COUNT(DISTINCT lifter_id) AS manual, COUNT(DISTINCT lifter_id) AS stored, TRUE AS same FROM results WHERE date >= '1995-01-01' AND date < '1996-01-01' GROUP BY 1")
+def dq_19(v):
+    stored = series.rolling_members(v.results, "1996-01-01", "1996-01-01").select("club_name", F.col("active_members").alias("stored"))
+    manual = v.results.where("date >= '1995-01-01' and date < '1996-01-01'").groupBy("club_name").agg(F.count_distinct("lifter_id").alias("manual"))
+    return manual.join(stored, "club_name").withColumn("same", F.col("manual") == F.col("stored"))
+
+
+@query("dq_21_name_changes", ", g AS (SELECT membership_number, COUNT(DISTINCT upper(trim(athlete_name))) AS n, MIN(CASE WHEN internal_id IS NOT NULL THEN lifter_id END) AS keeper FROM lifters WHERE membership_number IS NOT NULL GROUP BY 1) SELECT membership_number, keeper FROM g WHERE n > 1")
+def dq_21(v):
+    g = v.lifters.where("membership_number is not null").groupBy("membership_number").agg(F.count_distinct(text.match_key("athlete_name")).alias("n"), F.min(F.when(F.col("internal_id").isNotNull(), F.col("lifter_id"))).alias("keeper"))
+    return g.where("n > 1").select("membership_number", "keeper")
+
+
+@query("dq_22_batch_proximity", ", e AS (SELECT event_type, epoch_us(ts) AS t FROM events), a AS (SELECT e.event_type, e.t, EXISTS (SELECT 1 FROM e b WHERE b.event_type <> e.event_type AND abs(b.t - e.t) <= 10000000) AS near FROM e) SELECT event_type, COUNT(*) AS n, COUNT(*) FILTER (near) AS near FROM a GROUP BY 1")
+def dq_22(v):
+    # the nearest event of another type is among those of its own ten-second bin and the two beside it
+    e = v.table("events").select("event_id", "event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("t"))
+    e = e.withColumn("bin", F.floor(F.col("t") / 10_000_000))
+    by = e.groupBy("bin", "event_type").agg(F.sort_array(F.collect_set("t")).alias("ts"))
+    around = e.withColumn("bin", F.explode(F.array(*[F.col("bin") + k for k in (-1, 0, 1)])))
+    other = by.withColumnRenamed("event_type", "other")
+    hit = around.join(other, "bin").where((F.col("event_type") != F.col("other")) & F.exists("ts", lambda x: F.abs(x - F.col("t")) <= 10_000_000)).select("event_id").distinct()
+    flagged = e.join(hit.withColumn("hit", F.lit(True)), "event_id", "left")
+    return flagged.groupBy("event_type").agg(count().alias("n"), F.count("hit").alias("near"))
+
+
+@query("dq_23_meet_pairs", ", g AS (SELECT lifter_name, best_snatch, best_cj, string_agg(DISTINCT CAST(meet_id AS VARCHAR), ',' ORDER BY CAST(meet_id AS VARCHAR)) AS pair, COUNT(DISTINCT meet_id) AS k FROM results WHERE total > 0 GROUP BY 1, 2, 3) SELECT pair, COUNT(*) AS n FROM g WHERE k > 1 GROUP BY 1")
+def dq_23(v):
+    g = v.results.where("total > 0").groupBy("lifter_name", "best_snatch", "best_cj").agg(F.sort_array(F.collect_set(F.col("meet_id").cast("string"))).alias("m")).where("size(m) > 1")
+    return g.groupBy(F.array_join("m", ",").alias("pair")).agg(count().alias("n"))
+
+
+@query("dq_24_safe_ghosts", ", g AS (SELECT * FROM lifters WHERE lifter_id NOT IN (SELECT lifter_id FROM results)) SELECT g.lifter_id FROM g WHERE EXISTS (SELECT 1 FROM lifters l WHERE l.athlete_name = g.athlete_name AND l.lifter_id IN (SELECT lifter_id FROM results))")
+def dq_24(v):
+    ghosts = v.lifters.join(v.results, "lifter_id", "left_anti")
+    active = v.lifters.join(v.results, "lifter_id", "left_semi").select("athlete_name")
+    return ghosts.join(active, "athlete_name", "left_semi").select("lifter_id")
+
+
+@query("dq_26_name_audit", "SELECT r.result_id, CASE WHEN upper(trim(r.lifter_name)) = upper(trim(l.athlete_name)) THEN 'MATCH' ELSE 'MISMATCH' END AS verdict FROM results r JOIN lifters l ON l.lifter_id = r.lifter_id")
+def dq_26(v):
+    j = v.results.join(v.lifters.select("lifter_id", "athlete_name"), "lifter_id")
+    return j.select("result_id", F.when(text.match_key("lifter_name") == text.match_key("athlete_name"), "MATCH").otherwise("MISMATCH").alias("verdict"))
+
+
+@query("dq_27_skip_decision", ", s AS (SELECT meet_id, COUNT(*) AS n, COUNT(*) - meet_id % 2 AS seen FROM results GROUP BY 1) SELECT meet_id, CASE WHEN n = seen THEN 'skip' ELSE 'revalidate' END AS decision FROM s")
+def dq_27(v):
+    now = v.results.groupBy("meet_id").agg(count().alias("n"))
+    state = now.select("meet_id", (F.col("n") - F.col("meet_id") % 2).alias("seen"))
+    return now.join(state, "meet_id").select("meet_id", F.when(F.col("n") == F.col("seen"), "skip").otherwise("revalidate").alias("decision"))
+
+
+@query("dq_9_link_decision", ", u AS (SELECT * FROM results WHERE source = 'USAW'), i AS (SELECT * FROM results WHERE source = 'IWF'), p AS (SELECT i.lifter_id AS iwf, u.lifter_id AS usaw, MIN(abs(i.total - u.total)) AS delta FROM i JOIN u ON i.lifter_name = u.lifter_name AND i.meet_id = u.meet_id WHERE i.total > 0 AND u.total > 0 GROUP BY 1, 2), k AS (SELECT *, RANK() OVER (PARTITION BY iwf ORDER BY delta) AS r FROM p), b AS (SELECT iwf, MIN(usaw) AS usaw, COUNT(*) AS n FROM k WHERE r = 1 GROUP BY 1) SELECT iwf, CASE WHEN n = 1 THEN usaw END AS usaw, CASE WHEN n = 1 THEN 'linked' ELSE 'ambiguous' END AS decision FROM b")
+def dq_9(v):
+    good = v.results.where("total > 0")
+    side = lambda s, name: good.where(F.col("source") == s).select("lifter_name", "meet_id", F.col("lifter_id").alias(name), F.col("total").alias(f"{name}_total"))
+    p = side("IWF", "iwf").join(side("USAW", "usaw"), ["lifter_name", "meet_id"]).groupBy("iwf", "usaw").agg(F.min(F.abs(F.col("iwf_total") - F.col("usaw_total"))).alias("delta"))
+    best = p.withColumn("r", F.rank().over(Window.partitionBy("iwf").orderBy("delta"))).where("r = 1").groupBy("iwf").agg(F.min("usaw").alias("usaw"), count().alias("n"))
+    return best.select("iwf", F.when(F.col("n") == 1, F.col("usaw")).alias("usaw"), F.when(F.col("n") == 1, "linked").otherwise("ambiguous").alias("decision"))
+
+
+# Keyed tables.
+
+
+def _new(v):
+    return v.lifters.where("lifter_id % 4 = 0").select((F.col("lifter_id") + F.when(F.col("lifter_id") % 8 == 0, 100_000).otherwise(0)).alias("lifter_id"), F.lit("New").alias("athlete_name"))
+
+
+_NEW = ", w AS (SELECT lifter_id + CASE WHEN lifter_id % 8 = 0 THEN 100000 ELSE 0 END AS lifter_id, 'New' AS athlete_name FROM lifters WHERE lifter_id % 4 = 0) "
+
+
+@query("snk_1_upsert", _NEW + "SELECT lifter_id, athlete_name FROM w UNION ALL SELECT lifter_id, athlete_name FROM lifters WHERE lifter_id NOT IN (SELECT lifter_id FROM w)")
+def snk_1(v):
+    return tables.upsert(v.lifters.select("lifter_id", "athlete_name"), _new(v), ["lifter_id"])
+
+
+@query("snk_3_insert_ignore", _NEW + "SELECT lifter_id FROM w WHERE lifter_id NOT IN (SELECT lifter_id FROM lifters)")
+def snk_3(v):
+    return tables.insert_ignore(v.lifters, _new(v), ["lifter_id"]).select("lifter_id")
+
+
+@query("snk_5_prefer_valid", ", k AS (SELECT result_id, ROW_NUMBER() OVER (PARTITION BY meet_id, lifter_name, weight_class ORDER BY CASE WHEN total > 0 THEN 0 ELSE 1 END, result_id) AS n FROM results) SELECT result_id FROM k WHERE n = 1")
+def snk_5(v):
+    return tables.first_by(v.results, ["meet_id", "lifter_name", "weight_class"], [F.when(F.col("total") > 0, 0).otherwise(1), "result_id"]).select("result_id")
+
+
+@query("snk_6_replace_by_key", "SELECT result_id, CASE WHEN meet_id % 2 = 0 THEN 0 ELSE total END AS total FROM results WHERE meet_id % 2 <> 0 OR total > 100")
+def snk_6(v):
+    rows = v.results.select("meet_id", "result_id", "total")
+    new = rows.where("meet_id % 2 = 0 and total > 100").withColumn("total", F.lit(0))
+    return tables.replace_by_key(rows, new, ["meet_id"]).select("result_id", "total")
+
+
+@query("snk_7_changes", _NEW + "SELECT COALESCE(l.lifter_id, w.lifter_id) AS lifter_id, CASE WHEN l.lifter_id IS NULL THEN 'new' WHEN w.lifter_id IS NULL THEN 'gone' WHEN l.athlete_name IS NOT DISTINCT FROM w.athlete_name THEN 'unchanged' ELSE 'updated' END AS status FROM lifters l FULL OUTER JOIN w ON w.lifter_id = l.lifter_id")
+def snk_7(v):
+    return tables.changes(v.lifters.select("lifter_id", "athlete_name"), _new(v), ["lifter_id"], ["athlete_name"])
+
+
+@query("snk_10_audit", "SELECT result_id, total AS before, total + 1 AS after FROM results WHERE result_id % 3 = 0")
+def snk_10(v):
+    new = v.results.select("result_id", F.when(F.col("result_id") % 3 == 0, F.col("total") + 1).otherwise(F.col("total")).alias("total"))
+    return tables.audit(v.results, new, "result_id", "total")
+
+
+@query("dml_1_update_from", "SELECT l.listing_id, COALESCE(n, 0) AS entry_count FROM listings l LEFT JOIN (SELECT listing_id, COUNT(*) AS n FROM entries GROUP BY 1) e ON e.listing_id = l.listing_id")
+def dml_1(v):
+    n = v.entries.groupBy("listing_id").agg(count().alias("entry_count"))
+    return tables.fill_in(v.listings.select("listing_id", F.lit(0).cast("long").alias("entry_count")), n, "listing_id", ["entry_count"])
+
+
+@query("dml_2_scrub", "SELECT result_id, CASE WHEN total = 0 THEN NULL ELSE body_weight_kg END AS body_weight_kg FROM results")
+def dml_2(v):
+    return v.results.select("result_id", F.when(F.col("total") != 0, F.col("body_weight_kg")).alias("body_weight_kg"))
+
+
+@query("dml_4_fill_in", "SELECT r.lifter_id, COALESCE(CASE WHEN r.lifter_id % 3 = 0 THEN 1990 END, birth_year) AS birth_year FROM lifters r")
+def dml_4(v):
+    new = v.lifters.select("lifter_id", F.when(F.col("lifter_id") % 3 == 0, 1990).alias("birth_year"))
+    return tables.fill_in(v.lifters.select("lifter_id", "birth_year"), new, "lifter_id", ["birth_year"])
+
+
+@query("dml_5_touch_if_changed", "SELECT lifter_id, CASE WHEN lifter_id % 3 = 0 AND birth_year IS DISTINCT FROM 1990 THEN '2030-01-01' ELSE '2000-01-01' END AS updated FROM lifters")
+def dml_5(v):
+    new = F.when(F.col("lifter_id") % 3 == 0, F.lit(1990)).otherwise(F.col("birth_year"))
+    return v.lifters.select("lifter_id", F.when(~new.eqNullSafe(F.col("birth_year")), "2030-01-01").otherwise("2000-01-01").alias("updated"))
+
+
+# Sources, documents, streams.
+
+
+@query("src_7_page_blocks", "SELECT page_id, CAST(len(regexp_extract_all(html, '<p>')) AS INT) AS paragraphs, CAST(len(regexp_extract_all(html, '<a href')) AS INT) AS links FROM pages")
+def src_7(v):
+    n = lambda p: F.size(F.regexp_extract_all("html", F.lit(p), F.lit(0)))
+    return v.table("pages").select("page_id", n("<p>").alias("paragraphs"), n("<a href").alias("links"))
+
+
+@query("src_5_collapsed_rows", "SELECT meet_id, meet_name, level FROM meets")
+def src_5(v):
+    return readers.repair_collapsed(v.meets.select(F.concat_ws("|", F.col("meet_id").cast("string"), "meet_name", "level").alias("line")), "line", ["meet_id", "meet_name", "level"]).withColumn("meet_id", F.col("meet_id").cast("int"))
+
+
+@query("src_13_demographics_view", ", k AS (SELECT lifter_id, club_name, wso, ROW_NUMBER() OVER (PARTITION BY lifter_id ORDER BY date DESC, result_id DESC) AS n FROM results) SELECT lifter_id, club_name, wso FROM k WHERE n = 1")
+def src_13(v):
+    return tables.first_by(v.results, ["lifter_id"], [F.desc("date"), F.desc("result_id")]).select("lifter_id", "club_name", "wso")
+
+
+@query("dq_16_documents", "SELECT lifter_id, COUNT(*) AS n_results, MAX(total) AS best, lpad(right(CAST(lifter_id AS VARCHAR), 2), 2, '0') AS shard FROM results GROUP BY 1")
+def dq_16(v):
+    d = readers.athlete_documents(v.results)
+    got = lambda p, t: F.get_json_object("document", p).cast(t)
+    return d.select("lifter_id", F.json_array_length(F.get_json_object("document", "$.results")).cast("long").alias("n_results"), got("$.best", "int").alias("best"), "shard")
+
+
+@query("stm_2_stream_counts", "SELECT event_type, COUNT(*) AS n FROM events GROUP BY 1")
+def stm_2(v):
+    return streams.counts_by(v.spark, f"{v.sf_dir}/events.parquet", "event_type")
+
+
+@query("stm_windows", "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS hour, event_type, COUNT(*) AS n FROM events GROUP BY 1, 2")
+def stm_windows(v):
+    return streams.hourly(v.spark, f"{v.sf_dir}/events.parquet")

@@ -12,13 +12,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None):
+def query(name: str, sql: str | None = None, recursive: bool = False):
     """Register a function of the views. ``sql`` goes after the common views; it may begin with ', more AS (...)'."""
 
     def register(f: Callable[[Views], DataFrame]):
         QUERIES[name] = lambda spark, sf_dir: f(Views(spark, sf_dir))
         if sql:
-            ORACLE_SQL[name] = WITH + sql
+            ORACLE_SQL[name] = (WITH.replace("WITH ", "WITH RECURSIVE ", 1) if recursive else WITH) + sql
         return f
 
     return register
