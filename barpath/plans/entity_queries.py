@@ -105,12 +105,12 @@ def geo_12(v):
     return v.meets.where(geo.near_any("latitude", "longitude", [(39.8, -98.5)], 2.0)).select("meet_id")
 
 
-@query("geo_13_travel", f", d AS (SELECT r.meet_id, r.wso, {_H.format(lat1='m.latitude', lat2='c.latitude', lng1='m.longitude', lng2='c.longitude')} AS h FROM results r JOIN meets m ON m.meet_id = r.meet_id JOIN clubs c ON c.club_name = r.club_name) SELECT meet_id, COUNT(DISTINCT wso) AS regions, ROUND(AVG({_KM}), 2) AS avg_km, MAX({_KM}) AS farthest FROM d GROUP BY 1")
+@query("geo_13_travel", f", d AS (SELECT r.meet_id, r.wso, {_H.format(lat1='m.latitude', lat2='c.latitude', lng1='m.longitude', lng2='c.longitude')} AS h FROM results r JOIN meets m ON m.meet_id = r.meet_id JOIN clubs c ON c.club_name = r.club_name) SELECT meet_id, COUNT(DISTINCT wso) AS regions, ROUND(AVG({_KM}), 4) AS avg_km, MAX({_KM}) AS farthest FROM d GROUP BY 1")
 def geo_13(v):
     clubs = v.clubs.select("club_name", F.col("latitude").alias("lat"), F.col("longitude").alias("lng"))
     km = geo.haversine_km("latitude", "longitude", "lat", "lng")
     rows = v.results.join(v.meets.select("meet_id", "latitude", "longitude"), "meet_id").join(clubs, "club_name").withColumn("km", km)
-    return rows.groupBy("meet_id").agg(F.count_distinct("wso").alias("regions"), F.round(F.avg("km"), 2).alias("avg_km"), F.max("km").alias("farthest"))
+    return rows.groupBy("meet_id").agg(F.count_distinct("wso").alias("regions"), F.round(F.avg("km"), 4).alias("avg_km"), F.max("km").alias("farthest"))
 
 
 @query("geo_14_travel_burden", "SELECT meet_id, COUNT(DISTINCT wso) AS regions FROM results GROUP BY 1 ORDER BY regions DESC, meet_id LIMIT 10")
