@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -38,10 +39,18 @@ def materialise(df: DataFrame, name: str, partition_by: str | None = None) -> Da
     """Write ``df`` to the shared folder and read it back: cuts lineage in a way that a lost executor cannot undo."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if partition_by:  # a writer for each of few partitions: no sort of the rows before they are written
+        spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", "16")
     writer = df.write.option("compression", "zstd")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of tables that nothing refers to any more."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
