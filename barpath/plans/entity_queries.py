@@ -413,3 +413,227 @@ def stm_2(v):
 @query("stm_windows", "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS hour, event_type, COUNT(*) AS n FROM events GROUP BY 1, 2")
 def stm_windows(v):
     return streams.hourly(v.spark, f"{v.sf_dir}/events.parquet")
+
+
+# More joins, places, identities and sinks.
+
+
+@query("join_10_rosters", ", p AS (SELECT a.meet_id, a.result_id AS a, b.result_id AS b, abs(a.total - b.total) <= 2 AS close FROM results a JOIN results b ON a.meet_id = b.meet_id AND a.lifter_name = b.lifter_name AND a.source = 'IWF' AND b.source = 'USAW') SELECT meet_id, a, b, close FROM p")
+def join_10(v):
+    side = lambda s, n: v.results.where(F.col("source") == s).select("meet_id", "lifter_name", F.col("result_id").alias(n), F.col("total").alias(f"{n}t"))
+    return side("IWF", "a").join(side("USAW", "b"), ["meet_id", "lifter_name"]).select("meet_id", "a", "b", (F.abs(F.col("at") - F.col("bt")) <= 2).alias("close"))
+
+
+@query("join_11_one_candidate", ", c AS (SELECT a.lifter_id, MIN(b.lifter_id) AS other, COUNT(*) AS n FROM lifters a JOIN lifters b ON a.gender = b.gender AND a.lifter_id <> b.lifter_id AND a.athlete_name = b.athlete_name GROUP BY 1) SELECT lifter_id, other FROM c WHERE n = 1")
+def join_11(v):
+    # demographics and the sorted name tokens are the join key, so no roster is paired with a whole other one
+    side = lambda n: v.lifters.select("gender", F.array_join(F.array_sort(F.split(F.lower("athlete_name"), " ")), " ").alias("name"), F.col("lifter_id").alias(n))
+    j = side("a").join(side("b"), ["gender", "name"]).where("a != b")
+    return j.groupBy(F.col("a").alias("lifter_id")).agg(F.min("b").alias("other"), count().alias("n")).where("n = 1").select("lifter_id", "other")
+
+
+@query("join_13_factor_lookup", ", f AS (SELECT g, k, k / 10.0::DOUBLE AS factor FROM (VALUES ('M'), ('F')) t(g), range(400, 900) s(k) WHERE g = 'M' OR k % 2 = 0) SELECT result_id, factor FROM results LEFT JOIN f ON g = gender AND k = CAST(round(body_weight_kg * 10) AS BIGINT)")
+def join_13(v):
+    f = v.spark.range(400, 900).select(F.explode(F.array(F.lit("M"), F.lit("F"))).alias("gender"), (F.col("id") / 10).cast("decimal(5,1)").alias("bw"), (F.col("id") / 10).alias("factor"), "id").where("gender = 'M' or id % 2 = 0")
+    rows = v.results.select("result_id", "gender", F.col("body_weight_kg").cast("decimal(5,1)").alias("bw"))
+    return rows.join(F.broadcast(f.drop("id")), ["gender", "bw"], "left").select("result_id", "factor")
+
+
+@query("join_14_snapshot_grid", ", c AS (SELECT DISTINCT club_name FROM results), s AS (SELECT UNNEST(['1995-01-01', '1996-01-01']) AS d) SELECT c.club_name, s.d AS snapshot, COUNT(DISTINCT r.lifter_id) AS members FROM c CROSS JOIN s LEFT JOIN results r ON r.club_name = c.club_name AND r.date < s.d AND r.date >= CAST(CAST(SUBSTRING(s.d, 1, 4) AS INT) - 1 AS VARCHAR) || '-01-01' GROUP BY 1, 2")
+def join_14(v):
+    r = series.rolling_members(v.results, "1995-01-01", "1996-01-01", months=12)
+    return r.select("club_name", F.col("snapshot").cast("string").alias("snapshot"), F.col("active_members").alias("members"))
+
+
+@query("join_19_region_of_club", f", h AS (SELECT m.club_name, MIN(r.region) AS region FROM clubs m JOIN regions r ON {_IN} GROUP BY 1) SELECT club_name, region FROM h")
+def join_19(v):
+    box = _rings(v).withColumn("box", geo.bbox("shape"))
+    near = v.clubs.join(F.broadcast(box), geo.in_bbox("longitude", "latitude", "box"))
+    inside = (F.col("longitude") > F.col("box")["min_x"]) & (F.col("latitude") > F.col("box")["min_y"]) & geo.in_shape("longitude", "latitude", "shape")
+    return near.where(inside & (F.col("longitude") < F.col("box")["max_x"]) & (F.col("latitude") < F.col("box")["max_y"])).groupBy("club_name").agg(F.min("region").alias("region"))
+
+
+@query("agg_32_match_summary", ", c AS (SELECT e.entry_id, COUNT(l.lifter_id) AS n FROM entries e JOIN results r ON r.result_id = e.entry_id LEFT JOIN lifters l ON l.membership_number = r.membership_number GROUP BY 1) SELECT CASE WHEN n = 0 THEN 'none' WHEN n = 1 THEN 'reassign' ELSE 'ambiguous' END AS decision, COUNT(*) AS n FROM c GROUP BY 1")
+def agg_32(v):
+    return dq_18(v).groupBy("decision").agg(count().alias("n"))
+
+
+@query("set_2_union_all", "SELECT 'meets' AS part, COUNT(*) AS n FROM meets UNION ALL SELECT 'clubs', COUNT(*) FROM clubs UNION ALL SELECT 'entries', COUNT(*) FROM entries")
+def set_2(v):
+    part = lambda df, name: df.agg(count().alias("n")).select(F.lit(name).alias("part"), "n")
+    return part(v.meets, "meets").unionByName(part(v.clubs, "clubs")).unionByName(part(v.entries, "entries"))
+
+
+@query("srt_2_page", "SELECT lifter_id FROM lifters ORDER BY lifter_id LIMIT 100 OFFSET 200")
+def srt_2(v):
+    return v.lifters.select("lifter_id").orderBy("lifter_id").offset(200).limit(100)
+
+
+@query("geo_5_region_of_state", "SELECT meet_id, CASE meet_id % 5 WHEN 0 THEN 'South' WHEN 1 THEN CASE WHEN latitude >= 35.5 THEN 'West North' ELSE 'West South' END WHEN 2 THEN 'South' WHEN 3 THEN 'Plains' END AS region FROM meets")
+def geo_5(v):
+    state = geo.state_of_address("address", _STATES)
+    split = F.when(F.col("latitude") >= 35.5, "West North").otherwise("West South")
+    region = F.when(state.isin("Texas", "Arkansas"), "South").when(state == "California", split).when(state == "Kansas", "Plains")
+    return _addresses(v).select("meet_id", region.alias("region"))
+
+
+@query("geo_7_region_of_name", "SELECT meet_id, CASE WHEN regexp_matches(level, '(?i)north american') THEN 'north' WHEN regexp_matches(level, '(?i)national') THEN 'nation' END AS region FROM meets")
+def geo_7(v):
+    rules = [("(?i)north american", "north"), ("(?i)national", "nation")]
+    return v.meets.select("meet_id", F.coalesce(*[F.when(F.col("level").rlike(p), r) for p, r in rules]).alias("region"))
+
+
+@query("geo_9_validate", ", h AS (SELECT m.club_name, m.wso, MIN(r.region) AS region FROM clubs m LEFT JOIN regions r ON m.longitude BETWEEN r.min_x AND r.max_x AND m.latitude BETWEEN r.min_y AND r.max_y GROUP BY 1, 2) SELECT club_name, CASE WHEN region IS NULL THEN 'invalid' WHEN region = wso THEN 'valid' ELSE 'contaminated' END AS verdict FROM h")
+def geo_9(v):
+    hits = v.clubs.join(F.broadcast(v.regions), F.col("longitude").between(F.col("min_x"), F.col("max_x")) & F.col("latitude").between(F.col("min_y"), F.col("max_y")), "left")
+    h = hits.groupBy("club_name", "wso").agg(F.min("region").alias("region"))
+    return h.select("club_name", F.when(F.col("region").isNull(), "invalid").when(F.col("region") == F.col("wso"), "valid").otherwise("contaminated").alias("verdict"))
+
+
+@query("geo_17_bbox_fallback", "SELECT club_name, COUNT(r.region) AS hits FROM clubs m LEFT JOIN regions r ON m.longitude BETWEEN r.min_x AND r.max_x AND m.latitude BETWEEN r.min_y AND r.max_y GROUP BY 1")
+def geo_17(v):
+    near = F.col("longitude").between(F.col("min_x"), F.col("max_x")) & F.col("latitude").between(F.col("min_y"), F.col("max_y"))
+    return v.clubs.join(F.broadcast(v.regions), near, "left").groupBy("club_name").agg(F.count("region").alias("hits"))
+
+
+@query("geo_18_club_state", "SELECT meet_id, CASE WHEN meet_id % 4 = 0 THEN 'Utah' WHEN meet_id % 5 = 0 THEN 'Texas' WHEN meet_id % 5 = 1 THEN 'California' WHEN meet_id % 5 = 2 THEN 'Arkansas' WHEN meet_id % 5 = 3 THEN 'Kansas' END AS state, CASE WHEN meet_id % 4 = 0 THEN 1.0 WHEN meet_id % 5 < 4 THEN 0.95 END::DOUBLE AS confidence FROM meets")
+def geo_18(v):
+    step = lambda s, c: F.when(s.isNotNull(), F.struct(s.alias("state"), F.lit(c).alias("confidence")))
+    x = F.coalesce(step(F.when(F.col("meet_id") % 4 == 0, "Utah"), 1.0), step(geo.state_of_address("address", _STATES), 0.95))
+    return _addresses(v).select("meet_id", x.alias("x")).select("meet_id", "x.state", "x.confidence")
+
+
+@query("geo_19_border_pairs", "SELECT a.region AS a, b.region AS b FROM regions a JOIN regions b ON a.region < b.region AND a.min_x = b.min_x AND (a.max_y = b.min_y OR b.max_y = a.min_y)")
+def geo_19(v):
+    side = lambda n: v.regions.select("min_x", F.col("region").alias(n), F.col("min_y").alias(f"{n}lo"), F.col("max_y").alias(f"{n}hi"))
+    return side("a").join(side("b"), "min_x").where("a < b and (ahi = blo or bhi = alo)").select("a", "b")
+
+
+@query("dq_2_resolve_by_exclusion", ", c AS (SELECT e.entry_id, l.lifter_id FROM entries e JOIN results r ON r.result_id = e.entry_id JOIN lifters l ON l.athlete_name = r.lifter_name WHERE NOT EXISTS (SELECT 1 FROM results x WHERE x.lifter_id = l.lifter_id AND x.meet_id = r.meet_id AND x.result_id <> r.result_id)) SELECT entry_id, MIN(lifter_id) AS lifter_id FROM c GROUP BY 1 HAVING COUNT(*) = 1")
+def dq_2(v):
+    e = v.entries.select("entry_id").join(v.results.select(F.col("result_id").alias("entry_id"), F.col("lifter_name").alias("athlete_name"), "meet_id"), "entry_id")
+    c = e.join(v.lifters.select("lifter_id", "athlete_name"), "athlete_name")
+    busy = v.results.select("lifter_id", "meet_id", F.col("result_id").alias("x"))
+    free = c.join(busy, (c["lifter_id"] == busy["lifter_id"]) & (c["meet_id"] == busy["meet_id"]) & (busy["x"] != c["entry_id"]), "left_anti")
+    return free.groupBy("entry_id").agg(F.min("lifter_id").alias("lifter_id"), count().alias("n")).where("n = 1").select("entry_id", "lifter_id")
+
+
+@query("dq_14_name_masters", "SELECT athlete_name, MIN(lifter_id) AS master, COUNT(*) AS n FROM lifters GROUP BY 1 HAVING COUNT(*) > 1")
+def dq_14(v):
+    return v.lifters.groupBy("athlete_name").agg(F.min("lifter_id").alias("master"), count().alias("n")).where("n > 1")
+
+
+@query("dq_17_plans", ", c AS (SELECT e.entry_id, COUNT(l.lifter_id) AS n, MIN(l.lifter_id) AS target FROM entries e JOIN results r ON r.result_id = e.entry_id JOIN lifters l ON l.membership_number = r.membership_number GROUP BY 1) SELECT target, COUNT(*) AS n FROM c WHERE n = 1 GROUP BY 1")
+def dq_17(v):
+    m = v.lifters.where("membership_number is not null").groupBy("membership_number").agg(count().alias("k"), F.min("lifter_id").alias("target")).where("k = 1")
+    e = v.entries.select("entry_id").join(v.results.select(F.col("result_id").alias("entry_id"), "membership_number"), "entry_id")
+    return e.join(m, "membership_number").groupBy("target").agg(count().alias("n"))
+
+
+@query("dq_20_history_sanity", "SELECT wso, COUNT(*) FILTER (date < '1994-01-01') AS early, COUNT(*) AS n FROM results GROUP BY 1")
+def dq_20(v):
+    return v.results.groupBy("wso").agg(F.count_if(F.col("date") < "1994-01-01").alias("early"), count().alias("n"))
+
+
+@query("dq_25_scrub_misplaced", "SELECT result_id, CASE WHEN age BETWEEN 21 AND 30 THEN total END AS open_total, CASE WHEN age BETWEEN 10 AND 20 THEN total END AS youth_total FROM results")
+def dq_25(v):
+    keep = lambda a, b, name: F.when(F.col("age").between(a, b), F.col("total")).alias(name)
+    return v.results.select("result_id", keep(21, 30, "open_total"), keep(10, 20, "youth_total"))
+
+
+@query("dq_28_entry_resolver", "SELECT entry_id, COALESCE((SELECT MIN(lifter_id) FROM lifters l WHERE l.membership_number = r.membership_number), (SELECT MIN(lifter_id) FROM lifters l WHERE l.athlete_name = r.lifter_name)) AS lifter_id, CAST(CASE WHEN r.membership_number IS NOT NULL THEN 1 ELSE 2 END AS INT) AS rule FROM entries e JOIN results r ON r.result_id = e.entry_id")
+def dq_28(v):
+    e = v.entries.select("entry_id").join(v.results.select(F.col("result_id").alias("entry_id"), "membership_number", F.col("lifter_name").alias("athlete_name")), "entry_id")
+    return identity.resolve(e, v.lifters, [["membership_number"], ["athlete_name"]], "entry_id", "lifter_id")
+
+
+@query("dml_3_delete_repeats", ", k AS (SELECT result_id, ROW_NUMBER() OVER (PARTITION BY meet_id, lifter_id ORDER BY total DESC, result_id) AS n FROM results) SELECT result_id FROM k WHERE n = 1")
+def dml_3(v):
+    return tables.labelled(v.results, ["meet_id", "lifter_id"], [F.desc_nulls_last("total"), "result_id"]).where("action = 'KEEP'").select("result_id")
+
+
+@query("snk_2_upsert_metrics", ", a AS (SELECT club_name, COUNT(*) AS n FROM results WHERE date < '1996-01-01' GROUP BY 1), b AS (SELECT club_name, COUNT(*) AS n FROM results WHERE date >= '1996-01-01' GROUP BY 1) SELECT COALESCE(b.club_name, a.club_name) AS club_name, COALESCE(b.n, a.n) AS n FROM a FULL OUTER JOIN b ON a.club_name = b.club_name")
+def snk_2(v):
+    n = lambda when: v.results.where(when).groupBy("club_name").agg(count().alias("n"))
+    return tables.upsert(n("date < '1996-01-01'"), n("date >= '1996-01-01'"), ["club_name"])
+
+
+@query("snk_4_swallow_repeats", "SELECT DISTINCT meet_id, lifter_name FROM results WHERE (meet_id, lifter_name) NOT IN (SELECT meet_id, lifter_name FROM results WHERE result_id % 2 = 0)")
+def snk_4(v):
+    keys = ["meet_id", "lifter_name"]
+    return tables.insert_ignore(v.results.where("result_id % 2 = 0"), v.results.select(*keys), keys)
+
+
+@query("snk_8_written_documents", "SELECT lpad(right(CAST(lifter_id AS VARCHAR), 2), 2, '0') AS shard, COUNT(DISTINCT lifter_id) AS n FROM results GROUP BY 1")
+def snk_8(v):
+    path = readers.fresh_path(v.spark, "documents")
+    readers.write_documents(readers.athlete_documents(v.results), path)
+    back = v.spark.read.schema("value string, shard string").text(path)
+    return back.groupBy("shard").agg(count().alias("n"))
+
+
+@query("snk_9_written_csv", "SELECT meet_id, meet_name, level FROM meets")
+def snk_9(v):
+    path = readers.fresh_path(v.spark, "csv")
+    readers.write_delimited(v.meets.select("meet_id", "meet_name", "level"), path)
+    return readers.delimited(v.spark, path, ["meet_id", "meet_name", "level"]).withColumn("meet_id", F.col("meet_id").cast("int"))
+
+
+@query("snk_11_split_reports", "SELECT source, COUNT(*) AS n FROM results GROUP BY 1")
+def snk_11(v):
+    path = readers.fresh_path(v.spark, "reports")
+    v.results.select("source", "result_id", "total").write.partitionBy("source").json(path)
+    return v.spark.read.schema("result_id long, total int, source string").json(path).groupBy("source").agg(count().alias("n"))
+
+
+@query("src_1_table_scan", "SELECT COUNT(*) AS n, MIN(o_orderkey) AS low, MAX(o_orderkey) AS high FROM orders")
+def src_1(v):
+    return v.table("orders").agg(count().alias("n"), F.min("o_orderkey").alias("low"), F.max("o_orderkey").alias("high"))
+
+
+@query("src_8_embedded_json", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events")
+def src_8(v):
+    html = F.concat(F.lit('<div data-page="'), F.regexp_replace("props", '"', "&quot;"), F.lit('"></div>'))
+    return readers.embedded_json(v.table("events").select("event_id", html.alias("html")), "html", "k int").select("event_id", "page.k")
+
+
+@query("src_10_geojson", "SELECT region, min_x, max_y FROM regions")
+def src_10(v):
+    ring = F.array(*[F.array(x, y) for x, y in (("min_x", "min_y"), ("max_x", "min_y"), ("max_x", "max_y"), ("min_x", "max_y"))])
+    feature = F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry")))
+    return v.regions.select("region", geo.bbox(geo.polygons(feature)).alias("b")).select("region", "b.min_x", "b.max_y")
+
+
+@query("src_14_region_cache", "SELECT region FROM regions WHERE min_x < -100")
+def src_14(v):
+    return v.regions.where("min_x < -100").select("region")
+
+
+@query("stm_1_enriched_stream", "SELECT event_id, event_type, value * 2 AS doubled FROM events")
+def stm_1(v):
+    s = streams.source(v.spark, f"{v.sf_dir}/events.parquet")
+    return streams.run_once(s.select("event_id", "event_type", (F.col("value") * 2).alias("doubled")), "append")
+
+
+@query("stm_3_recomputed_bests", "SELECT user_id, MAX(value) AS best FROM events GROUP BY 1")
+def stm_3(v):
+    path, events = readers.fresh_path(v.spark, "bests"), f"{v.sf_dir}/events.parquet"
+    best = lambda df: df.groupBy("user_id").agg(F.max("value").alias("best"))
+    streams.recompute_affected(streams.source(v.spark, events), lambda: v.spark.read.parquet(events), ["user_id"], best, lambda df: df.write.mode("append").parquet(f"{path}/out"), f"{path}/check").awaitTermination()
+    return v.spark.read.parquet(f"{path}/out").distinct()
+
+
+@query("stm_5_upserted_stream", "SELECT event_type, COUNT(*) AS n FROM (SELECT DISTINCT event_type FROM events) GROUP BY 1")
+def stm_5(v):
+    path = readers.fresh_path(v.spark, "upserts")
+    schema = "event_type string, n long"
+    v.spark.createDataFrame([], schema).write.parquet(f"{path}/0")
+    state = {"n": 0}
+
+    def write(df):
+        df.write.parquet(f"{path}/{state['n'] + 1}")
+        state["n"] += 1
+
+    s = streams.source(v.spark, f"{v.sf_dir}/events.parquet").select("event_type", F.lit(1).cast("long").alias("n"))
+    streams.upsert_into(s, lambda: v.spark.read.schema(schema).parquet(f"{path}/{state['n']}"), write, ["event_type"], f"{path}/check").awaitTermination()
+    return v.spark.read.schema(schema).parquet(f"{path}/{state['n']}")

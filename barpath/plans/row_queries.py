@@ -379,3 +379,164 @@ def fil_8(v):
 @query("fil_10_manual_override", "SELECT result_id, CASE WHEN result_id % 6 = 0 THEN 1 ELSE total END AS total FROM results")
 def fil_10(v):
     return v.results.select("result_id", F.when(F.col("result_id") % 6 == 0, F.lit(1)).otherwise(F.col("total")).alias("total"))
+
+
+@query("fn_14_norm_cdf", f", x AS (SELECT result_id, (body_weight_kg - 85) / 10 AS x FROM results) SELECT result_id, ROUND({_sql_cdf('x')}, 6) AS p FROM x")
+def fn_14(v):
+    return v.results.select("result_id", F.round(scoring.norm_cdf((F.col("body_weight_kg") - 85) / 10), 6).alias("p"))
+
+
+@query("fn_17_score_by_age_limit", ", w AS (SELECT result_id, age FROM results WHERE total > 0) SELECT result_id, COALESCE(age BETWEEN 15 AND 40, TRUE) AS scored FROM w")
+def fn_17(v):
+    return fn_18(v).where("gamx_u is not null").select("result_id", F.col("gamx_total").isNotNull().alias("scored"))
+
+
+@query("fn_19_recompute_range", f"SELECT result_id, {_curve(2)} AS qpoints FROM results WHERE result_id BETWEEN 1000 AND 5000")
+def fn_19(v):
+    return v.results.where(F.col("result_id").between(1000, 5000)).select("result_id", scoring.points("total", "body_weight_kg", "gender").alias("qpoints"))
+
+
+@query("fn_29_country_names", ", c(code, name) AS (VALUES ('FRA', 'France'), ('CHN', 'China'), ('BRA', 'Brazil')) SELECT region, name FROM regions LEFT JOIN c ON code = substr(region, 1, 3)")
+def fn_29(v):
+    names = v.spark.createDataFrame([("FRA", "France"), ("CHN", "China"), ("BRA", "Brazil")], "code string, name string")
+    return v.regions.select("region", F.substring("region", 1, 3).alias("code")).join(F.broadcast(names), "code", "left").select("region", "name")
+
+
+@query("fn_30_region_of_state", ", s(state, area) AS (VALUES ('Texas', 'South'), ('California', 'West')) , m AS (SELECT meet_id, CASE meet_id % 3 WHEN 0 THEN 'Texas' WHEN 1 THEN 'California' ELSE 'Ohio' END AS state FROM meets) SELECT meet_id, COALESCE(area, 'Other') AS area FROM m LEFT JOIN s USING (state)")
+def fn_30(v):
+    areas = F.create_map(*[F.lit(x) for x in ("Texas", "South", "California", "West")])
+    state = F.when(F.col("meet_id") % 3 == 0, "Texas").when(F.col("meet_id") % 3 == 1, "California").otherwise("Ohio")
+    return v.meets.select("meet_id", F.coalesce(F.try_element_at(areas, state), F.lit("Other")).alias("area"))
+
+
+@query("fil_3_zero_total", "SELECT result_id FROM results WHERE total = 0")
+def fil_3(v):
+    t = F.when(F.col("result_id") % 2 == 0, F.col("total").cast("string")).otherwise(F.when(F.col("total") == 0, "---").otherwise(F.col("total").cast("string")))
+    return v.results.select("result_id", t.alias("t")).where(F.col("t").isNull() | F.col("t").isin("0", "---")).select("result_id")
+
+
+@query("fil_5_changed", "SELECT result_id FROM results WHERE birth_year IS DISTINCT FROM CASE WHEN result_id % 4 = 0 THEN NULL ELSE birth_year END")
+def fil_5(v):
+    new = F.when(F.col("result_id") % 4 != 0, F.col("birth_year"))
+    return v.results.where(~F.col("birth_year").eqNullSafe(new)).select("result_id")
+
+
+@query("fil_9_tuple_in", "SELECT result_id FROM results WHERE (lifter_name, meet_id) IN (SELECT lifter_name, meet_id FROM results GROUP BY 1, 2 HAVING COUNT(*) > 1)")
+def fil_9(v):
+    many = v.results.groupBy("lifter_name", "meet_id").count().where("count > 1")
+    return v.results.join(many, ["lifter_name", "meet_id"], "left_semi").select("result_id")
+
+
+@query("fil_11_is_admin", "SELECT lifter_id, EXISTS (SELECT 1 FROM aliases WHERE a = lifter_id) AS flagged FROM lifters")
+def fil_11(v):
+    flagged = v.aliases.select(F.col("a").alias("lifter_id")).distinct().withColumn("f", F.lit(True))
+    return v.lifters.select("lifter_id").join(flagged, "lifter_id", "left").select("lifter_id", F.coalesce("f", F.lit(False)).alias("flagged"))
+
+
+@query("fil_12_work_queue", "SELECT result_id FROM results WHERE membership_number IS NULL OR birth_year IS NULL")
+def fil_12(v):
+    return v.results.where("membership_number is null or birth_year is null").select("result_id")
+
+
+@query("fil_13_missing_fields", "SELECT result_id FROM results WHERE (membership_number IS NULL OR membership_number = '' OR birth_year IS NULL) AND total > 0 AND result_id NOT IN (SELECT result_id FROM results WHERE result_id % 5 = 0)")
+def fil_13(v):
+    from functools import reduce
+
+    empty = reduce(lambda a, b: a | b, [F.col(c).isNull() | (F.col(c).cast("string") == "") for c in ("membership_number", "birth_year")])
+    skip = v.results.where("result_id % 5 = 0").select("result_id")
+    return v.results.where(empty & (F.col("total") > 0)).join(skip, "result_id", "left_anti").select("result_id")
+
+
+@query("str_1_normal_name", "SELECT lifter_id, CASE lifter_id % 3 WHEN 0 THEN 'Jo BERG' WHEN 1 THEN 'Ann Lee VAN BERG Jr' ELSE athlete_name END AS name FROM lifters")
+def str_1(v):
+    t = F.when(F.col("lifter_id") % 3 == 0, "BERG Jo (USA)").when(F.col("lifter_id") % 3 == 1, "VAN BERG Ann Lee Jr").otherwise(F.col("athlete_name"))
+    return v.lifters.select("lifter_id", text.normal_name(t).alias("name"))
+
+
+@query("str_2_match_key", "SELECT lifter_id, upper(trim('  ' || athlete_name || ' ')) AS k FROM lifters")
+def str_2(v):
+    return v.lifters.select("lifter_id", text.match_key(F.concat(F.lit("  "), "athlete_name", F.lit(" "))).alias("k"))
+
+
+@query("str_6_sanction_name", "SELECT lifter_id, athlete_name AS name FROM lifters")
+def str_6(v):
+    return v.lifters.select("lifter_id", text.sanction_name(F.concat(F.lit("Mr. "), "athlete_name", F.lit(" (note) 1.2.2020"))).alias("name"))
+
+
+@query("str_10_without_suite", "SELECT meet_id, CAST(meet_id AS VARCHAR) || ' Main St, Town' AS address FROM meets")
+def str_10(v):
+    return v.meets.select("meet_id", text.without_suite(F.concat(F.col("meet_id").cast("string"), F.lit(" Main St, Suite 4, Town"))).alias("address"))
+
+
+@query("str_11_keyword_flags", "SELECT meet_id, regexp_matches(level, '(?i)inter|open') AS flag FROM meets")
+def str_11(v):
+    return v.meets.select("meet_id", F.col("level").rlike("(?i)inter|open").alias("flag"))
+
+
+@query("str_13_plural_labels", "SELECT meet_id, CAST(meet_id % 3 AS VARCHAR) || ' meet' || CASE WHEN meet_id % 3 = 1 THEN '' ELSE 's' END AS label FROM meets")
+def str_13(v):
+    n = F.col("meet_id") % 3
+    return v.meets.select("meet_id", F.concat(n.cast("string"), F.lit(" meet"), F.when(n == 1, "").otherwise("s")).alias("label"))
+
+
+@query("dat_3_duration", "SELECT meet_id, CASE meet_id % 3 WHEN 0 THEN '1 year 2 months' WHEN 1 THEN 'LIFE' ELSE '10 days' END AS duration FROM meets")
+def dat_3(v):
+    d = F.to_date("meet_date")
+    first = F.trunc(d, "month")
+    end = F.when(F.col("meet_id") % 3 == 0, F.add_months(first, 14)).when(F.col("meet_id") % 3 == 2, F.date_add(first, 10))
+    return v.meets.select("meet_id", text.friendly_duration(first, end).alias("duration"))
+
+
+@query("dat_4_sanction_dates", "SELECT meet_id, CASE meet_id % 3 WHEN 0 THEN meet_date WHEN 1 THEN meet_date END AS d FROM meets")
+def dat_4(v):
+    m = F.col("meet_id") % 3
+    t = F.when(m == 0, F.col("meet_date")).when(m == 1, F.date_format(F.to_date("meet_date"), "d..M.yyyy")).otherwise("RETIRED")
+    return v.meets.select("meet_id", text.sanction_date(t).cast("string").alias("d"))
+
+
+@query("dat_5_series", "SELECT strftime(CAST(UNNEST(generate_series(DATE '2020-01-01', DATE '2024-07-01', INTERVAL 6 MONTH)) AS DATE), '%Y-%m-%d') AS d")
+def dat_5(v):
+    from barpath.operators.series import snapshots
+
+    return v.spark.range(1).select(F.explode(snapshots("2020-01-01", "2024-07-01")).alias("d")).select(F.col("d").cast("string").alias("d"))
+
+
+@query("dat_9_odd_years", "SELECT meet_id, CAST(SUBSTRING(meet_date, 1, 4) AS INT) AS year FROM meets")
+def dat_9(v):
+    t = F.when(F.col("meet_id") % 2 == 0, F.concat(F.lit("-"), "meet_date")).otherwise(F.col("meet_date"))
+    return v.meets.select("meet_id", F.regexp_extract(t, r"^-?0*(\d{4})-", 1).try_cast("int").alias("year"))
+
+
+@query("mth_1_functions", "SELECT result_id, ROUND(power(body_weight_kg, 0.5) + ln(body_weight_kg) + exp(-body_weight_kg / 50) + sqrt(body_weight_kg), 6) AS x, CAST(floor(body_weight_kg) AS BIGINT) AS lo, CAST(ceil(body_weight_kg) AS BIGINT) AS hi FROM results")
+def mth_1(v):
+    b = F.col("body_weight_kg")
+    return v.results.select("result_id", F.round(F.power(b, 0.5) + F.ln(b) + F.exp(-b / 50) + F.sqrt(b), 6).alias("x"), F.floor(b).alias("lo"), F.ceil(b).alias("hi"))
+
+
+@query("mth_4_half_up", "SELECT result_id, floor((body_weight_kg - 85) / 7 * 1000 + 0.5) / 1000 AS x FROM results")
+def mth_4(v):
+    return v.results.select("result_id", (F.floor((F.col("body_weight_kg") - 85) / 7 * 1000 + 0.5) / 1000).alias("x"))
+
+
+@query("arr_1_merge_lists", ", m AS (SELECT membership_number, lifter_id, MIN(lifter_id) OVER (PARTITION BY membership_number) AS master FROM lifters WHERE membership_number IS NOT NULL) SELECT master, lifter_id AS member FROM m WHERE lifter_id <> master")
+def arr_1(v):
+    g = v.lifters.where("membership_number is not null").groupBy("membership_number").agg(F.array_sort(F.collect_list("lifter_id")).alias("ids"))
+    return g.select(F.element_at("ids", 1).alias("master"), F.explode("ids").alias("member")).where("member <> master")
+
+
+@query("arr_3_id_columns", "SELECT lifter_id, CAST(CASE WHEN internal_id IS NULL THEN 0 ELSE 1 END + CASE WHEN birth_year IS NULL THEN 0 ELSE 1 END AS INT) AS n FROM lifters")
+def arr_3(v):
+    return v.lifters.select("lifter_id", F.size(F.array_compact(F.array(F.col("internal_id").cast("long"), F.col("birth_year").cast("long")))).alias("n"))
+
+
+@query("arr_4_states", "SELECT meet_id, CAST(2 AS INT) AS n, 'B' AS last FROM meets")
+def arr_4(v):
+    states = F.transform(F.split(F.lit("A , B"), ","), lambda x: F.trim(x))
+    return v.meets.select("meet_id", F.size(states).alias("n"), F.element_at(states, -1).alias("last"))
+
+
+@query("map_1_overrides", "SELECT lifter_id, CASE WHEN lifter_id = 11 THEN 1011 WHEN lifter_id = 12 THEN 1012 ELSE lifter_id END AS target FROM lifters WHERE lifter_id NOT IN (13, 14)")
+def map_1(v):
+    to = v.spark.createDataFrame([(11, 1011), (12, 1012)], "lifter_id long, to long")
+    block = v.spark.createDataFrame([(13,), (14,)], "lifter_id long")
+    return v.lifters.join(F.broadcast(block), "lifter_id", "left_anti").join(F.broadcast(to), "lifter_id", "left").select("lifter_id", F.coalesce("to", "lifter_id").alias("target"))

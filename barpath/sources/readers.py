@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barpath.functions.text import shard
+from barpath.session import scratch_dir
 
 
 def delimited(spark: SparkSession, path: str, columns: Sequence[str], sep: str = "|", required: str | None = None) -> DataFrame:
@@ -71,3 +73,8 @@ def write_documents(docs: DataFrame, path: str) -> None:
 def write_delimited(df: DataFrame, path: str, sep: str = "|") -> None:
     """SNK-9."""
     df.write.mode("append").csv(path, sep=sep, header=True, quote='"', escape='"')
+
+
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A new folder in the place all executors share."""
+    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
