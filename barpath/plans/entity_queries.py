@@ -123,9 +123,11 @@ def geo_15(v):
     return v.clubs.select("club_name", geo.haversine_km("latitude", "longitude", F.lit(35.0), F.lit(-95.0)).alias("km")).where("km <= 1500")
 
 
-@query("geo_20_feature_collection")
+@query("geo_20_feature_collection", "SELECT meet_id, level, longitude, latitude FROM meets")
 def geo_20(v):
-    return readers.feature_collection(v.meets, "longitude", "latitude", ["meet_id", "meet_name", "level"])
+    f = readers.feature_collection(v.meets, "longitude", "latitude", ["meet_id", "meet_name", "level"])
+    got = lambda path, kind: F.get_json_object("feature", path).cast(kind)
+    return f.select(got("$.properties.meet_id", "int").alias("meet_id"), got("$.properties.level", "string").alias("level"), got("$.geometry.coordinates[0]", "double").alias("longitude"), got("$.geometry.coordinates[1]", "double").alias("latitude"))
 
 
 @query("agg_19_region_activity", ", c AS (SELECT m.meet_id, MIN(r.region) AS region FROM meets m JOIN regions r ON m.longitude BETWEEN r.min_x AND r.max_x AND m.latitude BETWEEN r.min_y AND r.max_y GROUP BY 1) SELECT region, COUNT(DISTINCT r.meet_id) AS meets, COUNT(DISTINCT lifter_id) AS lifters, COUNT(*) AS participations, ROUND(COUNT(*)::DOUBLE / COUNT(DISTINCT lifter_id), 2) AS activity_factor FROM results r JOIN c ON c.meet_id = r.meet_id WHERE date BETWEEN '1995-01-01' AND '1995-12-31' GROUP BY 1")
