@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,9 +48,12 @@ def materialise(df: DataFrame, name: str, partition_by: str | None = None) -> Da
 
 
 def release_shuffles(spark: SparkSession) -> None:
-    """Let Spark's cleaner delete the shuffle files of tables that nothing refers to any more."""
-    gc.collect()
-    spark._jvm.System.gc()
+    """Let Spark's cleaner delete the shuffle files of tables that nothing refers to any more. References go in two steps,
+    those of Python's objects and then those of Spark's."""
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
