@@ -1,7 +1,8 @@
 """Operator 1, language-model scores: a Katz backoff bigram model.
 
 Words are 64-bit hashes; the most frequent ones (at most TOP, handed to every task) are short codes. Tables of the model:
-``unigrams`` (word, count), ``grams`` (two words, count), ``contexts`` (word, count, backoff weight), each in buckets.
+``unigrams`` (word, count), ``grams`` (first word, second word, count; see ``pairs_of``), ``contexts`` (word, count, backoff
+weight), each in buckets.
 
 Counts up to K are discounted by Good-Turing; larger ones keep all but TAIL of their mass, so that every context has some
 to give. With d(r) the discount of a count r, c a word's count in training and N all tokens:
@@ -31,13 +32,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barpath.llm.common import batches, crc32_mod, small_batches, table
-from barpath.session import materialise, shuffle_partitions
+from barpath.session import materialise, release_shuffles, shuffle_partitions
 
 K = 5
 TAIL = 1e-6
 TOP = 1 << 16
 #: Tokens whose entries are gathered before they are dealt out.
 GROUP_TOKENS = 1 << 20
+#: Parts of a bucket that are counted one after another, to hold less at a time.
+PARTS = 4
 FOLDS, HELD_OUT = 10, 0
 START, END = (xxhash.xxh64_intdigest(x) for x in (b" ", b"\n"))  # white space is no word
 _RARE = np.uint64(1 << 63)
@@ -74,21 +77,36 @@ def discounts(of: list[int], k: int = K) -> np.ndarray:
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
-    """Arrays of equal length, byte by byte, compressed: entries lie sorted, so most high bytes repeat."""
-    planes = [np.ascontiguousarray(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T).tobytes() for a in arrays]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
+    """Arrays of equal length (and any width), byte by byte, compressed: entries lie sorted, so most high bytes repeat."""
+    flat = (np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize * math.prod(a.shape[1:])) for a in arrays)
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(np.ascontiguousarray(a.T).tobytes() for a in flat))
 
 
-def _unpack(body: bytes, *kinds: str) -> list[np.ndarray]:
+def _unpack(body: bytes, *kinds: str | tuple[str, int]) -> list[np.ndarray]:
+    """The arrays again; a kind with a width gives a matrix."""
     raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(body), np.uint8)
-    sizes = [np.dtype(k).itemsize for k in kinds]
+    pairs = [k if isinstance(k, tuple) else (k, 0) for k in kinds]
+    sizes = [np.dtype(k).itemsize * (w or 1) for k, w in pairs]
     n, at, out = len(raw) // sum(sizes), 0, []
-    for kind, size in zip(kinds, sizes, strict=True):
-        out.append(np.ascontiguousarray(raw[at : at + n * size].reshape(size, n).T).view(kind).ravel())
+    for (kind, width), size in zip(pairs, sizes, strict=True):
+        plain = np.ascontiguousarray(raw[at : at + n * size].reshape(size, n).T).view(kind)
+        out.append(plain if width else plain.ravel())
         at += n * size
     return out
 
 
+def _unpacked(column: pa.ChunkedArray, *kinds: str | tuple[str, int]) -> list[np.ndarray]:
+    """The arrays of all rows, end to end."""
+    parts = [_unpack(b.as_py(), *kinds) for b in column]
+    return [np.concatenate([p[i] for p in parts]) for i in range(len(kinds))]
+
+
+def pairs_of(body: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First words, second words and counts of a row of ``grams``."""
+    first, second, times = _unpack(body, "<u8", "<u8", "<u4")
+    return first, second, times
+
+
 def _by_key(it: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, pa.Table]]:
     """The rows of each key, from batches that are sorted by it."""
     held: list[pa.RecordBatch] = []
@@ -166,21 +184,22 @@ class Words:
         of = [total[f"n{r}"] or 0 for r in range(K + 1)]
         seen = sum(self.d[r] * r * of[r - 1] for r in range(1, K + 1)) + (1 - TAIL) * (self.n - sum(r * of[r - 1] for r in range(1, K + 1)))
         self.unknown = 1 - seen / self.n if self.n else 1.0
-        most = max(1, TOP // n)  # of each bucket, so never more than TOP
+        most = max(1, TOP // n)  # of each bucket, so never more than TOP and the end
 
         def top(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches(it):
                 for words, times in zip(batch.column("words"), batch.column("counts"), strict=True):
                     w, c = (x.values.to_numpy() for x in (words, times))
-                    at = np.argsort(-c, kind="stable")[:most]
+                    at = np.argsort(-c, kind="stable")
+                    at = np.union1d(at[:most], np.flatnonzero(w.view(np.uint64) == END))  # the end is always among them
                     yield pa.RecordBatch.from_pydict({"w": pa.array(w[at]), "c": pa.array(c[at])})
 
-        rows = unigrams.select("words", "counts").mapInArrow(top, "w long, c long").toPandas()  # at most TOP rows
+        rows = unigrams.select("words", "counts").mapInArrow(top, "w long, c long").toPandas()  # at most TOP rows and one
         words = rows["w"].to_numpy(np.int64).view(np.uint64)
         order = np.argsort(words)
         self.top, self.top_counts = words[order], rows["c"].to_numpy(np.int64)[order]
         self.end = int(self.code(np.array([END], np.uint64))[0])
-        self.docs = int(self.top_counts[self.end]) if self.end < len(self.top) else 0  # END is as frequent as documents
+        self.docs = int(self.top_counts[self.end]) if self.end < len(self.top) else 0
 
     def code(self, hashes: np.ndarray) -> np.ndarray:
         if not len(self.top):
@@ -195,8 +214,8 @@ class Words:
         return np.where(c > 0, d * c / max(1, self.n), self.unknown)
 
 
-_R = "kind string, key long, ids array<string>, a array<long>, b array<long>, c array<int>, x array<double>, y array<double>"
-_KINDS = {"kind": pa.string(), "key": pa.int64(), "ids": pa.list_(pa.string()), "a": pa.list_(pa.int64()), "b": pa.list_(pa.int64()), "c": pa.list_(pa.int32()), "x": pa.list_(pa.float64()), "y": pa.list_(pa.float64())}
+_R = "kind string, key long, body binary, ids array<string>, a array<long>, b array<long>, c array<int>, x array<double>, y array<double>"
+_KINDS = {"kind": pa.string(), "key": pa.int64(), "body": pa.binary(), "ids": pa.list_(pa.string()), "a": pa.list_(pa.int64()), "b": pa.list_(pa.int64()), "c": pa.list_(pa.int32()), "x": pa.list_(pa.float64()), "y": pa.list_(pa.float64())}
 
 
 def _row(kind: str, key: int, **lists) -> pa.RecordBatch:
@@ -205,7 +224,7 @@ def _row(kind: str, key: int, **lists) -> pa.RecordBatch:
 
 
 def _postings(docs: DataFrame, words: Words, n: int) -> DataFrame:
-    """(bucket, group, body) of pair entries, and a directory row for each group of documents."""
+    """(bucket, part, group, body) of pair entries, and a directory row for each group of documents."""
     shared = docs.sparkSession.sparkContext.broadcast((words.top,))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,6 +234,7 @@ def _postings(docs: DataFrame, words: Words, n: int) -> DataFrame:
         held: list[tuple] = []
         size = made = 0
         place = TaskContext.get().partitionId() << 24
+        names = ["bucket", "part", "grp", "body", "ids", "about"]
 
         def flush() -> Iterator[pa.RecordBatch]:
             lengths = np.array([len(h[2]) for h in held])
@@ -225,20 +245,20 @@ def _postings(docs: DataFrame, words: Words, n: int) -> DataFrame:
             prev[firsts] = begin
             doc = np.repeat((np.arange(len(held)) << 1 | np.array([h[1] for h in held], dtype=np.int64)).astype(np.uint32), lengths)
             rare, rare_before = cur >= _RARE, prev >= _RARE
-            bucket = mixed(np.where(rare, cur, np.where(rare_before, prev, cur * np.uint64(TOP) + prev)), n).astype(np.uint32)
+            bucket = mixed(np.where(rare, cur, np.where(rare_before, prev, cur * np.uint64(TOP) + prev)), n * PARTS).astype(np.uint32)
             order = np.lexsort((doc, prev, cur, bucket))
             cur, prev, doc, bucket = cur[order], prev[order], doc[order], bucket[order]
             new = np.concatenate([[True], (cur[1:] != cur[:-1]) | (prev[1:] != prev[:-1]) | (doc[1:] != doc[:-1])])
             at = np.flatnonzero(new)
             times = np.diff(np.append(at, len(cur))).astype(np.uint32)
             cur, prev, doc, bucket = cur[at], prev[at], doc[at], bucket[at]
-            ends = np.searchsorted(bucket, np.arange(n + 1))
+            ends = np.searchsorted(bucket, np.arange(n * PARTS + 1))
             full = np.flatnonzero(ends[1:] > ends[:-1])
             body = [_pack(cur[a:b], prev[a:b], doc[a:b], times[a:b]) for a, b in zip(ends[full], ends[full + 1], strict=True)]
             empty = pa.nulls(len(full), pa.list_(pa.string())), pa.nulls(len(full), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(full, pa.int64()), pa.array([place + made] * len(full), pa.int64()), pa.array(body, pa.binary()), *empty], names=["bucket", "grp", "body", "ids", "about"])
+            yield pa.RecordBatch.from_arrays([pa.array(full // PARTS, pa.int64()), pa.array(full % PARTS, pa.int64()), pa.array([place + made] * len(full), pa.int64()), pa.array(body, pa.binary()), *empty], names=names)
             about = (lengths << 1 | np.array([h[1] for h in held])).tolist()
-            yield pa.RecordBatch.from_arrays([pa.array([(place + made) % n], pa.int64()), pa.array([place + made], pa.int64()), pa.array([None], pa.binary()), pa.array([[h[0] for h in held]], pa.list_(pa.string())), pa.array([about], pa.list_(pa.int64()))], names=["bucket", "grp", "body", "ids", "about"])
+            yield pa.RecordBatch.from_arrays([pa.array([(place + made) % n], pa.int64()), pa.array([-1], pa.int64()), pa.array([place + made], pa.int64()), pa.array([None], pa.binary()), pa.array([[h[0] for h in held]], pa.list_(pa.string())), pa.array([about], pa.list_(pa.int64()))], names=names)
 
         for batch in batches(it):
             for key, out, t in zip(*(batch.column(c).to_pylist() for c in ("key", "held_out", "text")), strict=True):
@@ -250,7 +270,7 @@ def _postings(docs: DataFrame, words: Words, n: int) -> DataFrame:
         if held:
             yield from flush()
 
-    return docs.mapInArrow(run, "bucket long, grp long, body binary, ids array<string>, about array<long>")
+    return docs.mapInArrow(run, "bucket long, part long, grp long, body binary, ids array<string>, about array<long>")
 
 
 def _counted(postings: DataFrame, words: Words, n: int) -> DataFrame:
@@ -258,15 +278,18 @@ def _counted(postings: DataFrame, words: Words, n: int) -> DataFrame:
     shared = postings.sparkSession.sparkContext.broadcast((words.top_counts, words.n, words.d, words.unknown, words.end))
 
     def count(bucket: int, rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        """Model rows and questions of one part; returns its sums by document."""
         known = Words.__new__(Words)
         known.top_counts, known.n, known.d, known.unknown, known.end = shared.value
-        bodies = [(g, _unpack(b, "<u8", "<u8", "<u4", "<u4")) for g, b in zip(rows.column("grp").to_pylist(), rows.column("body").to_pylist(), strict=True)]
-        groups = np.array([g for g, _ in bodies])
-        cur, prev, doc, times = (np.concatenate([b[i] for _, b in bodies]) for i in range(4))
-        grp = np.repeat(np.arange(len(bodies)), [len(b[0]) for _, b in bodies])
-        del bodies
+        groups = rows.column("grp").to_numpy()
+        parts = [_unpack(b.as_py(), "<u8", "<u8", "<u4", "<u4") for b in rows.column("body")]
+        grp = np.repeat(np.arange(len(parts), dtype=np.int32), [len(p[0]) for p in parts])
+        cur, prev, doc, times = ([p[i] for p in parts] for i in range(4))
+        del parts, rows
+        cur, prev = np.concatenate(cur), np.concatenate(prev)
         order = np.lexsort((prev, cur))
-        cur, prev, doc, times, grp = cur[order], prev[order], doc[order], times[order].astype(np.int64), grp[order]
+        cur, prev, grp = cur[order], prev[order], grp[order]
+        doc, times = np.concatenate(doc)[order], np.concatenate(times)[order].astype(np.int64)
         del order
         train = times * ((doc & 1) == 0)
         new = np.concatenate([[True], (cur[1:] != cur[:-1]) | (prev[1:] != prev[:-1])])
@@ -279,36 +302,34 @@ def _counted(postings: DataFrame, words: Words, n: int) -> DataFrame:
         c = np.where(top, known.top_counts[np.where(top, second, 0).astype(np.int64)] if len(known.top_counts) else 0, rare)
         seen = count > 0
         p, q = first[seen], second[seen]
-        yield _row("gram", bucket, a=p.view(np.int64), b=q.view(np.int64), c=count[seen].astype(np.int32))
+        yield _row("gram", bucket, body=_pack(p, q, count[seen].astype("<u4")))
         yield _row("of_counts", bucket, a=np.bincount(np.minimum(count, K + 2), minlength=K + 3)[1 : K + 2])
         # contexts: how many pairs of each small count, the sum of larger ones, and of the unigram model over all
-        kinds = np.zeros((int(seen.sum()), K + 1), dtype=np.int64)
+        contexts, back = np.unique(p, return_inverse=True)
         small = count[seen] <= K
-        kinds[np.flatnonzero(small), count[seen][small] - 1] = 1
-        kinds[~small, K] = count[seen][~small]
-        contexts, kinds, mass = _summed(p, kinds, known.probability(c[seen]))
+        kind = back * (K + 1) + np.where(small, count[seen] - 1, K)
+        kinds = np.bincount(kind, weights=np.where(small, 1, count[seen]), minlength=len(contexts) * (K + 1)).astype(np.int64).reshape(-1, K + 1)
+        mass = np.bincount(back, weights=known.probability(c[seen]), minlength=len(contexts))
+        del back, kind
         home = mixed(contexts, n)
         by = np.argsort(home, kind="stable")
         ends = np.searchsorted(home[by], np.arange(n + 1))
         for k in np.flatnonzero(ends[1:] > ends[:-1]).tolist():
             o = by[ends[k] : ends[k + 1]]
-            yield _row("context", k, a=contexts[o].view(np.int64), b=kinds[o].ravel(), x=mass[o])
+            yield _row("context", k, body=_pack(contexts[o], kinds[o], mass[o]))
         # documents: terms of the pair and of the second word
         c, count, seen = c[pair], count[pair], seen[pair]
-        who = grp << 32 | (doc >> 1).astype(np.int64)
+        who = grp.astype(np.int64) << 32 | (doc >> 1).astype(np.int64)
         log = np.where(seen & (count > K), np.log10(np.maximum(count, 1)), 0.0) + np.where(~seen & (c > K), np.log10(np.maximum(c, 1)), 0.0)
         log -= np.where((c > 0) & (cur != known.end), np.log10(np.maximum(c, 1)), 0.0)
-        stats = np.zeros((len(who), _STATS), dtype=np.int32)
-        row = np.arange(len(who))
-        stats[:, 0] = times * (c > 0)
-        stats[row, np.where(seen, np.where(count > K, 1, 2 + np.minimum(count, K)), np.where(c > K, 2, 3 + K + np.minimum(c, K)))] += times.astype(np.int32)
+        kind = np.where(seen, np.where(count > K, 1, 2 + np.minimum(count, K)), np.where(c > K, 2, 3 + K + np.minimum(c, K)))
         unseen = np.flatnonzero(~seen)
         ask = (prev[unseen], grp[unseen], doc[unseen] >> 1, times[unseen])
-        docs, stats, base, log = _summed(who, stats, times * np.log10(c + 0.1), times * log)
-        ends = np.searchsorted(docs >> 32, np.arange(len(groups) + 1))
-        for g in np.flatnonzero(ends[1:] > ends[:-1]).tolist():
-            s = slice(ends[g], ends[g + 1])
-            yield _row("sums", int(groups[g]), a=docs[s] & 0xFFFFFFFF, c=stats[s].ravel(), x=base[s], y=log[s])
+        del count, seen, prev, cur, pair, doc, train, grp
+        docs, back = np.unique(who, return_inverse=True)
+        base, log = np.bincount(back, weights=times * np.log10(c + 0.1)), np.bincount(back, weights=times * log)
+        stats = np.bincount(back * _STATS + kind, weights=times, minlength=len(docs) * _STATS).astype(np.int32).reshape(-1, _STATS)
+        stats[:, 0] = np.bincount(back, weights=times * (c > 0))
         v, g, d, m = ask
         common = v < _RARE
         for k in np.unique(g[common]).tolist():
@@ -318,15 +339,28 @@ def _counted(postings: DataFrame, words: Words, n: int) -> DataFrame:
         for k in np.unique(home[~common]).tolist():
             o = home == k
             yield _row("ask", k, a=v[o].view(np.int64), b=groups[g[o]] << 22 | d[o].astype(np.int64), c=m[o].astype(np.int32))
+        return groups[docs >> 32] << 22 | docs & 0xFFFFFFFF, stats, base, log
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, rows in _by_key(it, "bucket"):
             directory = rows.filter(pc.is_null(rows.column("body")))
             for g, ids, about in zip(*(directory.column(c).to_pylist() for c in ("grp", "ids", "about")), strict=True):
                 yield _row("directory", g, ids=ids, a=about)
-            entries = rows.filter(pc.is_valid(rows.column("body")))
-            if entries.num_rows:
-                yield from count(bucket, entries)
+            sums = []
+            for part in range(PARTS):
+                entries = rows.filter(pc.equal(rows.column("part"), part))
+                if entries.num_rows:
+                    sums.append((yield from count(bucket, entries)))
+            if not sums:
+                continue
+            docs, back = np.unique(np.concatenate([s[0] for s in sums]), return_inverse=True)
+            base, log = (np.bincount(back, weights=np.concatenate([s[i] for s in sums])) for i in (2, 3))
+            stats = np.zeros((len(docs), _STATS), np.int32)
+            np.add.at(stats, back, np.concatenate([s[1] for s in sums]))
+            del sums, back
+            ends = np.flatnonzero(np.concatenate([[True], docs[1:] >> 22 != docs[:-1] >> 22, [True]]))
+            for a, b in zip(ends, ends[1:], strict=False):
+                yield _row("sums", int(docs[a] >> 22), body=_pack((docs[a:b] & ((1 << 22) - 1)).astype("<u4"), stats[a:b], base[a:b], log[a:b]))
 
     return materialise(postings.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(run, _R), "katz", "kind")
 
@@ -340,8 +374,7 @@ def _contexts(counted: DataFrame, d: np.ndarray, n: int) -> DataFrame:
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, rows in _by_key(it, "key"):
-            kinds = _flat(rows.column("b")).reshape(-1, K + 1)
-            words, kinds, mass = _summed(_flat(rows.column("a")).view(np.uint64), kinds, _flat(rows.column("x"), np.float64))
+            words, kinds, mass = _summed(*_unpacked(rows.column("body"), "<u8", ("<i8", K + 1), "<f8"))
             small = kinds[:, :K] * np.arange(1, K + 1)
             count = small.sum(axis=1) + kinds[:, K]
             kept = (small * d[1:]).sum(axis=1) + (1 - TAIL) * kinds[:, K]
@@ -352,7 +385,7 @@ def _contexts(counted: DataFrame, d: np.ndarray, n: int) -> DataFrame:
                     lists = _lists(words[o].view(np.int64), count[o], alpha[o], kinds=(pa.int64(), pa.int64(), pa.float64()))
                     yield pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), pa.array([is_top]), *lists], names=["key", "is_top", "words", "counts", "alpha"])
 
-    rows = counted.where("kind = 'context'").select("key", "a", "b", "x").repartition(n, "key").sortWithinPartitions("key")
+    rows = counted.where("kind = 'context'").select("key", "body").repartition(n, "key").sortWithinPartitions("key")
     return materialise(rows.mapInArrow(run, "key long, is_top boolean, words array<long>, counts array<long>, alpha array<double>"), "contexts")
 
 
@@ -400,8 +433,10 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", held_out=Non
     flag = crc32_mod(key, FOLDS) == HELD_OUT if held_out is None else held_out
     rows = docs.select(F.col(key).cast("string").alias("key"), F.coalesce(flag, F.lit(False)).alias("held_out"), F.col(text).alias("text"))
     unigrams = count_words(rows.where("not held_out"), "text", n)
+    release_shuffles(spark)
     words = Words(unigrams, n)
     counted = _counted(_postings(rows, words, n), words, n)
+    release_shuffles(spark)
     of = counted.where("kind = 'of_counts'").agg(*[F.sum(F.col("a")[r]).alias(f"n{r}") for r in range(K + 1)]).first()
     d = discounts([of[f"n{r}"] or 0 for r in range(K + 1)])
     contexts = _contexts(counted, d, n)
@@ -426,10 +461,10 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", held_out=Non
             tokens, out = about >> 1, (about & 1) == 1
             base, log, stats = np.zeros(len(about)), np.full(len(about), -start), np.zeros((len(about), _STATS), np.int64)
             if by["sums"].num_rows:
-                at = _flat(by["sums"].column("a"))
-                np.add.at(base, at, _flat(by["sums"].column("x"), np.float64))
-                np.add.at(log, at, _flat(by["sums"].column("y"), np.float64))
-                np.add.at(stats, at, _flat(by["sums"].column("c")).reshape(-1, _STATS))
+                at, more, x, y = _unpacked(by["sums"].column("body"), "<u4", ("<i4", _STATS), "<f8", "<f8")
+                np.add.at(base, at, x)
+                np.add.at(log, at, y)
+                np.add.at(stats, at, more)
             if by["answer"].num_rows:
                 np.add.at(log, _flat(by["answer"].column("a")), _flat(by["answer"].column("y"), np.float64))
             if by["ask_top"].num_rows:
@@ -441,9 +476,9 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", held_out=Non
             )
 
     parts = counted.where("kind in ('directory', 'sums', 'ask_top')").unionByName(_answers(counted, contexts, n))
-    done = parts.select("kind", "key", "ids", "a", "b", "c", "x", "y").repartition(n, "key").sortWithinPartitions("key")
+    done = parts.select("kind", "key", "body", "ids", "a", "b", "c", "y").repartition(n, "key").sortWithinPartitions("key")
     scores = done.mapInArrow(finish, "key string, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
-    return scores, {"unigrams": unigrams, "grams": counted.where("kind = 'gram'").select("key", "a", "b", "c"), "contexts": contexts}
+    return scores, {"unigrams": unigrams, "grams": counted.where("kind = 'gram'").select("key", "body"), "contexts": contexts}
 
 
 def op1_katz(spark, sf_dir: str) -> DataFrame:
