@@ -16,6 +16,22 @@ def year_to_date(df: DataFrame, value: Column, out: str, strict: bool = False) -
     return df.withColumn(out, F.max(value).over(w.rangeBetween(Window.unboundedPreceding, -1 if strict else 0)))
 
 
+def legacy_year_to_date(df: DataFrame, value: str, out: str) -> DataFrame:
+    """WIN-3b: the best integer of the year so far, 0 if there is none. Rows whose date is only a year count all through that
+    year and themselves see its first day; a row without a year sees itself alone."""
+    number = parse.strict_int(value)
+    full = F.when(F.col("date").rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date("date", "yyyy-MM-dd"))
+    year = F.substring("date", 1, 4).try_cast("int")
+    year = F.when(year.between(1900, 2100), year)
+    day = F.datediff(F.coalesce(full, F.make_date(year, F.lit(1), F.lit(1))), F.lit("1970-01-01"))
+    rows = df.withColumns({"__n": number, "__full": full.isNotNull(), "__y": year, "__d": day})
+    w = Window.partitionBy("lifter_id", "__y")
+    dated = F.max(F.when(F.col("__full"), F.col("__n"))).over(w.orderBy("__d").rangeBetween(Window.unboundedPreceding, 0))
+    undated = F.max(F.when(~F.col("__full"), F.col("__n"))).over(w)
+    best = F.when(F.col("__y").isNotNull(), F.greatest(dated, undated))
+    return rows.withColumn(out, F.greatest(best, F.col("__n"), F.lit(0))).drop("__n", "__full", "__y", "__d")
+
+
 def division_ranks(df: DataFrame, keys: list[str]) -> DataFrame:
     """WIN-5: places for snatch, clean and jerk, and total: the larger lift, then the lighter lifter, then the smaller id."""
     weight = F.when(F.coalesce("body_weight_kg", F.lit(0.0)) == 0, 999.0).otherwise(F.col("body_weight_kg"))

@@ -29,10 +29,10 @@ def repair_collapsed(df: DataFrame, line: str, columns: Sequence[str], sep: str
 HISTORY = "array<struct<meet_name:string,date:string,body_weight_kg:string,best_snatch:string,best_cj:string,total:string>>"
 
 
-def scrapes(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-6: a row for each competition of each athlete in scraped JSON files."""
+def scrapes(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """SRC-6: a row for each competition of each athlete in scraped JSON files, each one document or one on each line."""
     schema = f"data array<struct<internal_id:int,athlete_name:string,competition_history:{HISTORY}>>"
-    people = spark.read.schema(schema).json(path, multiLine=True).select(F.explode("data").alias("p"))
+    people = spark.read.schema(schema).json(path, multiLine=multi_line).select(F.explode("data").alias("p"))
     return people.select("p.internal_id", "p.athlete_name", F.explode("p.competition_history").alias("h")).select("internal_id", "athlete_name", "h.*")
 
 
@@ -52,6 +52,21 @@ def result_blocks(df: DataFrame, html: str) -> DataFrame:
     return card.select(*[c for c in card.columns if c != "__c"], F.regexp_extract("__c", r"[?&]id=(\d+)", 1).try_cast("long").alias("athlete_id"), attempts.alias("attempts"))
 
 
+def sanction_cards(df: DataFrame, html: str) -> DataFrame:
+    """SRC-9: a row for each card of a page with a name of three letters or more, and its position. Fields that a card lacks
+    are empty; the nation is the titled one, else the first word of three capitals."""
+    cards = df.select("*", F.posexplode(F.slice(F.split(html, 'class="card"'), 2, 100_000)).alias("position", "__c")).drop(html)
+    words = F.regexp_replace("__c", "<[^>]*>", " ")
+    titled = F.trim(F.regexp_extract("__c", r'class="col-5"[^>]*>\s*<p class="title">([^<]*)<', 1))
+    line = lambda label: F.trim(F.regexp_extract("__c", rf'<p class="normal__text">\s*{label}([^<]*)<', 1))
+    out = cards.withColumns({
+        "name": F.trim(F.regexp_extract("__c", "<strong>([^<]*)<", 1)),
+        "nation": F.when(titled != "", titled).otherwise(F.regexp_extract(words, r"\b([A-Z]{3})\b", 1)),
+        "since": line("From:"), "until": line("Until:"), "event": line(r"Event type\*:"), "substance": line("Substance/ADRV:"),
+    })
+    return out.where(F.length("name") > 2).drop("__c")
+
+
 def feature_collection(df: DataFrame, x: str, y: str, properties: Sequence[str]) -> DataFrame:
     """GEO-20: a GeoJSON Feature for each row (a collection of them is their concatenation)."""
     geometry = F.struct(F.lit("Point").alias("type"), F.array(x, y).alias("coordinates"))
