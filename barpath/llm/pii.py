@@ -34,6 +34,7 @@ RAISE = {
 LOWER = {"ip": ("version", "release"), "card": ("order", "isbn", "serial"), "phone": (), "email": (), "iban": ("serial",), "ssn": ("order", "part", "isbn")}
 NEAR = 40
 STEP = 0.2
+LEAST = 0.6
 
 
 def luhn(digits: str) -> bool:
@@ -64,7 +65,7 @@ def _small(part: str) -> bool:
 
 
 def spans(text: str) -> list[tuple[str, int, int, float]]:
-    """``(kind, start, end, score)`` by kind and start, in code points; extra kinds only from a score of 0.7."""
+    """``(kind, start, end, score)`` by kind and start, in code points; extra kinds only from a score of ``LEAST``."""
     out = [("email", a, b, START["email"]) for a, b in _emails(text)]
     out += [("ip", m.start(), m.end(), START["ip"]) for m in _IP.finditer(text) if all(map(_small, m[0].split(".")))]
     for m in _CARD.finditer(text):
@@ -82,7 +83,7 @@ def spans(text: str) -> list[tuple[str, int, int, float]]:
     for kind, a, b, score in out:
         near = set(re.findall(r"[a-z]+", f"{text[max(0, a - NEAR) : a]} {text[b : b + NEAR]}".lower()))
         score += STEP * (any(w in near for w in RAISE[kind]) - any(w in near for w in LOWER[kind]))
-        if kind in BASE or score >= 0.6:
+        if kind in BASE or score >= LEAST:
             scored.append((kind, a, b, round(min(1.0, max(0.0, score)), 2)))
     return scored
 
