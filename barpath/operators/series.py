@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import operator
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -95,11 +98,18 @@ def career(results: DataFrame, least: int = 12) -> DataFrame:
     return out.where(F.col("attempts") >= least)
 
 
-def mid_rank_percentile(value: Column, *keys: str) -> Column:
-    """WIN-7: 100 (rows below + half of those equal) / rows, rounded."""
-    below = F.rank().over(Window.partitionBy(*keys).orderBy(value)) - 1
-    same = F.count("*").over(Window.partitionBy(*keys, value))
-    return F.round(100 * (below + 0.5 * same) / F.count("*").over(Window.partitionBy(*keys)))
+def with_percentile(df: DataFrame, value: str, keys: list[str], out: str) -> DataFrame:
+    """WIN-7: 100 (rows below + half of those equal) / rows of the key, rounded. Null values count and rank as the least.
+
+    Equal values are counted first, so the windows see a row for each distinct value and a key of most rows is no hot task.
+    """
+    names = [*keys, value]
+    counts = df.groupBy(*names).agg(F.count("*").alias("__same"))
+    w = Window.partitionBy(*keys)
+    below = F.coalesce(F.sum("__same").over(w.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranks = counts.select(*[F.col(c).alias(f"__{i}") for i, c in enumerate(names)], F.round(100 * (below + 0.5 * F.col("__same")) / F.sum("__same").over(w)).alias(out))
+    same = reduce(operator.and_, (df[c].eqNullSafe(ranks[f"__{i}"]) for i, c in enumerate(names)))
+    return df.join(ranks, same).select(*[df[c] for c in df.columns], out)
 
 
 def quantile_map(values: Column, points: int = 101) -> Column:

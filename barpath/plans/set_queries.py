@@ -444,7 +444,8 @@ def win_6(v):
 
 @query("win_7_percentile", ", t AS (SELECT result_id, weight_class, total FROM results WHERE total > 0), k AS (SELECT result_id, RANK() OVER (PARTITION BY weight_class ORDER BY total) - 1 AS below, COUNT(*) OVER (PARTITION BY weight_class, total) AS same, COUNT(*) OVER (PARTITION BY weight_class) AS n FROM t) SELECT result_id, ROUND(100 * (below + 0.5::DOUBLE * same) / n) AS percentile FROM k")
 def win_7(v):
-    return v.results.where("total > 0").select("result_id", series.mid_rank_percentile(F.col("total"), "weight_class").cast("double").alias("percentile"))
+    rows = v.results.where("total > 0").select("result_id", "weight_class", "total")
+    return series.with_percentile(rows, "total", ["weight_class"], "percentile").select("result_id", F.col("percentile").cast("double").alias("percentile"))
 
 
 @query("win_8_map_percentile", ", l AS (SELECT list_sort(list(total)) AS v FROM results WHERE total > 0 AND gender = 'M'), p AS (SELECT list_transform(range(0, 101), lambda i: v[LEAST(len(v), CAST(FLOOR((i / 100.0::DOUBLE) * len(v)) AS INT) + 1)]) AS m FROM l) SELECT result_id, CAST(FLOOR(len(list_filter(m[1:100], lambda x: x < total)) + 0.5::DOUBLE * len(list_filter(m[1:100], lambda x: x = total)) + 0.5) AS BIGINT) AS percentile FROM results, p WHERE gender = 'M'")
