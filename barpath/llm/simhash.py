@@ -178,12 +178,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ra
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """One row of each group of near-duplicates, with the columns of ``docs``: that with the smallest key, and of rows that
-    share it the one of the least hash over all columns. Rows of a null key all stay: nothing names them.
+    """One row of each group of near-duplicates, as ``keep_least`` chooses it."""
+    return keep_least(docs, near_duplicates(docs.select(key, text), key, text), key, broadcast_rows)
+
+
+def keep_least(docs: DataFrame, found: DataFrame, key: str = "doc_id", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """One row of each group of ``found`` (key, ``component_id``), with the columns of ``docs``: that with the smallest key, and
+    of rows that share it the one of the least hash over all columns. Rows of a null key all stay: nothing names them.
 
     The keys to go are broadcast up to ``broadcast_rows`` of them, and joined by a shuffle beyond.
     """
-    groups = materialise(near_duplicates(docs.select(key, text), key, text).where(F.col(key).isNotNull()).select(key, "component_id"), "groups")
+    groups = materialise(found.where(F.col(key).isNotNull()).select(key, "component_id"), "groups")
     go = groups.where(F.col(key) != F.col("component_id")).select(key)
     repeated = groups.where(F.col(key) == F.col("component_id")).groupBy(key).count().where("count > 1").select(key)
     out = go.unionByName(repeated)
