@@ -21,9 +21,33 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN_HEAD = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=(?: ?[A-Z0-9]){11})")
+_IBAN_RUN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
+_WORD = re.compile(r"[A-Za-z0-9]")
 _SSN = re.compile(r"(?<![0-9-])([0-9]{3})-([0-9]{2})-([0-9]{4})(?![0-9-])")
 
+#: Characters of an IBAN by country. Of other countries any length from 15 to 34 is tried.
+IBAN_LENGTHS = {c: n for n, codes in {
+    15: "NO",
+    16: "BE",
+    18: "DK FI FK FO GL NL SD",
+    19: "MK SI",
+    20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST",
+    26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA",
+    30: "JO KW MU YE",
+    31: "MT SC",
+    32: "LC",
+    33: "RU",
+}.items() for c in codes.split()}
+
 #: The start score of a kind (its checksum adds CHECKSUM), and words that raise or lower it when near.
 START = {"email": 0.8, "ip": 0.6, "card": 0.5, "phone": 0.6, "iban": 0.4, "ssn": 0.4}
 CHECKSUM = 0.4
@@ -59,6 +83,24 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", max(at + 1, end))
 
 
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Spans that end at a word's end, of the country's length and else the longest, where mod 97 holds."""
+    end = 0
+    for head in _IBAN_HEAD.finditer(text):
+        if head.start() < end:
+            continue
+        run = _IBAN_RUN.match(text, head.start())
+        length = IBAN_LENGTHS.get(head[0][:2])
+        for stop in range(run.end(), head.end(), -1):
+            code = text[head.start() : stop].replace(" ", "")
+            if text[stop - 1] == " " or _WORD.match(text, stop) or not 15 <= len(code) <= 34 or length not in (None, len(code)):
+                continue
+            if mod97(code):
+                end = stop
+                yield head.start(), stop
+                break
+
+
 def _small(part: str) -> bool:
     part = part.lstrip("0")
     return len(part) < 4 and int(part or 0) <= 255
@@ -72,10 +114,7 @@ def spans(text: str) -> list[tuple[str, int, int, float]]:
         if 13 <= len(d := m[0].replace(" ", "").replace("-", "")) <= 19 and luhn(d):
             out.append(("card", m.start(), m.end(), START["card"] + CHECKSUM))
     out += [("phone", m.start(), m.end(), START["phone"]) for m in _PHONE.finditer(text) if 9 <= sum(c.isdigit() for c in m[0]) <= 15]
-    for m in _IBAN.finditer(text):
-        code = m[0].replace(" ", "")
-        if 15 <= len(code) <= 34 and mod97(code):
-            out.append(("iban", m.start(), m.end(), START["iban"] + CHECKSUM))
+    out += [("iban", a, b, START["iban"] + CHECKSUM) for a, b in _ibans(text)]
     for m in _SSN.finditer(text):
         if m[1] not in ("000", "666") and m[1] < "900" and m[2] != "00" and m[3] != "0000":
             out.append(("ssn", m.start(), m.end(), START["ssn"]))
