@@ -2,8 +2,9 @@
 
 Ordinary documents are encoded whole. A huge one is dealt to many tasks as overlapping chunks; each is encoded with the
 places of its tokens, and neighbours are spliced at a boundary that the overlap proves stable: a space after another
-character. No piece of the vocabulary goes over such a place, so what stands left of it never changes the tokens right of
-it. An overlap is widened until it holds one, to the whole rest of the document if need be.
+character, where the tokens of both neighbours begin. No piece of the vocabulary goes over such a place, so what stands left
+of it never changes the tokens right of it. An overlap is widened until it holds one, to the whole rest of the document if
+need be; chunks that do not align are encoded again with wider overlaps, in the end as one.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barpath.llm.common import batches, small_batches, table
+from barpath.session import materialise
 
 #: Characters beyond which a document is cut, of a chunk, and of an overlap at first.
 HUGE = 1 << 16
@@ -38,9 +40,6 @@ class Counter:
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        pieces = (self.model.id_to_piece(i) for i in range(self.model.get_piece_size()))
-        #: No piece holds a space mark after another character: then a space after another character is stable.
-        self.proven = not any(re.search(f"[^{_MARK}]{_MARK}", p) for p in pieces)
 
     def count(self, texts: list[str]) -> list[int]:
         return [len(x) for x in self.model.encode(texts, num_threads=1)] if texts else []
@@ -85,14 +84,14 @@ def spliced(counter: Counter, part: str, left: bool, right: int) -> int | None:
 def count_tokens(docs: DataFrame, text: str = "text", model: str | None = None, huge: int = HUGE, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """All columns but the text, ``n_bytes`` (UTF-8) and ``n_tokens`` as the library gives them for the whole text.
 
-    Null counts as empty: no bytes, no tokens. Every row stays, repeated rows too. Columns of the names added are
-    replaced. Chunks of one document that do not splice are counted again with the overlap eight times as wide, in the end
-    over the whole document; a model whose pieces prove the boundary never comes to that.
+    Null counts as empty: no bytes, no tokens. Every row stays, repeated rows and rows of no or equal keys too. Columns of the
+    names added are replaced. Texts over ``huge`` characters are written to the shared folder once, with a number for each, so
+    that both uses of them see the same numbers whatever the input is. Those of which two chunks do not splice are counted
+    again with an overlap eight times as wide, and then whole.
     """
     spark = docs.sparkSession
     small_batches(spark)
     path = model or default_model()
-    proven = Counter(path).proven
     keep = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name not in (text, "n_bytes", "n_tokens")]
     names = [f.name for f in docs.schema.fields if f.name not in (text, "n_bytes", "n_tokens")]
     rows = docs.select(*names, F.coalesce(text, F.lit("")).alias("__text"))
@@ -108,7 +107,10 @@ def count_tokens(docs: DataFrame, text: str = "text", model: str | None = None,
 
     schema = ", ".join([*keep, "n_bytes long, n_tokens long"])
     short = rows.where(F.length("__text") <= huge).mapInArrow(whole, schema)
-    long = rows.where(F.length("__text") > huge).withColumn("__row", F.monotonically_increasing_id())
+    long = rows.where(F.length("__text") > huge)
+    if long.isEmpty():
+        return short
+    long = materialise(long.withColumn("__row", F.monotonically_increasing_id()), "huge")
 
     def deal(width: int):
         def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,15 +135,15 @@ def count_tokens(docs: DataFrame, text: str = "text", model: str | None = None,
         parts = left.select("__row", "__text").mapInArrow(deal(width), "__row long, k long, right long, size long, part string")
         counts = parts.repartition(F.xxhash64("__row", "k")).mapInArrow(encode, "__row long, size long, n long")
         sums = counts.groupBy("__row").agg(F.sum("size").alias("n_bytes"), F.sum("n").alias("n_tokens"), F.max(F.col("n").isNull()).alias("__failed"))
-        return sums.where("not __failed").drop("__failed"), sums.where("__failed").select("__row")
+        sums = materialise(sums, "spliced")
+        return left.select(*names, "__row").join(sums.where("not __failed").drop("__failed"), "__row").select(*names, "n_bytes", "n_tokens"), sums.where("__failed").select("__row")
 
     done, failed = chunked(long, overlap)
-    out = short.unionByName(long.select(*names, "__row").join(done, "__row").select(*names, "n_bytes", "n_tokens"))
-    if not proven:
+    out = short.unionByName(done)
+    if not failed.isEmpty():
         again = long.join(failed, "__row", "left_semi")
         done, failed = chunked(again, 8 * overlap)
-        out = out.unionByName(again.select(*names, "__row").join(done, "__row").select(*names, "n_bytes", "n_tokens"))
-        out = out.unionByName(again.join(failed, "__row", "left_semi").drop("__row").mapInArrow(whole, schema))
+        out = out.unionByName(done).unionByName(again.join(failed, "__row", "left_semi").drop("__row").mapInArrow(whole, schema))
     return out
 
 

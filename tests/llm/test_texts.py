@@ -107,7 +107,6 @@ def test_decontamination(spark, texts):
 
 def test_token_counts_of_chunks(spark, texts):
     counter = tokens.Counter(tokens.default_model())
-    assert counter.proven
     rng = random.Random(5)
     hard = ["".join(rng.choice(s) for _ in range(rng.randint(1, 500))) for s in ("ab  c", "a", "  ", "aé▁ \n\tb", "the quick 12 fox. 😀é", "한국 어", "</s> <unk> x") for _ in range(12)]
     docs = [*texts, *hard]
@@ -119,19 +118,26 @@ def test_token_counts_of_chunks(spark, texts):
     assert tokens.count_tokens(df.limit(0)).count() == 0
 
 
-def test_unproven_boundaries_are_widened(spark, monkeypatch):
-    texts = ["ab cd " * 60, "xyz" * 100]
+def test_chunks_that_do_not_align_are_counted_again(spark, monkeypatch):
+    texts = ["ab cd " * 60, "xyz" * 100, "one two three " * 40]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     counter = tokens.Counter(tokens.default_model())
-    made = tokens.Counter.__init__
+    expected = dict(enumerate(counter.count(texts)))
+    made = tokens.spliced
+    for fails in (lambda part: "ab" in part and len(part) < 50, lambda part: "ab" in part):  # the first overlap, or any
+        monkeypatch.setattr(tokens, "spliced", lambda c, part, left, right, fails=fails: None if fails(part) else made(c, part, left, right))
+        got = tokens.count_tokens(df, huge=50, chunk=30, overlap=4).collect()
+        assert {r.doc_id: r.n_tokens for r in got} == expected and len(got) == 3
 
-    def unproven(self, path):
-        made(self, path)
-        self.proven = False
 
-    monkeypatch.setattr(tokens.Counter, "__init__", unproven)
-    got = {r.doc_id: r.n_tokens for r in tokens.count_tokens(df, huge=50, chunk=30, overlap=4).collect()}
-    assert got == dict(enumerate(counter.count(texts)))
+def test_token_counts_stay_with_their_rows_after_a_shuffle(spark):
+    counter = tokens.Counter(tokens.default_model())
+    texts = [f"row {i} " + "word and " * (i % 37) + "x" * (i % 11) for i in range(600)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    expected = dict(enumerate(counter.count(texts)))
+    for docs in (df.repartition(7), df.orderBy(F.rand()), df.groupBy("doc_id").agg(F.max("text").alias("text"))):
+        got = tokens.count_tokens(docs, huge=100, chunk=60, overlap=8).collect()
+        assert {r.doc_id: r.n_tokens for r in got} == expected and len(got) == 600
 
 
 def test_katz_against_plain(spark, texts):
