@@ -1,14 +1,17 @@
 """Operator 3, main text of web pages: flat text blocks, classified by a decision tree.
 
 A page becomes a flat list of text blocks. A block is described by its words and link density, those of the blocks before
-and after it, and where it stands (inside an article; inside a menu, footer, advert and the like). A decision tree, trained
-here on the small labelled table below, says which blocks are main text.
+and after it, and by two weak signs of its place: does it stand in an article, and does markup around it name boilerplate
+(2 for elements and class names of menus, footers, adverts, comments and the like; 1 for class names that only mention one,
+such as ``has-sidebar``). A decision tree, trained here on the small labelled table below, says which blocks are main text.
+Where markup names no place, words and links alone decide.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,16 +33,21 @@ HINTS = (
     "popup privacy promo promoted promotion recommended related replies reply respond search share sharing sidebar signup skyscraper social sponsor sponsored "
     "subscribe subscription tags toolbar topbar widget widgets contentinfo complementary"
 )
+#: Parts of a class name after which a hint names what the element has or is about, not what it is.
+MODIFIERS = "has with without no not is category tag type format topic about layout"
 _RAW, _VOID, _INLINE = frozenset(RAW.split()), frozenset(VOID.split()), frozenset(INLINE.split())
 _BOILERPLATE, _CONTENT, _HINTS = frozenset(BOILERPLATE.split()), frozenset(CONTENT.split()), frozenset(HINTS.split())
+_MODIFIERS = frozenset(MODIFIERS.split())
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^'">]++|"[^"]*+"|'[^']*+')*+[^>]*+)>?""", re.S)
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s=>"'/]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]++))?""")
+_HIDDEN = re.compile(r"display\s*:\s*none")
 _END = {t: re.compile(rf"</{t}\b[^>]*+>?", re.I) for t in _RAW}
 
-FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "in_content", "in_boilerplate")
+FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "in_content", "mark")
 
-#: The labelled table: pages as rows of blocks "place words linked_words label"; place a: in an article, b: in boilerplate, n: neither.
+#: The labelled table: pages as rows of blocks "place words linked_words label"; place a: in an article, b and h: inside marks of
+#: 2 and 1, n: none of these.
 LABELLED = (
     "b 6 6 0 | b 9 0 0 | a 10 0 1 | a 34 0 1 | a 60 2 1 | a 41 0 1 | b 12 1 0",
     "b 1 1 0 | b 1 1 0 | b 2 2 0 | b 14 0 0 | a 1 0 1 | a 2 0 1 | a 120 0 1 | b 20 0 0",
@@ -51,6 +59,22 @@ LABELLED = (
     "a 4 0 1 | a 1 0 1 | a 7 0 1 | b 5 0 0",
     "n 3 0 0 | n 2 2 0 | n 21 0 1 | n 17 0 1 | n 33 0 1 | n 2 2 0 | n 1 1 0 | n 3 0 0",
     "b 200 0 0 | b 3 0 0 | a 2 0 1 | a 300 9 1 | a 1 1 1 | b 90 0 0 | b 2 0 0",
+    # a list of links inside an article is a menu of it
+    "a 12 0 1 | a 40 0 1 | a 2 2 0 | a 3 3 0 | a 1 1 0 | a 4 4 0 | a 2 2 0 | a 55 1 1 | a 30 0 1",
+    "a 9 0 1 | a 3 3 0 | a 5 5 0 | a 2 2 0 | a 6 6 0 | a 3 3 0 | a 8 0 1 | a 77 0 1 | a 1 0 1",
+    "a 14 0 1 | a 1 1 0 | a 1 1 0 | a 1 1 0 | a 1 1 0",
+    "b 3 3 0 | a 5 0 1 | a 66 0 1 | a 2 2 0 | a 3 3 0 | a 7 7 0 | b 12 0 0",
+    "a 90 2 1 | a 4 4 0 | a 12 12 0 | a 2 2 0 | b 8 0 0",
+    # short blocks and linked sentences of articles, between text; short ones of pages that name no place
+    "b 3 3 0 | a 6 0 1 | a 6 0 1 | a 5 0 1 | a 120 0 1 | a 6 0 1 | a 3 0 1 | a 80 0 1 | a 7 0 1 | a 1 0 1 | b 6 0 0",
+    "b 4 0 0 | a 8 0 1 | a 50 0 1 | a 14 14 1 | a 33 0 1 | a 2 0 1 | a 4 0 1 | a 6 0 1 | a 20 20 1 | a 9 0 1 | b 40 0 0",
+    "b 2 2 0 | a 7 7 1 | a 64 1 1 | a 10 10 1 | a 28 0 1 | a 5 0 1 | a 1 0 1 | a 11 0 1 | b 1 1 0",
+    "n 4 0 0 | n 2 0 0 | n 12 0 1 | n 70 0 1 | n 40 0 1 | n 6 0 0 | n 5 0 0 | n 4 0 0 | n 3 0 0",
+    "n 2 2 0 | n 3 0 0 | n 1 0 0 | n 55 2 1 | n 31 0 1 | n 5 0 0 | n 20 20 0 | n 18 18 0 | n 6 0 0",
+    # class names that only mention boilerplate: what stands in them reads like text, or like a menu
+    "h 3 3 0 | h 2 2 0 | h 8 0 1 | h 44 1 1 | h 61 0 1 | h 29 0 1 | h 4 4 0 | h 2 2 0",
+    "n 2 2 0 | h 35 0 1 | h 7 0 1 | h 58 3 1 | h 5 5 0 | h 6 6 0 | h 1 1 0",
+    "b 2 2 0 | h 18 0 1 | h 90 0 1 | h 25 25 0 | h 3 3 0 | b 64 0 0",
 )
 
 
@@ -83,8 +107,8 @@ class Tree:
         return out
 
 
-def described(blocks: list[tuple[int, int, bool, bool]]) -> np.ndarray:
-    """FEATURES of every block of a page from (words, linked words, in content, in boilerplate)."""
+def described(blocks: list[tuple[int, int, bool, int]]) -> np.ndarray:
+    """FEATURES of every block of a page from (words, linked words, in content, mark)."""
     b = np.array(blocks, dtype=float).reshape(-1, 4)
     words, links = b[:, 0], b[:, 1] / np.maximum(b[:, 0], 1)
     before = lambda v: np.concatenate([[0.0], v[:-1]])
@@ -96,46 +120,58 @@ def train(labelled: tuple[str, ...] = LABELLED) -> Tree:
     x, y = [], []
     for page in labelled:
         rows = [r.split() for r in page.split("|")]
-        x.append(described([(int(w), int(k), place == "a", place == "b") for place, w, k, _ in rows]))
+        x.append(described([(int(w), int(k), place == "a", "nhb".find(place) if place != "a" else 0) for place, w, k, _ in rows]))
         y += [int(r[3]) for r in rows]
     return Tree(np.concatenate(x), np.array(y, dtype=float))
 
 
-def _hinted(attributes: str) -> bool:
+def _mark(attributes: str) -> int:
+    """2 if an element's own attributes name boilerplate or hide it, 1 if they only mention it."""
+    found = 0
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
-        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
-            return True
-        if name in ("class", "id", "role") and any(w in _HINTS or not _HINTS.isdisjoint(re.split(r"[-_]+", w)) for w in value.split()):
-            return True
-    return False
-
-
-def blocks(page: str | None) -> tuple[list[str], list[tuple[int, int, bool, bool]]]:
-    """The flat text blocks of a page and what describes them."""
+        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and _HIDDEN.search(value):
+            return 2
+        if name in ("class", "id", "role"):
+            for w in value.split():
+                parts = re.split(r"[-_]+", w)
+                if w in _HINTS or not _HINTS.isdisjoint(parts):
+                    if _MODIFIERS.isdisjoint(parts):
+                        return 2
+                    found = 1
+    return found
+
+
+def blocks(page: str | None) -> tuple[list[str], list[tuple[int, int, bool, int]]]:
+    """The flat text blocks of a page and what describes them. An article or main element inside markup that only mentions
+    boilerplate stands in none. Time grows with the length of the page, however deep its elements nest."""
     page = page or ""
     texts: list[str] = []
-    about: list[tuple[int, int, bool, bool]] = []
+    about: list[tuple[int, int, bool, int]] = []
     parts: list[str] = []
     linked: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # open elements that hold blocks: tag, is boilerplate, is content
-    at, in_link = 0, 0
+    stack: list[tuple[str, int, bool]] = []  # open elements that hold blocks: tag, mark and content of all around
+    opened: Counter[str] = Counter()
+    at, link = 0, -1  # elements around the open link, or -1
 
     def close() -> None:
         nonlocal parts, linked
         if words := "".join(parts).split():
-            boilerplate, content = any(e[1] for e in stack), any(e[2] for e in stack)
+            _, mark, content = stack[-1] if stack else ("", 0, False)
             texts.append(" ".join(words))
-            about.append((len(words), min(len(words), sum(len(t.split()) for t in linked)), content and not boilerplate, boilerplate))
+            about.append((len(words), min(len(words), sum(len(t.split()) for t in linked)), content and mark < 2, mark))
         parts, linked = [], []
 
     def text(piece: str) -> None:
         if piece:
             piece = html.unescape(piece)
             parts.append(piece)
-            if in_link:
+            if link >= 0:
                 linked.append(piece)
 
+    def pop() -> None:
+        opened[stack.pop()[0]] -= 1
+
     while m := _TOKEN.search(page, at):
         text(page[at : m.start()])
         at = m.end()
@@ -148,24 +184,31 @@ def blocks(page: str | None) -> tuple[list[str], list[tuple[int, int, bool, bool
                 at = end.end() if end else len(page)
             continue
         if tag == "a":
-            in_link = 0 if m[1] else 1
+            link = -1 if m[1] else len(stack)
         elif tag in ("br", "hr"):
             parts.append(" ")
         elif tag not in _INLINE and tag not in _VOID:
             close()
-            in_link = 0
             if m[1]:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == tag:
-                        del stack[k:]
-                        break
+                if opened[tag]:
+                    while stack[-1][0] != tag:
+                        pop()
+                    pop()
             else:
                 if stack and stack[-1][0] == "p":  # a paragraph ends where a block begins
-                    stack.pop()
+                    pop()
                 if tag in ("li", "dt", "dd", "td", "th", "tr", "option") and stack and stack[-1][0] == tag:
-                    stack.pop()
+                    pop()
                 if not m[3].endswith("/"):
-                    stack.append((tag, tag in _BOILERPLATE or (tag not in ("html", "body") and _hinted(m[3])), tag in _CONTENT))
+                    _, mark, content = stack[-1] if stack else ("", 0, False)
+                    own = 2 if tag in _BOILERPLATE else 0 if tag in ("html", "body") else _mark(m[3])
+                    if tag in _CONTENT:
+                        content = True
+                        mark, own = mark if mark == 2 else 0, own if own == 2 else 0
+                    stack.append((tag, max(mark, own), content))
+                    opened[tag] += 1
+            if len(stack) < link:  # the element that holds the link has ended
+                link = -1
     text(page[at:])
     close()
     return texts, about
@@ -180,8 +223,9 @@ def main_text(page: str | None, tree: Tree) -> str:
 def extract(pages: DataFrame, page: str = "html") -> DataFrame:
     """All columns but the page, ``text`` (empty if there is none) and ``n_chars`` (its code points).
 
-    Every row is worked on by itself, whole; null pages are empty; repeated rows stay. Columns of the names added are
-    replaced. A page that breaks off in a tag, comment or script ends there.
+    Every row is worked on by itself, whole, however long; null pages are empty; repeated rows and rows of null keys stay; an
+    empty table gives an empty table. Columns of the names added are replaced. A page that breaks off in a tag, comment or
+    script ends there.
     """
     small_batches(pages.sparkSession)
     keep = [f for f in pages.schema.fields if f.name not in (page, "text", "n_chars")]

@@ -1,15 +1,19 @@
-"""Operator 8, SimHash near-duplicates through BK-trees.
+"""Operator 8, SimHash near-duplicates through broadcast BK-trees.
 
-Every distinct fingerprint goes to one shard for each block of its bits. Two fingerprints that differ in at most
-``radius`` bits agree in at least one of ``radius + 1`` blocks, so each link lies inside some shard, and no shard tree has
-to be sent to documents that cannot link with it. A shard is indexed by a BK-tree: children are keyed by their integer
-Hamming distance to the parent, and a search follows only the edges within the radius. Trees of a task are built and
-searched together, a level at a time.
+The distinct fingerprints are dealt to rounds of a bounded size. A round is broadcast and every task makes the shard trees of
+it: a shard for each value of each block of the bits. Two fingerprints that differ in at most ``radius`` bits agree in at
+least one of ``radius + 1`` blocks, so a search of the shards of its own blocks finds every link of a fingerprint. A shard is
+a BK-tree: children are keyed by their integer Hamming distance to the parent, and a search follows only the edges within the
+radius. Trees of a task are built and searched together, a level at a time.
+
+Rounds grow with the fingerprints, and each reads them all. For very many of them, ``shuffled_links`` brings each fingerprint
+to the shards of its blocks by a shuffle instead, and gives the same links.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +29,9 @@ from barpath.session import materialise
 BITS = 64
 RADIUS = 3
 WORDS = 3
-#: Fingerprints that one tree holds at most; larger shards are searched in pairs of parts.
+#: Fingerprints of a round: half a megabyte is broadcast at a time.
+ROUND_ROWS = 1 << 16
+#: Fingerprints that one tree of ``shuffled_links`` holds at most; larger shards are searched in pairs of parts.
 TREE_ROWS = 4000
 #: Keys that are broadcast at most when duplicates are dropped.
 BROADCAST_ROWS = 200_000
@@ -114,16 +120,54 @@ class BKForest:
                 stack.append((np.repeat(query, n), child))
 
 
-def fingerprint_links(prints: DataFrame, radius: int = RADIUS, tree_rows: int = TREE_ROWS) -> DataFrame:
-    """Links ``(a, b)`` that join distinct ``fingerprint`` values within ``radius`` bits: a spanning forest of every shard.
+def _blocks(radius: int) -> list[tuple[int, int]]:
+    """(first bit, bits) of each of ``radius + 1`` blocks."""
+    width = BITS // (radius + 1)
+    return [(k * width, width if k < radius else BITS - k * width) for k in range(radius + 1)]
+
+
+def _shards(prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """(fingerprint, shard) for every fingerprint and each of its blocks."""
+    shards = [(prints >> np.uint64(at) & np.uint64((1 << n) - 1)).astype(np.int64) << 8 | k for k, (at, n) in enumerate(_blocks(radius))]
+    return np.tile(prints, radius + 1), np.concatenate(shards)
+
+
+def fingerprint_links(prints: DataFrame, radius: int = RADIUS, round_rows: int = ROUND_ROWS) -> DataFrame:
+    """Links ``(a, b)``, a < b, whose components are those of all distinct ``fingerprint`` values within ``radius`` bits.
+
+    ``prints`` is a stored table. Each round takes the fingerprints of its hash, about ``round_rows`` of them, to all tasks;
+    a pair is found in the round of its lesser one. Tasks send on a spanning forest of what they find.
+    """
+    spark = prints.sparkSession
+    rounds = -(-prints.count() // round_rows)
+    found = []
+    for k in range(rounds):
+        part = prints.where(F.pmod(F.xxhash64("fingerprint"), F.lit(rounds)) == k).select("fingerprint").toPandas()  # about round_rows
+        shared = spark.sparkContext.broadcast(part["fingerprint"].to_numpy(np.int64))
+
+        def search(it: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            nodes, shards = _shards(shared.value.view(np.uint64), radius)
+            trees = BKForest(nodes, shards)
+            for batch in batches(it):
+                asked, where = _shards(batch.column("fingerprint").to_numpy().view(np.uint64), radius)
+                for i, j in trees.search(asked, where, radius):
+                    a, b = nodes[j].view(np.int64), asked[i].view(np.int64)
+                    a, b = forest(a[a < b], b[a < b])
+                    if len(a):
+                        yield pa.RecordBatch.from_pydict({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
+
+        found.append(materialise(prints.select("fingerprint").mapInArrow(search, "a long, b long"), "links"))
+        shared.unpersist()
+    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], "a long, b long")
+
+
+def shuffled_links(prints: DataFrame, radius: int = RADIUS, tree_rows: int = TREE_ROWS) -> DataFrame:
+    """The links of ``fingerprint_links`` by a shuffle: a spanning forest of every shard.
 
     Shards with more than ``tree_rows`` fingerprints are dealt in parts, and each pair of parts meets in a task of its own,
     so no task holds more than two parts. Their number is known from a count per shard, whose large ones only are kept.
     """
-    blocks = radius + 1
-    width = BITS // blocks
-    ends = [(k * width, width if k < blocks - 1 else BITS - k * width) for k in range(blocks)]
-    shards = F.array(*[F.shiftleft(F.shiftrightunsigned("fingerprint", at).bitwiseAND(F.lit((1 << n) - 1)), 3).bitwiseOR(F.lit(k)) for k, (at, n) in enumerate(ends)])
+    shards = F.array(*[F.shiftleft(F.shiftrightunsigned("fingerprint", at).bitwiseAND(F.lit((1 << n) - 1)), 8).bitwiseOR(F.lit(k)) for k, (at, n) in enumerate(_blocks(radius))])
     rows = prints.select("fingerprint", F.explode(shards).alias("shard"))
     large = rows.groupBy("shard").count().where(F.col("count") > tree_rows).select("shard", F.ceil(F.col("count") / tree_rows).cast("long").alias("parts"))
     rows = rows.join(large, "shard", "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("long")))
@@ -161,16 +205,17 @@ def fingerprint_links(prints: DataFrame, radius: int = RADIUS, tree_rows: int =
     return rows.mapInArrow(links, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS, words: int = WORDS) -> DataFrame:
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS, words: int = WORDS, round_rows: int = ROUND_ROWS) -> DataFrame:
     """All columns but the text, ``fingerprint`` (long), and ``component_id``: the smallest key reachable by links.
 
     Texts of no words (null, empty, white space) have fingerprint zero and link with one another. Rows with equal
     fingerprints, repeated rows too, are in one component. A null key is never a component's name unless all its keys are
-    null. Every row stays. An empty table gives an empty table.
+    null. Texts are read whole, however long. Columns of the names added are replaced. Every row stays. An empty table gives
+    an empty table.
     """
     prints = materialise(with_fingerprints(docs.drop("component_id"), text, words), "prints")
-    least = prints.groupBy("fingerprint").agg(F.min(key).alias("__least"))
-    joined = components(materialise(fingerprint_links(least, radius), "links"))
+    least = materialise(prints.groupBy("fingerprint").agg(F.min(key).alias("__least")), "distinct")
+    joined = components(fingerprint_links(least, radius, round_rows))
     named = least.join(joined, least["fingerprint"] == joined["node"], "left").select("fingerprint", "__least", F.coalesce("component", "fingerprint").alias("__root"))
     names = named.groupBy("__root").agg(F.min("__least").alias("component_id"))
     classes = named.select("fingerprint", "__root").join(names, "__root").select("fingerprint", "component_id")

@@ -2,6 +2,7 @@
 
 import re
 from collections import Counter, defaultdict
+from html.parser import HTMLParser
 
 import xxhash
 
@@ -111,3 +112,41 @@ def katz(texts, train, discounts, k, tail):
         base = sum(math.log10((words[x] + 0.1) / (n + 0.1 * (v + 1))) for x in w)
         out.append((len(w), sum(x in words for x in w), n, base, sum(math.log10(p(a, b)) for a, b in zip([" ", *w[:-1]], w, strict=True))))
     return out
+
+
+class _Article(HTMLParser):
+    """Blocks of text inside an article and outside of adverts, for pages whose markup is plain."""
+
+    def __init__(self):
+        super().__init__()
+        self.open, self.parts, self.blocks = [], [], []
+
+    def cut(self):
+        if t := " ".join("".join(self.parts).split()):
+            self.blocks.append(t)
+        self.parts = []
+
+    def handle_starttag(self, tag, attributes):
+        if tag == "br":
+            self.parts.append(" ")
+        elif tag not in ("b", "a", "meta"):
+            self.cut()
+            self.open.append(tag)
+
+    def handle_endtag(self, tag):
+        if tag in self.open:
+            self.cut()
+            while self.open.pop() != tag:
+                pass
+
+    def handle_data(self, data):
+        if "article" in self.open:
+            self.parts.append(data)
+
+
+def article(page):
+    a = _Article()
+    a.feed(page or "")
+    a.close()
+    a.cut()
+    return " ".join(a.blocks)

@@ -130,6 +130,41 @@ def test_extract(spark):
     assert extract.extract(df.limit(0)).count() == 0
 
 
+_P = "<p>Some words of the text stand here, enough of them to make a paragraph.</p>"
+KEPT = (
+    f'<div class="layout has-sidebar"><nav><a href=1>x</a></nav><article>{_P}</article></div>',
+    f'<article class="post category-privacy">{_P}</article>',
+    f'<main class="content with-sidebar">{_P}</main>',
+    f'<article data-state="not hidden">{_P}</article>',
+    f'<article data-id="search">{_P}</article>',
+    f'<article>{_P}<ul><li><a href=1>one</a><li><a href=2>two</a><li><a href=3>three</a><li><a href=4>four</a></ul></article>',
+    f'<article>{_P}</article><section id="comments"><article>{_P}</article></section><div class="sidebar">{_P}</div>',
+    f'<a href=1><div>Menu</div><div>Other</div></a><article>{_P}</article>',
+)
+
+
+@pytest.mark.parametrize("page", KEPT)
+def test_extraction_of_marked_pages(page):
+    assert extract.main_text(page, extract.train()) == _P[3:-4]
+
+
+def test_extraction_is_linear_in_depth():
+    import time
+
+    began = time.process_time()
+    extract.main_text("<div>" * 16_000 + "<p>x y</p>" * 2000 + "</div>" * 16_000 + "</section>" * 16_000, extract.train())
+    assert time.process_time() - began < 2
+
+
+def test_registered_extraction_against_a_plain_version(spark):
+    sf = "/root/testdata/sf0.01"
+    pages = {r.page_id: r for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
+    got = registry.QUERIES["op3_extract"](spark, sf).collect()
+    assert len(got) == len(pages)
+    for r in got:
+        assert (r.url, r.text, r.n_chars) == (pages[r.page_id].url, plain.article(pages[r.page_id].html), len(r.text))
+
+
 def test_extraction_tree_fits_its_table_and_plain_pages():
     tree = extract.train()
     text = "<ul><li><a href=1>One</a><li><a href=2>Two words</a></ul><div>" + "Plain words of a page with no article element. " * 5 + "</div><p>" + "More of the same text follows here. " * 6 + "</p><ul><li><a href=3>Next page</a></ul>"
