@@ -1,52 +1,64 @@
-"""Operator 1, language-model scores: a Katz backoff bigram model.
-
-Words are 64-bit hashes; the most frequent ones (at most TOP, handed to every task) are short codes. Tables of the model:
-``unigrams`` (word, count), ``grams`` (first word, second word, count; see ``pairs_of``), ``contexts`` (word, count, backoff
-weight), each in buckets.
+"""Operator 1, language-model scores: a Katz backoff model of any order, in partitioned tables.
 
 Counts up to K are discounted by Good-Turing; larger ones keep all but TAIL of their mass, so that every context has some
-to give. With d(r) the discount of a count r, c a word's count in training and N all tokens:
-
-    P(w)     = d1(c) c / N  if c > 0, else all that is left, for the one class of unknown words
-    P(w | v) = d2(C) C / c(v)  if the pair occurred C > 0 times, else  a(v) P(w)
-    a(v)     = (1 - sum of P(w | v) over seen pairs) / (1 - sum of P(w) over the same w), 1 for a context never seen
-
-so that P(. | v) sums to one. The log-probability of a text is a sum over its tokens of terms that belong to the pair, to
-the second word and to the context. One shuffle brings every (pair, document) entry to the bucket that counts the pair;
-there the terms of pair and word are summed by document, and pairs that were never seen ask for their context's weight.
-A pair has one entry for each document, and pairs of two frequent words are dealt by both, so no word is too hot.
+to give. With d_k(r) the discount of an r-fold k-gram, C a count in training and h' a history h without its first word:
+
+    P1(w)     = d_1(C) C / N  if C = C(w) > 0, else all that is left, for the one class of unknown words
+    Pk(w | h) = d_k(C) C / C(h)  if C = C(h w) > 0, else  a(h) Pk-1(w | h')
+    a(h)      = (1 - sum of Pk(w | h) over seen w) / (1 - sum of Pk-1(w | h') over the same w), 1 for a history never seen
+
+so that Pk(. | h) sums to one. A document begins with order - 1 START words, which are no tokens, and ends with END.
+
+Documents are worked on in groups of about ``group_tokens`` tokens. A group knows its distinct words and, level by level, its
+distinct k-grams: a k-gram is the number of its history among the (k-1)-grams and a word. At each level the groups send
+their k-grams, with their counts in training, to the buckets of their histories; a bucket adds up the counts of all groups,
+keeps its part of the model, and answers each group in the order of what it sent. So a k-gram has one entry for a group,
+however often it occurs, and a bucket needs no documents. At last each group evaluates the recursion once for each of its
+distinct k-grams, and a text is the sum over its tokens.
+
+Words are 64-bit hashes at first and get numbers at level 1, small ones to frequent words; two words of one hash would count
+as one. The k-grams of a history of more than ``hot`` tokens are dealt to several buckets by word, and its sums are
+put together afterwards; ``hot`` is at least a 2**20-th of all tokens, so there are never more such histories than that.
+Tables of the model, partitioned by kind, each row a bucket: ``level1`` (words, numbers, counts), ``level2`` .. (k-grams and
+counts; histories with the sums that give a(h), those of hot ones again by themselves), ``about`` (sizes, counts of counts).
+``score_with`` scores other texts by a stored model.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barpath.llm.common import batches, crc32_mod, small_batches, table
-from barpath.session import materialise, release_shuffles, shuffle_partitions
+from barpath.session import release_shuffles, scratch_dir, shuffle_partitions
 
+ORDER = 3
 K = 5
 TAIL = 1e-6
-TOP = 1 << 16
-#: Tokens whose entries are gathered before they are dealt out.
+#: Tokens of a group (a document is never cut) at least, and of a history that is dealt to several buckets.
 GROUP_TOKENS = 1 << 20
-#: Parts of a bucket that are counted one after another, to hold less at a time.
-PARTS = 4
+HOT = 1 << 19
+#: Tokens for which there is one more bucket, at least; and k-grams that a group sends to a bucket, about, at least. Groups and
+#: buckets grow with the square root of the corpus beyond some 1e10 tokens, so rows stay few and of some size.
+BUCKET_TOKENS = 1 << 22
+ROW_GRAMS = 64
+#: Documents of a group at most.
+GROUP_DOCS = 1 << 16
 FOLDS, HELD_OUT = 10, 0
-START, END = (xxhash.xxh64_intdigest(x) for x in (b" ", b"\n"))  # white space is no word
-_RARE = np.uint64(1 << 63)
-#: Counts for each document: known tokens, pairs seen over K times, unseen pairs of words seen over K times, pairs seen 1..K times,
-#: unseen pairs of words seen 0..K times.
-_STATS = 3 + K + K + 1
+END = xxhash.xxh64_intdigest(b"\n")  # white space is no word
+UNKNOWN, START, FIRST = 0, 1, 2  # numbers of words
+
+ROWS = "kind string, bucket long, grp long, body binary"
+_EMPTY = np.zeros(0, np.int64)
 
 
 def codes(text: str | None) -> np.ndarray:
@@ -58,427 +70,604 @@ def codes(text: str | None) -> np.ndarray:
     return out
 
 
-def mixed(x: np.ndarray, n: int) -> np.ndarray:
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = x.astype(np.uint64, copy=False)
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-    return ((x >> np.uint64(33)) % np.uint64(n)).astype(np.int64)
+    return x ^ (x >> np.uint64(29))
 
 
 def discounts(of: list[int], k: int = K) -> np.ndarray:
-    """d(0..k) from the number of types seen 1..k+1 times; d(0) is 0. Good-Turing as Katz has it; where the counts of counts
-    allow none that lies between 0 and 1 (a small corpus), half a count is taken off instead."""
-    n = [0, *of]
-    out = np.array([0.0] + [1 - 0.5 / r for r in range(1, k + 1)])
-    if all(n[1 : k + 2]):
-        rest = (k + 1) * n[k + 1] / n[1]
-        good = [0.0] + [((r + 1) * n[r + 1] / n[r] / r - rest) / (1 - rest) if rest < 1 else -1.0 for r in range(1, k + 1)]
-        if all(0 < g < 1 for g in good[1:]):
-            out = np.array(good)
-    return out
+    """d(0..k) by Good-Turing, as Katz has it, from the number of types seen 1..k+1 times; d(0) is 0. The counts of counts are
+    smoothed first by a line through their logarithms, which always falls fast enough for discounts between 0 and 1."""
+    r = np.arange(1, k + 2)
+    n = np.array([*of, *[0] * (k + 1)][: k + 1], dtype=float)
+    x, y = np.log(r[n > 0]), np.log(n[n > 0])
+    slope = ((x - x.mean()) * (y - y.mean())).sum() / ((x - x.mean()) ** 2).sum() if len(x) > 1 else -2.0
+    slope = min(slope, -1.1)
+    kept = (1 + 1 / r[:k]) ** (slope + 1)
+    rest = (k + 1.0) ** (slope + 1)
+    return np.concatenate([[0.0], (kept - rest) / (1 - rest)])
+
+
+def discounted(counts: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """d(C) C."""
+    return np.append(d, 1 - TAIL)[np.minimum(counts, K + 1)] * counts
+
+
+def backoff(kinds: np.ndarray, mass: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """log10 a(h) of histories from how many k-grams they have of each count up to K, the sum of larger counts, and the
+    probability of the same words by the lower order."""
+    times = kinds[:, :K] * np.arange(1, K + 1)
+    kept = (times * d[1:]).sum(axis=1) + (1 - TAIL) * kinds[:, K]
+    return np.log10((1 - kept / (times.sum(axis=1) + kinds[:, K])) / (1 - mass))
 
 
-def _pack(*arrays: np.ndarray) -> bytes:
-    """Arrays of equal length (and any width), byte by byte, compressed: entries lie sorted, so most high bytes repeat."""
-    flat = (np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize * math.prod(a.shape[1:])) for a in arrays)
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(np.ascontiguousarray(a.T).tobytes() for a in flat))
+# Arrays in rows.
 
 
-def _unpack(body: bytes, *kinds: str | tuple[str, int]) -> list[np.ndarray]:
-    """The arrays again; a kind with a width gives a matrix."""
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(body), np.uint8)
-    pairs = [k if isinstance(k, tuple) else (k, 0) for k in kinds]
-    sizes = [np.dtype(k).itemsize * (w or 1) for k, w in pairs]
+def pack(*arrays: np.ndarray) -> bytes:
+    """Arrays of equal length, byte by byte, compressed: entries lie sorted and numbers are small, so most bytes repeat."""
+    planes = (np.ascontiguousarray(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T).tobytes() for a in arrays)
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
+
+
+def unpack(body: bytes, *kinds: str) -> list[np.ndarray]:
+    plain = zstandard.ZstdDecompressor().decompress(body)
+    raw = np.frombuffer(plain, np.uint8) if plain else np.zeros(0, np.uint8)
+    sizes = [np.dtype(k).itemsize for k in kinds]
     n, at, out = len(raw) // sum(sizes), 0, []
-    for (kind, width), size in zip(pairs, sizes, strict=True):
-        plain = np.ascontiguousarray(raw[at : at + n * size].reshape(size, n).T).view(kind)
-        out.append(plain if width else plain.ravel())
+    for kind, size in zip(kinds, sizes, strict=True):
+        out.append(np.ascontiguousarray(raw[at : at + n * size].reshape(size, n).T).view(kind).ravel())
         at += n * size
     return out
 
 
-def _unpacked(column: pa.ChunkedArray, *kinds: str | tuple[str, int]) -> list[np.ndarray]:
-    """The arrays of all rows, end to end."""
-    parts = [_unpack(b.as_py(), *kinds) for b in column]
-    return [np.concatenate([p[i] for p in parts]) for i in range(len(kinds))]
+def _row(kind: str, bucket: int, grp: int, body: bytes) -> tuple:
+    return kind, bucket, grp, body
 
 
-def pairs_of(body: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First words, second words and counts of a row of ``grams``."""
-    first, second, times = _unpack(body, "<u8", "<u8", "<u4")
-    return first, second, times
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    kind, bucket, grp, body = zip(*rows, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(kind), pa.array(bucket, pa.int64()), pa.array(grp, pa.int64()), pa.array(body, pa.binary())], names=["kind", "bucket", "grp", "body"])
 
 
-def _by_key(it: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, pa.Table]]:
-    """The rows of each key, from batches that are sorted by it."""
-    held: list[pa.RecordBatch] = []
-    now = None
+def _by(it: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, list[tuple]]]:
+    """(key, rows as (kind, bucket, grp, body)) from rows that are sorted by the key."""
+    now, held = None, []
     for batch in batches(it):
-        keys = batch.column(key).to_numpy()
-        bounds = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
-        for a, b in zip(bounds, bounds[1:], strict=False):
-            if held and keys[a] != now:
-                yield now, pa.Table.from_batches(held)
+        for row in zip(*(batch.column(c).to_pylist() for c in ("kind", "bucket", "grp", "body")), strict=True):
+            k = row[1] if key == "bucket" else row[2]
+            if held and k != now:
+                yield now, held
                 held = []
-            now = int(keys[a])
-            held.append(batch.slice(a, b - a))
+            now = k
+            held.append(row)
     if held:
-        yield now, pa.Table.from_batches(held)
+        yield now, held
+
+
+def _dealt(rows: DataFrame, n: int, *keys: str) -> DataFrame:
+    return rows.select("kind", "bucket", "grp", "body").repartition(n, keys[0]).sortWithinPartitions(*keys)
+
+
+# The tables of a model.
+
+
+class Model:
+    """A model in a folder that all executors share."""
 
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
 
-def _lists(*arrays: np.ndarray | list, kinds: tuple) -> list[pa.Array]:
-    return [pa.array([a], pa.list_(k)) for a, k in zip(arrays, kinds, strict=True)]
+    def read(self, name: str) -> DataFrame:
+        return self.spark.read.schema(ROWS).parquet(f"{self.path}/{name}")
 
+    def write(self, rows: DataFrame, name: str, by_kind: bool = False) -> None:
+        if by_kind:  # a writer for each of few kinds: no sort of the rows before they are written
+            self.spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", "16")
+        writer = rows.write.mode("overwrite").option("compression", "none")  # bodies are compressed already
+        (writer.partitionBy("kind") if by_kind else writer).parquet(f"{self.path}/{name}")
 
-def _summed(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Distinct keys and the sums of the values (1- or 2-dimensional) by key."""
-    order = np.argsort(keys, kind="stable")
-    keys = keys[order]
-    at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-    return keys[at], *(np.add.reduceat(v[order], at, axis=0) if len(at) else v[:0] for v in values)
+    def remove(self, name: str) -> None:
+        """Delete a table of the work that nothing needs any more."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
+    @property
+    def about(self) -> dict:
+        """Sizes (order, tokens, types, documents, buckets, hot) and the counts of counts ``of<k>`` of each level."""
+        return {r["name"]: list(r["values"]) for r in self.spark.read.parquet(f"{self.path}/about").collect()}
 
-def count_words(docs: DataFrame, text: str, n: int) -> DataFrame:
-    """The ``unigrams`` table: a row for each of n buckets with words (hashes), counts, and sums over them."""
+    def set_about(self, values: dict) -> None:
+        self.spark.createDataFrame([(k, [int(x) for x in v]) for k, v in values.items()], "name string, values array<long>").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/about")
 
-    def split(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+    def unigrams(self) -> DataFrame:
+        """(word, number, count): the hash of each word as a signed long, its number and count."""
+        return self._unpacked("level1", "words", ["u8", "i8", "i8"], ["word", "number", "count"])
+
+    def grams(self, level: int) -> DataFrame:
+        """(w1, ..., count): the numbers of the words of each k-gram, and its count."""
+        return self._unpacked(f"level{level}", "grams", ["i8"] * level + ["i8"], [f"w{i + 1}" for i in range(level)] + ["count"])
+
+    def contexts(self, level: int) -> DataFrame:
+        """(w1, ..., count, alpha): histories of level - 1 words, their counts and backoff weights; hot ones come from the
+        parts of several buckets."""
+        names = [f"w{i + 1}" for i in range(level - 1)]
+        d = [float(x) for x in discounts(self.about[f"of{level}"])]
+        rows = self._unpacked(f"level{level}", "histories", ["i8"] * (level - 1) + ["i8"] * (K + 1) + ["f8"], names + [f"k{r}" for r in range(1, K + 2)] + ["mass"])
+        sums = rows.groupBy(*names).agg(*[F.sum(f"k{r}").alias(f"k{r}") for r in range(1, K + 2)], F.sum("mass").alias("mass"))
+        count = sum((r * F.col(f"k{r}") for r in range(1, K + 1)), F.col(f"k{K + 1}"))
+        kept = sum((d[r] * r * F.col(f"k{r}") for r in range(1, K + 1)), (1 - TAIL) * F.col(f"k{K + 1}"))
+        return sums.select(*names, count.alias("count"), ((1 - kept / count) / (1 - F.col("mass"))).alias("alpha"))
+
+    def _unpacked(self, name: str, kind: str, kinds: list[str], names: list[str]) -> DataFrame:
+        def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches(it):
+                for body in batch.column("body").to_pylist():
+                    arrays = unpack(body, *kinds)
+                    yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64) if a.dtype == np.uint64 else a) for a in arrays], names=names)
+
+        schema = ", ".join(f"`{n}` {'double' if k == 'f8' else 'long'}" for n, k in zip(names, kinds, strict=True))
+        return self.read(name).where(F.col("kind") == kind).select("body").mapInArrow(run, schema)
+
+
+# Groups of documents.
+
+
+def _group_rows(docs: DataFrame, group_tokens: int) -> DataFrame:
+    """Rows of kind 'group' and 'docs' for each group: its words (hashes), tokens as places among them; and its documents."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, keys, out, size, made = [], [], [], 0, TaskContext.get().partitionId() << 24
 
         def flush() -> pa.RecordBatch:
-            words, times = np.unique(np.concatenate(held), return_counts=True)
-            bucket = mixed(words, n)
-            order = np.argsort(bucket, kind="stable")
-            ends = np.searchsorted(bucket[order], np.arange(n + 1))
-            body = [_pack(words[o := order[a:b]], times[o].astype("<u4")) for a, b in zip(ends, ends[1:], strict=False)]
-            return pa.RecordBatch.from_pydict({"bucket": pa.array(range(n), pa.int64()), "body": pa.array(body, pa.binary())})
+            words, tokens = np.unique(np.concatenate(held), return_inverse=True)
+            lengths = np.array([len(h) for h in held], dtype="<i8")
+            flags = np.array(out, dtype=np.uint8)
+            names = pa.BufferOutputStream()
+            with pa.ipc.new_stream(names, pa.schema([("key", pa.string())])) as writer:
+                writer.write_batch(pa.RecordBatch.from_arrays([pa.array(keys, pa.string())], names=["key"]))
+            body = b"".join(len(x).to_bytes(8, "little") + x for x in (pack(words), pack(tokens.astype("<u4")), pack(lengths, flags)))
+            return _batch([_row("group", -1, made, body), _row("docs", -1, made, zstandard.compress(names.getvalue().to_pybytes(), 1))])
 
         for batch in batches(it):
-            for t in batch.column("text").to_pylist():
-                held.append(codes(t))
+            for key, flag, text in zip(*(batch.column(c).to_pylist() for c in ("key", "held_out", "text")), strict=True):
+                held.append(codes(text))
+                keys.append(key)
+                out.append(flag)
                 size += len(held[-1])
-                if size >= 4 * GROUP_TOKENS:
+                if size >= group_tokens or len(keys) >= GROUP_DOCS:
                     yield flush()
-                    held, size = [], 0
+                    held, keys, out, size, made = [], [], [], 0, made + 1
         if held:
             yield flush()
 
-    def merge(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, rows in _by_key(it, "bucket"):
-            parts = [_unpack(b, "<u8", "<u4") for b in rows.column("body").to_pylist()]
-            words, times = _summed(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]).astype(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([bucket], pa.int64()), *_lists(words.view(np.int64), times, np.bincount(np.minimum(times, K + 2), minlength=K + 3)[1 : K + 2], kinds=(pa.int64(),) * 3), pa.array([int(times.sum())], pa.int64()), pa.array([len(words)], pa.int64())],
-                names=["bucket", "words", "counts", "of_counts", "n", "v"],
-            )
-
-    parts = docs.select(F.col(text).alias("text")).mapInArrow(split, "bucket long, body binary")
-    merged = parts.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(merge, "bucket long, words array<long>, counts array<long>, of_counts array<long>, n long, v long")
-    return materialise(merged, "unigrams")
-
-
-class Words:
-    """What every task knows of words: the counts of the frequent ones, and the unigram model."""
-
-    def __init__(self, unigrams: DataFrame, n: int):
-        total = unigrams.agg(F.sum("n").alias("n"), F.sum("v").alias("v"), *[F.sum(F.col("of_counts")[r]).alias(f"n{r}") for r in range(K + 1)]).first()
-        self.n, self.v = total["n"] or 0, total["v"] or 0
-        self.d = discounts([total[f"n{r}"] or 0 for r in range(K + 1)])
-        of = [total[f"n{r}"] or 0 for r in range(K + 1)]
-        seen = sum(self.d[r] * r * of[r - 1] for r in range(1, K + 1)) + (1 - TAIL) * (self.n - sum(r * of[r - 1] for r in range(1, K + 1)))
-        self.unknown = 1 - seen / self.n if self.n else 1.0
-        most = max(1, TOP // n)  # of each bucket, so never more than TOP and the end
-
-        def top(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches(it):
-                for words, times in zip(batch.column("words"), batch.column("counts"), strict=True):
-                    w, c = (x.values.to_numpy() for x in (words, times))
-                    at = np.argsort(-c, kind="stable")
-                    at = np.union1d(at[:most], np.flatnonzero(w.view(np.uint64) == END))  # the end is always among them
-                    yield pa.RecordBatch.from_pydict({"w": pa.array(w[at]), "c": pa.array(c[at])})
+    return docs.mapInArrow(run, ROWS)
 
-        rows = unigrams.select("words", "counts").mapInArrow(top, "w long, c long").toPandas()  # at most TOP rows and one
-        words = rows["w"].to_numpy(np.int64).view(np.uint64)
-        order = np.argsort(words)
-        self.top, self.top_counts = words[order], rows["c"].to_numpy(np.int64)[order]
-        self.end = int(self.code(np.array([END], np.uint64))[0])
-        self.docs = int(self.top_counts[self.end]) if self.end < len(self.top) else 0
 
-    def code(self, hashes: np.ndarray) -> np.ndarray:
-        if not len(self.top):
-            return hashes | _RARE
-        at = np.minimum(np.searchsorted(self.top, hashes), len(self.top) - 1)
-        return np.where(self.top[at] == hashes, at.astype(np.uint64), hashes | _RARE)
+def _split(body: bytes) -> list[bytes]:
+    out, at = [], 0
+    while at < len(body):
+        n = int.from_bytes(body[at : at + 8], "little")
+        out.append(body[at + 8 : at + 8 + n])
+        at += 8 + n
+    return out
 
-    def probability(self, c: np.ndarray) -> np.ndarray:
-        """P of words seen c times, in one of the c that are over K by their count."""
-        small = np.minimum(c, K + 1)
-        d = np.append(self.d, 1 - TAIL)[small]
-        return np.where(c > 0, d * c / max(1, self.n), self.unknown)
 
+class Hashed:
+    """A group whose words are hashes."""
+
+    def __init__(self, body: bytes):
+        words, tokens, lengths = _split(body)
+        (self.words,), (self.tokens,) = unpack(words, "<u8"), unpack(tokens, "<u4")
+        self.lengths, self.out = unpack(lengths, "<i8", "u1")
+
+    def requests(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """The order in which the words are sent, and where each bucket begins in it."""
+        bucket = (mixed(self.words) % np.uint64(n)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        return order, np.searchsorted(bucket[order], np.arange(n + 1))
+
+    def trained(self) -> np.ndarray:
+        """Counts of the words in documents that are not held out."""
+        return np.bincount(self.tokens, weights=np.repeat(self.out == 0, self.lengths), minlength=len(self.words)).astype(np.int64)
+
+
+class Group:
+    """A group whose words are numbers: its k-grams, level by level. ``tokens``: places among ``words``."""
+
+    def __init__(self, words: np.ndarray, counts: np.ndarray, tokens: np.ndarray, lengths: np.ndarray, out: np.ndarray, model: dict):
+        self.words, self.tokens, self.lengths, self.out, self.model = words, tokens, lengths, out, model
+        self.first = np.cumsum(lengths) - lengths
+        self.train = np.repeat(out == 0, lengths)
+        # level 1: gram is the word; count has one more place, that of the beginning
+        self.gram, self.suffix, self.word = [None, tokens.astype(np.int64)], [None, None], [None, np.arange(len(words))]
+        self.history, self.count = [None, None], [None, np.append(counts, model["docs"][0])]
+        self.columns = [None, np.append(words, START)[:, None]]
+        self.seen = [None, None]
+
+    def extend(self) -> None:
+        """The next level: distinct pairs of history and word."""
+        k = len(self.gram)
+        below = self.gram[k - 1]
+        before = np.empty_like(below)
+        before[1:] = below[:-1]
+        before[self.first] = len(self.count[k - 1]) - 1
+        key, at, gram = np.unique(before << 32 | self.tokens.astype(np.int64), return_index=True, return_inverse=True)
+        self.gram.append(gram.ravel())
+        self.history.append(key >> 32)
+        self.word.append(key & 0xFFFFFFFF)
+        self.suffix.append(below[at])
+        self.seen.append(np.bincount(self.gram[k], weights=self.train, minlength=len(key)).astype(np.int64))
+        self.columns.append(np.vstack([np.column_stack([self.columns[k - 1][self.history[k]], self.words[self.word[k]]]), np.full((1, k), START)]))
+        self.count.append(None)
+
+    def requests(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The k-grams that are sent (their history occurs in training), in the order sent; where buckets begin; and whether
+        the history of each is hot. Sorted by bucket, then history and word."""
+        n, hot = self.model["buckets"][0], self.model["hot"][0]
+        of = self.count[k - 1][self.history[k]]
+        columns = self.columns[k][:-1]
+        code = np.zeros(len(columns), np.uint64)
+        for j in range(k - 1):
+            code = mixed(code + columns[:, j].astype(np.uint64) + np.uint64(j + 1))
+        parts = np.where(of > hot, -(-of // hot), 1).astype(np.uint64)
+        code = mixed(code + mixed(columns[:, k - 1].astype(np.uint64) + np.uint64(77)) % parts)
+        bucket = (code % np.uint64(n)).astype(np.int64)
+        sent = np.flatnonzero(of > 0)
+        order = sent[np.lexsort([columns[sent, j] for j in range(k - 1, -1, -1)] + [bucket[sent]])]
+        return order, np.searchsorted(bucket[order], np.arange(n + 1)), of[order] > hot
+
+    def lower(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """For each k-gram: the count of its last k-1 words and that of their history."""
+        s = self.suffix[k]
+        return self.count[k - 1][s], self.count[k - 2][self.history[k - 1][s]] if k > 2 else np.full(len(s), self.model["tokens"][0])
+
+    def answer(self, k: int, answers: dict[int, bytes], hot: dict[tuple, tuple]) -> None:
+        """Counts of the level's k-grams, and backoff weights where they are needed, from what the buckets gave."""
+        order, ends, is_hot = self.requests(k)
+        count = np.zeros(len(self.columns[k]), np.int64)
+        log_alpha = np.zeros(len(count))
+        d = discounts(self.model[f"of{k}"])
+        for b in np.flatnonzero(ends[1:] > ends[:-1]).tolist():
+            grams = order[ends[b] : ends[b + 1]]
+            counts, sums = _split(answers[b])
+            (count[grams],) = unpack(counts, "<i8")
+            *kinds, mass = unpack(sums, *["<i8"] * (K + 1), "<f8")
+            ask = grams[(count[grams] == 0) & ~is_hot[ends[b] : ends[b + 1]]]
+            if len(ask):
+                _, at = np.unique(self.history[k][ask], return_inverse=True)
+                # the bucket has them by history in the order sent: that of first occurrence
+                first = np.unique(self.history[k][ask], return_index=True)[1]
+                place = np.empty(len(first), np.int64)
+                place[np.argsort(first, kind="stable")] = np.arange(len(first))
+                log_alpha[ask] = backoff(np.column_stack(kinds), mass, d)[place[at.ravel()]]
+        count[-1] = self.model["docs"][0]
+        if hot:
+            ask = order[is_hot & (count[order] == 0)]
+            for h in np.unique(self.history[k][ask]).tolist():
+                kinds, mass = hot[tuple(self.columns[k - 1][h].tolist())]
+                log_alpha[ask[self.history[k][ask] == h]] = backoff(kinds[None], np.array([mass]), d)[0]
+        self.count[k] = count
+        self.alpha = getattr(self, "alpha", {}) | {k: log_alpha[:-1]}
+
+    def evaluate(self, order: int) -> np.ndarray:
+        """log10 Pk of each distinct k-gram of the highest level, by recursion from the words up."""
+        n, of = self.model["tokens"][0], self.model["of1"]
+        d = discounts(of)
+        types = np.array(of[:K], dtype=float)
+        small = (types * np.arange(1, K + 1)).sum()
+        unknown = 1 - ((types * np.arange(1, K + 1) * d[1:]).sum() + (1 - TAIL) * (n - small)) / n if n else 1.0
+        c = self.count[1][:-1]
+        log = np.log10(np.where(c > 0, discounted(c, d) / max(n, 1), unknown))
+        for k in range(2, order + 1):
+            c, h = self.count[k][:-1], self.count[k - 1][self.history[k]]
+            seen = np.log10(np.maximum(discounted(c, discounts(self.model[f"of{k}"])), 1e-300) / np.maximum(h, 1))
+            log = np.where(c > 0, seen, self.alpha[k] + log[self.suffix[k]])
+        return log
+
+
+def _group(body: bytes, model: dict) -> Group:
+    words, tokens, lengths = _split(body)
+    number, count = unpack(words, "<i8", "<i8")
+    return Group(number, count, unpack(tokens, "<u4")[0], *unpack(lengths, "<i8", "u1"), model)
+
+
+# Buckets.
+
+
+def _merge_words(n: int, numbered: bool):
+    """Level 1: count the words of a bucket, give them numbers, answer the groups. ``numbered``: the model has them already."""
 
-_R = "kind string, key long, body binary, ids array<string>, a array<long>, b array<long>, c array<int>, x array<double>, y array<double>"
-_KINDS = {"kind": pa.string(), "key": pa.int64(), "body": pa.binary(), "ids": pa.list_(pa.string()), "a": pa.list_(pa.int64()), "b": pa.list_(pa.int64()), "c": pa.list_(pa.int32()), "x": pa.list_(pa.float64()), "y": pa.list_(pa.float64())}
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, rows in _by(it, "bucket"):
+            asks = [(g, unpack(body, "<u8", "<i8")) for kind, _, g, body in rows if kind == "ask"]
+            if numbered:
+                held = [unpack(body, "u8", "i8", "i8") for kind, _, _, body in rows if kind == "words"]
+                words, number, count = (np.concatenate([h[i] for h in held]) for i in range(3)) if held else (np.zeros(0, np.uint64), _EMPTY, _EMPTY)
+            else:
+                words, back = np.unique(np.concatenate([a[0] for _, a in asks]), return_inverse=True)
+                count = np.bincount(back.ravel(), weights=np.concatenate([a[1] for _, a in asks]), minlength=len(words)).astype(np.int64)
+                words, count = words[count > 0], count[count > 0]
+                number = np.empty(len(words), np.int64)
+                number[np.lexsort((words, -count))] = FIRST + np.arange(len(words)) * n + bucket
+                of = np.bincount(np.minimum(count, K + 2), minlength=K + 3)[1 : K + 2]
+                yield _batch([_row("words", bucket, -1, pack(words, number, count)), _row("sizes", bucket, -1, pack(np.array([count.sum(), len(words), *of], "<i8")))])
+            for g, (asked, _) in asks:
+                at = np.minimum(np.searchsorted(words, asked), max(len(words) - 1, 0))
+                hit = words[at] == asked if len(words) else np.zeros(len(asked), bool)
+                own = lambda x, at=at, hit=hit: np.where(hit, x[at], 0) if len(x) else np.zeros(len(at), np.int64)
+                yield _batch([_row("answer", bucket, g, pack(own(number), own(count)))])
+
+    return run
+
+
+def _merge_grams(k: int, d: np.ndarray, counted: bool):
+    """Level k: add up the k-grams of a bucket and what their histories need, answer the groups. ``counted``: the model has
+    the counts already, and what the groups say of theirs does not matter."""
 
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds_ = ["<i8"] * (k - 1) + ["<i8"] + ["<i8", "<i8", "<i8"] + ["u1"]
+        for bucket, rows in _by(it, "bucket"):
+            asks = [(g, unpack(body, *kinds_)) for kind, _, g, body in rows if kind == "ask"]
+            if not asks:
+                continue
+            parts = [a for _, a in asks]
+            stored = [unpack(body, *["i8"] * (k + 1)) for kind, _, _, body in rows if kind == "grams"] if counted else []
+            columns = [np.concatenate([*(p[j] for p in parts), *(s[j] for s in stored)]) for j in range(k)]
+            sent = sum(len(p[0]) for p in parts)
+            times = np.concatenate([np.zeros(sent, np.int64), *(s[k] for s in stored)]) if counted else np.concatenate([p[k] for p in parts])
+            # the number of each history, and of each k-gram
+            order = np.lexsort(columns[::-1])
+            sorted_ = [c[order] for c in columns]
+            new_history = np.concatenate([[True], np.logical_or.reduce([c[1:] != c[:-1] for c in sorted_[:-1]])])
+            new = new_history | np.concatenate([[True], sorted_[-1][1:] != sorted_[-1][:-1]])
+            gram, history = np.cumsum(new) - 1, np.cumsum(new_history) - 1
+            at = np.flatnonzero(new)
+            count = np.add.reduceat(times[order], at)
+            of_gram = history[at]
+            where = np.empty(len(order), np.int64)
+            where[order] = gram
+            n_histories = int(history[-1]) + 1
+            heads = np.flatnonzero(new_history)
+            if counted:
+                held = [unpack(body, *["i8"] * (k - 1), *["i8"] * (K + 1), "f8") for kind, _, _, body in rows if kind == "histories"]
+                kinds, mass = np.zeros((n_histories, K + 1), np.int64), np.zeros(n_histories)
+                if held:
+                    have = [np.concatenate([h[j] for h in held]) for j in range(k + K + 1)]
+                    # a place for each stored history among those here, by sorting both together
+                    both = [np.concatenate([sorted_[j][heads], have[j]]) for j in range(k - 1)]
+                    o = np.lexsort(both[::-1])
+                    fresh = np.concatenate([[True], np.logical_or.reduce([b[o][1:] != b[o][:-1] for b in both])])
+                    rank = np.empty(len(o), np.int64)
+                    rank[o] = np.cumsum(fresh) - 1
+                    to = np.full(int(rank.max()) + 1, -1)
+                    to[rank[:n_histories]] = np.arange(n_histories)
+                    found = to[rank[n_histories:]]
+                    ok = found >= 0
+                    kinds[found[ok]] = np.column_stack(have[k - 1 : k + K])[ok]
+                    mass[found[ok]] = have[-1][ok]
+            else:
+                trained = count > 0
+                small = count <= K
+                slot = of_gram * (K + 1) + np.where(small, np.maximum(count, 1) - 1, K)
+                kinds = np.bincount(slot[trained], weights=np.where(small, 1, count)[trained], minlength=n_histories * (K + 1)).astype(np.int64).reshape(-1, K + 1)
+                # every group that trained on a k-gram sent the same lower counts; any one of them will do
+                low, base = (np.concatenate([p[k + i] for p in parts])[order] for i in (1, 2))
+                low, base = np.maximum.reduceat(low, at), np.maximum.reduceat(base, at)
+                mass = np.bincount(of_gram[trained], weights=(discounted(low, d) / np.maximum(base, 1))[trained], minlength=n_histories)
+                hot = np.concatenate([p[k + 3] for p in parts])[order][heads]
+                of = np.bincount(np.minimum(count, K + 2), minlength=K + 3)[1 : K + 2]
+                grams = pack(*(c[at][trained] for c in sorted_), count[trained])
+                seen = kinds.any(axis=1)
+                sums = lambda o: pack(*(c[heads][o] for c in sorted_[:-1]), *kinds[o].T, mass[o])
+                out = [_row("grams", bucket, -1, grams), _row("histories", bucket, -1, sums(np.flatnonzero(seen))), _row("sizes", bucket, -1, pack(of.astype("<i8")))]
+                if (mark := np.flatnonzero(seen & (hot > 0))).size:
+                    out.append(_row("hot", bucket, -1, sums(mark)))
+                yield _batch(out)
+            ends = np.cumsum([0, *(len(p[0]) for p in parts)])
+            history_of = np.empty(len(order), np.int64)
+            history_of[order] = history
+            for (g, p), a, b in zip(asks, ends, ends[1:], strict=False):
+                given = count[where[a:b]]
+                ask = history_of[a:b][(given == 0) & (p[k + 3] == 0)]
+                ask = ask[np.concatenate([[True], ask[1:] != ask[:-1]])] if len(ask) else ask  # sent in the order of histories
+                yield _batch([_row("answer", bucket, g, b"".join(len(x).to_bytes(8, "little") + x for x in (pack(given), pack(*kinds[ask].T, mass[ask]))))])
+
+    return run
+
+
+# Training and scoring.
+
+
+def _sizes(rows: DataFrame) -> np.ndarray:
+    """The sum of the short vectors of rows of kind 'sizes': one for each bucket."""
 
-def _row(kind: str, key: int, **lists) -> pa.RecordBatch:
-    values = {"kind": kind, "key": key} | lists
-    return pa.RecordBatch.from_arrays([pa.array([values.get(c)], t) for c, t in _KINDS.items()], names=list(_KINDS))
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = sum(unpack(body, "<i8")[0] for batch in batches(it) for body in batch.column("body").to_pylist())
+        if not np.isscalar(total):
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(total)), pa.int32()), pa.array(total, pa.int64())], names=["i", "n"])
 
+    got = rows.where("kind = 'sizes'").select("body").mapInArrow(run, "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).collect()
+    return np.array([r["n"] for r in sorted(got, key=lambda r: r["i"])], dtype=np.int64)
 
-def _postings(docs: DataFrame, words: Words, n: int) -> DataFrame:
-    """(bucket, part, group, body) of pair entries, and a directory row for each group of documents."""
-    shared = docs.sparkSession.sparkContext.broadcast((words.top,))
 
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Words.__new__(Words)
-        (known.top,) = shared.value
-        begin = int(known.code(np.array([START], np.uint64))[0])
-        held: list[tuple] = []
-        size = made = 0
-        place = TaskContext.get().partitionId() << 24
-        names = ["bucket", "part", "grp", "body", "ids", "about"]
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            lengths = np.array([len(h[2]) for h in held])
-            cur = known.code(np.concatenate([h[2] for h in held]))
-            prev = np.empty_like(cur)
-            prev[1:] = cur[:-1]
-            firsts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-            prev[firsts] = begin
-            doc = np.repeat((np.arange(len(held)) << 1 | np.array([h[1] for h in held], dtype=np.int64)).astype(np.uint32), lengths)
-            rare, rare_before = cur >= _RARE, prev >= _RARE
-            bucket = mixed(np.where(rare, cur, np.where(rare_before, prev, cur * np.uint64(TOP) + prev)), n * PARTS).astype(np.uint32)
-            order = np.lexsort((doc, prev, cur, bucket))
-            cur, prev, doc, bucket = cur[order], prev[order], doc[order], bucket[order]
-            new = np.concatenate([[True], (cur[1:] != cur[:-1]) | (prev[1:] != prev[:-1]) | (doc[1:] != doc[:-1])])
-            at = np.flatnonzero(new)
-            times = np.diff(np.append(at, len(cur))).astype(np.uint32)
-            cur, prev, doc, bucket = cur[at], prev[at], doc[at], bucket[at]
-            ends = np.searchsorted(bucket, np.arange(n * PARTS + 1))
-            full = np.flatnonzero(ends[1:] > ends[:-1])
-            body = [_pack(cur[a:b], prev[a:b], doc[a:b], times[a:b]) for a, b in zip(ends[full], ends[full + 1], strict=True)]
-            empty = pa.nulls(len(full), pa.list_(pa.string())), pa.nulls(len(full), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(full // PARTS, pa.int64()), pa.array(full % PARTS, pa.int64()), pa.array([place + made] * len(full), pa.int64()), pa.array(body, pa.binary()), *empty], names=names)
-            about = (lengths << 1 | np.array([h[1] for h in held])).tolist()
-            yield pa.RecordBatch.from_arrays([pa.array([(place + made) % n], pa.int64()), pa.array([-1], pa.int64()), pa.array([place + made], pa.int64()), pa.array([None], pa.binary()), pa.array([[h[0] for h in held]], pa.list_(pa.string())), pa.array([about], pa.list_(pa.int64()))], names=names)
+def _hot(rows: DataFrame, k: int) -> dict[tuple, tuple]:
+    """Sums of the hot histories, which are at most 2**20: those of more than a 2**20-th of all tokens."""
+    total: dict[tuple, tuple] = {}
+    for r in rows.where("kind = 'hot'").select("body").toLocalIterator():
+        *columns, mass = unpack(bytes(r["body"]), *["i8"] * (k - 1), *["i8"] * (K + 1), "f8")
+        for i in range(len(mass)):
+            h = tuple(int(c[i]) for c in columns[: k - 1])
+            kinds = np.array([int(c[i]) for c in columns[k - 1 :]])
+            old = total.get(h, (np.zeros(K + 1, np.int64), 0.0))
+            total[h] = (old[0] + kinds, old[1] + float(mass[i]))
+    return total
 
+
+def _words_asked(n: int):
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(it):
-            for key, out, t in zip(*(batch.column(c).to_pylist() for c in ("key", "held_out", "text")), strict=True):
-                held.append((key, out, codes(t)))
-                size += len(held[-1][2])
-                if size >= GROUP_TOKENS:
-                    yield from flush()
-                    held, size, made = [], 0, made + 1
-        if held:
-            yield from flush()
-
-    return docs.mapInArrow(run, "bucket long, part long, grp long, body binary, ids array<string>, about array<long>")
-
-
-def _counted(postings: DataFrame, words: Words, n: int) -> DataFrame:
-    """The pairs of each bucket counted: model rows, sums by document, and what pairs never seen ask of their context."""
-    shared = postings.sparkSession.sparkContext.broadcast((words.top_counts, words.n, words.d, words.unknown, words.end))
-
-    def count(bucket: int, rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        """Model rows and questions of one part; returns its sums by document."""
-        known = Words.__new__(Words)
-        known.top_counts, known.n, known.d, known.unknown, known.end = shared.value
-        groups = rows.column("grp").to_numpy()
-        parts = [_unpack(b.as_py(), "<u8", "<u8", "<u4", "<u4") for b in rows.column("body")]
-        grp = np.repeat(np.arange(len(parts), dtype=np.int32), [len(p[0]) for p in parts])
-        cur, prev, doc, times = ([p[i] for p in parts] for i in range(4))
-        del parts, rows
-        cur, prev = np.concatenate(cur), np.concatenate(prev)
-        order = np.lexsort((prev, cur))
-        cur, prev, grp = cur[order], prev[order], grp[order]
-        doc, times = np.concatenate(doc)[order], np.concatenate(times)[order].astype(np.int64)
-        del order
-        train = times * ((doc & 1) == 0)
-        new = np.concatenate([[True], (cur[1:] != cur[:-1]) | (prev[1:] != prev[:-1])])
-        at, pair = np.flatnonzero(new), np.cumsum(new) - 1
-        count = np.add.reduceat(train, at)  # of each pair
-        second, first = cur[at], prev[at]
-        word = np.cumsum(np.concatenate([[True], second[1:] != second[:-1]])) - 1
-        rare = np.bincount(word, weights=count).astype(np.int64)[word]  # of the second word, if it is all here
-        top = second < _RARE
-        c = np.where(top, known.top_counts[np.where(top, second, 0).astype(np.int64)] if len(known.top_counts) else 0, rare)
-        seen = count > 0
-        p, q = first[seen], second[seen]
-        yield _row("gram", bucket, body=_pack(p, q, count[seen].astype("<u4")))
-        yield _row("of_counts", bucket, a=np.bincount(np.minimum(count, K + 2), minlength=K + 3)[1 : K + 2])
-        # contexts: how many pairs of each small count, the sum of larger ones, and of the unigram model over all
-        contexts, back = np.unique(p, return_inverse=True)
-        small = count[seen] <= K
-        kind = back * (K + 1) + np.where(small, count[seen] - 1, K)
-        kinds = np.bincount(kind, weights=np.where(small, 1, count[seen]), minlength=len(contexts) * (K + 1)).astype(np.int64).reshape(-1, K + 1)
-        mass = np.bincount(back, weights=known.probability(c[seen]), minlength=len(contexts))
-        del back, kind
-        home = mixed(contexts, n)
-        by = np.argsort(home, kind="stable")
-        ends = np.searchsorted(home[by], np.arange(n + 1))
-        for k in np.flatnonzero(ends[1:] > ends[:-1]).tolist():
-            o = by[ends[k] : ends[k + 1]]
-            yield _row("context", k, body=_pack(contexts[o], kinds[o], mass[o]))
-        # documents: terms of the pair and of the second word
-        c, count, seen = c[pair], count[pair], seen[pair]
-        who = grp.astype(np.int64) << 32 | (doc >> 1).astype(np.int64)
-        log = np.where(seen & (count > K), np.log10(np.maximum(count, 1)), 0.0) + np.where(~seen & (c > K), np.log10(np.maximum(c, 1)), 0.0)
-        log -= np.where((c > 0) & (cur != known.end), np.log10(np.maximum(c, 1)), 0.0)
-        kind = np.where(seen, np.where(count > K, 1, 2 + np.minimum(count, K)), np.where(c > K, 2, 3 + K + np.minimum(c, K)))
-        unseen = np.flatnonzero(~seen)
-        ask = (prev[unseen], grp[unseen], doc[unseen] >> 1, times[unseen])
-        del count, seen, prev, cur, pair, doc, train, grp
-        docs, back = np.unique(who, return_inverse=True)
-        base, log = np.bincount(back, weights=times * np.log10(c + 0.1)), np.bincount(back, weights=times * log)
-        stats = np.bincount(back * _STATS + kind, weights=times, minlength=len(docs) * _STATS).astype(np.int32).reshape(-1, _STATS)
-        stats[:, 0] = np.bincount(back, weights=times * (c > 0))
-        v, g, d, m = ask
-        common = v < _RARE
-        for k in np.unique(g[common]).tolist():
-            o = common & (g == k)
-            yield _row("ask_top", int(groups[k]), a=v[o].view(np.int64), b=d[o].astype(np.int64), c=m[o].astype(np.int32))
-        home = np.where(common, -1, mixed(v, n))
-        for k in np.unique(home[~common]).tolist():
-            o = home == k
-            yield _row("ask", k, a=v[o].view(np.int64), b=groups[g[o]] << 22 | d[o].astype(np.int64), c=m[o].astype(np.int32))
-        return groups[docs >> 32] << 22 | docs & 0xFFFFFFFF, stats, base, log
+            for g, body in zip(batch.column("grp").to_pylist(), batch.column("body").to_pylist(), strict=True):
+                group = Hashed(body)
+                order, ends = group.requests(n)
+                trained = group.trained()[order]
+                yield _batch([_row("ask", b, g, pack(group.words[order[ends[b] : ends[b + 1]]], trained[ends[b] : ends[b + 1]])) for b in np.flatnonzero(ends[1:] > ends[:-1]).tolist()])
+
+    return run
+
+
+def _numbered(n: int):
+    """Groups with numbers for words: those of no number are all the one unknown word."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, rows in _by_key(it, "bucket"):
-            directory = rows.filter(pc.is_null(rows.column("body")))
-            for g, ids, about in zip(*(directory.column(c).to_pylist() for c in ("grp", "ids", "about")), strict=True):
-                yield _row("directory", g, ids=ids, a=about)
-            sums = []
-            for part in range(PARTS):
-                entries = rows.filter(pc.equal(rows.column("part"), part))
-                if entries.num_rows:
-                    sums.append((yield from count(bucket, entries)))
-            if not sums:
-                continue
-            docs, back = np.unique(np.concatenate([s[0] for s in sums]), return_inverse=True)
-            base, log = (np.bincount(back, weights=np.concatenate([s[i] for s in sums])) for i in (2, 3))
-            stats = np.zeros((len(docs), _STATS), np.int32)
-            np.add.at(stats, back, np.concatenate([s[1] for s in sums]))
-            del sums, back
-            ends = np.flatnonzero(np.concatenate([[True], docs[1:] >> 22 != docs[:-1] >> 22, [True]]))
-            for a, b in zip(ends, ends[1:], strict=False):
-                yield _row("sums", int(docs[a] >> 22), body=_pack((docs[a:b] & ((1 << 22) - 1)).astype("<u4"), stats[a:b], base[a:b], log[a:b]))
+        for g, rows in _by(it, "grp"):
+            group = Hashed(next(body for kind, _, _, body in rows if kind == "group"))
+            order, ends = group.requests(n)
+            number, count = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
+            for kind, b, _, body in rows:
+                if kind == "answer":
+                    o = order[ends[b] : ends[b + 1]]
+                    number[o], count[o] = unpack(body, "<i8", "<i8")
+            words, place = np.unique(number, return_index=True)
+            tokens = np.searchsorted(words, number)[group.tokens]
+            body = b"".join(len(x).to_bytes(8, "little") + x for x in (pack(words, count[place]), pack(tokens.astype("<u4")), pack(group.lengths, group.out)))
+            yield _batch([_row("group", -1, g, body)])
+
+    return run
+
+
+def _grams_asked(k: int, shared):
+    """Rows of what groups ask of level k, from their own row and the answers of the levels before."""
 
-    return materialise(postings.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(run, _R), "katz", "kind")
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for g, group in _answered(it, k - 1, shared):
+            group.extend()
+            order, ends, hot = group.requests(k)
+            low, base = group.lower(k)
+            seen = group.seen[k]
+            arrays = [group.columns[k][order, j] for j in range(k)] + [seen[order], np.where(seen > 0, low, 0)[order], np.where(seen > 0, base, 0)[order], hot.astype(np.uint8)]
+            yield _batch([_row("ask", -1, g, b"")] + [_row("ask", b, g, pack(*(a[ends[b] : ends[b + 1]] for a in arrays))) for b in np.flatnonzero(ends[1:] > ends[:-1]).tolist()])
+
+    return run
 
 
-def _flat(column: pa.ChunkedArray, kind=np.int64) -> np.ndarray:
-    return pa.concat_arrays([c.flatten() for c in column.chunks]).to_numpy(zero_copy_only=False).astype(kind, copy=False)
+def _answered(it: Iterator[pa.RecordBatch], levels: int, shared) -> Iterator[tuple[int, Group]]:
+    """Groups with the answers of levels 2 .. ``levels``. Kinds of answers end in their level."""
+    model, hot = shared.value
+    for g, rows in _by(it, "grp"):
+        group = _group(next(body for kind, _, _, body in rows if kind == "group"), model)
+        for k in range(2, levels + 1):
+            group.extend()
+            group.answer(k, {b: body for kind, b, _, body in rows if kind == f"answer{k}"}, hot.get(k, {}))
+        group.docs = next((body for kind, _, _, body in rows if kind == "docs"), None)
+        yield g, group
 
 
-def _contexts(counted: DataFrame, d: np.ndarray, n: int) -> DataFrame:
-    """The ``contexts`` table: words, counts, backoff weights (``alpha``) of each bucket; frequent words in rows of their own."""
+def _scores(order: int, shared):
+    names = ["key", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, rows in _by_key(it, "key"):
-            words, kinds, mass = _summed(*_unpacked(rows.column("body"), "<u8", ("<i8", K + 1), "<f8"))
-            small = kinds[:, :K] * np.arange(1, K + 1)
-            count = small.sum(axis=1) + kinds[:, K]
-            kept = (small * d[1:]).sum(axis=1) + (1 - TAIL) * kinds[:, K]
-            alpha = (1 - kept / count) / (1 - mass)
-            for is_top in (True, False):
-                o = (words < _RARE) == is_top
-                if o.any():
-                    lists = _lists(words[o].view(np.int64), count[o], alpha[o], kinds=(pa.int64(), pa.int64(), pa.float64()))
-                    yield pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), pa.array([is_top]), *lists], names=["key", "is_top", "words", "counts", "alpha"])
-
-    rows = counted.where("kind = 'context'").select("key", "body").repartition(n, "key").sortWithinPartitions("key")
-    return materialise(rows.mapInArrow(run, "key long, is_top boolean, words array<long>, counts array<long>, alpha array<double>"), "contexts")
-
-
-def _answers(counted: DataFrame, contexts: DataFrame, n: int) -> DataFrame:
-    """Rows (grp, documents, terms): the weights that unseen pairs of rare contexts asked for."""
-    asked = counted.where("kind = 'ask'").select("key", F.lit(1).alias("asks"), "a", "b", "c", F.lit(None).cast("array<double>").alias("x"))
-    given = contexts.where("not is_top").select("key", F.lit(0).alias("asks"), F.col("words").alias("a"), F.col("counts").alias("b"), F.lit(None).cast("array<int>").alias("c"), F.col("alpha").alias("x"))
+        for _, group in _answered(it, order, shared):
+            n, v = group.model["tokens"][0], group.model["types"][0]
+            log, c = group.evaluate(order)[group.gram[order]], group.count[1][group.tokens]
+            total = lambda x: np.add.reduceat(x, group.first)
+            base = total(np.log10(c + 0.1)) - group.lengths * math.log10(n + 0.1 * (v + 1))
+            keys = pa.ipc.open_stream(zstandard.decompress(group.docs)).read_all().column("key").combine_chunks()
+            columns = [keys, pa.array(group.out == 1), pa.array(group.lengths, pa.int64()), pa.array(total((c > 0).astype(np.int64))), pa.array(np.full(len(group.lengths), n, np.int64)), pa.array(base), pa.array(total(log))]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return run
+
+
+SCORES = "key string, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+
+
+def _run(docs: DataFrame, model: Model, order: int, group_tokens: int, hot: int, stored: bool) -> DataFrame:
+    """Scores of ``docs`` (key, held_out, text) under a model: a stored one, or that of the rows not held out, which is written."""
+    spark = docs.sparkSession
+    least = shuffle_partitions(spark)
+    about_tokens = int(docs.select(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]) // 5
+    group_tokens = max(group_tokens, math.isqrt(ROW_GRAMS * about_tokens))
+    about = model.about if stored else {}
+    n = about["buckets"][0] if stored else max(least, -(-about_tokens // max(BUCKET_TOKENS, group_tokens)))
+    work = Model(spark, f"{scratch_dir(spark)}/katz-work-{uuid.uuid4().hex}")
+    work.write(_group_rows(docs, group_tokens), "groups", by_kind=True)
+    groups, names = (work.read("groups").where(F.col("kind") == kind) for kind in ("group", "docs"))
+    asked = groups.select("grp", "body").mapInArrow(_words_asked(n), ROWS)
+    if stored:
+        asked = asked.unionByName(model.read("level1").where("kind = 'words'"))
+    (work if stored else model).write(_dealt(asked, n, "bucket").mapInArrow(_merge_words(n, stored), ROWS), "level1", by_kind=True)
+    release_shuffles(spark)
+    level1 = (work if stored else model).read("level1")
+    if not stored:
+        sizes = _sizes(level1)
+        tokens, types, *of = sizes.tolist() if len(sizes) else [0] * (K + 3)
+        about = {"order": [order], "tokens": [tokens], "types": [types], "docs": [_count_trained(groups)], "buckets": [n], "hot": [max(hot, tokens >> 20)], "of1": of}
+    answers = level1.where("kind = 'answer'")
+    work.write(_dealt(groups.unionByName(answers), least, "grp").mapInArrow(_numbered(n), ROWS), "numbered")
+    release_shuffles(spark)
+    work.remove("groups/kind=group")
+    numbered, hots, given = work.read("numbered"), {}, []
+    for k in range(2, order + 1):
+        shared = spark.sparkContext.broadcast((about, hots))
+        parts = numbered
+        for a in given:
+            parts = parts.unionByName(a)
+        asked = _dealt(parts, least, "grp").mapInArrow(_grams_asked(k, shared), ROWS).where("bucket >= 0")
+        if stored:
+            asked = asked.unionByName(model.read(f"level{k}").where("kind in ('grams', 'histories')"))
+        d = discounts(about[f"of{k - 1}"])
+        (work if stored else model).write(_dealt(asked, n, "bucket").mapInArrow(_merge_grams(k, d, stored), ROWS), f"level{k}", by_kind=True)
+        release_shuffles(spark)
+        level = (work if stored else model).read(f"level{k}")
+        if not stored:
+            of = _sizes(level)
+            about[f"of{k}"] = of.tolist() if len(of) else [0] * (K + 1)
+        hots[k] = _hot(model.read(f"level{k}"), k)
+        given.append(level.where("kind = 'answer'").select(F.lit(f"answer{k}").alias("kind"), "bucket", "grp", "body"))
+    if not stored:
+        model.set_about(about)
+    shared = spark.sparkContext.broadcast((about, hots))
+    parts = numbered.unionByName(names)
+    for a in given:
+        parts = parts.unionByName(a)
+    return _dealt(parts, least, "grp").mapInArrow(_scores(order, shared), SCORES)
+
+
+def _count_trained(groups: DataFrame) -> int:
+    """Documents that are not held out."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in _by_key(it, "key"):
-            asks = rows.column("asks").to_numpy() == 1
-            have, want = rows.filter(pa.array(~asks)), rows.filter(pa.array(asks))
-            if not want.num_rows:
-                continue
-            words, term = np.zeros(0, np.uint64), np.zeros(1)
-            if have.num_rows:
-                words = _flat(have.column("a")).view(np.uint64)
-                order = np.argsort(words)
-                words = words[order]
-                term = np.append(np.log10(_flat(have.column("x"), np.float64) * _flat(have.column("b")))[order], 0.0)
-            v, who, times = _flat(want.column("a")).view(np.uint64), _flat(want.column("b")), _flat(want.column("c"))
-            at = np.searchsorted(words, v)
-            hit = at < len(words)
-            hit[hit] = words[at[hit]] == v[hit]
-            docs, sums = _summed(who, times * term[np.where(hit, at, len(words))])  # a context never seen: weight one
-            groups = docs >> 22
-            ends = np.flatnonzero(np.concatenate([[True], groups[1:] != groups[:-1], [True]]))
-            for a, b in zip(ends, ends[1:], strict=False):
-                yield _row("answer", int(groups[a]), a=docs[a:b] & ((1 << 22) - 1), y=sums[a:b])
-
-    return asked.unionByName(given).repartition(n, "key").sortWithinPartitions("key").mapInArrow(run, _R)
-
-
-def score(docs: DataFrame, key: str = "doc_id", text: str = "text", held_out=None) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """Scores of all texts under the model of those that are not held out, and the tables of the model.
+        n = sum(int((Hashed(body).out == 0).sum()) for batch in batches(it) for body in batch.column("body").to_pylist())
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
+
+    return int(groups.select("body").mapInArrow(run, "n long").agg(F.sum("n")).first()[0] or 0)
+
+
+def _rows(docs: DataFrame, key: str, text: str, held_out) -> DataFrame:
+    small_batches(docs.sparkSession)
+    return docs.select(F.col(key).cast("string").alias("key"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(text).alias("text"))
+
+
+def score(docs: DataFrame, key: str = "doc_id", text: str = "text", held_out=None, order: int = ORDER, group_tokens: int = GROUP_TOKENS, hot: int = HOT) -> tuple[DataFrame, Model]:
+    """Scores of all texts under the model of those that are not held out, and that model.
 
     Scores: the key as text, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``. Null
-    texts are empty: one token, the end. Every row is scored, repeated rows as often as they occur; a null key stays null.
-    Without training rows all words are of the one unknown class, whose probability is 1. ``held_out`` is a Boolean column
-    (default: crc32 of the key as text, mod 10, is 0).
+    texts are empty: one token, the end. Every row is scored, repeated rows as often as they occur; a null key stays null. A
+    text is held whole in one task, however long. Other columns of ``docs`` are not looked at. Without training rows all words
+    are of the one unknown class, whose probability is 1. ``held_out`` is a Boolean column (default: crc32 of the key as text,
+    mod 10, is 0).
     """
     spark = docs.sparkSession
-    small_batches(spark)
-    n = shuffle_partitions(spark)
-    flag = crc32_mod(key, FOLDS) == HELD_OUT if held_out is None else held_out
-    rows = docs.select(F.col(key).cast("string").alias("key"), F.coalesce(flag, F.lit(False)).alias("held_out"), F.col(text).alias("text"))
-    unigrams = count_words(rows.where("not held_out"), "text", n)
-    release_shuffles(spark)
-    words = Words(unigrams, n)
-    counted = _counted(_postings(rows, words, n), words, n)
-    release_shuffles(spark)
-    of = counted.where("kind = 'of_counts'").agg(*[F.sum(F.col("a")[r]).alias(f"n{r}") for r in range(K + 1)]).first()
-    d = discounts([of[f"n{r}"] or 0 for r in range(K + 1)])
-    contexts = _contexts(counted, d, n)
-    top = contexts.where("is_top").select("words", "counts", "alpha").toPandas()  # at most TOP words and the start
-    term = np.zeros(len(words.top) + 1)
-    for w, c, a in zip(top["words"], top["counts"], top["alpha"], strict=True):
-        term[np.asarray(w, dtype=np.int64)] = np.log10(np.asarray(c, dtype=np.float64) * np.asarray(a))
-    with np.errstate(divide="ignore"):
-        pair_terms = np.log10(d[1:] * np.arange(1, K + 1))
-        word_terms = np.log10(words.probability(np.arange(K + 1)))
-        log_n, tail = math.log10(max(1, words.n)), math.log10(1 - TAIL)
-    base_total = math.log10(words.n + 0.1 * (words.v + 1))
-    start = math.log10(words.docs) if words.docs else 0.0
-    shared = spark.sparkContext.broadcast((term, pair_terms, word_terms))
-    train_tokens = words.n
-
-    def finish(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        term, pair_terms, word_terms = shared.value
-        for _, rows in _by_key(it, "key"):
-            by = {k: rows.filter(pc.equal(rows.column("kind"), k)) for k in ("directory", "sums", "answer", "ask_top")}
-            about = _flat(by["directory"].column("a"))
-            tokens, out = about >> 1, (about & 1) == 1
-            base, log, stats = np.zeros(len(about)), np.full(len(about), -start), np.zeros((len(about), _STATS), np.int64)
-            if by["sums"].num_rows:
-                at, more, x, y = _unpacked(by["sums"].column("body"), "<u4", ("<i4", _STATS), "<f8", "<f8")
-                np.add.at(base, at, x)
-                np.add.at(log, at, y)
-                np.add.at(stats, at, more)
-            if by["answer"].num_rows:
-                np.add.at(log, _flat(by["answer"].column("a")), _flat(by["answer"].column("y"), np.float64))
-            if by["ask_top"].num_rows:
-                np.add.at(log, _flat(by["ask_top"].column("b")), _flat(by["ask_top"].column("c")) * term[_flat(by["ask_top"].column("a"))])
-            log += stats[:, 1] * tail + stats[:, 2] * (tail - log_n) + stats[:, 3 : 3 + K] @ pair_terms + stats[:, 3 + K :] @ word_terms
-            yield pa.RecordBatch.from_arrays(
-                [by["directory"].column("ids").combine_chunks().flatten(), pa.array(out), pa.array(tokens), pa.array(stats[:, 0]), pa.array(np.full(len(about), train_tokens)), pa.array(base - tokens * base_total), pa.array(log)],
-                names=["key", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-            )
-
-    parts = counted.where("kind in ('directory', 'sums', 'ask_top')").unionByName(_answers(counted, contexts, n))
-    done = parts.select("kind", "key", "body", "ids", "a", "b", "c", "y").repartition(n, "key").sortWithinPartitions("key")
-    scores = done.mapInArrow(finish, "key string, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
-    return scores, {"unigrams": unigrams, "grams": counted.where("kind = 'gram'").select("key", "body"), "contexts": contexts}
+    model = Model(spark, f"{scratch_dir(spark)}/katz-model-{uuid.uuid4().hex}")
+    rows = _rows(docs, key, text, crc32_mod(key, FOLDS) == HELD_OUT if held_out is None else held_out)
+    return _run(rows, model, order, group_tokens, hot, False), model
+
+
+def score_with(model: Model, docs: DataFrame, key: str = "doc_id", text: str = "text", group_tokens: int = GROUP_TOKENS) -> DataFrame:
+    """Scores of other texts under a stored model, with the columns of ``score``; all rows count as held out."""
+    return _run(_rows(docs, key, text, F.lit(True)), model, model.about["order"][0], group_tokens, HOT, True)
 
 
 def op1_katz(spark, sf_dir: str) -> DataFrame:

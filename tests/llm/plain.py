@@ -79,38 +79,55 @@ def contamination(docs, items, window=10):
     return out
 
 
-def katz(texts, train, discounts, k, tail):
+def katz(texts, train, discounts, k, tail, order=3):
+    """Per text: tokens, known ones, training tokens, base score and log10 probability, by the recursion as it is written."""
     import math
 
     split = [re.findall(r"[^\x20\x09-\x0D]+", lowered(t)) + ["\n"] for t in texts]
-    words, pairs, contexts = Counter(), Counter(), Counter()
+    grams = [None, *(Counter() for _ in range(order))]
     for w, use in zip(split, train, strict=True):
         if use:
-            words.update(w)
-            for p in zip([" ", *w[:-1]], w, strict=True):
-                pairs[p] += 1
-                contexts[p[0]] += 1
-    n, v = sum(words.values()), len(words)
-    d1, d2 = (discounts([sum(x == r for x in c.values()) for r in range(1, k + 2)]) for c in (words, pairs))
-    d = lambda table, r: table[r] if r <= k else 1 - tail
-    p1 = {w: d(d1, c) * c / n for w, c in words.items()}
-    unknown = 1 - sum(p1.values())
-    kept, mass = defaultdict(float), defaultdict(float)
-    for (a, b), c in pairs.items():
-        kept[a] += d(d2, c) * c / contexts[a]
-        mass[a] += p1[b]
-
-    def p(a, b):
-        if c := pairs[a, b]:
-            return d(d2, c) * c / contexts[a]
-        return ((1 - kept[a]) / (1 - mass[a]) if contexts[a] else 1) * p1.get(b, unknown)
-
-    for a in contexts:  # each context's probabilities sum to one
-        assert abs(sum(p(a, w) for w in words) + p(a, None) - 1) < 1e-9
+            padded = [" "] * (order - 1) + w
+            for i in range(order - 1, len(padded)):
+                for m in range(1, order + 1):
+                    grams[m][tuple(padded[i - m + 1 : i + 1])] += 1
+    n, v = sum(grams[1].values()), len(grams[1])
+    tables = [None] + [discounts([sum(x == r for x in g.values()) for r in range(1, k + 2)]) for g in grams[1:]]
+    d = lambda m, r: tables[m][r] if r <= k else 1 - tail
+    unknown = 1 - sum(d(1, c) * c / n for c in grams[1].values()) if n else 1
+    followers = [None, *(defaultdict(list) for _ in range(order))]
+    for m in range(2, order + 1):
+        for g, c in grams[m].items():
+            followers[m][g[:-1]].append((g[-1], c))
+    alphas = {}
+
+    def alpha(h):
+        if h not in alphas:
+            m, own = len(h) + 1, followers[len(h) + 1][h]
+            total = sum(c for _, c in own)
+            alphas[h] = (1 - sum(d(m, c) * c / total for _, c in own)) / (1 - sum(p(h[1:], w) for w, _ in own)) if own else 1
+        return alphas[h]
+
+    totals = {}
+
+    def p(h, w):
+        m = len(h) + 1
+        if m == 1:
+            return d(1, grams[1][w,]) * grams[1][w,] / n if grams[1][w,] else unknown
+        if c := grams[m][(*h, w)]:
+            if h not in totals:
+                totals[h] = sum(x for _, x in followers[m][h])
+            return d(m, c) * c / totals[h]
+        return alpha(h) * p(h[1:], w)
+
+    for h in list(followers[order])[:40]:  # the probabilities of a history sum to one
+        assert abs(sum(p(h, w) for (w,) in grams[1]) + p(h, None) - 1) < 1e-9
     out = []
     for w in split:
-        base = sum(math.log10((words[x] + 0.1) / (n + 0.1 * (v + 1))) for x in w)
-        out.append((len(w), sum(x in words for x in w), n, base, sum(math.log10(p(a, b)) for a, b in zip([" ", *w[:-1]], w, strict=True))))
+        base = sum(math.log10((grams[1][x,] + 0.1) / (n + 0.1 * (v + 1))) for x in w)
+        padded = [" "] * (order - 1) + w
+        logs = sum(math.log10(p(tuple(padded[i - order + 1 : i]), padded[i])) for i in range(order - 1, len(padded)))
+        out.append((len(w), sum(grams[1][x,] > 0 for x in w), n, base, logs))
     return out
 
 

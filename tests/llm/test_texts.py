@@ -141,33 +141,48 @@ def test_token_counts_stay_with_their_rows_after_a_shuffle(spark):
         assert {r.doc_id: r.n_tokens for r in got} == expected and len(got) == 600
 
 
-def test_katz_against_plain(spark, texts):
+@pytest.mark.parametrize(("order", "hot", "tokens"), [(2, 1 << 19, 1 << 20), (3, 20, 10), (4, 5, 10)])
+def test_katz_against_plain(spark, texts, order, hot, tokens):
     rng = random.Random(6)
     v = [f"v{int(rng.paretovariate(0.7)) % 60}" for _ in range(400)]
-    docs = [*texts, *[words(rng, rng.randint(1, 60), v) for _ in range(120)], "never seen words"]
-    df = spark.createDataFrame(rows(docs), SCHEMA)
+    docs = [*texts, *[words(rng, rng.randint(1, 60), v) for _ in range(120)], "never seen words", *["the pair " * 3] * 40]
+    df = spark.createDataFrame(rows(docs), SCHEMA).repartition(5)
     held = [zlib.crc32(str(i).encode()) % 10 == 0 for i in range(len(docs))]
-    expected = plain.katz(docs, [not h for h in held], katz.discounts, katz.K, katz.TAIL)
-    got, model = katz.score(df)
-    got = {int(r.key): r for r in got.collect()}
+    expected = plain.katz(docs, [not h for h in held], katz.discounts, katz.K, katz.TAIL, order)
+    scores, model = katz.score(df, order=order, hot=hot, group_tokens=tokens)
+    got = {int(r.key): r for r in scores.collect()}
+    assert len(got) == len(docs)
     for i, (n, known, train, base, score) in enumerate(expected):
         r = got[i]
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[i], n, known, train)
         assert r.base_score == pytest.approx(base, rel=1e-9) and r.score == pytest.approx(score, rel=1e-9)
-    firsts = sum(int(katz.pairs_of(r.body)[2].sum()) for r in model["grams"].collect())
-    assert firsts == expected[0][2] and model["unigrams"].agg(F.sum("n")).first()[0] == expected[0][2] and set(model) == {"unigrams", "grams", "contexts"}
+    train = expected[0][2]
+    assert model.unigrams().agg(F.sum("count")).first()[0] == train
+    for k in range(2, order + 1):
+        assert model.grams(k).agg(F.sum("count")).first()[0] == train and model.contexts(k).agg(F.sum("count")).first()[0] == train
+        assert model.contexts(k).where("alpha <= 0 or alpha is null").count() == 0
+    # the stored model gives other texts, and the same ones, the scores of the recursion
+    again = katz.score_with(model, df.where("doc_id % 3 = 0"), group_tokens=tokens).collect()
+    assert len(again) == len(docs[::3]) and all(r.held_out and r.score == pytest.approx(expected[int(r.key)][4], rel=1e-9) for r in again)
+
+
+def test_katz_of_few_rows(spark, texts):
+    df = spark.createDataFrame(rows(texts), SCHEMA)
     assert katz.score(df.limit(0))[0].count() == 0
     untrained = katz.score(df, held_out=F.lit(True))[0].collect()
-    assert len(untrained) == len(docs) and all(r.score == 0 for r in untrained)
+    assert len(untrained) == len(texts) and all(r.score == 0 for r in untrained)
     assert len(katz.score(spark.createDataFrame([(None, "a"), (1, "a"), (1, "a")], "doc_id long, text string"))[0].collect()) == 3
 
 
-def test_katz_groups_and_frequent_words(spark, monkeypatch):
-    monkeypatch.setattr(katz, "TOP", 8)
-    monkeypatch.setattr(katz, "GROUP_TOKENS", 40)
-    rng = random.Random(7)
-    docs = [words(rng, rng.randint(0, 30), [f"v{int(rng.paretovariate(0.6)) % 40}" for _ in range(50)]) for _ in range(80)]
-    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
-    expected = plain.katz(docs, [zlib.crc32(str(i).encode()) % 10 != 0 for i in range(80)], katz.discounts, katz.K, katz.TAIL)
-    got = {int(r.key): r.score for r in katz.score(df)[0].collect()}
-    assert all(got[i] == pytest.approx(e[4], rel=1e-9) for i, e in enumerate(expected))
+def test_discounts_lie_between_nothing_and_all():
+    for of in ([], [5], [0, 0, 3], [10, 10, 10, 10, 10, 10], [1, 2, 3, 4, 5, 6], [1000, 300, 120, 70, 40, 30]):
+        d = katz.discounts(of)
+        assert d[0] == 0 and all(0 < x < 1 for x in d[1:]) and list(d) == sorted(d)
+
+
+def test_rows_of_a_frequent_pair_are_bounded_by_groups(spark):
+    """A pair in every document has one entry for each group, not for each document."""
+    df = spark.createDataFrame([(i, "hot pair " + str(i)) for i in range(2000)], "doc_id long, text string").repartition(4)
+    _, model = katz.score(df, group_tokens=1000)
+    assert model.grams(2).where("count >= 1500").count() >= 1
+    assert model.read("level2").where("kind = 'answer'").select("grp").distinct().count() <= 12
