@@ -72,11 +72,13 @@ def national_points(total, body_weight, gender, age, youth_factor=None) -> list[
     """FN-7: three columns of which one at most is set: open 21-30, youth 10-20 (the *total* times the youth factor), masters."""
     q = points(total, body_weight, gender)
     valid = (col(total) > 0) & (col(body_weight) > 0) & sex(gender).isNotNull()
+    # products of values with few digits are exact decimals, so that halves round the same way everywhere
+    exact = lambda value, factor: F.round(value.cast("decimal(14,3)") * factor.cast("decimal(8,4)"), 2).cast("double")
     youth = F.lit(1.0) if youth_factor is None else col(youth_factor)
     return [
         F.when(valid & col(age).between(21, 30), q).alias("qpoints"),
-        F.when(valid & col(age).between(10, 20), F.round(col(total) * youth, 2)).alias("q_youth"),
-        F.when(valid & is_master(gender, age), F.round(q * age_factor(age, gender), 2)).alias("q_masters"),
+        F.when(valid & col(age).between(10, 20), exact(col(total), youth)).alias("q_youth"),
+        F.when(valid & is_master(gender, age), exact(q, age_factor(age, gender))).alias("q_masters"),
     ]
 
 

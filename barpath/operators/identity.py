@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barpath.functions.attempts import overlap
 from barpath.operators.tables import first_by
 
 
@@ -42,9 +43,50 @@ def case_type(score: Column) -> Column:
 
 
 def merge_by(df: DataFrame, shared: str, key: str) -> DataFrame:
-    """DQ-12, 14: every row with its master, the smallest key that shares the value; rows without one are their own."""
-    master = F.min(key).over(Window.partitionBy(shared))
-    return df.withColumn("master", F.when(F.col(shared).isNotNull(), master).otherwise(F.col(key)))
+    """DQ-12, 14: every row with its master, the smallest key that shares the value; rows without one are their own, and meet
+    in no window."""
+    known = df.where(F.col(shared).isNotNull()).withColumn("master", F.min(key).over(Window.partitionBy(shared)))
+    return known.unionByName(df.where(F.col(shared).isNull()).withColumn("master", F.col(key)))
+
+
+def _words(name) -> Column:
+    return F.array_distinct(F.split(F.lower(name), " "))
+
+
+def contained(a: DataFrame, b: DataFrame) -> DataFrame:
+    """JOIN-11: rows of ``a`` (name, birth_year) and of ``b`` (other_name, birth_year) born in one year, where all words of the
+    other name, two or more, are in the name. The year and the last word of the other name are the join key."""
+    long = a.withColumn("__key", F.explode(_words("name")))
+    other = b.withColumn("__w", _words("other_name")).where(F.size("__w") >= 2).withColumn("__key", F.element_at("__w", -1))
+    return long.join(other, ["birth_year", "__key"]).where(F.size(F.array_except("__w", _words("name"))) == 0).drop("__key", "__w")
+
+
+def link(i: DataFrame, u: DataFrame, people: DataFrame, manual: DataFrame, banned: Callable[[Column, Column], Column]) -> DataFrame:
+    """DQ-9: athletes of two federations: ``iwf, usaw, decision, confidence``.
+
+    ``i``: ir (a result), iwf, name, meet_id, total, birth_year, a (six attempts); ``u``: usaw, name, meet_id, total, a;
+    ``people``: usaw, name, birth_year; ``manual``: iwf, usaw. At each result, in this order: the manual partner if it is at
+    the meet; of the partners of the same name, or whose last name word and attempts agree, the one of the nearest total,
+    unless it is ``banned`` (unmatched) or one of several (ambiguous); the same words but other attempts (physics failed);
+    else unmatched. An athlete's best step over all results counts; one without a partner gets the only person born in the
+    same year whose name words are all in the athlete's, at a confidence of 90.
+    """
+    words = i.withColumn("__w", F.explode(_words("name")))
+    other = u.select("usaw", F.col("name").alias("__name"), "meet_id", F.col("total").alias("__total"), F.col("a").alias("__a")).withColumn("__w", F.element_at(_words("__name"), -1))
+    pairs = words.join(other, ["meet_id", "__w"])
+    pairs = pairs.select("ir", "usaw", F.abs(F.col("total") - F.col("__total")).alias("delta"), ((F.col("name") == F.col("__name")) | F.coalesce(overlap(F.col("a"), F.col("__a")), F.lit(False))).alias("ok"))
+    best = pairs.groupBy("ir").agg(F.min(F.when(F.col("ok"), F.col("delta"))).alias("best"))
+    near = pairs.join(best, "ir").groupBy("ir").agg(F.min(F.when(F.col("ok") & (F.col("delta") == F.col("best")), F.col("usaw"))).alias("usaw"), F.count_distinct(F.when(F.col("ok") & (F.col("delta") == F.col("best")), F.col("usaw"))).alias("n"))
+    held = i.join(manual.withColumnRenamed("usaw", "by_hand"), "iwf").join(u.select("meet_id", F.col("usaw").alias("by_hand")).distinct(), ["meet_id", "by_hand"]).select("ir", "by_hand").distinct()
+    step = F.when(F.col("by_hand").isNotNull(), 5).when(F.col("n").isNull(), 1).when(F.col("n") == 0, 2).when(F.col("n") > 1, 3).when(banned(F.col("iwf"), F.col("usaw")), 1).otherwise(4)
+    steps = i.select("ir", "iwf", "name", "birth_year").join(near, "ir", "left").join(held, "ir", "left").select("iwf", "name", "birth_year", step.alias("step"), F.coalesce("by_hand", "usaw").alias("usaw"))
+    linked = steps.where("step >= 4").select("iwf", "usaw").distinct().select("iwf", "usaw", F.lit("linked").alias("decision"), F.lit(100).alias("confidence"))
+    whole = steps.groupBy("iwf").agg(F.max("birth_year").alias("birth_year"), F.max("name").alias("name"), F.max("step").alias("step")).where("step < 4")
+    found = contained(whole, people.withColumnRenamed("name", "other_name")).where(~banned(F.col("iwf"), F.col("usaw")))
+    found = found.groupBy("iwf").agg(F.min("usaw").alias("usaw"), F.count("*").alias("n")).where("n = 1").select("iwf", "usaw", F.lit("linked").alias("decision"), F.lit(90).alias("confidence"))
+    why = F.when(F.col("step") == 3, "ambiguous").when(F.col("step") == 2, "physics_failed").otherwise("unmatched")
+    rest = whole.join(found, "iwf", "left_anti").select("iwf", F.lit(None).cast(u.schema["usaw"].dataType).alias("usaw"), why.alias("decision"), F.lit(0).alias("confidence"))
+    return linked.unionByName(found).unionByName(rest)
 
 
 def completeness(stored: DataFrame, source: DataFrame, key: str) -> DataFrame:

@@ -112,10 +112,19 @@ def with_percentile(df: DataFrame, value: str, keys: list[str], out: str) -> Dat
     return df.join(ranks, same).select(*[df[c] for c in df.columns], out)
 
 
-def quantile_map(values: Column, points: int = 101) -> Column:
-    """AGG-26: of a sorted array the elements at floor(i / 100 * n), i from 0 to 100."""
-    n = F.size(values)
-    return F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda i: F.element_at(values, F.least(n, F.floor((i / F.lit(100.0)) * n).cast("int") + 1)))
+def quantile_points(counts: DataFrame, keys: list[str], value: str, count: str, points: int = 101) -> DataFrame:
+    """AGG-26: ``i`` from 0 to 100 and ``value``, the element at floor(i / 100 n) of the sorted values of a key.
+
+    Values come with their counts, so the windows see a row for each distinct value. Each value gives the points that lie
+    between the number of smaller values and that of those up to it.
+    """
+    w = Window.partitionBy(*keys)
+    upto = F.sum(count).over(w.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    rows = counts.withColumns({"__upto": upto, "__n": F.sum(count).over(w)})
+    last = F.lit(points - 1)
+    at = lambda i: F.least(F.col("__n") - 1, F.floor((i / F.lit(float(points - 1))) * F.col("__n")))
+    own = F.filter(F.sequence(F.lit(0), last), lambda i: (at(i) >= F.col("__upto") - F.col(count)) & (at(i) < F.col("__upto")))
+    return rows.select(*keys, F.col(value).alias("value"), F.explode(own).alias("i"))
 
 
 def map_percentile(points: Column, value: Column) -> Column:
@@ -125,14 +134,41 @@ def map_percentile(points: Column, value: Column) -> Column:
 
 
 def distributions(careers: DataFrame, people: DataFrame, metrics: list[str]) -> DataFrame:
-    """AGG-25: sorted values and their number for each demographic bucket and metric. ``people``: lifter_id, source, gender, age."""
+    """AGG-25: for each demographic bucket and metric its distinct values and how often each occurs (``n``): the sorted array
+    of the bucket as rows, so that no bucket has to fit in a task. ``people``: lifter_id, source, gender, age."""
     long = careers.unpivot("lifter_id", metrics, "metric", "value").where("value is not null")
     tagged = long.join(people, "lifter_id").select("metric", "value", F.explode(divisions.buckets("source", "gender", "age")).alias("bucket"))
-    return tagged.groupBy("bucket", "metric").agg(F.sort_array(F.collect_list("value")).alias("values"), F.count("*").alias("n"))
+    return tagged.groupBy("bucket", "metric", "value").agg(F.count("*").alias("n"))
 
 
-def medals(ranked: DataFrame) -> DataFrame:
-    """AGG-27: medals of each lifter by kind of lift and colour."""
-    long = ranked.unpivot(["lifter_id"], ["snatch_rank", "cj_rank", "total_rank"], "lift", "place").where("place between 1 and 3")
+def medals(ranked: DataFrame, by: list[str] = ["lift"]) -> DataFrame:  # noqa: B006
+    """AGG-27: medals of each lifter by colour and by kind of lift, or by other columns such as the level of the meet."""
+    keep = [c for c in by if c != "lift"]
+    long = ranked.unpivot(["lifter_id", *keep], ["snatch_rank", "cj_rank", "total_rank"], "lift", "place").where("place between 1 and 3")
     count = lambda n, name: F.count_if(F.col("place") == n).alias(name)
-    return long.groupBy("lifter_id", "lift").agg(count(1, "gold"), count(2, "silver"), count(3, "bronze"))
+    return long.groupBy("lifter_id", *by).agg(count(1, "gold"), count(2, "silver"), count(3, "bronze"))
+
+
+def medal_list(ranked: DataFrame) -> DataFrame:
+    """AGG-27: the results of each lifter that won a medal, the latest first."""
+    won = ranked.where(F.least("snatch_rank", "cj_rank", "total_rank") <= 3)
+    rows = F.sort_array(F.collect_list(F.struct("date", F.col("result_id").cast("string").alias("__order"), "result_id", "snatch_rank", "cj_rank", "total_rank")), asc=False)
+    return won.groupBy("lifter_id").agg(rows.alias("medals"))
+
+
+def name_tokens(*columns) -> Column:
+    """Distinct words of three letters or more of names, no numbers."""
+    words = F.split(F.regexp_replace(F.lower(F.concat_ws(" ", *columns)), "[^a-z0-9 ]", ""), " ")
+    return F.array_distinct(F.filter(words, lambda x: (F.length(x) > 2) & ~x.rlike("^[0-9]+$")))
+
+
+def nearest_meet(meets: DataFrame, others: DataFrame, days: int = 14) -> DataFrame:
+    """JOIN-9: of the meets within ``days`` days the one that shares most words of name and level, at least one; of equals the
+    smallest id. Each meet is copied to the bins of days it can match in, so the range join is an equi-join."""
+    day = F.datediff(F.to_date("meet_date"), F.lit("1970-01-01"))
+    a = meets.select("meet_id", name_tokens("meet_name", "level").alias("w"), day.alias("d")).withColumn("bin", F.explode(F.array(*[F.floor(F.col("d") / days) + k for k in (-1, 0, 1)])))
+    b = others.select(F.col("meet_id").alias("other"), name_tokens("meet_name", "level").alias("w2"), day.alias("d2")).withColumn("bin", F.floor(F.col("d2") / days))
+    near = a.join(b, "bin").where((F.col("meet_id") != F.col("other")) & (F.abs(F.col("d") - F.col("d2")) <= days))
+    shared = near.select("meet_id", "other", F.size(F.array_intersect("w", "w2")).cast("long").alias("shared")).where("shared > 0")
+    best = shared.groupBy("meet_id").agg(F.min_by(F.struct("other", "shared"), F.struct(-F.col("shared"), "other")).alias("b"))
+    return best.select("meet_id", "b.other", "b.shared")

@@ -32,11 +32,12 @@ def insert_ignore(target: DataFrame, new: DataFrame, keys: Sequence[str]) -> Dat
 
 
 def changes(old: DataFrame, new: DataFrame, keys: Sequence[str], fields: Sequence[str]) -> DataFrame:
-    """SNK-7: keys with ``status`` new, updated, unchanged or gone; nulls are equal to nulls."""
+    """SNK-7: keys with ``status`` new, updated, unchanged or gone, failed for rows of no key; nulls are equal to nulls."""
     a = old.select(*keys, F.lit(True).alias("__old"), F.struct(*fields).alias("__a"))
     b = new.select(*keys, F.lit(True).alias("__new"), F.struct(*fields).alias("__b"))
     same = reduce(lambda x, y: x & y, (F.col("__a")[f].eqNullSafe(F.col("__b")[f]) for f in fields))
-    status = F.when(F.col("__old").isNull(), "new").when(F.col("__new").isNull(), "gone").when(same, "unchanged").otherwise("updated")
+    none = reduce(lambda x, y: x & y, (F.col(k).isNull() for k in keys))
+    status = F.when(none, "failed").when(F.col("__old").isNull(), "new").when(F.col("__new").isNull(), "gone").when(same, "unchanged").otherwise("updated")
     return a.join(b, list(keys), "full_outer").select(*keys, status.alias("status"))
 
 
@@ -57,9 +58,9 @@ def fill_in(target: DataFrame, new: DataFrame, key: str, fields: Sequence[str])
     return target.join(renamed, key, "left").withColumns({f: F.coalesce(f"__{f}", f) for f in fields}).drop(*[f"__{f}" for f in fields])
 
 
-def fingerprint(columns: Sequence[str]) -> Column:
+def fingerprint(columns: Sequence[str | Column]) -> Column:
     """AGG-35: md5 of the columns as text, nulls marked."""
-    return F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in columns]).cast("binary"))
+    return F.md5(F.concat_ws("|", *[F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("NULL")) for c in columns]).cast("binary"))
 
 
 def missing(a: DataFrame, b: DataFrame, on: Sequence[str]) -> DataFrame:

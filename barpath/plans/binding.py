@@ -28,7 +28,7 @@ VIEWS = {
             'Athlete ' || CAST(o_custkey % 700 AS STRING) AS lifter_name,
             CASE WHEN o_custkey % 13 = 0 THEN NULL ELSE CAST(o_custkey % 1100 AS STRING) END AS membership_number,
             CASE WHEN o_orderkey % 3 = 0 THEN 'IWF' ELSE 'USAW' END AS source, CAST(o_orderdate AS TIMESTAMP) AS created_at
-        FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE o_custkey % 29 <> 0""",
+        FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""",
     "bests": f"""
         SELECT *, COALESCE({_LIFT.format(', '.join(_INT.format(f's{k}') for k in (1, 2, 3)))}, 0) AS best_snatch,
             COALESCE({_LIFT.format(', '.join(_INT.format(f'c{k}') for k in (1, 2, 3)))}, 0) AS best_cj
@@ -50,13 +50,15 @@ VIEWS = {
             CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_custkey % 1300 END AS internal_id,
             CASE WHEN c_custkey % 2 = 0 THEN 'M' ELSE 'F' END AS gender,
             CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE CAST(1995 - (8 + c_custkey % 75) AS INT) END AS birth_year, c_acctbal AS balance
-        FROM customer""",
+        FROM customer
+        UNION ALL SELECT -c_custkey, 'Athlete ' || CAST(c_custkey % 700 AS STRING), CAST(c_custkey % 1100 AS STRING), NULL, CASE WHEN c_custkey % 2 = 0 THEN 'M' ELSE 'F' END, NULL, 0
+        FROM customer WHERE c_custkey % 29 = 0""",
     "listings": """
         SELECT meet_id * 10 AS listing_id, meet_name, meet_date AS start_date, SUBSTRING(meet_date, 1, 8) || '28' AS end_date,
             CASE WHEN meet_id % 3 = 0 THEN NULL ELSE meet_id END AS meet_id FROM meets""",
     "entries": """
         SELECT result_id AS entry_id, meet_id * 10 AS listing_id, CAST(lifter_id AS STRING) AS lifter_text, CAST(total + lifter_id % 11 - 5 AS INT) AS entry_total
-        FROM results WHERE result_id % 2 = 0""",
+        FROM results""",
     "clubs": """
         SELECT club_name, MIN(wso) AS wso, CAST(200 + (COUNT(*) * 37) % 300 AS DOUBLE) / 10 AS latitude, CAST((COUNT(*) * 53) % 500 - 1200 AS DOUBLE) / 10 AS longitude
         FROM results GROUP BY club_name""",

@@ -48,13 +48,16 @@ def src_6(v):
     return readers.scrapes(v.spark, path, multi_line=False).select("internal_id", "athlete_name", "meet_name", "date", "total")
 
 
-@query("src_7_result_cards", """, t AS (SELECT result_id, lifter_id, weight_class, UNNEST([s1, s2, s3]) AS a, UNNEST([1, 2, 3]) AS n FROM results), k AS (SELECT *, TRY_CAST(a AS INT) AS x FROM t)
-    SELECT result_id, weight_class, lifter_id AS athlete_id, CAST(COUNT(x) AS INT) AS n, CAST(SUM(x) AS BIGINT) AS total FROM k GROUP BY 1, 2, 3""")
+@query("src_7_result_cards", """, t AS (SELECT result_id, lifter_id, weight_class, birth_year, 'snatch' AS lift, UNNEST([s1, s2, s3]) AS a FROM results UNION ALL SELECT result_id, lifter_id, weight_class, birth_year, 'cj', UNNEST([c1, c2, c3]) FROM results)
+    SELECT result_id, weight_class, lift, lifter_id AS athlete_id, birth_year, CAST(COUNT(TRY_CAST(a AS INT)) AS INT) AS n, CAST(SUM(TRY_CAST(a AS INT)) AS BIGINT) AS total FROM t GROUP BY 1, 2, 3, 4, 5""")
 def src_7(v):
     lift = lambda c: F.coalesce(F.regexp_replace(F.when(F.col(c).startswith("-") & (F.col(c) != "---"), F.concat(F.lit("<strike>"), F.substring(c, 2, 9), F.lit("</strike>"))).when(F.col(c) != "---", F.concat(F.lit("<i>"), c, F.lit("</i>"))), "^$", ""), F.lit("---"))
-    html = F.concat(F.lit("<h3> "), "weight_class", F.lit(' </h3><div class="card"><a href="/athlete/?a=1&id='), F.col("lifter_id").cast("string"), F.lit('">x</a>'), lift("s1"), lift("s2"), lift("s3"), F.lit("</div>"))
+    born = F.coalesce(F.concat(F.lit('<p class="normal__text">Born: Jan 02, '), F.col("birth_year").cast("string"), F.lit("</p>")), F.lit(""))
+    card = lambda k: F.concat(F.lit('<div class="card"><a href="/athlete/?a=1&id='), F.col("lifter_id").cast("string"), F.lit('">x</a>'), born, *[lift(f"{k}{i}") for i in (1, 2, 3)], F.lit("</div>"))
+    html = F.concat(F.lit("<h3> "), "weight_class", F.lit(" </h3><p>Snatch</p>"), card("s"), F.lit("<p>Clean &amp; Jerk</p>"), card("c"))
     cards = readers.result_blocks(v.results.select("result_id", html.alias("html")), "html")
-    return cards.select("result_id", "weight_class", "athlete_id", F.size("attempts").alias("n"), F.when(F.size("attempts") > 0, F.aggregate("attempts", F.lit(0).cast("long"), lambda a, x: a + x)).alias("total"))
+    total = F.when(F.size("attempts") > 0, F.aggregate("attempts", F.lit(0).cast("long"), lambda a, x: a + x))
+    return cards.select("result_id", "weight_class", "lift", "athlete_id", "birth_year", F.size("attempts").alias("n"), total.alias("total"))
 
 
 @query("src_9_sanction_cards", """, s AS (SELECT lifter_id, athlete_name AS name, CASE WHEN lifter_id % 2 = 0 THEN 'FRA' ELSE 'BRA' END AS nation, '01.02.' || CAST(2000 + lifter_id % 20 AS VARCHAR) AS since, 'S' || CAST(lifter_id % 4 AS VARCHAR) AS substance FROM lifters)
@@ -101,14 +104,18 @@ def win_3b(v):
 def stm_4(v):
     path, events = readers.fresh_path(v.spark, "rebuilt"), f"{v.sf_dir}/events.parquet"
     document = lambda df: df.groupBy("user_id").agg(F.count("*").alias("n"), F.max("event_id").alias("last")).select("user_id", F.to_json(F.struct("n", "last")).alias("document"))
-    streams.recompute_affected(streams.source(v.spark, events), lambda: v.spark.read.parquet(events), ["user_id"], document, lambda df: df.write.mode("append").parquet(f"{path}/out"), f"{path}/check").awaitTermination()
-    return v.spark.read.parquet(f"{path}/out").distinct().select("user_id", F.from_json("document", "n long, last long").alias("d")).select("user_id", "d.*")
+    streams.recompute_affected(streams.source(v.spark, events), lambda: v.spark.read.parquet(events), ["user_id"], document, path).awaitTermination()
+    return streams.latest(v.spark, path).select("user_id", F.from_json("document", "n long, last long").alias("d")).select("user_id", "d.*")
 
 
-@query("stm_6_scheduled_months", "SELECT strftime(date_trunc('month', ts), '%Y-%m') AS month, event_type, COUNT(*) AS n FROM events GROUP BY 1, 2")
+@query("stm_6_scheduled_months", ", e AS (SELECT event_type, user_id, CAST(date_trunc('month', ts) AS DATE) AS m FROM events), x AS (SELECT event_type, user_id, strftime(m + to_months(CAST(k AS INT)), '%Y-%m') AS month FROM e, (SELECT UNNEST([1, 2, 3]) AS k)) SELECT event_type, month, COUNT(DISTINCT user_id) AS users, COUNT(*) AS n FROM x GROUP BY 1, 2")
 def stm_6(v):
-    events = streams.source(v.spark, f"{v.sf_dir}/events.parquet").select(F.date_format("ts", "yyyy-MM").alias("month"), "event_type")
-    return streams.run_once(events.groupBy("month", "event_type").agg(F.count("*").alias("n")), "complete")
+    """At each run the windows of the three months before each month, of the event types that have new rows."""
+    path, events = readers.fresh_path(v.spark, "months"), f"{v.sf_dir}/events.parquet"
+    later = F.transform(F.array(*map(F.lit, (1, 2, 3))), lambda k: F.date_format(F.add_months(F.date_trunc("month", "ts"), k), "yyyy-MM"))
+    rolling = lambda df: df.select("event_type", "user_id", F.explode(later).alias("month")).groupBy("event_type", "month").agg(F.count_distinct("user_id").alias("users"), F.count("*").alias("n"))
+    streams.recompute_affected(streams.source(v.spark, events), lambda: v.spark.read.parquet(events), ["event_type"], rolling, path).awaitTermination()
+    return streams.latest(v.spark, path)
 
 
 @query("stm_8_resumed", "SELECT event_type, COUNT(*) AS n FROM events GROUP BY 1")

@@ -98,7 +98,7 @@ _FACTOR = "CASE WHEN age IS NULL THEN 1.0::DOUBLE WHEN age < 30 THEN 1.0::DOUBLE
 _MASTER = "COALESCE((gender = 'M' AND age BETWEEN 31 AND 75) OR (gender = 'F' AND age BETWEEN 31 AND 110), FALSE)"
 
 
-@query("fn_7_national_points", f", q AS (SELECT result_id, age, gender, total, {_curve(2)} AS q, {_FACTOR} AS f, {_MASTER} AS m FROM results) SELECT result_id, CASE WHEN total > 0 AND age BETWEEN 21 AND 30 THEN q END AS qpoints, CASE WHEN total > 0 AND age BETWEEN 10 AND 20 THEN ROUND(CAST(total AS DOUBLE), 2) END AS q_youth, CASE WHEN total > 0 AND m THEN ROUND(q * f, 2) END AS q_masters FROM q")
+@query("fn_7_national_points", f", q AS (SELECT result_id, age, gender, total, {_curve(2)} AS q, {_FACTOR} AS f, {_MASTER} AS m FROM results) SELECT result_id, CASE WHEN total > 0 AND age BETWEEN 21 AND 30 THEN q END AS qpoints, CASE WHEN total > 0 AND age BETWEEN 10 AND 20 THEN ROUND(CAST(total AS DOUBLE), 2) END AS q_youth, CASE WHEN total > 0 AND m THEN CAST(ROUND(CAST(q AS DECIMAL(14,3)) * CAST(f AS DECIMAL(8,4)), 2) AS DOUBLE) END AS q_masters FROM q")
 def fn_7(v):
     return v.results.select("result_id", *scoring.national_points("total", "body_weight_kg", "gender", "age"))
 
@@ -173,7 +173,7 @@ def fn_15(v):
     return v.results.select("result_id", F.round(scoring.norm_inv((F.col("result_id") % 9973 + 1) / F.lit(10000.0)), 6).alias("z"))
 
 
-_GAMX = """, f AS (SELECT result_id, CAST(total AS DOUBLE) AS q, 100.0 + body_weight_kg AS mu, 0.25::DOUBLE AS sigma, CASE result_id % 3 WHEN 0 THEN 0.0 WHEN 1 THEN 0.5 ELSE -0.5 END::DOUBLE AS nu, total FROM results WHERE result_id % 13 <> 0),
+_GAMX = """, f AS (SELECT result_id, CAST(total AS DOUBLE) AS q, 100.0 + body_weight_kg AS mu, 0.25::DOUBLE AS sigma, CASE result_id % 3 WHEN 0 THEN 0.0 WHEN 1 THEN 0.5 ELSE -0.5 END::DOUBLE AS nu, total FROM results),
  z AS (SELECT *, CASE WHEN nu <> 0 THEN (POWER(q / mu, nu) - 1) / (nu * sigma) ELSE LN(CASE WHEN q > 0 THEN q / mu END) / sigma END AS z, CASE WHEN nu <> 0 THEN 1 / (sigma * ABS(nu)) END AS e FROM f WHERE q > 0),
  p AS (SELECT *, GREATEST(1e-20, LEAST(1 - 1e-15, (""" + _sql_cdf("z") + " - CASE WHEN nu > 0 THEN " + _sql_cdf("(-e)") + " ELSE 0.0 END) / CASE WHEN nu <> 0 THEN " + _sql_cdf("e") + " ELSE 1.0 END)) AS p FROM z) "
 
@@ -181,8 +181,7 @@ _GAMX = """, f AS (SELECT result_id, CAST(total AS DOUBLE) AS q, 100.0 + body_we
 @query("fn_16_distribution_score", _GAMX + f"SELECT f.result_id, ROUND(1000 + 100 * ({_sql_inv('p')}), 1) AS score FROM f LEFT JOIN p ON p.result_id = f.result_id")
 def fn_16(v):
     nu = F.when(F.col("result_id") % 3 == 0, 0.0).when(F.col("result_id") % 3 == 1, 0.5).otherwise(-0.5)
-    rows = v.results.where("result_id % 13 <> 0")
-    return rows.select("result_id", F.round(scoring.distribution_score("total", F.col("body_weight_kg") + 100.0, F.lit(0.25), nu), 1).alias("score"))
+    return v.results.select("result_id", F.round(scoring.distribution_score("total", F.col("body_weight_kg") + 100.0, F.lit(0.25), nu), 1).alias("score"))
 
 
 @query("fn_18_distribution_scores", """, w AS (SELECT result_id, total, age, CAST(body_weight_kg AS DOUBLE) AS b FROM results), f AS (SELECT *, CAST(total AS DOUBLE) AS q, 120.0 + b AS mu, 0.3 AS sigma FROM w WHERE total > 0), s AS (SELECT *, LN(q / mu) / sigma AS z FROM f), p AS (SELECT *, GREATEST(1e-20, LEAST(1 - 1e-15, """ + _sql_cdf("z") + """)) AS p FROM s)
@@ -336,9 +335,15 @@ def dat_7(v):
     return v.table("events").select("event_id", F.expr("CAST(extract(YEAROFWEEK FROM ts) AS INT)").alias("y"), F.weekofyear("ts").alias("w"))
 
 
-@query("jsn_1_json_path", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events")
+@query("jsn_1_json_path", ", p AS (SELECT lifter_id, MAX(CASE WHEN total > 280 THEN total END) AS best, COUNT(*) FILTER (total > 280) AS n FROM results GROUP BY 1) SELECT l.lifter_id, l.athlete_name AS name, COALESCE(n, 0) AS n_results, best, COALESCE(n, 0) = 0 AS empty FROM lifters l LEFT JOIN p ON p.lifter_id = l.lifter_id")
 def jsn_1(v):
-    return v.table("events").select("event_id", F.get_json_object("props", "$.k").try_cast("int").alias("k"))
+    # objects of results in an array for each lifter, an empty one where there is none, and read again by path
+    good = v.results.where("total > 280").groupBy("lifter_id").agg(F.sort_array(F.collect_list(F.struct("total", "result_id")), asc=False).alias("r"))
+    built = F.to_json(F.struct(F.struct(F.col("athlete_name").alias("name")).alias("athlete"), F.coalesce("r", F.array().cast("array<struct<total:int,result_id:bigint>>")).alias("results")))
+    j = v.lifters.join(good, "lifter_id", "left").select("lifter_id", built.alias("j"))
+    got = lambda p: F.get_json_object("j", p)
+    n = F.json_array_length(got("$.results"))
+    return j.select("lifter_id", got("$.athlete.name").alias("name"), n.cast("long").alias("n_results"), got("$.results[0].total").try_cast("int").alias("best"), (n == 0).alias("empty"))
 
 
 @query("fil_1_valid", "SELECT result_id FROM results WHERE total > 0 AND body_weight_kg > 0 AND age IS NOT NULL AND gender IS NOT NULL")
@@ -391,9 +396,10 @@ def fn_17(v):
     return fn_18(v).where("gamx_u is not null").select("result_id", F.col("gamx_total").isNotNull().alias("scored"))
 
 
-@query("fn_19_recompute_range", f"SELECT result_id, {_curve(2)} AS qpoints FROM results WHERE result_id BETWEEN 1000 AND 5000")
+@query("fn_19_recompute_range", f"SELECT result_id, {_curve(2)} AS qpoints FROM results WHERE result_id BETWEEN (SELECT MIN(result_id) FROM results) AND (SELECT MAX(result_id) FROM results)")
 def fn_19(v):
-    return v.results.where(F.col("result_id").between(1000, 5000)).select("result_id", scoring.points("total", "body_weight_kg", "gender").alias("qpoints"))
+    low, high = v.results.agg(F.min("result_id"), F.max("result_id")).first()  # the range asked for: here, from the first to the last
+    return v.results.where(F.col("result_id").between(low, high)).select("result_id", scoring.points("total", "body_weight_kg", "gender").alias("qpoints"))
 
 
 @query("fn_29_country_names", ", c(code, name) AS (VALUES ('FRA', 'France'), ('CHN', 'China'), ('BRA', 'Brazil')) SELECT region, name FROM regions LEFT JOIN c ON code = substr(region, 1, 3)")
@@ -524,15 +530,18 @@ def arr_1(v):
     return g.select(F.element_at("ids", 1).alias("master"), F.explode("ids").alias("member")).where("member <> master")
 
 
-@query("arr_3_id_columns", "SELECT lifter_id, CAST(CASE WHEN internal_id IS NULL THEN 0 ELSE 1 END + CASE WHEN birth_year IS NULL THEN 0 ELSE 1 END AS INT) AS n FROM lifters")
+@query("arr_3_id_columns", "SELECT lifter_id, CAST(len(ids) AS INT) AS n, list_contains(ids, 7) AS has_seven FROM (SELECT lifter_id, list_filter([internal_id, birth_year, TRY_CAST(membership_number AS BIGINT), NULLIF(lifter_id % 5, 0), NULLIF(lifter_id % 7, 0), NULLIF(lifter_id % 11, 0), NULLIF(lifter_id % 13, 0), NULLIF(lifter_id % 9, 0)], lambda x: x IS NOT NULL) AS ids FROM lifters)")
 def arr_3(v):
-    return v.lifters.select("lifter_id", F.size(F.array_compact(F.array(F.col("internal_id").cast("long"), F.col("birth_year").cast("long")))).alias("n"))
+    columns = ["internal_id", "birth_year", F.col("membership_number").try_cast("long"), *[F.nullif(F.col("lifter_id") % k, F.lit(0)) for k in (5, 7, 11, 13, 9)]]
+    ids = F.array_compact(F.array(*[(F.col(c) if isinstance(c, str) else c).cast("long") for c in columns]))
+    return v.lifters.select("lifter_id", ids.alias("ids")).select("lifter_id", F.size("ids").alias("n"), F.array_contains("ids", F.lit(7).cast("long")).alias("has_seven"))
 
 
-@query("arr_4_states", "SELECT meet_id, CAST(2 AS INT) AS n, 'B' AS last FROM meets")
+@query("arr_4_states", ", s AS (SELECT club_name, string_agg(DISTINCT wso, ' , ' ORDER BY wso) AS states FROM results GROUP BY 1), l AS (SELECT club_name, list_filter(list_transform(string_split(states, ','), lambda x: trim(x)), lambda x: x <> '') AS a FROM s) SELECT club_name, CAST(len(a) AS INT) AS n, a[1] AS first, a[len(a)] AS last FROM l")
 def arr_4(v):
-    states = F.transform(F.split(F.lit("A , B"), ","), lambda x: F.trim(x))
-    return v.meets.select("meet_id", F.size(states).alias("n"), F.element_at(states, -1).alias("last"))
+    s = v.results.groupBy("club_name").agg(F.array_join(F.array_sort(F.collect_set("wso")), " , ").alias("states"))
+    a = F.filter(F.transform(F.split("states", ","), lambda x: F.trim(x)), lambda x: x != "")
+    return s.select("club_name", F.size(a).alias("n"), F.try_element_at(a, F.lit(1)).alias("first"), F.try_element_at(a, F.lit(-1)).alias("last"))
 
 
 @query("map_1_overrides", "SELECT lifter_id, CASE WHEN lifter_id = 11 THEN 1011 WHEN lifter_id = 12 THEN 1012 ELSE lifter_id END AS target FROM lifters WHERE lifter_id NOT IN (13, 14)")

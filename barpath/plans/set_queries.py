@@ -81,14 +81,13 @@ def join_8(v):
     return a.join(b, "lifter_id").where((F.col("result_id") < F.col("other_id")) & (text.day_gap("date", "d2") <= 5)).select("result_id", "other_id")
 
 
-@query("join_9_nearest_meet", ", c AS (SELECT a.meet_id, b.meet_id AS other, ROW_NUMBER() OVER (PARTITION BY a.meet_id ORDER BY CASE WHEN a.level = b.level THEN 0 ELSE 1 END, abs(date_diff('day', CAST(a.meet_date AS DATE), CAST(b.meet_date AS DATE))), b.meet_id) AS n FROM meets a JOIN meets b ON a.meet_id <> b.meet_id AND abs(date_diff('day', CAST(a.meet_date AS DATE), CAST(b.meet_date AS DATE))) <= 45) SELECT meet_id, other FROM c WHERE n = 1")
+_TOKENS = "list_distinct(list_filter(string_split(regexp_replace(lower(meet_name || ' ' || level), '[^a-z0-9 ]', '', 'g'), ' '), lambda x: length(x) > 2 AND NOT regexp_matches(x, '^[0-9]+$')))"
+
+
+@query("join_9_nearest_meet", f", t AS (SELECT meet_id, CAST(meet_date AS DATE) AS d, {_TOKENS} AS w FROM meets), c AS (SELECT a.meet_id, b.meet_id AS other, len(list_intersect(a.w, b.w)) AS shared FROM t a JOIN t b ON a.meet_id <> b.meet_id AND abs(date_diff('day', a.d, b.d)) <= 14 + 31), k AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY meet_id ORDER BY shared DESC, other) AS n FROM c WHERE shared > 0) SELECT meet_id, other, CAST(shared AS BIGINT) AS shared FROM k WHERE n = 1")
 def join_9(v):
-    # each meet is copied to the 45-day bins it can match in, so the range join is an equi-join
-    day = F.datediff(F.to_date("meet_date"), F.lit("1970-01-01"))
-    a = v.meets.select("meet_id", "level", day.alias("d")).withColumn("bin", F.explode(F.array(*[F.floor(F.col("d") / 45) + k for k in (-1, 0, 1)])))
-    b = v.meets.select(F.col("meet_id").alias("other"), F.col("level").alias("level2"), day.alias("d2")).withColumn("bin", F.floor(F.col("d2") / 45))
-    near = a.join(b, "bin").where((F.col("meet_id") != F.col("other")) & (F.abs(F.col("d") - F.col("d2")) <= 45))
-    return tables.first_by(near, ["meet_id"], [F.when(F.col("level") == F.col("level2"), 0).otherwise(1), F.abs(F.col("d") - F.col("d2")), "other"]).select("meet_id", "other")
+    # the tables have one meet a month, so the reference's 14 days are 14 more than a month here
+    return series.nearest_meet(v.meets, v.meets, 14 + 31).select("meet_id", "other", "shared")
 
 
 @query("join_12_latest_result", ", c AS (SELECT lifter_id, result_id, club_name, ROW_NUMBER() OVER (PARTITION BY lifter_id ORDER BY date DESC, result_id) AS n FROM results WHERE club_name <> '') SELECT lifter_id, result_id, club_name FROM c WHERE n = 1")
@@ -119,17 +118,23 @@ def join_18(v):
     return v.lifters.join(v.aliases.select(F.col("a").alias("lifter_id")), "lifter_id", "left_anti").select("lifter_id")
 
 
-@query("join_20_overlaps", "SELECT a.listing_id, b.listing_id AS other FROM listings a JOIN listings b ON a.meet_name = b.meet_name AND a.listing_id < b.listing_id AND SUBSTRING(a.start_date, 9) <= SUBSTRING(b.end_date, 9) AND SUBSTRING(b.start_date, 9) <= SUBSTRING(a.end_date, 9)")
+@query("join_20_overlaps", ", p AS (SELECT meet_name, listing_id, CAST(start_date AS DATE) AS s, CAST(end_date AS DATE) + CAST(listing_id % 3 * 1300 AS INT) AS e FROM listings) SELECT a.listing_id, b.listing_id AS other FROM p a JOIN p b ON a.meet_name = b.meet_name AND a.listing_id < b.listing_id AND a.s <= b.e AND b.s <= a.e")
 def join_20(v):
-    side = lambda p: v.listings.select("meet_name", F.col("listing_id").alias(p), F.expr("substring(start_date, 9)").alias(p + "s"), F.expr("substring(end_date, 9)").alias(p + "e"))
+    end = F.date_add(F.to_date("end_date"), (F.col("listing_id") % 3 * 1300).cast("int"))  # some periods are long
+    side = lambda p: v.listings.select("meet_name", F.col("listing_id").alias(p), F.to_date("start_date").alias(p + "s"), end.alias(p + "e"))
     j = side("a").join(side("b"), "meet_name").where("a < b and as <= be and bs <= ae")
     return j.select(F.col("a").alias("listing_id"), F.col("b").alias("other"))
 
 
-@query("join_21_band", "SELECT a.result_id, b.result_id AS other FROM results a JOIN results b ON a.lifter_id = b.lifter_id AND a.result_id < b.result_id AND abs(a.body_weight_kg - b.body_weight_kg) <= 2.0 AND a.best_snatch = b.best_snatch")
+@query("join_21_band", ", h AS (SELECT result_id AS other, lifter_id, upper(trim(lifter_name)) AS nm, date, meet_name, body_weight_kg + (result_id % 5 - 2) AS bw, best_snatch, best_cj, CASE WHEN result_id % 6 = 0 THEN total + 1 ELSE total END AS total FROM results WHERE total > 0) SELECT r.result_id, MIN(h.other) AS other FROM results r JOIN h ON h.nm = upper(trim(r.lifter_name)) AND h.date = r.date AND h.meet_name = r.meet_name AND h.best_snatch = r.best_snatch AND h.best_cj = r.best_cj AND h.total = r.total AND abs(h.bw - r.body_weight_kg) <= 2.0 GROUP BY r.result_id, h.lifter_id")
 def join_21(v):
-    a, b = v.results.select("lifter_id", "best_snatch", "result_id", "body_weight_kg"), v.results.select("lifter_id", "best_snatch", F.col("result_id").alias("other"), F.col("body_weight_kg").alias("w"))
-    return a.join(b, ["lifter_id", "best_snatch"]).where((F.col("result_id") < F.col("other")) & (F.abs(F.col("body_weight_kg") - F.col("w")) <= 2.0)).select("result_id", "other")
+    # scraped history of the same day, name and meet, its body weights and some totals a little off
+    key = text.match_key("lifter_name").alias("nm")
+    total = F.when(F.col("result_id") % 6 == 0, F.col("total") + 1).otherwise(F.col("total"))
+    history = v.results.where("total > 0").select(F.col("result_id").alias("other"), F.col("lifter_id").alias("who"), key, "date", "meet_name", (F.col("body_weight_kg") + (F.col("result_id") % 5 - 2)).alias("bw"), "best_snatch", "best_cj", total.alias("total"))
+    on = ["nm", "date", "meet_name", "best_snatch", "best_cj", "total"]
+    j = v.results.select("result_id", "body_weight_kg", key, *on[1:]).join(history, on).where(F.abs(F.col("bw") - F.col("body_weight_kg")) <= 2.0)
+    return j.groupBy("result_id", "who").agg(F.min("other").alias("other")).select("result_id", "other")
 
 
 @query("join_22_normal_key", "SELECT r.result_id, m.meet_id IS NOT NULL AS kept FROM results r LEFT JOIN meets m ON regexp_replace(lower(r.meet_name || '_' || r.date), '[^a-z0-9]', '', 'g') = regexp_replace(lower(m.meet_name || '_' || m.meet_date), '[^a-z0-9]', '', 'g')")
@@ -175,9 +180,17 @@ def agg_6(v):
     return v.meets.groupBy("meet_name", "level").agg(F.count_distinct("meet_id").alias("n")).where("n > 1")
 
 
-@query("agg_7_shared_performance", "SELECT best_snatch, best_cj, total, weight_class, gender, COUNT(DISTINCT lifter_id) AS lifters FROM results WHERE total > 0 GROUP BY ALL HAVING COUNT(DISTINCT lifter_id) > 1")
+_SAME = "meet_id, meet_name, date, weight_class, body_weight_kg % 5, age % 10, total, s1, s2, s3, best_snatch, c1, c2, c3, best_cj, gender"
+
+
+@query("agg_7_shared_performance", f", x AS (SELECT lifter_id AS who, * FROM results UNION ALL SELECT -lifter_id, * FROM results WHERE result_id % 10 = 0) SELECT meet_id, total, COUNT(DISTINCT who) AS lifters, string_agg(DISTINCT CAST(who AS VARCHAR), ', ' ORDER BY CAST(who AS VARCHAR)) AS ids FROM x WHERE total > 0 GROUP BY {_SAME} HAVING COUNT(DISTINCT who) > 1")
 def agg_7(v):
-    return v.results.where("total > 0").groupBy("best_snatch", "best_cj", "total", "weight_class", "gender").agg(F.count_distinct("lifter_id").alias("lifters")).where("lifters > 1")
+    # every tenth result again under another athlete: sixteen columns tell them from one another
+    rows = v.results.withColumn("who", F.col("lifter_id"))
+    rows = rows.unionByName(v.results.where("result_id % 10 = 0").withColumn("who", -F.col("lifter_id"))).where("total > 0")
+    keys = [F.expr(c.strip()).alias(f"k{i}") for i, c in enumerate(_SAME.split(","))]
+    g = rows.select("who", *keys).groupBy(*[f"k{i}" for i in range(len(keys))]).agg(F.count_distinct("who").alias("lifters"), F.array_join(F.array_sort(F.collect_set(F.col("who").cast("string"))), ", ").alias("ids"))
+    return g.where("lifters > 1").select(F.col("k0").alias("meet_id"), F.col("k6").alias("total"), "lifters", "ids")
 
 
 @query("agg_8_completeness_by_year", "SELECT SUBSTRING(date, 1, 4) AS year, COUNT(*) AS n, ROUND(100.0 * (COUNT(*) - COUNT(birth_year)) / COUNT(*), 1)::DOUBLE AS missing_birth, ROUND(100.0 * (COUNT(*) - COUNT(membership_number)) / COUNT(*), 1)::DOUBLE AS missing_member FROM results GROUP BY 1")
@@ -301,24 +314,33 @@ def agg_25(v):
     people = v.results.groupBy("lifter_id").agg(F.max("gender").alias("gender"), F.max("age").alias("age")).withColumn("source", F.lit("USAW"))
     k = series.career(v.results).withColumns({m: F.round(m, 4) for m in ("success_rate", "frequency")})
     d = series.distributions(k, people, ["success_rate", "frequency"])
-    return d.select("bucket", "metric", "n", F.array_min("values").alias("low"), F.array_max("values").alias("high"), F.round(F.aggregate("values", F.lit(0.0), lambda a, x: a + x), 2).alias("total"))
+    return d.groupBy("bucket", "metric").agg(F.sum("n").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"), F.round(F.sum(F.col("value") * F.col("n")), 2).alias("total"))
 
 
-@query("agg_26_quantile_maps", ", y AS (SELECT UNNEST(range(1992, 1999)) AS year), l AS (SELECT year, gender, list_sort(list(total)) AS v FROM y JOIN results ON CAST(SUBSTRING(date, 1, 4) AS INT) <= year WHERE total > 0 GROUP BY 1, 2), i AS (SELECT *, UNNEST(range(0, 101)) AS i FROM l) SELECT CAST(year AS INT) AS year, gender, CAST(i AS INT) AS i, v[LEAST(len(v), CAST(FLOOR((i / 100.0::DOUBLE) * len(v)) AS INT) + 1)] AS value FROM i")
+@query("agg_26_quantile_maps", ", b AS (SELECT MIN(CAST(SUBSTRING(date, 1, 4) AS INT)) AS lo, MAX(CAST(SUBSTRING(date, 1, 4) AS INT)) AS hi FROM results), y AS (SELECT UNNEST(range(lo, hi + 1)) AS year FROM b), l AS (SELECT year, gender, list_sort(list(total)) AS v FROM y JOIN results ON CAST(SUBSTRING(date, 1, 4) AS INT) <= year WHERE total > 0 GROUP BY 1, 2), i AS (SELECT *, UNNEST(range(0, 101)) AS i FROM l) SELECT CAST(year AS INT) AS year, gender, CAST(i AS INT) AS i, v[LEAST(len(v), CAST(FLOOR((i / 100.0::DOUBLE) * len(v)) AS INT) + 1)] AS value FROM i")
 def agg_26(v):
-    years = F.filter(F.sequence(F.lit(1992), F.lit(1998)), lambda y: F.year(F.to_date("date")) <= y)
-    g = v.results.where("total > 0").select("gender", "total", F.explode(years).alias("year")).groupBy("year", "gender").agg(F.sort_array(F.collect_list("total")).alias("v"))
-    return g.select("year", "gender", F.posexplode(series.quantile_map(F.col("v"))).alias("i", "value"))
+    # equal totals of a year are counted first, and the counts go to all later years of the data
+    low, high = v.results.agg(F.min(F.year(F.to_date("date"))), F.max(F.year(F.to_date("date")))).first()
+    own = v.results.where("total > 0").groupBy(F.year(F.to_date("date")).alias("y"), "gender", "total").agg(n_rows().alias("k"))
+    later = own.select("gender", "total", "k", F.explode(F.sequence(F.col("y"), F.lit(high))).alias("year")) if low is not None else own.withColumn("year", F.col("y"))
+    return series.quantile_points(later.groupBy("year", "gender", "total").agg(F.sum("k").alias("k")), ["year", "gender"], "total", "k")
 
 
-@query("agg_27_medals", f", k AS (SELECT lifter_id, {_RANK.format('best_snatch')} AS s, {_RANK.format('best_cj')} AS c, {_RANK.format('total')} AS t FROM results), u AS (SELECT lifter_id, 'snatch_rank' AS lift, s AS place FROM k UNION ALL SELECT lifter_id, 'cj_rank', c FROM k UNION ALL SELECT lifter_id, 'total_rank', t FROM k) SELECT lifter_id, lift, COUNT(*) FILTER (place = 1) AS gold, COUNT(*) FILTER (place = 2) AS silver, COUNT(*) FILTER (place = 3) AS bronze FROM u WHERE place <= 3 GROUP BY 1, 2")
+_LEVEL = "CASE WHEN level = 'International' THEN 'international' WHEN level IN ('National', 'North American Open Series') THEN 'national' ELSE 'local' END"
+
+
+@query("agg_27_medals", f", k AS (SELECT r.lifter_id, r.result_id, r.date, {_LEVEL} AS level, {_RANK.replace('meet_id', 'r.meet_id').format('best_snatch')} AS s, {_RANK.replace('meet_id', 'r.meet_id').format('best_cj')} AS c, {_RANK.replace('meet_id', 'r.meet_id').format('total')} AS t FROM results r JOIN meets m ON m.meet_id = r.meet_id), u AS (SELECT lifter_id, result_id, date, level, UNNEST([s, c, t]) AS place FROM k), p AS (SELECT * FROM u WHERE place <= 3), l AS (SELECT lifter_id, string_agg(DISTINCT date || ':' || CAST(result_id AS VARCHAR), ',' ORDER BY date || ':' || CAST(result_id AS VARCHAR) DESC) AS list FROM p GROUP BY 1) SELECT p.lifter_id, level, COUNT(*) FILTER (place = 1) AS gold, COUNT(*) FILTER (place = 2) AS silver, COUNT(*) FILTER (place = 3) AS bronze, MAX(list) AS list FROM p JOIN l ON l.lifter_id = p.lifter_id GROUP BY 1, 2")
 def agg_27(v):
-    return series.medals(series.division_ranks(v.results, ["meet_id", "gender", "weight_class"]))
+    ranked = series.division_ranks(v.results, ["meet_id", "gender", "weight_class"]).join(v.meets.select("meet_id", "level"), "meet_id")
+    by_level, medals = series.medals(ranked.withColumn("level", F.expr(_LEVEL)), ["level"]), series.medal_list(ranked)
+    return by_level.join(medals, "lifter_id").select("lifter_id", "level", "gold", "silver", "bronze", F.array_join(F.transform("medals", lambda m: F.concat_ws(":", m["date"], m["result_id"].cast("string"))), ",").alias("list"))
 
 
-@query("agg_28_decades", "SELECT CAST(CAST(SUBSTRING(date, 1, 4) AS INT) // 10 * 10 AS BIGINT) AS decade, wso, COUNT(*) AS n FROM results GROUP BY 1, 2 HAVING COUNT(*) > 1")
+@query("agg_28_decades", "SELECT club_name, wso, COUNT(*) AS n, MIN(CAST(SUBSTRING(date, 1, 4) AS INT)) AS first, MAX(CAST(SUBSTRING(date, 1, 4) AS INT)) - MIN(CAST(SUBSTRING(date, 1, 4) AS INT)) AS span, COUNT(DISTINCT CAST(SUBSTRING(date, 1, 4) AS INT) // 10) AS decades FROM results GROUP BY 1, 2 HAVING COUNT(*) > 1 AND (span >= 3 OR COUNT(*) >= 5)")
 def agg_28(v):
-    return v.results.groupBy((F.floor(F.year(F.to_date("date")) / 10) * 10).alias("decade"), "wso").agg(n_rows().alias("n")).where("n > 1")
+    y = F.year(F.to_date("date"))
+    g = v.results.groupBy("club_name", "wso").agg(n_rows().alias("n"), F.min(y).alias("first"), (F.max(y) - F.min(y)).alias("span"), F.count_distinct(F.floor(y / 10)).alias("decades"))
+    return g.where("n > 1 and (span >= 3 or n >= 5)")
 
 
 @query("agg_29_missing_scores", "SELECT SUBSTRING(date, 1, 4) AS year, CASE WHEN age BETWEEN 10 AND 20 THEN 'youth' WHEN age BETWEEN 21 AND 30 THEN 'open' WHEN age > 30 THEN 'masters' ELSE 'unknown' END AS band, COUNT(*) AS n FROM results WHERE total > 0 GROUP BY 1, 2")
@@ -339,11 +361,18 @@ def agg_33(v):
     return v.results.groupBy("club_name").agg(n_rows().alias("n")).agg(F.min("n").alias("low"), F.max("n").alias("high"), F.round(F.avg("n"), 4).alias("average"), F.count_if(F.col("n") < 0).alias("negative"))
 
 
-@query("agg_35_fingerprints", ", f AS (SELECT result_id, meet_id, md5(coalesce(CAST(best_snatch AS VARCHAR), 'NULL') || '|' || coalesce(CAST(best_cj AS VARCHAR), 'NULL') || '|' || coalesce(CAST(birth_year AS VARCHAR), 'NULL') || '|' || gender) AS k FROM results WHERE total > 0) SELECT result_id, MIN(result_id) OVER (PARTITION BY k) AS group_id FROM f WHERE k IN (SELECT k FROM f GROUP BY k HAVING COUNT(DISTINCT meet_id) > 1)")
+_PRINT = ["lifter_name", "birth_year", "gender", "weight_class", "CAST(body_weight_kg AS INT)", "s1", "s2", "s3", "best_snatch", "c1", "c2", "c3", "best_cj", "total", "result_id % 4", "club_name", "age", "membership_number", "source", "wso"]
+_MD5 = "md5(" + " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), 'NULL')" for c in _PRINT) + ")"
+
+
+@query("agg_35_fingerprints", f", x AS (SELECT result_id AS id, meet_id AS meet, * FROM results UNION ALL SELECT -result_id, meet_id + 1, * FROM results WHERE result_id % 8 = 0), f AS (SELECT id, meet, {_MD5} AS k FROM x WHERE total > 0) SELECT id, MIN(id) OVER (PARTITION BY k) AS group_id FROM f WHERE k IN (SELECT k FROM f GROUP BY k HAVING COUNT(DISTINCT meet) > 1)")
 def agg_35(v):
-    f = v.results.where("total > 0").select("result_id", "meet_id", tables.fingerprint(["best_snatch", "best_cj", "birth_year", "gender"]).alias("k"))
-    g = f.groupBy("k").agg(F.min("result_id").alias("group_id"), F.count_distinct("meet_id").alias("m")).where("m > 1")
-    return f.join(g, "k").select("result_id", "group_id")
+    # every eighth result again at the next meet; all twenty columns make the fingerprint
+    rows = v.results.withColumns({"id": F.col("result_id"), "meet": F.col("meet_id")})
+    rows = rows.unionByName(v.results.where("result_id % 8 = 0").withColumns({"id": -F.col("result_id"), "meet": F.col("meet_id") + 1})).where("total > 0")
+    f = rows.select("id", "meet", tables.fingerprint([F.expr(c) for c in _PRINT]).alias("k"))
+    g = f.groupBy("k").agg(F.min("id").alias("group_id"), F.count_distinct("meet").alias("m")).where("m > 1")
+    return f.join(g, "k").select("id", "group_id")
 
 
 @query("agg_36_duplicate_events", "SELECT meet_name, COUNT(*) AS n, string_agg(CAST(meet_id AS VARCHAR), ',' ORDER BY meet_id) AS ids, MIN(meet_date) AS first, MAX(meet_date) AS last FROM meets GROUP BY 1 HAVING COUNT(*) > 1")
@@ -384,23 +413,32 @@ def agg_41(v):
     return v.results.groupBy(text.date_format_class(t).alias("format")).agg(n_rows().alias("n"))
 
 
-@query("agg_42_coverage", "SELECT level, COUNT(*) AS n, ROUND(100.0 * COUNT(*) FILTER (meet_id % 4 <> 0) / COUNT(*), 1)::DOUBLE AS pct FROM meets GROUP BY 1")
+@query("agg_42_coverage", ", m AS (SELECT level, meet_id % 4 <> 0 AS has, CASE WHEN meet_id % 4 <> 0 OR meet_id % 12 = 0 THEN 1 END AS assigned FROM meets) SELECT COALESCE(level, 'overall') AS part, COUNT(*) AS n, ROUND(100.0 * COUNT(*) FILTER (has) / COUNT(*), 1)::DOUBLE AS pct, ROUND(100.0 * COUNT(*) FILTER (NOT has AND assigned = 1) / NULLIF(COUNT(*) FILTER (NOT has), 0), 1)::DOUBLE AS failed_assigned FROM m GROUP BY ROLLUP (level)")
 def agg_42(v):
-    m = v.meets.withColumn("latitude", F.when(F.col("meet_id") % 4 != 0, F.col("latitude")))
-    return m.groupBy("level").agg(n_rows().alias("n"), F.round(100 * F.count("latitude") / n_rows(), 1).alias("pct"))
+    k = F.col("meet_id")
+    m = v.meets.select("level", (k % 4 != 0).alias("has"), ((k % 4 != 0) | (k % 12 == 0)).alias("assigned"))
+    failed = F.round(100 * F.count_if(~F.col("has") & F.col("assigned")) / F.nullif(F.count_if(~F.col("has")), F.lit(0)), 1)
+    g = m.rollup("level").agg(n_rows().alias("n"), F.round(100 * F.count_if("has") / n_rows(), 1).alias("pct"), failed.alias("failed_assigned"))
+    return g.select(F.coalesce("level", F.lit("overall")).alias("part"), "n", "pct", "failed_assigned")
 
 
-@query("agg_43_matrix", ", s AS (SELECT club_name, SUBSTRING(date, 1, 4) AS y, COUNT(*) AS n FROM results GROUP BY 1, 2) SELECT COUNT(DISTINCT club_name) AS clubs, COUNT(DISTINCT y) AS periods, COUNT(*) AS n, COUNT(DISTINCT club_name) * COUNT(DISTINCT y) = COUNT(*) AS complete FROM s")
+@query("agg_43_matrix", ", s AS (SELECT club_name, SUBSTRING(date, 1, 4) AS y, COUNT(*) AS n FROM results WHERE total > 200 GROUP BY 1, 2), g AS (SELECT c.club_name, p.y, COALESCE(s.n, 0) AS n FROM (SELECT DISTINCT club_name FROM results) c CROSS JOIN (SELECT DISTINCT SUBSTRING(date, 1, 4) AS y FROM results) p LEFT JOIN s ON s.club_name = c.club_name AND s.y = p.y) SELECT COUNT(DISTINCT club_name) AS clubs, COUNT(DISTINCT y) AS periods, COUNT(*) AS n, COUNT(DISTINCT club_name) * COUNT(DISTINCT y) = COUNT(*) AS complete, ROUND(100.0 * COUNT(*) FILTER (n = 0) / COUNT(*), 2)::DOUBLE AS zero_share FROM g")
 def agg_43(v):
-    s = v.results.groupBy("club_name", F.substring("date", 1, 4).alias("y")).count()
-    g = s.agg(F.count_distinct("club_name").alias("clubs"), F.count_distinct("y").alias("periods"), n_rows().alias("n"))
-    return g.withColumn("complete", F.col("clubs") * F.col("periods") == F.col("n"))
+    low, high = v.results.agg(F.min(F.substring("date", 1, 4).cast("int")), F.max(F.substring("date", 1, 4).cast("int"))).first()
+    years = F.sequence(F.lit(low or 0), F.lit(high or 0)).cast("array<string>")
+    s = v.results.where("total > 200").groupBy("club_name", F.substring("date", 1, 4).alias("y")).agg(n_rows().alias("n"))
+    grid = v.results.select("club_name").distinct().select("club_name", F.explode(years).alias("y")).join(s, ["club_name", "y"], "left").na.fill(0, ["n"])
+    g = grid.agg(F.count_distinct("club_name").alias("clubs"), F.count_distinct("y").alias("periods"), n_rows().alias("k"), F.count_if(F.col("n") == 0).alias("zero"))
+    return g.select("clubs", "periods", F.col("k").alias("n"), (F.col("clubs") * F.col("periods") == F.col("k")).alias("complete"), F.round(100 * F.col("zero") / F.col("k"), 2).alias("zero_share"))
 
 
-@query("agg_45_duplicate_names", "SELECT athlete_name, COUNT(*) AS n, COUNT(DISTINCT membership_number) AS members, string_agg(CAST(lifter_id AS VARCHAR), ',' ORDER BY lifter_id) AS ids FROM lifters GROUP BY 1 HAVING COUNT(*) > 1")
+@query("agg_45_duplicate_names", ", k AS (SELECT lifter_id, club_name, wso FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY lifter_id ORDER BY date DESC, result_id DESC) AS r FROM results) WHERE r = 1) SELECT athlete_name, COUNT(*) AS n, COUNT(DISTINCT membership_number) AS members, COUNT(DISTINCT club_name) AS clubs, COUNT(DISTINCT wso) AS regions, string_agg(CAST(l.lifter_id AS VARCHAR), ',' ORDER BY l.lifter_id) AS ids FROM lifters l LEFT JOIN k ON k.lifter_id = l.lifter_id GROUP BY 1 HAVING COUNT(*) > 1")
 def agg_45(v):
+    latest = tables.first_by(v.results, ["lifter_id"], [F.desc("date"), F.desc("result_id")]).select("lifter_id", "club_name", "wso")
     ids = F.array_join(F.transform(F.array_sort(F.collect_list("lifter_id")), lambda x: x.cast("string")), ",")
-    return v.lifters.groupBy("athlete_name").agg(n_rows().alias("n"), F.count_distinct("membership_number").alias("members"), ids.alias("ids")).where("n > 1")
+    many = lambda c, name: F.count_distinct(c).alias(name)
+    g = v.lifters.join(latest, "lifter_id", "left").groupBy("athlete_name")
+    return g.agg(n_rows().alias("n"), many("membership_number", "members"), many("club_name", "clubs"), many("wso", "regions"), ids.alias("ids")).where("n > 1")
 
 
 @query("agg_volume_lineitem", "SELECT l_returnflag, l_linestatus, COUNT(*) AS n, ROUND(SUM(l_extendedprice * (1 - l_discount)), 2) AS revenue FROM lineitem GROUP BY 1, 2")
@@ -451,7 +489,9 @@ def win_7(v):
 @query("win_8_map_percentile", ", l AS (SELECT list_sort(list(total)) AS v FROM results WHERE total > 0 AND gender = 'M'), p AS (SELECT list_transform(range(0, 101), lambda i: v[LEAST(len(v), CAST(FLOOR((i / 100.0::DOUBLE) * len(v)) AS INT) + 1)]) AS m FROM l) SELECT result_id, CAST(FLOOR(len(list_filter(m[1:100], lambda x: x < total)) + 0.5::DOUBLE * len(list_filter(m[1:100], lambda x: x = total)) + 0.5) AS BIGINT) AS percentile FROM results, p WHERE gender = 'M'")
 def win_8(v):
     men = v.results.where("gender = 'M'")
-    m = men.where("total > 0").agg(series.quantile_map(F.sort_array(F.collect_list("total"))).alias("m")).withColumn("gender", F.lit("M"))  # one row of 101 points
+    counts = men.where("total > 0").groupBy("gender", "total").agg(n_rows().alias("k"))
+    points = series.quantile_points(counts, ["gender"], "total", "k")  # 101 rows
+    m = points.groupBy("gender").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "value"))), lambda x: x["value"]).alias("m"))
     return men.join(F.broadcast(m), "gender").select("result_id", series.map_percentile(F.col("m"), F.col("total")).alias("percentile"))
 
 

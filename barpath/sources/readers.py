@@ -42,20 +42,31 @@ def embedded_json(df: DataFrame, html: str, schema: str, attribute: str = "data-
     return df.withColumn("page", F.from_json(F.regexp_replace(raw, "&amp;", "&"), schema))
 
 
+def _rest(parts):
+    """All parts of an array but the first."""
+    return F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
+
+
 def result_blocks(df: DataFrame, html: str) -> DataFrame:
-    """SRC-7: attempts of a result page: weight class of the heading before, athlete id of the link, struck attempts negative."""
-    block = F.explode(F.slice(F.split(html, "<h3[^>]*>"), 2, 100_000))
-    b = df.select("*", block.alias("__b")).withColumn("weight_class", F.trim(F.regexp_extract("__b", "^([^<]*)<", 1)))
-    card = b.select("*", F.explode(F.slice(F.split("__b", 'class="card"'), 2, 100_000)).alias("__c")).drop("__b")
-    marked = F.regexp_replace("__c", r"<strike>\s*(\d+)\s*</strike>", "<i>-$1</i>")
-    attempts = F.transform(F.regexp_extract_all(marked, F.lit(r"<i>(-?\d+)</i>"), F.lit(1)), lambda x: x.cast("int"))
-    return card.select(*[c for c in card.columns if c != "__c"], F.regexp_extract("__c", r"[?&]id=(\d+)", 1).try_cast("long").alias("athlete_id"), attempts.alias("attempts"))
+    """SRC-7: attempts of a result page: the weight class of the heading before, the kind of lift (snatch or cj) of the last
+    paragraph that names one, the athlete id of the link, the year of birth, struck attempts negative."""
+    b = df.select("*", F.explode(_rest(F.split(html, "<h3[^>]*>"))).alias("__b")).withColumn("weight_class", F.trim(F.regexp_extract("__b", "^([^<]*)<", 1)))
+    # a block is cut where a paragraph names the kind of lift; what stands before the first has none
+    marked = F.regexp_replace("__b", r"(?i)<p(?![^>]*normal__text)[^>]*>\s*(snatch|clean|[^<]*jerk)[^<]*</p>", "\u0001$1\u0002")
+    parts = b.withColumn("__p", F.explode(F.split(marked, "\u0001")))
+    name = F.lower(F.regexp_extract("__p", "^([^\u0002]*)\u0002", 1))
+    parts = parts.withColumn("lift", F.when(name == "snatch", "snatch").when(name != "", "cj"))
+    card = parts.select("*", F.explode(_rest(F.split("__p", 'class="card"'))).alias("__c")).drop("__b", "__p")
+    struck = F.regexp_replace("__c", r"<strike>\s*(\d+)\s*</strike>", "<i>-$1</i>")
+    attempts = F.transform(F.regexp_extract_all(struck, F.lit(r"<i>(-?\d+)</i>"), F.lit(1)), lambda x: x.cast("int"))
+    born = F.regexp_extract("__c", r"Born:[^<]*?(\d{4})", 1).try_cast("int")
+    return card.select(*[c for c in card.columns if c != "__c"], F.regexp_extract("__c", r"[?&]id=(\d+)", 1).try_cast("long").alias("athlete_id"), born.alias("birth_year"), attempts.alias("attempts"))
 
 
 def sanction_cards(df: DataFrame, html: str) -> DataFrame:
     """SRC-9: a row for each card of a page with a name of three letters or more, and its position. Fields that a card lacks
     are empty; the nation is the titled one, else the first word of three capitals."""
-    cards = df.select("*", F.posexplode(F.slice(F.split(html, 'class="card"'), 2, 100_000)).alias("position", "__c")).drop(html)
+    cards = df.select("*", F.posexplode(_rest(F.split(html, 'class="card"'))).alias("position", "__c")).drop(html)
     words = F.regexp_replace("__c", "<[^>]*>", " ")
     titled = F.trim(F.regexp_extract("__c", r'class="col-5"[^>]*>\s*<p class="title">([^<]*)<', 1))
     line = lambda label: F.trim(F.regexp_extract("__c", rf'<p class="normal__text">\s*{label}([^<]*)<', 1))

@@ -8,7 +8,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barpath.operators.tables import upsert
+from barpath.operators.tables import changes, first_by, upsert
 from barpath.session import scratch_dir
 
 
@@ -26,20 +26,39 @@ def _is_folder(spark: SparkSession, path: str) -> bool:
 
 
 def run_once(stream: DataFrame, mode: str) -> DataFrame:
-    """Runs a stream over all that is there and gives what it wrote."""
+    """Runs a stream over all that is there and gives what it wrote. Each batch has a folder of its own, so a batch that is run
+    again takes the place of itself."""
     spark = stream.sparkSession
     path = f"{scratch_dir(spark)}/stream-{uuid.uuid4().hex}"
 
     def write(batch: DataFrame, n: int) -> None:
-        batch.write.mode("overwrite" if mode == "complete" else "append").parquet(f"{path}/out")
+        batch.write.mode("overwrite").parquet(f"{path}/out" if mode == "complete" else f"{path}/out/batch={n}")
 
     stream.writeStream.outputMode(mode).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).foreachBatch(write).start().awaitTermination()
-    return spark.read.parquet(f"{path}/out")
+    out = spark.read.parquet(f"{path}/out")
+    return out if mode == "complete" else out.drop("batch")
 
 
-def counts_by(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """STM-2: a maintained count."""
-    return run_once(source(spark, path).groupBy(key).agg(F.count("*").alias("n")), "complete")
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """The versions of a table, each in a folder of its own, that were written to the end."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    names = [s.getPath() for s in fs.listStatus(folder)]
+    done = [p for p in names if p.getName().startswith("version=") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return sorted(int(p.getName().split("=")[1]) for p in done)
+
+
+def latest(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
+    """The table as the last batch (before batch ``before``) left it, or None."""
+    known = [n for n in _versions(spark, path) if before is None or n < before]
+    return spark.read.parquet(f"{path}/version={known[-1]}") if known else None
+
+
+def _next(spark: SparkSession, path: str, n: int, change: Callable[[DataFrame | None], DataFrame]) -> None:
+    """Version n of a table from the one before it. A batch that is run again starts from the same version."""
+    change(latest(spark, path, n)).write.mode("overwrite").parquet(f"{path}/version={n}")
 
 
 def hourly(spark: SparkSession, path: str) -> DataFrame:
@@ -48,18 +67,34 @@ def hourly(spark: SparkSession, path: str) -> DataFrame:
     return run_once(w, "complete").select(F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("hour"), "event_type", "n")
 
 
-def upsert_into(stream: DataFrame, read: Callable[[], DataFrame], write: Callable[[DataFrame], None], keys: Sequence[str], checkpoint: str):
-    """STM-5: each batch is upserted into a table."""
-    return stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(lambda batch, n: write(upsert(read(), batch.dropDuplicates(list(keys)), keys))).start()
+def upsert_into(stream: DataFrame, path: str, keys: Sequence[str], order: Sequence[str], fields: Sequence[str]):
+    """STM-5: the last row of each key in a batch, by ``order``, is upserted into the table at ``path`` if any of ``fields``
+    changes; what happened to each key of the batch goes to ``path/feed``."""
+
+    def each(batch: DataFrame, n: int) -> None:
+        spark = batch.sparkSession
+        new = first_by(batch, list(keys), [F.desc(c) for c in order])
+        old = latest(spark, path, n)
+        if old is None:
+            old = new.limit(0)
+        status = changes(old.join(new.select(*keys), list(keys), "left_semi"), new, list(keys), list(fields))
+        status.write.mode("overwrite").parquet(f"{path}/feed/batch={n}")
+        changed = new.join(status.where("status in ('new', 'updated')"), list(keys), "left_semi")
+        _next(spark, path, n, lambda _: upsert(old, changed, list(keys)))
+
+    return stream.writeStream.option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).foreachBatch(each).start()
+
 
+def recompute_affected(stream: DataFrame, facts: Callable[[], DataFrame], keys: Sequence[str], compute: Callable[[DataFrame], DataFrame], path: str):
+    """STM-2, 3, 4, 6: whatever shares a key with new rows is computed again from all facts and takes the place of the rows of
+    that key in the table at ``path``, so late rows count exactly and nothing stale stays."""
 
-def recompute_affected(stream: DataFrame, facts: Callable[[], DataFrame], keys: Sequence[str], compute: Callable[[DataFrame], DataFrame], write: Callable[[DataFrame], None], checkpoint: str):
-    """STM-3, 4: whatever shares a key with new rows is computed again from all facts, so late rows count exactly."""
     def each(batch: DataFrame, n: int) -> None:
         touched = batch.select(*keys).distinct()
-        write(compute(facts().join(touched, list(keys), "left_semi")))
+        new = compute(facts().join(touched, list(keys), "left_semi"))
+        _next(batch.sparkSession, path, n, lambda old: new if old is None else old.join(touched, list(keys), "left_anti").unionByName(new))
 
-    return stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(each).start()
+    return stream.writeStream.option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).foreachBatch(each).start()
 
 
 def append_to(stream: DataFrame, path: str, checkpoint: str):

@@ -70,22 +70,45 @@ def test_files_go_round(spark, tmp_path):
     page = spark.createDataFrame([('<h3 class="t">59kg</h3><div class="card"><a href="/x?id=12">n</a><i>50</i><strike>55</strike></div><h3>64kg</h3><div class="card"><i>70</i></div>',)], "html string")
     got = [(r.weight_class, r.athlete_id, r.attempts) for r in readers.result_blocks(page, "html").collect()]
     assert got == [("59kg", 12, [50, -55]), ("64kg", None, [70])]
+    long = spark.createDataFrame([("<h3>x</h3><p>Snatch</p>" + '<div class="card"><i>1</i></div>' * 150_000 + "<h3>y</h3>" * 3,)], "html string")
+    assert readers.result_blocks(long, "html").where("lift = 'snatch'").count() == 150_000
 
 
-def test_stream_gives_what_a_batch_gives(spark, sf):
-    batch = {r.event_type: r.n for r in spark.read.parquet(f"{sf}/events.parquet").groupBy("event_type").agg(F.count("*").alias("n")).collect()}
-    assert {r.event_type: r.n for r in streams.counts_by(spark, f"{sf}/events.parquet", "event_type").collect()} == batch
+def test_a_batch_that_is_run_again_adds_nothing(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    for n, value in ((0, "a"), (1, "b"), (1, "c")):
+        streams._next(spark, path, n, lambda old, value=value: (spark.createDataFrame([], "v string") if old is None else old).unionByName(spark.createDataFrame([(value,)], "v string")))
+    assert sorted(r.v for r in streams.latest(spark, path).collect()) == ["a", "c"]
 
 
 def test_late_rows_recompute_their_keys(spark, tmp_path):
     facts, out = f"{tmp_path}/facts", f"{tmp_path}/out"
     rows = lambda x: spark.createDataFrame(x, "lifter_id int, date string, total int")
-    best = lambda df: df.groupBy("lifter_id").agg(F.max("total").alias("best"))
+    ytd = lambda df: series.year_to_date(df, F.col("total"), "ytd")
     for new in ([(1, "2020-02-01", 90), (2, "2020-02-01", 50)], [(1, "2020-01-01", 95)]):
         rows(new).write.mode("append").parquet(facts)
-        stream = streams.source(spark, facts)
-        streams.recompute_affected(stream, lambda: spark.read.parquet(facts), ["lifter_id"], best, lambda df: df.write.mode("overwrite").parquet(out), f"{tmp_path}/check").awaitTermination()
-    assert [tuple(r) for r in spark.read.parquet(out).collect()] == [(1, 95)]
+        streams.recompute_affected(streams.source(spark, facts), lambda: spark.read.parquet(facts), ["lifter_id"], ytd, out).awaitTermination()
+    got = sorted(tuple(r) for r in streams.latest(spark, out).select("lifter_id", "date", "ytd").collect())
+    assert got == [(1, "2020-01-01", 95), (1, "2020-02-01", 95), (2, "2020-02-01", 50)]
+
+
+def test_upserts_of_two_batches_and_their_feed(spark, tmp_path):
+    facts, out = f"{tmp_path}/facts", f"{tmp_path}/out"
+    for new in ([(1, 1, "a"), (2, 2, "x"), (1, 3, "b")], [(1, 4, "b"), (2, 5, "y"), (3, 6, "z")]):
+        spark.createDataFrame(new, "k int, n int, v string").coalesce(1).write.mode("append").parquet(facts)
+        streams.upsert_into(streams.source(spark, facts), out, ["k"], ["n"], ["v"]).awaitTermination()
+    assert sorted((r.k, r.n, r.v) for r in streams.latest(spark, out).collect()) == [(1, 3, "b"), (2, 5, "y"), (3, 6, "z")]
+    feed = sorted((r.batch, r.k, r.status) for r in spark.read.parquet(f"{out}/feed").collect())
+    assert feed == [(0, 1, "new"), (0, 2, "new"), (1, 1, "unchanged"), (1, 2, "updated"), (1, 3, "new")]
+
+
+def test_quantile_points_are_those_of_the_sorted_values(spark):
+    rng = random.Random(2)
+    values = [rng.randint(0, 30) for _ in range(257)]
+    df = spark.createDataFrame([("g", v) for v in values], "g string, v int").groupBy("g", "v").agg(F.count("*").alias("k"))
+    got = {r.i: r.value for r in series.quantile_points(df, ["g"], "v", "k").collect()}
+    s = sorted(values)
+    assert got == {i: s[min(len(s) - 1, math.floor(i / 100.0 * len(s)))] for i in range(101)}
 
 
 @pytest.fixture(scope="module")
