@@ -41,12 +41,15 @@ class Benchmark:
         size = len(self.vocabulary) + 1
         pairs = [w[:-1].astype(np.int64) * size + w[1:] for w in self.words]
         self.pairs = np.unique(np.concatenate([*pairs, np.zeros(0, np.int64)]))
-        # places[k][window] lists (item, position); windows of k words are byte strings that sort as their words do
-        self.places: dict[int, dict[bytes, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
+        # all items end to end, each followed by 0; places[k][window] lists the positions of a window of k words in them
+        self.flat = np.concatenate([*(np.append(w, 0) for w in self.words), np.zeros(1, np.int64)]).astype(np.int64)
+        self.item_of = np.repeat(np.arange(len(self.words)), [len(w) + 1 for w in self.words])
+        self.begin = np.cumsum([0, *(len(w) + 1 for w in self.words)])
+        self.places: dict[int, dict[bytes, list[int]]] = defaultdict(lambda: defaultdict(list))
         for n, w in enumerate(self.words):
             if k := min(window, len(w)):
                 for j in range(len(w) - k + 1):
-                    self.places[k][w[j : j + k].tobytes()].append((n, j))
+                    self.places[k][w[j : j + k].tobytes()].append(int(self.begin[n]) + j)
         self.sorted = {k: np.array(sorted(v), dtype=f"S{4 * k}") for k, v in self.places.items()}
 
     def numbers(self, text: str | None) -> np.ndarray:
@@ -77,28 +80,44 @@ class Benchmark:
             for t in np.flatnonzero(high > low).tolist():
                 yield k, tests[t].ljust(4 * k, b"\0"), starts[array[low[t] : high[t]]]
 
-    def matches(self, ids: np.ndarray, doc_of: np.ndarray, first: np.ndarray) -> dict[int, list[tuple[str, int, int, int]]]:
-        """By document: its longest verbatim matches as (item, position in the item, position in the document, words)."""
-        found = defaultdict(dict)
+    def matches(self, ids: np.ndarray, doc_of: np.ndarray, first: np.ndarray) -> tuple[dict[int, list[tuple[str, int, int, int]]], dict[int, set[str]]]:
+        """By document: matches as (item, position in the item, position in the document, words), and the items of all windows
+        that occur.
+
+        From the first window on, each match is the longest that any item has there; the next one is sought from the first
+        window that goes beyond its end. So matches together cover all that windows cover, and their number grows with the
+        text, also where item and document repeat one word.
+        """
+        found: dict[int, list[tuple[str, int, int, int]]] = defaultdict(list)
+        items: dict[int, set[str]] = defaultdict(set)
+        whole: dict[int, list[int]] = {}
         for k, window, positions in self.search(ids):
+            places = self.places[k][window]
+            owners = {self.items[n] for n in np.unique(self.item_of[places]).tolist()}
+            for d in np.unique(doc_of[positions]).tolist():
+                items[d] |= owners
+            if k == self.window:
+                whole.update(dict.fromkeys(positions.tolist(), places))
+                continue
             for p in positions.tolist():
-                found[p][k] = window
-        out, alive = defaultdict(list), {}
-        for p in sorted(found):
-            now = {}
-            for k, window in found[p].items():
-                for n, j in self.places[k][window]:
-                    begun = alive.get((n, j - 1, p - 1)) if k == self.window else None
-                    now[n, j, p] = (begun[0], begun[1], begun[2] + 1) if begun else (j, p, k)
-            for key, (j, q, length) in alive.items():
-                if (key[0], key[1] + 1, key[2] + 1) not in now:
-                    d = int(doc_of[q])
-                    out[d].append((self.items[key[0]], j, q - int(first[d]), length))
-            alive = now
-        for key, (j, q, length) in alive.items():
-            d = int(doc_of[q])
-            out[d].append((self.items[key[0]], j, q - int(first[d]), length))
-        return out
+                self._add(found, doc_of, first, places[0], p, k)
+        end = -1
+        for p in sorted(whole):
+            if p + self.window <= end:
+                continue
+            at, length = np.array(whole[p]), self.window
+            while p + length < len(ids) and ids[p + length]:
+                on = self.flat[at + length] == ids[p + length]
+                if not on.any():
+                    break
+                at, length = at[on], length + 1
+            end = p + length
+            self._add(found, doc_of, first, int(at[0]), p, length)
+        return found, items
+
+    def _add(self, found: dict, doc_of: np.ndarray, first: np.ndarray, at: int, p: int, length: int) -> None:
+        n, d = int(self.item_of[at]), int(doc_of[p])
+        found[d].append((self.items[n], at - int(self.begin[n]), p - int(first[d]), length))
 
 
 MATCH = T.ArrayType(T.StructType([T.StructField("item_id", T.StringType()), T.StructField("item_word", T.LongType()), T.StructField("doc_word", T.LongType()), T.StructField("words", T.LongType())]))
@@ -125,10 +144,11 @@ def _slices(bench: DataFrame, item: str, text: str, most: int) -> Iterator[list[
 def find_matches(docs: DataFrame, bench: DataFrame, text: str = "text", item: str = "item_id", window: int = WINDOW, slice_chars: int = SLICE_CHARS) -> DataFrame:
     """All columns of ``docs`` and ``n_words``, ``n_hit``, ``bench_items`` (ids as strings, sorted), ``matches``.
 
-    A window is ``window`` consecutive words of an item; a shorter item with words is one window. A match is the longest
-    run of words that item and document share from its start, at least a window. Null and empty texts have no words; items
-    of no words match nothing; a null item id counts as the empty string; items that repeat an id count once. Columns of
-    the names added are replaced. Every row stays.
+    A window is ``window`` consecutive words of an item; a shorter item with words is one window. ``bench_items`` are all
+    items that have a window in the document; ``matches`` the longest runs of words that cover what windows cover, each with
+    one item that has it. Null and empty texts have no words; items of no words match nothing; a null item id counts as the
+    empty string; items that repeat an id count once. Very long texts are whole. Columns of the names added are replaced.
+    Every row stays, repeated ones too; an empty table gives an empty one.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -144,6 +164,7 @@ def find_matches(docs: DataFrame, bench: DataFrame, text: str = "text", item: st
             for batch in batches(it):
                 ids = [test.numbers(t) for t in batch.column(text).to_pylist()]
                 found: list[list] = [[] for _ in ids]
+                items_of: list[set] = [set() for _ in ids]
                 at = 0
                 while at < len(ids):  # a shard of whole documents
                     end, size = at + 1, len(ids[at])
@@ -153,16 +174,18 @@ def find_matches(docs: DataFrame, bench: DataFrame, text: str = "text", item: st
                     part = [x for d in ids[at:end] for x in (d, np.zeros(1, np.int64))]
                     lengths = np.array([len(d) + 1 for d in ids[at:end]])
                     first = np.concatenate([[0], np.cumsum(lengths)])
-                    for d, m in test.matches(np.concatenate(part), np.repeat(np.arange(end - at), lengths), first).items():
-                        found[at + d] = m
+                    matches, owners = test.matches(np.concatenate(part), np.repeat(np.arange(end - at), lengths), first)
+                    for d, m in matches.items():
+                        found[at + d], items_of[at + d] = m, owners[d]
                     at = end
                 if later:
                     old = batch.column("matches").to_pylist()
                     found = [f + [tuple(m.values()) for m in o] for f, o in zip(found, old, strict=True)]
+                    items_of = [i | set(o) for i, o in zip(items_of, batch.column("bench_items").to_pylist(), strict=True)]
                 columns = {c: batch.column(c) for c in names}
                 columns["n_words"] = pa.array([len(d) for d in ids], pa.int64())
                 columns["n_hit"] = pa.array([covered(f) for f in found], pa.int64())
-                columns["bench_items"] = pa.array([sorted({m[0] for m in f}) for f in found], pa.list_(pa.string()))
+                columns["bench_items"] = pa.array([sorted(i) for i in items_of], pa.list_(pa.string()))
                 columns["matches"] = pa.array([[dict(zip(("item_id", "item_word", "doc_word", "words"), m, strict=True)) for m in f] for f in found], _MATCH)
                 yield pa.RecordBatch.from_pydict(columns)
 

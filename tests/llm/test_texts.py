@@ -3,6 +3,7 @@
 import random
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -106,6 +107,18 @@ def test_decontamination(spark, texts):
     assert decontaminate.find_matches(df, bench.limit(0)).where("n_hit > 0").count() == 0 and decontaminate.find_matches(df.limit(0), bench).count() == 0
 
 
+def test_matches_of_one_word_repeated_are_found_in_little_time():
+    import time
+
+    for n in (500, 4000):
+        began = time.process_time()
+        test = decontaminate.Benchmark([("a", "w " * n), ("b", "x y " * 6)])
+        ids = test.numbers("w " * n + "z " + "w " * 15 + "x y " * 6)
+        found, items = test.matches(np.append(ids, 0), np.zeros(len(ids) + 1, np.int64), np.zeros(2, np.int64))
+        assert decontaminate.covered(found[0]) == n + 15 + 12 and items[0] == {"a", "b"}
+        assert time.process_time() - began < 3 and len(found[0]) < 10
+
+
 def test_token_counts_of_chunks(spark, texts):
     counter = tokens.Counter(tokens.default_model())
     rng = random.Random(5)
