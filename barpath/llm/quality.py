@@ -1,6 +1,7 @@
 """Operator 7, a quality classifier by positive-unlabelled learning.
 
-Trusted positives are rows labelled good, the unlabelled sample is all web text. With the logistic loss the unbiased risk
+Trusted positives are rows labelled good, the unlabelled sample is all web text; labels that are not good are not looked at.
+The class prior is estimated from both, on the scores of a draft. With the logistic loss the unbiased risk
 of a linear score g is  -prior * mean_P(g) + mean_U(log(1 + exp(g))) : the positives enter by one mean vector, and every
 Newton step is one aggregation over the features of all rows. The part of the risk that stands for negatives,
 mean_U(log(1 + exp(g))) - prior * mean_P(log(1 + exp(g))), must not fall below zero: a step that takes it there is halved
@@ -61,17 +62,17 @@ def features(text: str | None) -> list[float]:
 
 
 def with_features(docs: DataFrame, text: str = "text") -> DataFrame:
-    """All columns but the text, and ``x`` (array of float)."""
+    """All columns but the text, and ``__x`` (array of float)."""
     small_batches(docs.sparkSession)
-    keep = [f for f in docs.schema.fields if f.name not in (text, "x")]
+    keep = [f for f in docs.schema.fields if f.name not in (text, "__x")]
     names = [f.name for f in keep]
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(it):
             x = [features(t) for t in batch.column(text).to_pylist()]
-            yield pa.RecordBatch.from_pydict({n: batch.column(n) for n in names} | {"x": pa.array(x, pa.list_(pa.float32()))})
+            yield pa.RecordBatch.from_pydict({n: batch.column(n) for n in names} | {"__x": pa.array(x, pa.list_(pa.float32()))})
 
-    return docs.select(*names, text).mapInArrow(run, T.StructType([*keep, T.StructField("x", T.ArrayType(T.FloatType()))]))
+    return docs.select(*names, text).mapInArrow(run, T.StructType([*keep, T.StructField("__x", T.ArrayType(T.FloatType()))]))
 
 
 class Model:
@@ -92,48 +93,47 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
-def _sums(rows: DataFrame, numbers) -> np.ndarray:
-    """The sum over all rows of ``numbers(matrix)`` (a vector): a partial sum for each task, and one of those."""
+def _sums(sample: DataFrame, numbers) -> np.ndarray:
+    """The sum over all tasks of ``numbers(unlabelled matrix, positive matrix)`` (a vector): one job, partial sums of tasks."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = sum(numbers(_matrix(b.column("x"))) for b in batches(it))
+        total = 0
+        for b in batches(it):
+            x, good = _matrix(b.column("__x")), b.column("__good").to_numpy(zero_copy_only=False)
+            total = total + numbers(x[~good], x[good])
         if not np.isscalar(total):
             yield pa.RecordBatch.from_pydict({"k": pa.array(range(len(total)), pa.int32()), "v": pa.array(total, pa.float64())})
 
-    got = rows.select("x").mapInArrow(run, "k int, v double").groupBy("k").agg(F.sum("v").alias("v")).collect()
+    got = sample.select("__x", "__good").mapInArrow(run, "k int, v double").groupBy("k").agg(F.sum("v").alias("v")).collect()
     return np.array([r["v"] for r in sorted(got, key=lambda r: r["k"])])
 
 
-def fit(rows: DataFrame, positives: DataFrame, prior: float, steps: int = STEPS) -> Model:
-    """The classifier of least non-negative risk. ``rows`` (unlabelled) and ``positives`` hold ``x``; all of them count.
-    Without positives, or with none unlabelled, every score is the prior."""
+def fit(sample: DataFrame, prior: float, steps: int = STEPS) -> Model:
+    """The classifier of least non-negative risk. ``sample`` holds ``__x`` and ``__good``: false for the unlabelled rows, true
+    for the positives; all of them count. Without rows of either kind every score is the prior."""
     d = len(FEATURES)
-    first = _sums(rows, lambda x: np.concatenate([[len(x)], x.sum(0), (x * x).sum(0)]))
+    first = _sums(sample, lambda u, p: np.concatenate([[len(u), len(p)], u.sum(0), (u * u).sum(0)]))
     flat = Model(np.zeros(d), np.ones(d), np.append(np.zeros(d), math.log(max(prior, 1e-6) / max(1 - prior, 1e-6))), prior)
-    if not len(first):
+    if not len(first) or not first[0] or not first[1]:
         return flat
-    n, mean = first[0], first[1 : d + 1] / first[0]
-    scale = np.sqrt(np.maximum(first[d + 1 :] / n - mean**2, 0))
+    n, n_p, mean = first[0], first[1], first[2 : d + 2] / first[0]
+    scale = np.sqrt(np.maximum(first[d + 2 :] / n - mean**2, 0))
     model = Model(mean, np.where(scale > 1e-9, scale, 1.0), flat.weights, prior)
-    known = _sums(positives, lambda x: np.concatenate([[len(x)], model.design(x).sum(0)]))
-    if not len(known):
-        return flat
-    n_p, mean_p = known[0], known[1:] / known[0]
+    mean_p = _sums(sample, lambda u, p: model.design(p).sum(0)) / n_p
 
     def risks(w: np.ndarray) -> tuple[float, float, np.ndarray, np.ndarray]:
-        """The risk, its negative part, gradient and Hessian at w, from one pass over each of the two tables."""
+        """The risk, its negative part, gradient and Hessian at w, from one pass."""
 
-        def unlabelled(x: np.ndarray) -> np.ndarray:
-            z = model.design(x)
+        def numbers(u: np.ndarray, p: np.ndarray) -> np.ndarray:
+            z = model.design(u)
             g = z @ w
-            p = 1 / (1 + np.exp(-np.clip(g, -500, 500)))
-            return np.concatenate([[np.logaddexp(0, g).sum()], z.T @ p, ((z * (p * (1 - p))[:, None]).T @ z).ravel()])
+            q = 1 / (1 + np.exp(-np.clip(g, -500, 500)))
+            return np.concatenate([[np.logaddexp(0, g).sum(), np.logaddexp(0, model.design(p) @ w).sum()], z.T @ q, ((z * (q * (1 - q))[:, None]).T @ z).ravel()])
 
-        u = _sums(rows, unlabelled) / n
-        negative_p = _sums(positives, lambda x: np.array([np.logaddexp(0, model.design(x) @ w).sum()]))[0] / n_p
-        risk = u[0] - prior * mean_p @ w + RIDGE / 2 * w @ w
-        gradient = u[1 : d + 2] - prior * mean_p + RIDGE * w
-        return risk, u[0] - prior * negative_p, gradient, u[d + 2 :].reshape(d + 1, d + 1) + RIDGE * np.eye(d + 1)
+        got = _sums(sample, numbers)
+        u = got[2:] / n
+        risk = got[0] / n - prior * mean_p @ w + RIDGE / 2 * w @ w
+        return risk, got[0] / n - prior * got[1] / n_p, u[: d + 1] - prior * mean_p + RIDGE * w, u[d + 1 :].reshape(d + 1, d + 1) + RIDGE * np.eye(d + 1)
 
     w = model.weights
     risk, _, gradient, hessian = risks(w)
@@ -154,40 +154,60 @@ def fit(rows: DataFrame, positives: DataFrame, prior: float, steps: int = STEPS)
     return model
 
 
+def estimated_prior(sample: DataFrame, draft: Model, bins: int = 1000, delta: float = 0.1, gamma: float = 0.01) -> float | None:
+    """The share of good rows among the unlabelled, from positives and unlabelled rows alone: of all thresholds on the draft's
+    score, the ratio of unlabelled to positive rows above the one whose upper confidence bound is least (best bin estimation).
+    None without rows of either kind."""
+
+    def numbers(u: np.ndarray, p: np.ndarray) -> np.ndarray:
+        return np.concatenate([np.histogram(draft.score(x), bins, (0, 1))[0][::-1].astype(float) if len(x) else np.zeros(bins) for x in (u, p)])
+
+    got = _sums(sample, numbers)
+    if not len(got) or not got[:bins].sum() or not got[bins:].sum():
+        return None
+    n_u, n_p = got[:bins].sum(), got[bins:].sum()
+    u, p = got[:bins].cumsum() / n_u, got[bins:].cumsum() / n_p
+    width = (1 + gamma) * (math.sqrt(math.log(4 / delta) / (2 * n_u)) + math.sqrt(math.log(4 / delta) / (2 * n_p)))
+    bound = np.where(p > 0, (u + width) / np.maximum(p, 1e-12), np.inf)
+    at = int(bound.argmin())
+    return float(min(max(u[at] / p[at], 0.01), 0.99))
+
+
 def _featured(docs: DataFrame, key: str, text: str) -> DataFrame:
-    added = ("held_out", "score", "predicted", "x")
+    added = ("held_out", "score", "predicted")
     rows = with_features(docs.select(*[c for c in docs.columns if c not in added]), text)
     return materialise(rows.withColumn("held_out", crc32_mod(key, FOLDS) == HELD_OUT), "features")
 
 
 def _fitted(rows: DataFrame, labels: DataFrame, key: str, quality: str) -> Model:
     known = labels.where(F.col(quality).isin(0, 1) & F.col(key).isNotNull() & (crc32_mod(key, FOLDS) != HELD_OUT))
-    known = known.groupBy(key).agg(F.min(quality).alias("__good"))
-    prior = known.agg(F.avg("__good")).first()[0]
-    unlabelled = rows.where("not held_out").select("x")
-    positives = materialise(rows.join(known.where("__good = 1"), key, "left_semi").select("x"), "positives")
-    return fit(unlabelled, positives, 1.0 if prior is None else min(max(prior, 0.01), 0.99))
+    good = known.groupBy(key).agg(F.min(quality).alias("__least")).where("__least = 1")
+    positives = rows.join(good, key, "left_semi").select("__x", F.lit(True).alias("__good"))
+    sample = materialise(rows.where("not held_out").select("__x", F.lit(False).alias("__good")).unionByName(positives), "sample")
+    prior = estimated_prior(sample, fit(sample, 0.5))
+    return fit(sample, 1.0 if prior is None else prior)
 
 
 def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", quality: str = "quality") -> DataFrame:
     """All columns but the text, ``held_out``, ``score`` (0 to 1) and ``predicted`` (1 from a score of THRESHOLD).
 
     Labels count only from rows whose crc32(key as text) mod 4 is not 2, and the model never sees another column than the
-    text. A key that is labelled both ways is no trusted positive. The class prior is the share of good ones among the
-    labelled keys of those folds; without labels it is 1, and every row is kept. Null texts are empty and get a score as
-    any other. Every row stays, repeated ones too; rows of a null key are never labelled.
+    text. A key that is labelled both ways is no trusted positive. The class prior is estimated from the positives and the
+    unlabelled rows (``estimated_prior``); without positives it is 1, and every row is kept. Null texts are empty and get a
+    score as any other; very long ones are described whole. Every row stays, repeated ones too; rows of a null key are never
+    labelled; an empty table gives an empty table. Columns of the names added are replaced.
     """
     rows = _featured(docs, key, text)
     model = _fitted(rows, labels, key, quality)
-    names = [c for c in rows.columns if c != "x"]
+    names = [c for c in rows.columns if c != "__x"]
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(it):
-            score = model.score(_matrix(batch.column("x")))
+            score = model.score(_matrix(batch.column("__x")))
             columns = {n: batch.column(n) for n in names}
             yield pa.RecordBatch.from_pydict(columns | {"score": pa.array(score), "predicted": pa.array((score >= THRESHOLD).astype(np.int32))})
 
-    schema = T.StructType([*(f for f in rows.schema.fields if f.name != "x"), T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
+    schema = T.StructType([*(f for f in rows.schema.fields if f.name != "__x"), T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
     return rows.mapInArrow(run, schema)
 
 

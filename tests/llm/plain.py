@@ -20,6 +20,16 @@ def fingerprint(t):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in shingles) > len(shingles))
 
 
+def shingle_set(t, k=5):
+    w = re.findall(r"[^\x20\x09-\x0D]+", lowered(t))
+    k = min(k, len(w))
+    return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if w else set()
+
+
+def alike(a, b):
+    return 5 * len(a & b) >= 4 * len(a | b)
+
+
 def classes(keys, linked):
     """The smallest key reachable, for each position."""
     root = list(range(len(keys)))

@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import corpus_pipeline
-from barpath.llm import embeddings, extract, packing, quality, registry, sharding
+from barpath.llm import embeddings, extract, packing, pii, quality, registry, sharding
 from barpath.llm.common import forest
 from tests.llm import plain
 
@@ -221,11 +221,11 @@ def test_quality(spark):
     good = lambda: ". ".join(" ".join(rng.choice(v) for _ in range(9)).capitalize() for _ in range(rng.randint(2, 12))) + "."
     bad = lambda: rng.choice([" ".join([rng.choice(v)] * 80), " | ".join(rng.choice(v) for _ in range(60)), good().upper().replace(" ", "!! "), good().replace(" ", "%%% ")])
     truth = [int(rng.random() < 0.8) for _ in range(600)]
-    docs = [(i, good() if t else bad(), "x") for i, t in enumerate(truth)] + [(None, None, "x"), (5, "", "x"), (700, "word " * 20000, "x")]
-    df = spark.createDataFrame(docs, "doc_id long, text string, score string")
+    docs = [(i, good() if t else bad(), "x", 7) for i, t in enumerate(truth)] + [(None, None, "x", 7), (5, "", "x", 7), (700, "word " * 20000, "x", 7)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, score string, x int")
     labels = spark.createDataFrame([(i, t, 0) for i, t in enumerate(truth) if i % 2 == 0] + [(None, 1, 0), (4, truth[4], 0), (6, None, 0), (9999, 1, 1)], "doc_id long, quality int, toxic int")
     got = quality.classify(df, labels).collect()
-    assert len(got) == len(docs) and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in got)
+    assert len(got) == len(docs) and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) and r.x == 7 for r in got)
     out = [r for r in got if r.held_out and r.doc_id is not None and r.doc_id < 600 and r.doc_id != 5]
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got if r.doc_id is not None)
     assert sum(r.predicted == truth[r.doc_id] for r in out) / len(out) > 0.95
@@ -237,26 +237,51 @@ def test_quality(spark):
 
 
 def test_pipeline(spark, sf):
+    """Each stage on the raw documents, and the chain of plain stages after the classifier, against a plain version."""
+    from tokenizers import Tokenizer
+
     docs = corpus_pipeline.table(spark, sf, "documents")
     names = docs.columns
     texts = {r.doc_id: r.text for r in docs.collect()}
     bench = [(r.item_id, r.text) for r in corpus_pipeline.table(spark, sf, "benchmark").collect()]
     stages = dict(corpus_pipeline.STAGES)
     assert list(stages) == ["quality_classifier", "simhash_near_dedup", "benchmark_decontamination", "pii", "best_fit_packing"]
-    deduped = stages["simhash_near_dedup"](spark, docs, sf)
+
+    def one_of_each(keys):
+        sets = [plain.shingle_set(texts[k]) for k in keys]
+        return sorted(set(plain.classes(keys, lambda i, j: plain.alike(sets[i], sets[j]))))
+
+    def clean(keys):
+        return [k for k, (_, hit, _) in zip(keys, plain.contamination([texts[k] for k in keys], bench), strict=True) if not hit]
+
     keys = sorted(texts)
-    prints = [plain.fingerprint(texts[k]) for k in keys]
-    expected = set(plain.classes(keys, lambda i, j: (prints[i] ^ prints[j]).bit_count() <= 3))
-    assert {r.doc_id for r in deduped.collect()} == expected and deduped.columns == names
-    clean = stages["benchmark_decontamination"](spark, docs, sf)
-    hits = dict(zip(keys, plain.contamination([texts[k] for k in keys], bench), strict=True))
-    assert {r.doc_id for r in clean.collect()} == {k for k in keys if not hits[k][1]} and clean.columns == names
+    deduped = stages["simhash_near_dedup"](spark, docs, sf)
+    assert sorted(r.doc_id for r in deduped.collect()) == one_of_each(keys) and deduped.columns == names
+    kept = stages["benchmark_decontamination"](spark, docs, sf)
+    assert sorted(r.doc_id for r in kept.collect()) == clean(keys) and kept.columns == names
     redacted = stages["pii"](spark, docs, sf)
     assert redacted.columns == names and all(not plain.base_spans(r.text) and r.n_chars == len(r.text) for r in redacted.collect())
     good = stages["quality_classifier"](spark, docs, sf)
-    assert good.columns == names and 0 < good.count() <= len(keys)
-    final = corpus_pipeline.run(spark, sf)
-    assert {"doc_id", "sequence_id", "offset"} <= set(final.columns) and final.count() > 0
+    predicted = quality.classify(docs.select("doc_id", "text"), corpus_pipeline.table(spark, sf, "labels")).where("predicted = 1")
+    keys = sorted(r.doc_id for r in good.select("doc_id").collect())
+    assert good.columns == names and keys == sorted(r.doc_id for r in predicted.collect()) and 0 < len(keys) < len(texts)
+
+    expected = clean(one_of_each(keys))
+    whole = Tokenizer.from_file(packing.default_tokenizer()[0])
+    pieces = Counter()
+    for k in expected:
+        ids = np.array([*whole.encode(pii.redacted(texts[k], pii.spans(texts[k])), add_special_tokens=False).ids, 0], dtype="<u4")
+        first = (len(ids) - 1) % 2048 + 1
+        for a, b in zip([0, *range(first, len(ids), 2048)], range(first, len(ids) + 1, 2048), strict=True):
+            pieces[k, a, b - a, zlib.crc32(ids[a:b].tobytes())] += 1
+    final = corpus_pipeline.run(spark, sf).collect()
+    assert Counter((r.doc_id, r.start, r.length, r.ids_crc32) for r in final) == pieces
+    full = defaultdict(list)
+    for r in final:
+        full[r.sequence_id].append((r.offset, r.length))
+    for s in full.values():
+        s.sort()
+        assert [o for o, _ in s] == [sum(k for _, k in s[:i]) for i in range(len(s))] and sum(k for _, k in s) <= 2048
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, sf).count() == 0
