@@ -51,7 +51,7 @@ VIEWS = {
             CASE WHEN c_custkey % 2 = 0 THEN 'M' ELSE 'F' END AS gender,
             CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE CAST(1995 - (8 + c_custkey % 75) AS INT) END AS birth_year, c_acctbal AS balance
         FROM customer
-        UNION ALL SELECT -c_custkey, 'Athlete ' || CAST(c_custkey % 700 AS STRING), CAST(c_custkey % 1100 AS STRING), NULL, CASE WHEN c_custkey % 2 = 0 THEN 'M' ELSE 'F' END, NULL, 0
+        UNION ALL SELECT -1 - c_custkey, 'Athlete ' || CAST(c_custkey % 700 AS STRING), CAST(c_custkey % 1100 AS STRING), NULL, CASE WHEN c_custkey % 2 = 0 THEN 'M' ELSE 'F' END, NULL, 0
         FROM customer WHERE c_custkey % 29 = 0""",
     "listings": """
         SELECT meet_id * 10 AS listing_id, meet_name, meet_date AS start_date, SUBSTRING(meet_date, 1, 8) || '28' AS end_date,

@@ -512,10 +512,12 @@ def join_10(v):
     return side("IWF", "a").join(side("USAW", "b"), ["meet_id", "lifter_name"]).select("meet_id", "a", "b", (F.abs(F.col("at") - F.col("bt")) <= 2).alias("close"))
 
 
-@query("join_11_one_candidate", ", a AS (SELECT lifter_id, birth_year, string_split(lower(athlete_name) || ' junior', ' ') AS w FROM lifters WHERE lifter_id % 2 = 1), b AS (SELECT lifter_id, birth_year, string_split(lower(athlete_name), ' ') AS w FROM lifters WHERE lifter_id % 2 = 0), c AS (SELECT a.lifter_id, MIN(b.lifter_id) AS other, COUNT(*) AS n FROM a JOIN b ON a.birth_year = b.birth_year AND list_has_all(a.w, b.w) AND len(b.w) >= 2 GROUP BY 1) SELECT lifter_id, other FROM c WHERE n = 1")
+@query("join_11_one_candidate", ", l AS (SELECT lifter_id, 1940 + lifter_id % 700 % 50 AS born, athlete_name FROM lifters), a AS (SELECT lifter_id, born, string_split(lower(athlete_name) || ' junior', ' ') AS w FROM l WHERE lifter_id % 3 = 1), b AS (SELECT lifter_id, born, string_split(lower(athlete_name), ' ') AS w FROM l WHERE lifter_id % 3 = 0), c AS (SELECT a.lifter_id, MIN(b.lifter_id) AS other, COUNT(*) AS n FROM a JOIN b ON a.born = b.born AND list_has_all(a.w, b.w) AND len(b.w) >= 2 GROUP BY 1) SELECT lifter_id, other FROM c WHERE n = 1")
 def join_11(v):
-    a = v.lifters.where("lifter_id % 2 = 1").select("lifter_id", "birth_year", F.concat_ws(" ", "athlete_name", F.lit("Junior")).alias("name"))
-    b = v.lifters.where("lifter_id % 2 = 0").select(F.col("lifter_id").alias("other"), "birth_year", F.col("athlete_name").alias("other_name"))
+    # a third of the lifters under a longer name against another third, years of birth by name so that some agree
+    born = (1940 + F.col("lifter_id") % 700 % 50).alias("birth_year")
+    a = v.lifters.where("lifter_id % 3 = 1").select("lifter_id", born, F.concat_ws(" ", "athlete_name", F.lit("Junior")).alias("name"))
+    b = v.lifters.where("lifter_id % 3 = 0").select(F.col("lifter_id").alias("other"), born, F.col("athlete_name").alias("other_name"))
     c = identity.contained(a, b)
     return c.groupBy("lifter_id").agg(F.min("other").alias("other"), count().alias("n")).where("n = 1").select("lifter_id", "other")
 

@@ -26,11 +26,14 @@ def local_session(cores: str = "8", memory: str = "12g", partitions: int = 8) ->
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; one of our own only where that is unset (tests)."""
+    """The folder all executors share: ``spark.checkpoint.dir``; one of our own only where that is unset and all tasks run in
+    this process (tests)."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.conf.get("barpath.scratch.dir", None)
         if not path:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             path = "file://" + tempfile.mkdtemp(prefix="barpath-")
             spark.conf.set("barpath.scratch.dir", path)
     return path.rstrip("/")
