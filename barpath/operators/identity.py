@@ -23,6 +23,38 @@ def resolve(entries: DataFrame, people: DataFrame, rules: Sequence[Sequence[str]
     return entries.select(key).join(best, key, "left")
 
 
+def resolve_in_tiers(entries: DataFrame, people: DataFrame, busy: DataFrame) -> DataFrame:
+    """DQ-2: for each entry (entry_id, athlete_name, internal_id, meet_id) a person (lifter_id, athlete_name, internal_id) by
+    the first tier that finds exactly one: id and name, id alone, name, the name without an id (which adopts it), the name
+    after those who already have another result at the meet (``busy``: lifter_id, meet_id, x) are ruled out; else new."""
+    named = entries.select("entry_id", "athlete_name", "meet_id").join(people, "athlete_name")
+    other = (F.col("e.entry_id") != F.col("b.x")) & (F.col("e.lifter_id") == F.col("b.lifter_id")) & (F.col("e.meet_id") == F.col("b.meet_id"))
+    tiers = [
+        ("id and name", entries.select("entry_id", "athlete_name", "internal_id").join(people, ["athlete_name", "internal_id"])),
+        ("id", entries.select("entry_id", "internal_id").join(people, "internal_id")),
+        ("name", named), ("adopted", named.where("internal_id is null")), ("exclusion", named.alias("e").join(busy.alias("b"), other, "left_anti")),
+    ]
+    found = None
+    for n, (name, hits) in enumerate(tiers):
+        one = hits.groupBy("entry_id").agg(F.min("lifter_id").alias("lifter_id"), F.count("*").alias("k")).where("k = 1")
+        one = one.select("entry_id", F.struct(F.lit(n).alias("n"), "lifter_id", F.lit(name).alias("tier")).alias("hit"))
+        found = one if found is None else found.unionByName(one)
+    best = found.groupBy("entry_id").agg(F.min("hit").alias("hit"))
+    return entries.select("entry_id").join(best, "entry_id", "left").select("entry_id", "hit.lifter_id", F.coalesce("hit.tier", F.lit("new")).alias("tier"))
+
+
+def surgical_merge(results: DataFrame, masters: DataFrame, harvest: Sequence[str]) -> DataFrame:
+    """DQ-13: results of merged athletes (``masters``: lifter_id, master) under their master. Of results of one meet, day and
+    total (totals are whole, so a difference under 0.1 is none) the master's own stays, else the first; it takes what it lacks of
+    ``harvest`` from those that go; results that meet no other are reassigned. Nobody but the masters is left with results."""
+    rows = results.join(masters, "lifter_id", "left").withColumn("master", F.coalesce("master", "lifter_id")).withColumn("own", F.col("master") == F.col("lifter_id"))
+    keys = ["master", "meet_name", "date", "total"]
+    first = F.min_by(F.struct("result_id", "own", *harvest), F.struct(~F.col("own"), F.col("result_id"))).alias("r")
+    g = rows.groupBy(*keys).agg(first, *[F.max(c).alias(f"__{c}") for c in harvest])
+    action = F.when(F.col("r.own"), "kept").otherwise("reassigned").alias("action")
+    return g.select("r.result_id", F.col("master").alias("lifter_id"), *[F.coalesce(F.col(f"r.{c}"), F.col(f"__{c}")).alias(c) for c in harvest], action)
+
+
 def dedupe_valid(df: DataFrame, keys: Sequence[str], total: str = "total", tie: str = "result_id") -> DataFrame:
     """DQ-3: of each key the row of the largest valid total, else the oldest."""
     value = F.col(total).try_cast("int")

@@ -279,10 +279,13 @@ def dq_12(v):
     return identity.merge_by(v.lifters, "internal_id", "lifter_id").select("lifter_id", "master")
 
 
-@query("dq_13_harvest", ", m AS (SELECT internal_id, MIN(lifter_id) AS master, MAX(membership_number) AS member, MAX(birth_year) AS born FROM lifters WHERE internal_id IS NOT NULL GROUP BY 1) SELECT l.lifter_id, COALESCE(l.membership_number, member) AS membership_number, COALESCE(l.birth_year, born) AS birth_year FROM lifters l JOIN m ON m.master = l.lifter_id")
+@query("dq_13_harvest", """, m AS (SELECT lifter_id, MIN(lifter_id) OVER (PARTITION BY internal_id) AS master FROM lifters WHERE internal_id IS NOT NULL),
+    x AS (SELECT r.result_id, COALESCE(master, r.lifter_id) AS master, COALESCE(master, r.lifter_id) = r.lifter_id AS own, meet_name, date, total, membership_number, birth_year FROM results r LEFT JOIN m ON m.lifter_id = r.lifter_id),
+    k AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY master, meet_name, date, total ORDER BY own DESC, result_id) AS n, MAX(membership_number) OVER (PARTITION BY master, meet_name, date, total) AS member, MAX(birth_year) OVER (PARTITION BY master, meet_name, date, total) AS born FROM x)
+    SELECT result_id, master AS lifter_id, COALESCE(membership_number, member) AS membership_number, COALESCE(birth_year, born) AS birth_year, CASE WHEN own THEN 'kept' ELSE 'reassigned' END AS action FROM k WHERE n = 1""")
 def dq_13(v):
-    m = v.lifters.where("internal_id is not null").groupBy("internal_id").agg(F.min("lifter_id").alias("lifter_id"), F.max("membership_number").alias("member"), F.max("birth_year").alias("born"))
-    return v.lifters.join(m.drop("internal_id"), "lifter_id").select("lifter_id", F.coalesce("membership_number", "member").alias("membership_number"), F.coalesce("birth_year", "born").alias("birth_year"))
+    masters = identity.merge_by(v.lifters.where("internal_id is not null").select("lifter_id", "internal_id"), "internal_id", "lifter_id").select("lifter_id", "master")
+    return identity.surgical_merge(v.results.select("result_id", "lifter_id", "meet_name", "date", "total", "membership_number", "birth_year"), masters, ["membership_number", "birth_year"])
 
 
 @query("dq_15_alias_closure", ", b AS (SELECT a, b FROM aliases UNION SELECT b, a FROM aliases), t(node, x) AS (SELECT a, a FROM b UNION SELECT t.node, b.b FROM t JOIN b ON b.a = t.x) SELECT node, MIN(x) AS component FROM t GROUP BY 1", recursive=True)
@@ -604,13 +607,20 @@ def geo_19(v):
     return side("a").join(side("b"), "min_x").where("a < b and (ahi = blo or bhi = alo)").select("a", "b")
 
 
-@query("dq_2_resolve_by_exclusion", ", c AS (SELECT e.entry_id, l.lifter_id FROM entries e JOIN results r ON r.result_id = e.entry_id JOIN lifters l ON l.athlete_name = r.lifter_name WHERE NOT EXISTS (SELECT 1 FROM results x WHERE x.lifter_id = l.lifter_id AND x.meet_id = r.meet_id AND x.result_id <> r.result_id)) SELECT entry_id, MIN(lifter_id) AS lifter_id FROM c GROUP BY 1 HAVING COUNT(*) = 1")
+@query("dq_2_resolve_by_exclusion", """, e AS (SELECT result_id AS entry_id, lifter_name AS nm, meet_id, CASE WHEN result_id % 3 = 0 THEN lifter_id % 1300 WHEN result_id % 3 = 1 THEN result_id % 1500 END AS iid FROM results),
+    c1 AS (SELECT entry_id, MIN(lifter_id) AS x FROM e JOIN lifters l ON l.internal_id = e.iid AND l.athlete_name = e.nm GROUP BY 1 HAVING COUNT(*) = 1),
+    c2 AS (SELECT entry_id, MIN(lifter_id) AS x FROM e JOIN lifters l ON l.internal_id = e.iid GROUP BY 1 HAVING COUNT(*) = 1),
+    c3 AS (SELECT entry_id, MIN(lifter_id) AS x FROM e JOIN lifters l ON l.athlete_name = e.nm GROUP BY 1 HAVING COUNT(*) = 1),
+    c4 AS (SELECT entry_id, MIN(lifter_id) AS x FROM e JOIN lifters l ON l.athlete_name = e.nm AND l.internal_id IS NULL GROUP BY 1 HAVING COUNT(*) = 1),
+    c5 AS (SELECT e.entry_id, MIN(l.lifter_id) AS x FROM e JOIN lifters l ON l.athlete_name = e.nm WHERE NOT EXISTS (SELECT 1 FROM results r WHERE r.lifter_id = l.lifter_id AND r.meet_id = e.meet_id AND r.result_id <> e.entry_id) GROUP BY 1 HAVING COUNT(*) = 1)
+    SELECT e.entry_id, COALESCE(c1.x, c2.x, c3.x, c4.x, c5.x) AS lifter_id, CASE WHEN c1.x IS NOT NULL THEN 'id and name' WHEN c2.x IS NOT NULL THEN 'id' WHEN c3.x IS NOT NULL THEN 'name' WHEN c4.x IS NOT NULL THEN 'adopted' WHEN c5.x IS NOT NULL THEN 'exclusion' ELSE 'new' END AS tier
+    FROM e LEFT JOIN c1 ON c1.entry_id = e.entry_id LEFT JOIN c2 ON c2.entry_id = e.entry_id LEFT JOIN c3 ON c3.entry_id = e.entry_id LEFT JOIN c4 ON c4.entry_id = e.entry_id LEFT JOIN c5 ON c5.entry_id = e.entry_id""")
 def dq_2(v):
-    e = v.entries.select("entry_id").join(v.results.select(F.col("result_id").alias("entry_id"), F.col("lifter_name").alias("athlete_name"), "meet_id"), "entry_id")
-    c = e.join(v.lifters.select("lifter_id", "athlete_name"), "athlete_name")
+    k = F.col("result_id")
+    iid = F.when(k % 3 == 0, F.col("lifter_id") % 1300).when(k % 3 == 1, k % 1500)
+    e = v.results.select(k.alias("entry_id"), F.col("lifter_name").alias("athlete_name"), "meet_id", iid.alias("internal_id"))
     busy = v.results.select("lifter_id", "meet_id", F.col("result_id").alias("x"))
-    free = c.join(busy, (c["lifter_id"] == busy["lifter_id"]) & (c["meet_id"] == busy["meet_id"]) & (busy["x"] != c["entry_id"]), "left_anti")
-    return free.groupBy("entry_id").agg(F.min("lifter_id").alias("lifter_id"), count().alias("n")).where("n = 1").select("entry_id", "lifter_id")
+    return identity.resolve_in_tiers(e, v.lifters.select("lifter_id", "athlete_name", "internal_id"), busy)
 
 
 @query("dq_14_name_masters", "SELECT athlete_name, MIN(lifter_id) AS master, COUNT(*) AS n FROM lifters GROUP BY 1 HAVING COUNT(*) > 1")
