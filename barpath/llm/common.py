@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,8 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows in an Arrow batch: texts are long, and a task holds a batch at a time.
+#: Rows and bytes in an Arrow batch: texts are long, and a task holds a batch at a time.
 BATCH_ROWS = 1000
+BATCH_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,9 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Hold Arrow batches to ``BATCH_ROWS`` rows in this session."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > BATCH_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    """Hold Arrow batches to ``BATCH_ROWS`` rows and ``BATCH_BYTES`` bytes in this session."""
+    for name, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = re.match(r"\d+", spark.conf.get(name))
+        if not now or int(now[0]) == 0 or int(now[0]) > most:
+            spark.conf.set(name, str(most))
 
 
 def crc32_mod(column: str, n: int):
@@ -32,12 +36,6 @@ def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return [x or "" for x in batch.column(column).to_pylist()]
 
 
-def with_columns(batch: pa.RecordBatch, schema: pa.Schema, new: dict[str, list], keep: list[str]) -> pa.RecordBatch:
-    """The columns ``keep`` of a batch and then the new ones, typed by ``schema``."""
-    arrays = [batch.column(c).cast(schema.field(c).type) if c in keep else pa.array(new[c], schema.field(c).type) for c in schema.names]
-    return pa.RecordBatch.from_arrays(arrays, schema=schema)
-
-
 def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return (b for b in it if b.num_rows)
 

@@ -19,8 +19,8 @@ distinct k-grams, and a text is the sum over its tokens.
 Words are 64-bit hashes at first and get numbers at level 1, small ones to frequent words; two words of one hash would count
 as one. The k-grams of a history of more than ``hot`` tokens are dealt to several buckets by word, and its sums are
 put together afterwards; ``hot`` is at least a 2**20-th of all tokens, so there are never more such histories than that.
-Tables of the model, partitioned by kind, each row a bucket: ``level1`` (words, numbers, counts), ``level2`` .. (k-grams and
-counts; histories with the sums that give a(h), those of hot ones again by themselves), ``about`` (sizes, counts of counts).
+Tables of the model, partitioned by kind, each row a bucket: ``level1`` (words, numbers, counts), ``level2`` .. (k-grams with their
+counts and lower counts, which give a(h); sums of hot histories by themselves), ``about`` (sizes, counts of counts).
 ``score_with`` scores other texts by a stored model.
 """
 
@@ -49,7 +49,7 @@ GROUP_TOKENS = 1 << 20
 HOT = 1 << 19
 #: Tokens for which there is one more bucket, at least; and k-grams that a group sends to a bucket, about, at least. Groups and
 #: buckets grow with the square root of the corpus beyond some 1e10 tokens, so rows stay few and of some size.
-BUCKET_TOKENS = 1 << 22
+BUCKET_TOKENS = 1 << 19
 ROW_GRAMS = 64
 #: Documents of a group at most.
 GROUP_DOCS = 1 << 16
@@ -135,7 +135,9 @@ def _by(it: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, list[tupl
     """(key, rows as (kind, bucket, grp, body)) from rows that are sorted by the key."""
     now, held = None, []
     for batch in batches(it):
-        for row in zip(*(batch.column(c).to_pylist() for c in ("kind", "bucket", "grp", "body")), strict=True):
+        columns = [batch.column(c) for c in ("kind", "bucket", "grp", "body")]
+        for i in range(batch.num_rows):
+            row = tuple(c[i].as_py() for c in columns)
             k = row[1] if key == "bucket" else row[2]
             if held and k != now:
                 yield now, held
@@ -186,28 +188,26 @@ class Model:
         return self._unpacked("level1", "words", ["u8", "i8", "i8"], ["word", "number", "count"])
 
     def grams(self, level: int) -> DataFrame:
-        """(w1, ..., count): the numbers of the words of each k-gram, and its count."""
-        return self._unpacked(f"level{level}", "grams", ["i8"] * level + ["i8"], [f"w{i + 1}" for i in range(level)] + ["count"])
+        """(w1, ..., count, low, base): the numbers of the words of each k-gram, its count, and the counts of its last k-1 words
+        and of their history, which give its probability by the lower order."""
+        names = [*(f"w{i + 1}" for i in range(level)), "count", "low", "base", "hot"]
+        return self._unpacked(f"level{level}", "grams", ["i8"] * (level + 3) + ["u1"], names).drop("hot")
 
     def contexts(self, level: int) -> DataFrame:
-        """(w1, ..., count, alpha): histories of level - 1 words, their counts and backoff weights; hot ones come from the
-        parts of several buckets."""
-        names = [f"w{i + 1}" for i in range(level - 1)]
-        d = [float(x) for x in discounts(self.about[f"of{level}"])]
-        rows = self._unpacked(f"level{level}", "histories", ["i8"] * (level - 1) + ["i8"] * (K + 1) + ["f8"], names + [f"k{r}" for r in range(1, K + 2)] + ["mass"])
-        sums = rows.groupBy(*names).agg(*[F.sum(f"k{r}").alias(f"k{r}") for r in range(1, K + 2)], F.sum("mass").alias("mass"))
-        count = sum((r * F.col(f"k{r}") for r in range(1, K + 1)), F.col(f"k{K + 1}"))
-        kept = sum((d[r] * r * F.col(f"k{r}") for r in range(1, K + 1)), (1 - TAIL) * F.col(f"k{K + 1}"))
-        return sums.select(*names, count.alias("count"), ((1 - kept / count) / (1 - F.col("mass"))).alias("alpha"))
+        """(w1, ..., count, alpha): histories of level - 1 words, their counts and backoff weights."""
+        names, about = [f"w{i + 1}" for i in range(level - 1)], self.about
+        kept = lambda c, k: F.element_at(F.array(*[F.lit(float(x)) for x in np.append(discounts(about[f"of{k}"])[1:], 1 - TAIL)]), F.least(F.col(c), F.lit(K + 1)).cast("int")) * F.col(c)
+        sums = self.grams(level).groupBy(*names).agg(F.sum("count").alias("count"), F.sum(kept("count", level)).alias("kept"), F.sum(kept("low", level - 1) / F.col("base")).alias("mass"))
+        return sums.select(*names, "count", ((1 - F.col("kept") / F.col("count")) / (1 - F.col("mass"))).alias("alpha"))
 
     def _unpacked(self, name: str, kind: str, kinds: list[str], names: list[str]) -> DataFrame:
         def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches(it):
                 for body in batch.column("body").to_pylist():
                     arrays = unpack(body, *kinds)
-                    yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64) if a.dtype == np.uint64 else a) for a in arrays], names=names)
+                    yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64) if a.dtype == np.uint64 else a.astype(np.int64)) for a in arrays], names=names)
 
-        schema = ", ".join(f"`{n}` {'double' if k == 'f8' else 'long'}" for n, k in zip(names, kinds, strict=True))
+        schema = ", ".join(f"`{n}` long" for n in names)
         return self.read(name).where(F.col("kind") == kind).select("body").mapInArrow(run, schema)
 
 
@@ -281,7 +281,7 @@ class Group:
         self.first = np.cumsum(lengths) - lengths
         self.train = np.repeat(out == 0, lengths)
         # level 1: gram is the word; count has one more place, that of the beginning
-        self.gram, self.suffix, self.word = [None, tokens.astype(np.int64)], [None, None], [None, np.arange(len(words))]
+        self.gram, self.suffix, self.word = [None, tokens.astype(np.int32)], [None, None], [None, np.arange(len(words))]
         self.history, self.count = [None, None], [None, np.append(counts, model["docs"][0])]
         self.columns = [None, np.append(words, START)[:, None]]
         self.seen = [None, None]
@@ -293,18 +293,34 @@ class Group:
         before = np.empty_like(below)
         before[1:] = below[:-1]
         before[self.first] = len(self.count[k - 1]) - 1
-        key, at, gram = np.unique(before << 32 | self.tokens.astype(np.int64), return_index=True, return_inverse=True)
-        self.gram.append(gram.ravel())
-        self.history.append(key >> 32)
-        self.word.append(key & 0xFFFFFFFF)
+        key = before.astype(np.int64)
+        key <<= 32
+        key |= self.tokens
+        order = np.argsort(key, kind="stable")
+        new = np.empty(len(key), bool)
+        new[:1] = True
+        np.not_equal(key[order[1:]], key[order[:-1]], out=new[1:])
+        at = order[new]
+        gram = np.empty(len(key), np.int32)
+        gram[order] = np.cumsum(new, dtype=np.int32) - np.int32(1)
+        key = key[at]
+        del order, new, before
+        self.gram.append(gram)
+        self.history.append((key >> 32).astype(np.int32))
+        self.word.append((key & 0xFFFFFFFF).astype(np.int32))
         self.suffix.append(below[at])
-        self.seen.append(np.bincount(self.gram[k], weights=self.train, minlength=len(key)).astype(np.int64))
-        self.columns.append(np.vstack([np.column_stack([self.columns[k - 1][self.history[k]], self.words[self.word[k]]]), np.full((1, k), START)]))
+        self.seen.append(np.bincount(self.gram[k], weights=self.train, minlength=len(key)).astype(np.int32))
+        columns = np.full((len(key) + 1, k), START, np.int64)
+        for j in range(k - 1):
+            columns[:-1, j] = self.columns[k - 1][self.history[k], j]
+        columns[:-1, k - 1] = self.words[self.word[k]]
+        self.columns.append(columns)
         self.count.append(None)
 
     def requests(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The k-grams that are sent (their history occurs in training), in the order sent; where buckets begin; and whether
-        the history of each is hot. Sorted by bucket, then history and word."""
+        the history of each is hot. Sorted by bucket, then history, its last word first (rows of one lower history stand
+        together and compress well), and word."""
         n, hot = self.model["buckets"][0], self.model["hot"][0]
         of = self.count[k - 1][self.history[k]]
         columns = self.columns[k][:-1]
@@ -315,7 +331,7 @@ class Group:
         code = mixed(code + mixed(columns[:, k - 1].astype(np.uint64) + np.uint64(77)) % parts)
         bucket = (code % np.uint64(n)).astype(np.int64)
         sent = np.flatnonzero(of > 0)
-        order = sent[np.lexsort([columns[sent, j] for j in range(k - 1, -1, -1)] + [bucket[sent]])]
+        order = sent[np.lexsort([columns[sent, k - 1], *(columns[sent, j] for j in range(k - 1)), bucket[sent]])]
         return order, np.searchsorted(bucket[order], np.arange(n + 1)), of[order] > hot
 
     def lower(self, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -412,16 +428,21 @@ def _merge_grams(k: int, d: np.ndarray, counted: bool):
             asks = [(g, unpack(body, *kinds_)) for kind, _, g, body in rows if kind == "ask"]
             if not asks:
                 continue
-            parts = [a for _, a in asks]
-            stored = [unpack(body, *["i8"] * (k + 1)) for kind, _, _, body in rows if kind == "grams"] if counted else []
-            columns = [np.concatenate([*(p[j] for p in parts), *(s[j] for s in stored)]) for j in range(k)]
-            sent = sum(len(p[0]) for p in parts)
-            times = np.concatenate([np.zeros(sent, np.int64), *(s[k] for s in stored)]) if counted else np.concatenate([p[k] for p in parts])
+            if counted:  # the model's k-grams, as if one more group had sent them
+                asks_and_model = [*(a for _, a in asks), *(unpack(body, *kinds_) for kind, _, _, body in rows if kind == "grams")]
+            else:
+                asks_and_model = [a for _, a in asks]
+            del rows
+            columns = [np.concatenate([p[j] for p in asks_and_model]) for j in range(k)]
+            times, low, base, hot = (np.concatenate([p[k + j] for p in asks_and_model]) for j in range(4))
+            sizes = [len(p[0]) for p in asks_and_model]
+            asks = [(g, a[k + 3]) for g, a in asks]
+            del asks_and_model
             # the number of each history, and of each k-gram
-            order = np.lexsort(columns[::-1])
-            sorted_ = [c[order] for c in columns]
-            new_history = np.concatenate([[True], np.logical_or.reduce([c[1:] != c[:-1] for c in sorted_[:-1]])])
-            new = new_history | np.concatenate([[True], sorted_[-1][1:] != sorted_[-1][:-1]])
+            order = np.lexsort([columns[-1], *columns[:-1]])  # as the groups sort them
+            differs = lambda c: np.concatenate([[True], c[order[1:]] != c[order[:-1]]])
+            new_history = np.logical_or.reduce([differs(c) for c in columns[:-1]])
+            new = new_history | differs(columns[-1])
             gram, history = np.cumsum(new) - 1, np.cumsum(new_history) - 1
             at = np.flatnonzero(new)
             count = np.add.reduceat(times[order], at)
@@ -430,47 +451,28 @@ def _merge_grams(k: int, d: np.ndarray, counted: bool):
             where[order] = gram
             n_histories = int(history[-1]) + 1
             heads = np.flatnonzero(new_history)
-            if counted:
-                held = [unpack(body, *["i8"] * (k - 1), *["i8"] * (K + 1), "f8") for kind, _, _, body in rows if kind == "histories"]
-                kinds, mass = np.zeros((n_histories, K + 1), np.int64), np.zeros(n_histories)
-                if held:
-                    have = [np.concatenate([h[j] for h in held]) for j in range(k + K + 1)]
-                    # a place for each stored history among those here, by sorting both together
-                    both = [np.concatenate([sorted_[j][heads], have[j]]) for j in range(k - 1)]
-                    o = np.lexsort(both[::-1])
-                    fresh = np.concatenate([[True], np.logical_or.reduce([b[o][1:] != b[o][:-1] for b in both])])
-                    rank = np.empty(len(o), np.int64)
-                    rank[o] = np.cumsum(fresh) - 1
-                    to = np.full(int(rank.max()) + 1, -1)
-                    to[rank[:n_histories]] = np.arange(n_histories)
-                    found = to[rank[n_histories:]]
-                    ok = found >= 0
-                    kinds[found[ok]] = np.column_stack(have[k - 1 : k + K])[ok]
-                    mass[found[ok]] = have[-1][ok]
-            else:
-                trained = count > 0
-                small = count <= K
-                slot = of_gram * (K + 1) + np.where(small, np.maximum(count, 1) - 1, K)
-                kinds = np.bincount(slot[trained], weights=np.where(small, 1, count)[trained], minlength=n_histories * (K + 1)).astype(np.int64).reshape(-1, K + 1)
-                # every group that trained on a k-gram sent the same lower counts; any one of them will do
-                low, base = (np.concatenate([p[k + i] for p in parts])[order] for i in (1, 2))
-                low, base = np.maximum.reduceat(low, at), np.maximum.reduceat(base, at)
-                mass = np.bincount(of_gram[trained], weights=(discounted(low, d) / np.maximum(base, 1))[trained], minlength=n_histories)
-                hot = np.concatenate([p[k + 3] for p in parts])[order][heads]
+            trained = count > 0
+            small = count <= K
+            slot = of_gram * (K + 1) + np.where(small, np.maximum(count, 1) - 1, K)
+            kinds = np.bincount(slot[trained], weights=np.where(small, 1, count)[trained], minlength=n_histories * (K + 1)).astype(np.int64).reshape(-1, K + 1)
+            # every group that trained on a k-gram sent the same lower counts; any one of them will do
+            low, base = np.maximum.reduceat(low[order], at), np.maximum.reduceat(base[order], at)
+            mass = np.bincount(of_gram[trained], weights=(discounted(low, d) / np.maximum(base, 1))[trained], minlength=n_histories)
+            if not counted:
+                first = order[at][trained]
+                grams = pack(*(c[first] for c in columns), count[trained], low[trained], base[trained], hot[first])
                 of = np.bincount(np.minimum(count, K + 2), minlength=K + 3)[1 : K + 2]
-                grams = pack(*(c[at][trained] for c in sorted_), count[trained])
-                seen = kinds.any(axis=1)
-                sums = lambda o: pack(*(c[heads][o] for c in sorted_[:-1]), *kinds[o].T, mass[o])
-                out = [_row("grams", bucket, -1, grams), _row("histories", bucket, -1, sums(np.flatnonzero(seen))), _row("sizes", bucket, -1, pack(of.astype("<i8")))]
-                if (mark := np.flatnonzero(seen & (hot > 0))).size:
-                    out.append(_row("hot", bucket, -1, sums(mark)))
+                out = [_row("grams", bucket, -1, grams), _row("sizes", bucket, -1, pack(of.astype("<i8")))]
+                if (mark := np.flatnonzero(kinds.any(axis=1) & (hot[order[heads]] > 0))).size:
+                    out.append(_row("hot", bucket, -1, pack(*(c[order[heads]][mark] for c in columns[:-1]), *kinds[mark].T, mass[mark])))
                 yield _batch(out)
-            ends = np.cumsum([0, *(len(p[0]) for p in parts)])
+            del columns, times, low, base, gram
+            ends = np.cumsum([0, *sizes])
             history_of = np.empty(len(order), np.int64)
             history_of[order] = history
-            for (g, p), a, b in zip(asks, ends, ends[1:], strict=False):
+            for (g, is_hot), a, b in zip(asks, ends, ends[1:], strict=False):
                 given = count[where[a:b]]
-                ask = history_of[a:b][(given == 0) & (p[k + 3] == 0)]
+                ask = history_of[a:b][(given == 0) & (is_hot == 0)]
                 ask = ask[np.concatenate([[True], ask[1:] != ask[:-1]])] if len(ask) else ask  # sent in the order of histories
                 yield _batch([_row("answer", bucket, g, b"".join(len(x).to_bytes(8, "little") + x for x in (pack(given), pack(*kinds[ask].T, mass[ask]))))])
 
@@ -545,7 +547,7 @@ def _grams_asked(k: int, shared):
             group.extend()
             order, ends, hot = group.requests(k)
             low, base = group.lower(k)
-            seen = group.seen[k]
+            seen = group.seen[k].astype(np.int64)
             arrays = [group.columns[k][order, j] for j in range(k)] + [seen[order], np.where(seen > 0, low, 0)[order], np.where(seen > 0, base, 0)[order], hot.astype(np.uint8)]
             yield _batch([_row("ask", -1, g, b"")] + [_row("ask", b, g, pack(*(a[ends[b] : ends[b + 1]] for a in arrays))) for b in np.flatnonzero(ends[1:] > ends[:-1]).tolist()])
 
@@ -608,6 +610,7 @@ def _run(docs: DataFrame, model: Model, order: int, group_tokens: int, hot: int,
     work.write(_dealt(groups.unionByName(answers), least, "grp").mapInArrow(_numbered(n), ROWS), "numbered")
     release_shuffles(spark)
     work.remove("groups/kind=group")
+    (work if stored else model).remove("level1/kind=answer")
     numbered, hots, given = work.read("numbered"), {}, []
     for k in range(2, order + 1):
         shared = spark.sparkContext.broadcast((about, hots))
@@ -616,7 +619,7 @@ def _run(docs: DataFrame, model: Model, order: int, group_tokens: int, hot: int,
             parts = parts.unionByName(a)
         asked = _dealt(parts, least, "grp").mapInArrow(_grams_asked(k, shared), ROWS).where("bucket >= 0")
         if stored:
-            asked = asked.unionByName(model.read(f"level{k}").where("kind in ('grams', 'histories')"))
+            asked = asked.unionByName(model.read(f"level{k}").where("kind = 'grams'"))
         d = discounts(about[f"of{k - 1}"])
         (work if stored else model).write(_dealt(asked, n, "bucket").mapInArrow(_merge_grams(k, d, stored), ROWS), f"level{k}", by_kind=True)
         release_shuffles(spark)
