@@ -246,7 +246,10 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     named = reps.join(more, "rep", "left").join(joined.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("component", "rep"))
     named = named.select("v", "least", "root", (F.col("copies") - 1 + F.coalesce("more", F.lit(0))).alias("n_links"))
     named = named.join(named.groupBy("root").agg(F.min("least").alias("component_id")), "root")
-    out = rows.join(named.select(F.col("v").alias("__v"), "n_links", "component_id"), "__v", "left")
+    # rows without a vector that can link meet in no join: however many there are, they are no hot key
+    out = rows.where(F.col("__v").isNotNull()).join(named.select(F.col("v").alias("__v"), "n_links", "component_id"), "__v", "left")
+    none = rows.where(F.col("__v").isNull()).withColumns({"n_links": F.lit(0).cast("long"), "component_id": F.lit(None).cast(rows.schema[key].dataType)})
+    out = out.unionByName(none)
     component = F.coalesce("component_id", key)
     names = [c for c in rows.columns if c != "__v"]
     return out.select(*names, F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col(key) == component, F.lit(False)).alias("kept"))

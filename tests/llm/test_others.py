@@ -177,7 +177,7 @@ def test_vectors(spark, cell_rows):
     rng = np.random.default_rng(1)
     base = rng.standard_normal((60, 24))
     x = np.concatenate([base, base[:20] + rng.standard_normal((20, 24)) * 0.18, base[:5] * 3, base[:10], np.repeat(base[:1], 30, 0) + rng.standard_normal((30, 24)) * 0.15])
-    rows = [(i, v.tolist(), "clash") for i, v in enumerate(x)] + [(900, None, "a"), (901, [0.0] * 24, "a"), (902, [float("nan")] + [1.0] * 23, "a"), (903, [1.0, None], "a"), (904, [], "a"), (905, x[0].tolist()[:3], "a"), (906, [3.0], "a"), (907, [5.0], "a")]
+    rows = [(i, v.tolist(), "clash") for i, v in enumerate(x)] + [(900, None, "a"), (901, [0.0] * 24, "a"), (902, [float("nan")] + [1.0] * 23, "a"), (903, [1.0, None], "a"), (904, [], "a"), (905, x[0].tolist()[:3], "a"), (906, [3.0], "a"), (907, [5.0], "a"), (None, [3.0], "a"), (908, [2.0, 1.0], "a"), (908, [2.0, 1.0], "a")]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, n_links string")
     got = {r.vec_id: r for r in embeddings.near_vectors(df, cell_rows=cell_rows).collect()}
     u = x / np.linalg.norm(x, axis=1)[:, None]
@@ -186,6 +186,8 @@ def test_vectors(spark, cell_rows):
     for i in range(len(x)):
         assert (got[i].n_links, got[i].component_id, got[i].kept) == (linked[i].sum() - 1, expected[i], expected[i] == i)
     assert all((got[i].n_links, got[i].component_id) == (0, i) for i in range(900, 906)) and (got[907].n_links, got[907].component_id) == (1, 906)
+    # a null key links with nothing; rows that repeat a key count as rows
+    assert (got[None].n_links, got[None].component_id, got[None].kept) == (0, None, False) and (got[908].n_links, got[908].component_id) == (1, 908)
     assert embeddings.near_vectors(df.limit(0)).count() == 0
 
 
