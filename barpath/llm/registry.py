@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from barpath.llm import decontaminate, embeddings, extract, katz, packing, pii, quality, search, sharding, simhash, tokens, whitening
+from barpath.llm import bpe, decontaminate, embeddings, extract, katz, packing, pii, quality, search, sharding, simhash, tokens, whitening
 
 QUERIES = {
     "op1_katz": katz.op1_katz,
@@ -17,5 +17,6 @@ QUERIES = {
     "op10_tokens": tokens.op10_tokens,
     "op11_search": search.op11_search,
     "op12_whitening": whitening.op12_whitening,
+    "op13_bpe": bpe.op13_bpe,
 }
 ORACLE_SQL: dict[str, str] = {"op6_sharding": sharding.oracle_sql(), "op11_search": search.oracle_sql()}
