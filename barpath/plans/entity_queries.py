@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from barpath.functions import attempts, geo, parse, text
+from barpath.functions import attempts, geo, parse, scoring, text
 from barpath.operators import identity, series, tables
 from barpath.operators.components import components
-from barpath.plans.registry import query
+from barpath.plans.binding import WITH
+from barpath.plans.registry import ORACLE_SQL, query
 from barpath.sources import readers
 from barpath.streaming import streams
 
@@ -497,8 +498,8 @@ def stm_2(v):
 
 def _recomputed(v, events, shape, keys, compute):
     path = readers.fresh_path(v.spark, "recomputed")
-    streams.recompute_affected(shape(streams.source(v.spark, events)), lambda: shape(v.spark.read.parquet(events)), keys, compute, path).awaitTermination()
-    return streams.latest(v.spark, path)
+    streams.recompute_affected(shape(streams.source(v.spark, events)), keys, compute, path).awaitTermination()
+    return streams.latest(v.spark, path, keys)
 
 
 @query("stm_windows", "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS hour, event_type, COUNT(*) AS n FROM events GROUP BY 1, 2")
@@ -717,10 +718,22 @@ def src_14(v):
     return hit.select("meet_id", "region", (F.col("box")["max_x"] - F.col("box")["min_x"]).alias("width"))
 
 
-@query("stm_1_enriched_stream", "SELECT event_id, event_type, value * 2 AS doubled FROM events")
+_SIX = ("s1", "s2", "s3", "c1", "c2", "c3")
+
+
+@query("stm_1_enriched_stream", ORACLE_SQL["fn_4_analytics"].split(WITH)[1].replace("SELECT result_id,", "SELECT result_id, age, qpoints,").replace("FROM results", "FROM (SELECT * FROM results JOIN (" + ORACLE_SQL["fn_6_qpoints"].split(WITH)[1] + ") USING (result_id))"))
 def stm_1(v):
-    s = streams.source(v.spark, f"{v.sf_dir}/events.parquet")
-    return streams.run_once(s.select("event_id", "event_type", (F.col("value") * 2).alias("doubled")), "append")
+    """Results as they come are enriched with everything the library derives from a row: attempts made, bounce-backs, age, points.
+    Athletes and regions are tables at rest; the stream is that of the results."""
+
+    class Coming(type(v)):
+        def table(self, name):
+            return streams.source(self.spark, f"{self.sf_dir}/{name}.parquet") if name == "orders" else super().table(name)
+
+    age, _ = attempts.competition_age("date", "birth_year")
+    rows = Coming(v.spark, v.sf_dir).results
+    derived = rows.select("result_id", age.alias("age"), scoring.points("total", "body_weight_kg", "gender").alias("qpoints"), *attempts.analytics(*_SIX))
+    return streams.run_once(derived, "append")
 
 
 @query("stm_3_recomputed_bests", "SELECT event_id, MAX(value) OVER (PARTITION BY user_id, year(ts) ORDER BY epoch_us(ts) RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ytd FROM events")
@@ -737,4 +750,4 @@ def stm_5(v):
     path = readers.fresh_path(v.spark, "upserts")
     s = streams.source(v.spark, f"{v.sf_dir}/events.parquet").select("user_id", "event_id", "event_type", "value")
     streams.upsert_into(s, path, ["user_id"], ["event_id"], ["event_type", "value"]).awaitTermination()
-    return streams.latest(v.spark, path)
+    return streams.latest(v.spark, path, ["user_id"])

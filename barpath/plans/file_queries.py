@@ -104,8 +104,8 @@ def win_3b(v):
 def stm_4(v):
     path, events = readers.fresh_path(v.spark, "rebuilt"), f"{v.sf_dir}/events.parquet"
     document = lambda df: df.groupBy("user_id").agg(F.count("*").alias("n"), F.max("event_id").alias("last")).select("user_id", F.to_json(F.struct("n", "last")).alias("document"))
-    streams.recompute_affected(streams.source(v.spark, events), lambda: v.spark.read.parquet(events), ["user_id"], document, path).awaitTermination()
-    return streams.latest(v.spark, path).select("user_id", F.from_json("document", "n long, last long").alias("d")).select("user_id", "d.*")
+    streams.recompute_affected(streams.source(v.spark, events), ["user_id"], document, path).awaitTermination()
+    return streams.latest(v.spark, path, ["user_id"]).select("user_id", F.from_json("document", "n long, last long").alias("d")).select("user_id", "d.*")
 
 
 @query("stm_6_scheduled_months", ", e AS (SELECT event_type, user_id, CAST(date_trunc('month', ts) AS DATE) AS m FROM events), x AS (SELECT event_type, user_id, strftime(m + to_months(CAST(k AS INT)), '%Y-%m') AS month FROM e, (SELECT UNNEST([1, 2, 3]) AS k)) SELECT event_type, month, COUNT(DISTINCT user_id) AS users, COUNT(*) AS n FROM x GROUP BY 1, 2")
@@ -114,8 +114,8 @@ def stm_6(v):
     path, events = readers.fresh_path(v.spark, "months"), f"{v.sf_dir}/events.parquet"
     later = F.transform(F.array(*map(F.lit, (1, 2, 3))), lambda k: F.date_format(F.add_months(F.date_trunc("month", "ts"), k), "yyyy-MM"))
     rolling = lambda df: df.select("event_type", "user_id", F.explode(later).alias("month")).groupBy("event_type", "month").agg(F.count_distinct("user_id").alias("users"), F.count("*").alias("n"))
-    streams.recompute_affected(streams.source(v.spark, events), lambda: v.spark.read.parquet(events), ["event_type"], rolling, path).awaitTermination()
-    return streams.latest(v.spark, path)
+    streams.recompute_affected(streams.source(v.spark, events), ["event_type"], rolling, path).awaitTermination()
+    return streams.latest(v.spark, path, ["event_type"])
 
 
 @query("stm_8_resumed", "SELECT event_type, COUNT(*) AS n FROM events GROUP BY 1")

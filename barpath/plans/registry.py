@@ -28,4 +28,4 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QUERIES["flagship_top3"](spark, sf_dir)
 
 
-from barpath.plans import entity_queries, file_queries, row_queries, set_queries  # noqa: E402, F401
+from barpath.plans import row_queries, set_queries, entity_queries, file_queries  # noqa: E402, F401

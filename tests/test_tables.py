@@ -14,6 +14,7 @@ from barpath.operators.components import components
 from barpath.plans import registry
 from barpath.sources import readers
 from barpath.streaming import streams
+from barpath.streaming.keyed import KeyedTable
 
 
 #: Where queries are held against their SQL: the smallest tables hide what needs many rows.
@@ -78,22 +79,69 @@ def test_files_go_round(spark, tmp_path):
     assert readers.result_blocks(long, "html").where("lift = 'snatch'").count() == 150_000
 
 
+def files(path):
+    return {str(p.relative_to(path)): p.stat().st_mtime_ns for p in path.glob("data/batch=*/bucket=*/*.parquet")}
+
+
 def test_a_batch_that_is_run_again_adds_nothing(spark, tmp_path):
-    path = f"{tmp_path}/t"
-    for n, value in ((0, "a"), (1, "b"), (1, "c")):
-        streams._next(spark, path, n, lambda old, value=value: (spark.createDataFrame([], "v string") if old is None else old).unionByName(spark.createDataFrame([(value,)], "v string")))
-    assert sorted(r.v for r in streams.latest(spark, path).collect()) == ["a", "c"]
+    t = KeyedTable(spark, f"{tmp_path}/t", ["k"], 4)
+    rows = lambda x: spark.createDataFrame(x, "k int, v string")
+    t.replace(0, range(4), rows([(1, "a"), (2, "b"), (3, "c"), (None, "n")]))
+    assert t.read(0) is None
+    for value in ("x", "y"):  # batch 1 twice: the second time takes the place of the first
+        new = rows([(1, value)])
+        touched = t.touched(new)
+        t.replace(1, touched, t.read(1, touched).where("k is distinct from 1").unionByName(new))
+    got = lambda: sorted((r.k or 0, r.v) for r in t.read().collect())
+    assert got() == [(0, "n"), (1, "y"), (2, "b"), (3, "c")]
+    t.replace(2, t.touched(rows([(1, "")])), t.read(2, t.touched(rows([(1, "")]))).where("k is distinct from 1"))
+    assert got() == [(0, "n"), (2, "b"), (3, "c")]
+    with pytest.raises(ValueError, match="buckets"):
+        KeyedTable(spark, f"{tmp_path}/t", ["k"], 8).read()
+
+
+def test_a_batch_rewrites_only_its_buckets_and_old_versions_go(spark, tmp_path):
+    t = KeyedTable(spark, f"{tmp_path}/t", ["k"])
+    t.replace(0, range(t.buckets), spark.range(2000).select(F.col("id").alias("k"), F.lit(0).alias("v")))
+    first = files(tmp_path / "t")
+    assert len(first) >= t.buckets
+    for n in range(1, 6):
+        new = spark.range(10).select(F.col("id").alias("k"), F.lit(n).alias("v"))
+        touched = t.touched(new)
+        assert len(touched) <= 10
+        t.replace(n, touched, tables.upsert(t.read(n, touched), new, ["k"]))
+        now = files(tmp_path / "t")
+        new_buckets = {int(p.split("bucket=")[1].split("/")[0]) for p in now if f"batch={n}/" in p}
+        assert new_buckets == set(touched)
+        assert {p: m for p, m in now.items() if "batch=0/" in p}.items() <= first.items()  # nothing else was written again
+    assert t.commits() == [4, 5] and t.read().count() == 2000 and t.read().where("v = 5").count() == 10
+    assert {p.split("/")[1] for p in files(tmp_path / "t")} == {"batch=0", "batch=4", "batch=5"}
+    assert not any("batch=0/" in p and int(p.split("bucket=")[1].split("/")[0]) in touched for p in files(tmp_path / "t"))
 
 
 def test_late_rows_recompute_their_keys(spark, tmp_path):
     facts, out = f"{tmp_path}/facts", f"{tmp_path}/out"
     rows = lambda x: spark.createDataFrame(x, "lifter_id int, date string, total int")
     ytd = lambda df: series.year_to_date(df, F.col("total"), "ytd")
-    for new in ([(1, "2020-02-01", 90), (2, "2020-02-01", 50)], [(1, "2020-01-01", 95)]):
+    for new in ([(1, "2020-02-01", 90), (2, "2020-02-01", 50), (None, "2020-03-01", 7)], [(1, "2020-01-01", 95)], [(None, "2020-01-01", 9)]):
         rows(new).write.mode("append").parquet(facts)
-        streams.recompute_affected(streams.source(spark, facts), lambda: spark.read.parquet(facts), ["lifter_id"], ytd, out).awaitTermination()
-    got = sorted(tuple(r) for r in streams.latest(spark, out).select("lifter_id", "date", "ytd").collect())
-    assert got == [(1, "2020-01-01", 95), (1, "2020-02-01", 95), (2, "2020-02-01", 50)]
+        streams.recompute_affected(streams.source(spark, facts), ["lifter_id"], ytd, out).awaitTermination()
+    got = sorted((r.lifter_id or 0, r.date, r.ytd) for r in streams.latest(spark, out, ["lifter_id"]).collect())
+    assert got == [(0, "2020-01-01", 9), (0, "2020-03-01", 9), (1, "2020-01-01", 95), (1, "2020-02-01", 95), (2, "2020-02-01", 50)]
+
+
+def test_a_replayed_batch_counts_once(spark, tmp_path):
+    """The last batch's mark of completion is lost, as when the driver dies before it is written: the batch is run again."""
+    facts, out = tmp_path / "facts", tmp_path / "out"
+    count = lambda df: df.groupBy("k").agg(F.count("*").alias("n"))
+    run = lambda: streams.recompute_affected(streams.source(spark, str(facts)), ["k"], count, str(out)).awaitTermination()
+    for new in ([(1,), (2,)], [(1,), (3,)]):
+        spark.createDataFrame(new, "k int").write.mode("append").parquet(str(facts))
+        run()
+    for p in (out / "checkpoint/commits").glob("*1*"):
+        p.unlink()
+    run()
+    assert sorted(tuple(r) for r in streams.latest(spark, str(out), ["k"]).select("k", "n").collect()) == [(1, 2), (2, 1), (3, 1)]
 
 
 def test_upserts_of_two_batches_and_their_feed(spark, tmp_path):
@@ -101,7 +149,7 @@ def test_upserts_of_two_batches_and_their_feed(spark, tmp_path):
     for new in ([(1, 1, "a"), (2, 2, "x"), (1, 3, "b")], [(1, 4, "b"), (2, 5, "y"), (3, 6, "z")]):
         spark.createDataFrame(new, "k int, n int, v string").coalesce(1).write.mode("append").parquet(facts)
         streams.upsert_into(streams.source(spark, facts), out, ["k"], ["n"], ["v"]).awaitTermination()
-    assert sorted((r.k, r.n, r.v) for r in streams.latest(spark, out).collect()) == [(1, 3, "b"), (2, 5, "y"), (3, 6, "z")]
+    assert sorted((r.k, r.n, r.v) for r in streams.latest(spark, out, ["k"]).collect()) == [(1, 3, "b"), (2, 5, "y"), (3, 6, "z")]
     feed = sorted((r.batch, r.k, r.status) for r in spark.read.parquet(f"{out}/feed").collect())
     assert feed == [(0, 1, "new"), (0, 2, "new"), (1, 1, "unchanged"), (1, 2, "updated"), (1, 3, "new")]
 
