@@ -2,57 +2,66 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barpath.functions.attempts import overlap
 from barpath.operators.tables import first_by
 
 
-def resolve(entries: DataFrame, people: DataFrame, rules: Sequence[Sequence[str]], key: str, person: str) -> DataFrame:
-    """DQ-1, 2, 28: for each entry the person found by the first rule that finds one. A rule is a list of columns that must
-    be equal and known; of several persons the smallest id. ``rule`` is its number from 1, null where nobody was found."""
-    found = None
-    for n, columns in enumerate(rules, 1):
-        ids = people.dropna(subset=list(columns)).groupBy(*columns).agg(F.min(person).alias(person))
-        hits = entries.select(key, *columns).join(ids, list(columns)).select(key, person, F.lit(n).alias("rule"))
-        found = hits if found is None else found.unionByName(hits)
-    best = first_by(found, [key], ["rule", person])
-    return entries.select(key).join(best, key, "left")
-
-
-def resolve_in_tiers(entries: DataFrame, people: DataFrame, busy: DataFrame) -> DataFrame:
-    """DQ-2: for each entry (entry_id, athlete_name, internal_id, meet_id) a person (lifter_id, athlete_name, internal_id) by
-    the first tier that finds exactly one: id and name, id alone, name, the name without an id (which adopts it), the name
-    after those who already have another result at the meet (``busy``: lifter_id, meet_id, x) are ruled out; else new."""
-    named = entries.select("entry_id", "athlete_name", "meet_id").join(people, "athlete_name")
-    other = (F.col("e.entry_id") != F.col("b.x")) & (F.col("e.lifter_id") == F.col("b.lifter_id")) & (F.col("e.meet_id") == F.col("b.meet_id"))
-    tiers = [
-        ("id and name", entries.select("entry_id", "athlete_name", "internal_id").join(people, ["athlete_name", "internal_id"])),
-        ("id", entries.select("entry_id", "internal_id").join(people, "internal_id")),
-        ("name", named), ("adopted", named.where("internal_id is null")), ("exclusion", named.alias("e").join(busy.alias("b"), other, "left_anti")),
-    ]
-    found = None
-    for n, (name, hits) in enumerate(tiers):
-        one = hits.groupBy("entry_id").agg(F.min("lifter_id").alias("lifter_id"), F.count("*").alias("k")).where("k = 1")
-        one = one.select("entry_id", F.struct(F.lit(n).alias("n"), "lifter_id", F.lit(name).alias("tier")).alias("hit"))
-        found = one if found is None else found.unionByName(one)
-    best = found.groupBy("entry_id").agg(F.min("hit").alias("hit"))
-    return entries.select("entry_id").join(best, "entry_id", "left").select("entry_id", "hit.lifter_id", F.coalesce("hit.tier", F.lit("new")).alias("tier"))
-
-
-def surgical_merge(results: DataFrame, masters: DataFrame, harvest: Sequence[str]) -> DataFrame:
-    """DQ-13: results of merged athletes (``masters``: lifter_id, master) under their master. Of results of one meet, day and
-    total (totals are whole, so a difference under 0.1 is none) the master's own stays, else the first; it takes what it lacks of
-    ``harvest`` from those that go; results that meet no other are reassigned. Nobody but the masters is left with results."""
-    rows = results.join(masters, "lifter_id", "left").withColumn("master", F.coalesce("master", "lifter_id")).withColumn("own", F.col("master") == F.col("lifter_id"))
-    keys = ["master", "meet_name", "date", "total"]
-    first = F.min_by(F.struct("result_id", "own", *harvest), F.struct(~F.col("own"), F.col("result_id"))).alias("r")
-    g = rows.groupBy(*keys).agg(first, *[F.max(c).alias(f"__{c}") for c in harvest])
-    action = F.when(F.col("r.own"), "kept").otherwise("reassigned").alias("action")
-    return g.select("r.result_id", F.col("master").alias("lifter_id"), *[F.coalesce(F.col(f"r.{c}"), F.col(f"__{c}")).alias(c) for c in harvest], action)
+def surgical_merge(results: DataFrame, masters: DataFrame, harvest: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """DQ-13: the results after every athlete is merged into his master (``masters``: lifter_id, master), and the emptied profiles.
+
+    Masters keep all their own results, equal ones too, and so do athletes in no merge. A duplicate's result goes if the master
+    has one of the same meet and day whose total, of known ones, is less than 0.1 away; that one takes what it lacks of ``harvest`` ('' and '-' are
+    lacking too). Results that meet none are reassigned. Duplicates come in the order of their ids, and what one has brought is the
+    master's when the next one comes. ``action``: kept or reassigned. Only rows of one athlete, meet and day are ever held together.
+    """
+    others = masters.where(F.col("lifter_id") != F.col("master"))
+    merged = others.select("lifter_id", "master").unionByName(others.select(F.col("master").alias("lifter_id"), "master")).distinct()
+    rows = results.join(merged, "lifter_id", "left")
+    alone = rows.where(F.col("master").isNull()).select("result_id", "lifter_id", *harvest, F.lit("kept").alias("action"))
+    own = F.col("lifter_id") == F.col("master")
+    one = F.struct((~own).alias("late"), "lifter_id", "result_id", F.col("total").cast("double").alias("t"), *harvest)
+    days = rows.where(F.col("master").isNotNull()).groupBy("master", "meet_name", "date").agg(F.array_sort(F.collect_list(one)).alias("all"))
+    meets = lambda k, x: (k["lifter_id"] != x["lifter_id"]) & F.coalesce(F.abs(k["t"] - x["t"]) < 0.1, F.lit(False))
+    filled = lambda k, x: F.struct(*[k[c].alias(c) for c in ("late", "lifter_id", "result_id", "t")], *[F.when(k[c].isNull() | k[c].cast("string").isin("", "-"), F.coalesce(x[c], k[c])).otherwise(k[c]).alias(c) for c in harvest])
+
+    def step(kept: Column, x: Column) -> Column:
+        hit = F.filter(F.transform(kept, lambda k, i: F.when(meets(k, x), i)), lambda i: i.isNotNull())
+        return F.when(F.size(hit) == 0, F.concat(kept, F.array(x))).otherwise(F.transform(kept, lambda k, i: F.when(i == F.get(hit, F.lit(0)), filled(k, x)).otherwise(k)))
+
+    none = F.slice("all", 1, 0)
+    kept = days.select("master", F.explode(F.aggregate("all", none, step)).alias("r"))
+    action = F.when(F.col("r.lifter_id") == F.col("master"), "kept").otherwise("reassigned")
+    out = kept.select("r.result_id", F.col("master").alias("lifter_id"), *[F.col(f"r.{c}").alias(c) for c in harvest], action.alias("action"))
+    return alone.unionByName(out), others.select("lifter_id").distinct()
+
+
+def name_change_plan(people: DataFrame, results: DataFrame, active: DataFrame, scraped: DataFrame) -> DataFrame:
+    """DQ-21: memberships held under several names, one of which at least has an internal id: ``membership_number``, ``keeper``,
+    ``decision``, ``missing``.
+
+    ``people``: lifter_id, athlete_name, membership_number, internal_id; ``results``: lifter_id, date, total; ``active``:
+    membership_number, active_name (that of the public profile); ``scraped``: membership_number, date, total (its history). The keeper is the
+    holder of the active name, of several the first with an internal id. Nobody of that name: 'no destination'. The merge is safe if
+    every signature (date and total over 0) of the holders' results is in the history, however often it occurs in either; else
+    'history mismatch', and ``missing`` lists what is not there. No profile: 'no profile'.
+    """
+    name = F.lower(F.trim("athlete_name"))
+    held = people.where(F.col("membership_number").isNotNull())
+    groups = held.groupBy("membership_number").agg(F.count_distinct(name).alias("names"), F.count("internal_id").alias("ids")).where("names > 1 and ids > 0")
+    held = held.join(groups.select("membership_number"), "membership_number")
+    matching = held.join(active, "membership_number").where(F.lower(F.trim("athlete_name")) == F.lower(F.trim("active_name")))
+    keeper = matching.groupBy("membership_number").agg(F.min(F.struct(F.col("internal_id").isNull(), F.col("lifter_id")))["lifter_id"].alias("keeper"))
+    stored = results.select("lifter_id", "date", "total").join(held.select("lifter_id", "membership_number"), "lifter_id").where("total > 0").select("membership_number", "date", F.col("total").cast("double").alias("total")).distinct()
+    there = scraped.select("membership_number", "date", F.col("total").cast("double").alias("total"))
+    gone = stored.join(there, ["membership_number", "date", "total"], "left_anti")
+    gone = gone.groupBy("membership_number").agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws("|", "date", F.col("total").cast("decimal(12,1)").cast("string")))), ",").alias("missing"))
+    j = groups.select("membership_number").join(active, "membership_number", "left").join(keeper, "membership_number", "left").join(gone, "membership_number", "left")
+    decision = F.when(F.col("active_name").isNull(), "no profile").when(F.col("keeper").isNull(), "no destination").when(F.col("missing").isNotNull(), "history mismatch").otherwise("merge")
+    return j.select("membership_number", "keeper", decision.alias("decision"), F.when(F.col("keeper").isNotNull(), F.col("missing")).alias("missing"))
 
 
 def dedupe_valid(df: DataFrame, keys: Sequence[str], total: str = "total", tie: str = "result_id") -> DataFrame:
@@ -81,46 +90,6 @@ def merge_by(df: DataFrame, shared: str, key: str) -> DataFrame:
     return known.unionByName(df.where(F.col(shared).isNull()).withColumn("master", F.col(key)))
 
 
-def _words(name) -> Column:
-    return F.array_distinct(F.split(F.lower(name), " "))
-
-
-def contained(a: DataFrame, b: DataFrame) -> DataFrame:
-    """JOIN-11: rows of ``a`` (name, birth_year) and of ``b`` (other_name, birth_year) born in one year, where all words of the
-    other name, two or more, are in the name. The year and the last word of the other name are the join key."""
-    long = a.withColumn("__key", F.explode(_words("name")))
-    other = b.withColumn("__w", _words("other_name")).where(F.size("__w") >= 2).withColumn("__key", F.element_at("__w", -1))
-    return long.join(other, ["birth_year", "__key"]).where(F.size(F.array_except("__w", _words("name"))) == 0).drop("__key", "__w")
-
-
-def link(i: DataFrame, u: DataFrame, people: DataFrame, manual: DataFrame, banned: Callable[[Column, Column], Column]) -> DataFrame:
-    """DQ-9: athletes of two federations: ``iwf, usaw, decision, confidence``.
-
-    ``i``: ir (a result), iwf, name, meet_id, total, birth_year, a (six attempts); ``u``: usaw, name, meet_id, total, a;
-    ``people``: usaw, name, birth_year; ``manual``: iwf, usaw. At each result, in this order: the manual partner if it is at
-    the meet; of the partners of the same name, or whose last name word and attempts agree, the one of the nearest total,
-    unless it is ``banned`` (unmatched) or one of several (ambiguous); the same words but other attempts (physics failed);
-    else unmatched. An athlete's best step over all results counts; one without a partner gets the only person born in the
-    same year whose name words are all in the athlete's, at a confidence of 90.
-    """
-    words = i.withColumn("__w", F.explode(_words("name")))
-    other = u.select("usaw", F.col("name").alias("__name"), "meet_id", F.col("total").alias("__total"), F.col("a").alias("__a")).withColumn("__w", F.element_at(_words("__name"), -1))
-    pairs = words.join(other, ["meet_id", "__w"])
-    pairs = pairs.select("ir", "usaw", F.abs(F.col("total") - F.col("__total")).alias("delta"), ((F.col("name") == F.col("__name")) | F.coalesce(overlap(F.col("a"), F.col("__a")), F.lit(False))).alias("ok"))
-    best = pairs.groupBy("ir").agg(F.min(F.when(F.col("ok"), F.col("delta"))).alias("best"))
-    near = pairs.join(best, "ir").groupBy("ir").agg(F.min(F.when(F.col("ok") & (F.col("delta") == F.col("best")), F.col("usaw"))).alias("usaw"), F.count_distinct(F.when(F.col("ok") & (F.col("delta") == F.col("best")), F.col("usaw"))).alias("n"))
-    held = i.join(manual.withColumnRenamed("usaw", "by_hand"), "iwf").join(u.select("meet_id", F.col("usaw").alias("by_hand")).distinct(), ["meet_id", "by_hand"]).select("ir", "by_hand").distinct()
-    step = F.when(F.col("by_hand").isNotNull(), 5).when(F.col("n").isNull(), 1).when(F.col("n") == 0, 2).when(F.col("n") > 1, 3).when(banned(F.col("iwf"), F.col("usaw")), 1).otherwise(4)
-    steps = i.select("ir", "iwf", "name", "birth_year").join(near, "ir", "left").join(held, "ir", "left").select("iwf", "name", "birth_year", step.alias("step"), F.coalesce("by_hand", "usaw").alias("usaw"))
-    linked = steps.where("step >= 4").select("iwf", "usaw").distinct().select("iwf", "usaw", F.lit("linked").alias("decision"), F.lit(100).alias("confidence"))
-    whole = steps.groupBy("iwf").agg(F.max("birth_year").alias("birth_year"), F.max("name").alias("name"), F.max("step").alias("step")).where("step < 4")
-    found = contained(whole, people.withColumnRenamed("name", "other_name")).where(~banned(F.col("iwf"), F.col("usaw")))
-    found = found.groupBy("iwf").agg(F.min("usaw").alias("usaw"), F.count("*").alias("n")).where("n = 1").select("iwf", "usaw", F.lit("linked").alias("decision"), F.lit(90).alias("confidence"))
-    why = F.when(F.col("step") == 3, "ambiguous").when(F.col("step") == 2, "physics_failed").otherwise("unmatched")
-    rest = whole.join(found, "iwf", "left_anti").select("iwf", F.lit(None).cast(u.schema["usaw"].dataType).alias("usaw"), why.alias("decision"), F.lit(0).alias("confidence"))
-    return linked.unionByName(found).unionByName(rest)
-
-
 def completeness(stored: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """DQ-11: rows stored and in the source, their difference and status."""
     a = stored.groupBy(key).agg(F.count("*").alias("stored"), F.max(F.col("total").isNull()).alias("holes"))

@@ -6,14 +6,18 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from barpath.functions import attempts, geo, parse, scoring, text
-from barpath.operators import identity, series, tables
+from barpath.operators import identity, linking, resolving, series, tables
 from barpath.operators.components import components
 from barpath.plans.binding import WITH
 from barpath.plans.registry import ORACLE_SQL, query
+from barpath.session import materialise
 from barpath.sources import readers
 from barpath.streaming import streams
 
 
+_SIX = ("s1", "s2", "s3", "c1", "c2", "c3")
+
+
 def count():
     return F.count("*")
 
@@ -194,12 +198,21 @@ def agg_44(v):
 # Identities and data quality.
 
 
-@query("dq_1_resolve", ", e AS (SELECT entry_id, CAST(lifter_text AS BIGINT) AS lid FROM entries), x AS (SELECT e.entry_id, CASE WHEN lid % 3 = 0 THEN l.lifter_id END AS k1, l.membership_number AS m, l.athlete_name AS nm FROM e JOIN lifters l ON l.lifter_id = lid) SELECT entry_id, COALESCE(k1, (SELECT MIN(lifter_id) FROM lifters WHERE membership_number = x.m), (SELECT MIN(lifter_id) FROM lifters WHERE athlete_name = x.nm)) AS lifter_id, CAST(CASE WHEN k1 IS NOT NULL THEN 1 WHEN m IS NOT NULL THEN 2 ELSE 3 END AS INT) AS rule FROM x")
+@query("dq_1_resolve", """, p AS (SELECT lifter_id, athlete_name, CASE WHEN lifter_id % 2 = 0 THEN 'USA' ELSE 'CAN' END AS country, birth_year FROM lifters),
+    x AS (SELECT e.entry_id, CASE WHEN entry_id % 3 = 0 THEN p.lifter_id WHEN entry_id % 3 = 1 AND entry_id % 5 = 0 THEN 99999999 END AS exact, CASE WHEN entry_id % 13 = 0 THEN 'Nobody' ELSE athlete_name END AS nm, country, CASE WHEN entry_id % 7 <> 0 THEN COALESCE(birth_year, 1900) END AS born FROM entries e JOIN p ON p.lifter_id = CAST(lifter_text AS BIGINT)),
+    r2 AS (SELECT athlete_name, country, birth_year, MIN(lifter_id) AS k FROM p WHERE birth_year IS NOT NULL GROUP BY 1, 2, 3), r3 AS (SELECT athlete_name, country, MIN(lifter_id) AS k, MIN(lifter_id) FILTER (birth_year IS NULL) AS unborn FROM p GROUP BY 1, 2),
+    j AS (SELECT entry_id, born, p.lifter_id AS k1, r2.k AS k2, CASE WHEN born IS NULL THEN r3.k ELSE r3.unborn END AS k3 FROM x LEFT JOIN p ON p.lifter_id = exact LEFT JOIN r2 ON r2.athlete_name = nm AND r2.country = x.country AND r2.birth_year = born LEFT JOIN r3 ON r3.athlete_name = nm AND r3.country = x.country)
+    SELECT entry_id, COALESCE(k1, k2, k3) AS lifter_id, CAST(CASE WHEN k1 IS NOT NULL THEN 1 WHEN k2 IS NOT NULL THEN 2 WHEN k3 IS NOT NULL THEN 3 ELSE 4 END AS INT) AS rule, k1 IS NULL AND k2 IS NULL AND k3 IS NOT NULL AND born IS NOT NULL AS takes_year FROM j""")
 def dq_1(v):
-    p = v.lifters.select("lifter_id", F.col("lifter_id").alias("exact"), "membership_number", "athlete_name")
-    e = v.entries.select("entry_id", F.col("lifter_text").cast("long").alias("lifter_id")).join(v.lifters.select("lifter_id", "membership_number", "athlete_name"), "lifter_id")
-    e = e.select("entry_id", F.when(F.col("lifter_id") % 3 == 0, F.col("lifter_id")).alias("exact"), "membership_number", "athlete_name")
-    return identity.resolve(e, p, [["exact"], ["membership_number"], ["athlete_name"]], "entry_id", "lifter_id")
+    country = F.when(F.col("lifter_id") % 2 == 0, "USA").otherwise("CAN").alias("country_code")
+    p = v.lifters.select("lifter_id", "athlete_name", country, F.col("birth_year").cast("int").alias("birth_year"))
+    k = F.col("entry_id")
+    e = v.entries.select("entry_id", F.col("lifter_text").cast("long").alias("lifter_id")).join(p, "lifter_id")
+    e = e.select(
+        "entry_id", F.when(k % 3 == 0, F.col("lifter_id")).when((k % 3 == 1) & (k % 5 == 0), 99_999_999).alias("exact"), F.when(k % 13 == 0, "Nobody").otherwise(F.col("athlete_name")).alias("athlete_name"),
+        "country_code", F.when(k % 7 != 0, F.coalesce("birth_year", F.lit(1900))).alias("birth_year"),
+    )
+    return resolving.find_or_create(e, p, "entry_id", "lifter_id")
 
 
 @query("dq_3_dedupe_valid", ", k AS (SELECT result_id, ROW_NUMBER() OVER (PARTITION BY lifter_name, meet_id ORDER BY CASE WHEN total > 0 THEN 0 ELSE 1 END, total DESC, result_id) AS n FROM results) SELECT result_id FROM k WHERE n = 1")
@@ -280,13 +293,30 @@ def dq_12(v):
     return identity.merge_by(v.lifters, "internal_id", "lifter_id").select("lifter_id", "master")
 
 
-@query("dq_13_harvest", """, m AS (SELECT lifter_id, MIN(lifter_id) OVER (PARTITION BY internal_id) AS master FROM lifters WHERE internal_id IS NOT NULL),
-    x AS (SELECT r.result_id, COALESCE(master, r.lifter_id) AS master, COALESCE(master, r.lifter_id) = r.lifter_id AS own, meet_name, date, total, membership_number, birth_year FROM results r LEFT JOIN m ON m.lifter_id = r.lifter_id),
-    k AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY master, meet_name, date, total ORDER BY own DESC, result_id) AS n, MAX(membership_number) OVER (PARTITION BY master, meet_name, date, total) AS member, MAX(birth_year) OVER (PARTITION BY master, meet_name, date, total) AS born FROM x)
-    SELECT result_id, master AS lifter_id, COALESCE(membership_number, member) AS membership_number, COALESCE(birth_year, born) AS birth_year, CASE WHEN own THEN 'kept' ELSE 'reassigned' END AS action FROM k WHERE n = 1""")
+_MERGED = """, g AS (SELECT lifter_id, MIN(lifter_id) OVER (PARTITION BY internal_id) AS master FROM lifters WHERE internal_id IS NOT NULL),
+    src AS (SELECT result_id, lifter_id, meet_name, date, CASE WHEN result_id % 23 = 0 THEN NULL ELSE total END AS total, CASE WHEN result_id % 4 = 0 THEN '-' WHEN result_id % 4 = 1 THEN NULL ELSE club_name END AS club_name, CASE WHEN result_id % 5 = 0 THEN NULL ELSE wso END AS wso FROM results),
+    r AS (SELECT * FROM src UNION ALL SELECT 1000000000 + s.result_id, d.lifter_id, s.meet_name, s.date, CASE WHEN s.result_id % 3 = 0 THEN s.total + 1 ELSE s.total END, r0.club_name, r0.wso FROM src s JOIN results r0 ON r0.result_id = s.result_id JOIN g ON g.lifter_id = s.lifter_id AND g.master = s.lifter_id JOIN g d ON d.master = g.master AND d.lifter_id <> g.master) """
+
+
+@query("dq_13_harvest", _MERGED + """, o AS (SELECT lifter_id, master FROM g WHERE lifter_id <> master), m AS (SELECT lifter_id, master FROM o UNION SELECT master, master FROM o),
+    x AS (SELECT r.*, m.master, dense_rank() OVER (PARTITION BY m.master, meet_name, date, total ORDER BY CASE WHEN r.lifter_id = m.master THEN 0 ELSE 1 END, r.lifter_id) AS k, row_number() OVER (PARTITION BY m.master, meet_name, date, total ORDER BY CASE WHEN r.lifter_id = m.master THEN 0 ELSE 1 END, r.lifter_id, result_id) AS n FROM r JOIN m ON m.lifter_id = r.lifter_id),
+    gone AS (SELECT master, meet_name, date, total, first(club_name ORDER BY n) FILTER (club_name IS NOT NULL AND club_name NOT IN ('', '-')) AS club_name, first(wso ORDER BY n) FILTER (wso IS NOT NULL AND wso NOT IN ('', '-')) AS wso FROM x WHERE total IS NOT NULL AND k > 1 GROUP BY 1, 2, 3, 4)
+    SELECT result_id, lifter_id, club_name, wso, 'kept' AS action FROM r WHERE lifter_id NOT IN (SELECT lifter_id FROM m)
+    UNION ALL SELECT x.result_id, x.master, CASE WHEN n = 1 AND (x.club_name IS NULL OR x.club_name IN ('', '-')) THEN COALESCE(gone.club_name, x.club_name) ELSE x.club_name END, CASE WHEN n = 1 AND (x.wso IS NULL OR x.wso IN ('', '-')) THEN COALESCE(gone.wso, x.wso) ELSE x.wso END, CASE WHEN lifter_id = x.master THEN 'kept' ELSE 'reassigned' END
+      FROM x LEFT JOIN gone ON gone.master = x.master AND gone.meet_name = x.meet_name AND gone.date = x.date AND gone.total = x.total WHERE k = 1 OR x.total IS NULL
+    UNION ALL SELECT NULL, lifter_id, NULL, NULL, 'erased' FROM o""")
 def dq_13(v):
+    # the tables have no results twice: each of a master's is copied to his duplicates, a third of them with another total
     masters = identity.merge_by(v.lifters.where("internal_id is not null").select("lifter_id", "internal_id"), "internal_id", "lifter_id").select("lifter_id", "master")
-    return identity.surgical_merge(v.results.select("result_id", "lifter_id", "meet_name", "date", "total", "membership_number", "birth_year"), masters, ["membership_number", "birth_year"])
+    k = F.col("result_id")
+    src = v.results.select(
+        "result_id", "lifter_id", "meet_name", "date", F.when(k % 23 != 0, F.col("total")).alias("total"),
+        F.when(k % 4 == 0, "-").when(k % 4 != 1, F.col("club_name")).alias("club_name"), F.when(k % 5 != 0, F.col("wso")).alias("wso"), F.col("club_name").alias("club"), F.col("wso").alias("region"),
+    )
+    duplicates = masters.where("lifter_id != master").select(F.col("lifter_id").alias("duplicate"), F.col("master").alias("lifter_id"))
+    more = src.join(duplicates, "lifter_id").select((k + 1_000_000_000).alias("result_id"), F.col("duplicate").alias("lifter_id"), "meet_name", "date", F.when(k % 3 == 0, F.col("total") + 1).otherwise(F.col("total")).alias("total"), F.col("club").alias("club_name"), F.col("region").alias("wso"))
+    kept, erased = identity.surgical_merge(src.drop("club", "region").unionByName(more), masters, ["club_name", "wso"])
+    return kept.unionByName(erased.select("lifter_id", F.lit("erased").alias("action")), allowMissingColumns=True)
 
 
 @query("dq_15_alias_closure", ", b AS (SELECT a, b FROM aliases UNION SELECT b, a FROM aliases), t(node, x) AS (SELECT a, a FROM b UNION SELECT t.node, b.b FROM t JOIN b ON b.a = t.x) SELECT node, MIN(x) AS component FROM t GROUP BY 1", recursive=True)
@@ -309,10 +339,18 @@ def dq_19(v):
     return manual.join(stored, "club_name").withColumn("same", F.col("manual") == F.col("stored"))
 
 
-@query("dq_21_name_changes", ", g AS (SELECT membership_number, COUNT(DISTINCT upper(trim(athlete_name))) AS n, MIN(CASE WHEN internal_id IS NOT NULL THEN lifter_id END) AS keeper FROM lifters WHERE membership_number IS NOT NULL GROUP BY 1) SELECT membership_number, keeper FROM g WHERE n > 1")
+@query("dq_21_name_changes", """, h AS (SELECT lifter_id, athlete_name, membership_number, internal_id FROM lifters WHERE membership_number IS NOT NULL), g AS (SELECT membership_number FROM h GROUP BY 1 HAVING COUNT(DISTINCT lower(trim(athlete_name))) > 1 AND COUNT(internal_id) > 0),
+    act AS (SELECT membership_number, CASE WHEN CAST(membership_number AS INT) % 19 = 0 THEN 'Nobody' ELSE upper(max_by(athlete_name, lifter_id)) || ' ' END AS nm FROM h WHERE CAST(membership_number AS INT) % 17 <> 0 GROUP BY 1),
+    k AS (SELECT membership_number, lifter_id, row_number() OVER (PARTITION BY membership_number ORDER BY internal_id IS NULL, lifter_id) AS n FROM h JOIN act USING (membership_number) WHERE lower(trim(athlete_name)) = lower(trim(nm))),
+    scr AS (SELECT DISTINCT membership_number, date, total FROM results WHERE result_id % 41 <> 0),
+    miss AS (SELECT membership_number, string_agg(sig, ',' ORDER BY sig) AS missing FROM (SELECT DISTINCT h.membership_number, r.date || '|' || CAST(r.total AS VARCHAR) || '.0' AS sig FROM results r JOIN h ON h.lifter_id = r.lifter_id WHERE r.total > 0 AND NOT EXISTS (SELECT 1 FROM scr WHERE scr.membership_number = h.membership_number AND scr.date = r.date AND scr.total = r.total)) GROUP BY 1)
+    SELECT g.membership_number, k.lifter_id AS keeper, CASE WHEN act.nm IS NULL THEN 'no profile' WHEN k.lifter_id IS NULL THEN 'no destination' WHEN missing IS NOT NULL THEN 'history mismatch' ELSE 'merge' END AS decision, CASE WHEN k.lifter_id IS NOT NULL THEN missing END AS missing FROM g LEFT JOIN act USING (membership_number) LEFT JOIN k ON k.membership_number = g.membership_number AND n = 1 LEFT JOIN miss ON miss.membership_number = g.membership_number""")
 def dq_21(v):
-    g = v.lifters.where("membership_number is not null").groupBy("membership_number").agg(F.count_distinct(text.match_key("athlete_name")).alias("n"), F.min(F.when(F.col("internal_id").isNotNull(), F.col("lifter_id"))).alias("keeper"))
-    return g.where("n > 1").select("membership_number", "keeper")
+    # the public profile: mostly the name of the last holder and all his results but some; no profile, or another name, for a few
+    m = F.col("membership_number").cast("int")
+    held = v.lifters.where("membership_number is not null")
+    active = held.where(m % 17 != 0).groupBy("membership_number").agg(F.max_by("athlete_name", "lifter_id").alias("n")).select("membership_number", F.when(m % 19 == 0, "Nobody").otherwise(F.concat(F.upper("n"), F.lit(" "))).alias("active_name"))
+    return identity.name_change_plan(v.lifters, v.results, active, v.results.where("result_id % 41 != 0"))
 
 
 @query("dq_22_batch_proximity", ", e AS (SELECT event_type, epoch_us(ts) AS t FROM events), a AS (SELECT e.event_type, e.t, EXISTS (SELECT 1 FROM e b WHERE b.event_type <> e.event_type AND abs(b.t - e.t) <= 10000000) AS near FROM e) SELECT event_type, COUNT(*) AS n, COUNT(*) FILTER (near) AS near FROM a GROUP BY 1")
@@ -355,34 +393,42 @@ def dq_27(v):
     return now.join(state, "meet_id").select("meet_id", F.when(F.col("n") == F.col("seen"), "skip").otherwise("revalidate").alias("decision"))
 
 
-_LINK = f""", i AS (SELECT result_id AS ir, lifter_id AS iwf, lifter_name AS nm, meet_id, total, birth_year, {_A6} AS a FROM results WHERE source = 'IWF' AND total > 0
-      UNION ALL SELECT -result_id, lifter_id + 1000000, lifter_name || ' Jr', meet_id, total, birth_year, {_A6} FROM results WHERE source = 'USAW' AND total > 0 AND result_id % 9 = 0),
-    u AS (SELECT lifter_id AS usaw, lifter_name AS nm, meet_id, total, {_A6} AS a FROM results WHERE source = 'USAW' AND total > 0),
-    p AS (SELECT ir, usaw, abs(i.total - u.total) AS delta, i.nm = u.nm AS exact, list_filter(list_transform(range(1, 7), lambda k: abs(i.a[k] - u.a[k])), lambda g: g IS NOT NULL) AS g FROM i JOIN u ON i.meet_id = u.meet_id AND string_split(i.nm, ' ')[2] = string_split(u.nm, ' ')[2]),
-    e AS (SELECT *, CASE WHEN exact THEN TRUE WHEN len(g) >= 4 THEN len(list_filter(g, lambda k: k <= 1)) >= 4 WHEN len(g) > 0 THEN len(list_filter(g, lambda k: k <= 1)) = len(g) ELSE FALSE END AS ok FROM p),
-    b AS (SELECT *, MIN(CASE WHEN ok THEN delta END) OVER (PARTITION BY ir) AS best FROM e),
-    d AS (SELECT ir, MIN(usaw) FILTER (ok AND delta = best) AS usaw, COUNT(DISTINCT usaw) FILTER (ok AND delta = best) AS n FROM b GROUP BY ir),
+_TOK = r"list_filter(string_split_regex(regexp_replace(replace(lower({0}), '-', ' '), '[^a-z0-9\s]', '', 'g'), '\s+'), lambda t: len(t) > 2)"
+_LINK = f""", x AS (SELECT *, 'Fn' || CAST(lifter_id % 37 AS VARCHAR) || ' Ln' || CAST(lifter_id % 700 AS VARCHAR) AS nm, {_A6} AS a FROM results),
+    i AS MATERIALIZED (SELECT *, {_TOK.format('nm')} AS w FROM (SELECT result_id AS ir, lifter_id AS iwf, nm, meet_id, total, best_snatch, birth_year, result_id % 2 = 0 AS home, a FROM x WHERE source = 'IWF'
+      UNION ALL SELECT -result_id, lifter_id + 1000000 * (1 + result_id % 9 // 3), CASE result_id % 9 WHEN 1 THEN nm || ' Jr' WHEN 4 THEN 'Zz' || CAST(result_id AS VARCHAR) ELSE 'Fn' || CAST(lifter_id % 37 AS VARCHAR) || '-Oo' || CAST(lifter_id % 700 AS VARCHAR) END, meet_id, total, best_snatch, birth_year, result_id % 2 = 0, a FROM x WHERE source = 'USAW' AND result_id % 9 IN (1, 4, 7))),
+    u AS MATERIALIZED (SELECT result_id AS ur, lifter_id AS usaw, nm, meet_id, total, best_snatch, a, {_TOK.format('nm')} AS w FROM x WHERE source = 'USAW'),
+    p AS (SELECT ir, usaw, home, i.total AS t1, u.total AS t2, CASE WHEN i.total = 0 THEN abs(i.best_snatch - u.best_snatch) ELSE abs(i.total - u.total) END AS delta, lower(trim(i.nm)) = lower(trim(u.nm)) AS exact, list_filter(u.w, lambda t: list_contains(i.w, t)) AS sh, u.w[-1] AS last, list_filter(list_transform(range(1, 7), lambda k: abs(i.a[k] - u.a[k])), lambda g: g IS NOT NULL) AS g FROM i JOIN u ON i.meet_id = u.meet_id),
+    q AS (SELECT *, len(sh) >= 2 OR (len(sh) = 1 AND sh[1] = last) AS strong, CASE WHEN len(g) >= 4 THEN len(list_filter(g, lambda k: k <= 1)) >= 4 WHEN len(g) > 0 THEN len(list_filter(g, lambda k: k <= 1)) = len(g) ELSE t1 = 0 AND t2 = 0 END AS ok FROM p),
+    c AS MATERIALIZED (SELECT ir, usaw, delta, CASE WHEN exact OR (len(sh) >= 1 AND ok) THEN 'match' WHEN strong THEN 'failed' WHEN len(sh) = 0 AND home AND ok AND t1 > 0 THEN 'only' END AS st FROM q),
+    b AS (SELECT ir, usaw, delta, MIN(delta) OVER (PARTITION BY ir) AS best FROM c WHERE st = 'match'),
+    m AS (SELECT ir, MIN(usaw) FILTER (delta = best) AS usaw, COUNT(*) FILTER (delta = best) AS n, COUNT(DISTINCT usaw) AS k FROM b GROUP BY 1),
+    f AS (SELECT ir, bool_or(st = 'failed') AS failed, bool_or(st = 'only') AS alone FROM c WHERE st IS NOT NULL GROUP BY 1),
     h AS (SELECT DISTINCT i.ir FROM i JOIN u ON u.meet_id = i.meet_id AND u.usaw = i.iwf % 1000000 WHERE i.iwf % 97 = 0),
-    s AS (SELECT iwf, birth_year, nm, CASE WHEN h.ir IS NOT NULL THEN 5 WHEN d.ir IS NULL THEN 1 WHEN n = 0 THEN 2 WHEN n > 1 THEN 3 WHEN (iwf + d.usaw) % 50 = 0 THEN 1 ELSE 4 END AS step, CASE WHEN h.ir IS NOT NULL THEN iwf % 1000000 ELSE d.usaw END AS usaw FROM i LEFT JOIN d ON d.ir = i.ir LEFT JOIN h ON h.ir = i.ir),
-    f AS (SELECT iwf, MAX(birth_year) AS birth_year, MAX(nm) AS nm, MAX(step) AS step FROM s GROUP BY 1),
-    o AS (SELECT lifter_id AS usaw, MIN(lifter_name) AS nm, MIN(birth_year) AS birth_year FROM results WHERE source = 'USAW' GROUP BY 1),
-    fb AS (SELECT f.iwf, MIN(o.usaw) AS usaw FROM f JOIN o ON o.birth_year = f.birth_year AND list_has_all(string_split(f.nm, ' '), string_split(o.nm, ' ')) WHERE step < 4 AND (f.iwf + o.usaw) % 50 <> 0 GROUP BY 1 HAVING COUNT(*) = 1)
+    s AS MATERIALIZED (SELECT iwf, birth_year, nm, CASE WHEN h.ir IS NOT NULL THEN 5 WHEN n > 1 AND k > 1 THEN 3 WHEN n >= 1 THEN CASE WHEN (iwf + m.usaw) % 50 = 0 THEN 1 ELSE 4 END WHEN alone THEN 3 WHEN failed THEN 2 ELSE 1 END AS step, CASE WHEN h.ir IS NOT NULL THEN iwf % 1000000 ELSE m.usaw END AS usaw FROM i LEFT JOIN m ON m.ir = i.ir LEFT JOIN f ON f.ir = i.ir LEFT JOIN h ON h.ir = i.ir),
+    w AS (SELECT iwf, MAX(birth_year) AS birth_year, MAX(nm) AS nm, MAX(step) AS step FROM s GROUP BY 1 HAVING MAX(step) < 4),
+    o AS (SELECT lifter_id AS usaw, MIN(nm) AS nm, MIN(birth_year) AS birth_year FROM x WHERE source = 'USAW' GROUP BY 1),
+    fb AS MATERIALIZED (SELECT w.iwf, MIN(o.usaw) AS usaw FROM w JOIN o ON o.birth_year = w.birth_year AND len({_TOK.format('o.nm')}) >= 2 AND list_has_all({_TOK.format('w.nm')}, {_TOK.format('o.nm')}) WHERE (w.iwf + o.usaw) % 50 <> 0 GROUP BY 1 HAVING COUNT(*) = 1)
     SELECT DISTINCT iwf, usaw, 'linked' AS decision, CAST(100 AS INT) AS confidence FROM s WHERE step >= 4 UNION ALL SELECT iwf, usaw, 'linked', CAST(90 AS INT) FROM fb
-    UNION ALL SELECT iwf, NULL, CASE step WHEN 3 THEN 'ambiguous' WHEN 2 THEN 'physics_failed' ELSE 'unmatched' END, CAST(0 AS INT) FROM f WHERE step < 4 AND iwf NOT IN (SELECT iwf FROM fb)"""
+    UNION ALL SELECT iwf, NULL, CASE step WHEN 3 THEN 'ambiguous' WHEN 2 THEN 'physics_failed' ELSE 'unmatched' END, CAST(0 AS INT) FROM w WHERE iwf NOT IN (SELECT iwf FROM fb)"""
 
 
 @query("dq_9_link_decision", _LINK)
 def dq_9(v):
-    # results of one federation, and copies of some of the other's under a longer name and another id
-    good = v.results.where("total > 0").withColumn("a", F.array(*[F.abs(parse.attempt(c)) for c in ("s1", "s2", "s3", "c1", "c2", "c3")]))
-    there = good.where("source = 'USAW'")
-    cols = lambda r, who, name: [r.alias("ir"), who.alias("iwf"), name.alias("name"), "meet_id", "total", "birth_year", "a"]
-    i = good.where("source = 'IWF'").select(*cols(F.col("result_id"), F.col("lifter_id"), F.col("lifter_name")))
-    i = i.unionByName(there.where("result_id % 9 = 0").select(*cols(-F.col("result_id"), F.col("lifter_id") + 1_000_000, F.concat_ws(" ", "lifter_name", F.lit("Jr")))))
-    u = there.select(F.col("lifter_id").alias("usaw"), F.col("lifter_name").alias("name"), "meet_id", "total", "a")
-    people = v.results.where("source = 'USAW'").groupBy(F.col("lifter_id").alias("usaw")).agg(F.min("lifter_name").alias("name"), F.min("birth_year").alias("birth_year"))
+    # results of one federation, and copies of some of the other's under other ids: with a suffix, with another last name, and with
+    # another name altogether. They are stored once: everything else reads this narrow table
+    first, last = F.concat(F.lit("Fn"), (F.col("lifter_id") % 37).cast("string")), (F.col("lifter_id") % 700).cast("string")
+    six = F.array(*[F.abs(parse.attempt(c)) for c in _SIX])
+    x = materialise(v.results.select("source", "result_id", "lifter_id", "meet_id", "total", "best_snatch", "birth_year", F.concat(first, F.lit(" Ln"), last).alias("name"), (F.col("result_id") % 2 == 0).alias("home"), six.alias("a")), "rosters")
+    there, k = x.where("source = 'USAW'"), F.col("result_id") % 9
+    cols = ["meet_id", "total", "best_snatch", "birth_year", "home", "a"]
+    i = x.where("source = 'IWF'").select(F.col("result_id").alias("ir"), F.col("lifter_id").alias("iwf"), "name", *cols)
+    named = F.when(k == 1, F.concat_ws(" ", "name", F.lit("Jr"))).when(k == 4, F.concat(F.lit("Zz"), F.col("result_id").cast("string"))).otherwise(F.concat(first, F.lit("-Oo"), last))
+    i = i.unionByName(there.where(k.isin(1, 4, 7)).select((-F.col("result_id")).alias("ir"), (F.col("lifter_id") + 1_000_000 * (1 + F.floor(k / 3))).alias("iwf"), named.alias("name"), *cols))
+    u = there.select(F.col("result_id").alias("ur"), F.col("lifter_id").alias("usaw"), "name", "meet_id", "total", "best_snatch", "a")
+    people = there.groupBy(F.col("lifter_id").alias("usaw")).agg(F.min("name").alias("name"), F.min("birth_year").alias("birth_year"))
     manual = i.where("iwf % 97 = 0").select("iwf", (F.col("iwf") % 1_000_000).alias("usaw")).distinct()
-    return identity.link(i, u, people, manual, lambda a, b: (a + b) % 50 == 0)
+    return linking.link(i, u, people, manual, lambda a, b: (a + b) % 50 == 0)
 
 
 # Keyed tables.
@@ -522,7 +568,7 @@ def join_11(v):
     born = (1940 + F.col("lifter_id") % 700 % 50).alias("birth_year")
     a = v.lifters.where("lifter_id % 3 = 1").select("lifter_id", born, F.concat_ws(" ", "athlete_name", F.lit("Junior")).alias("name"))
     b = v.lifters.where("lifter_id % 3 = 0").select(F.col("lifter_id").alias("other"), born, F.col("athlete_name").alias("other_name"))
-    c = identity.contained(a, b)
+    c = linking.contained(a, b)
     return c.groupBy("lifter_id").agg(F.min("other").alias("other"), count().alias("n")).where("n = 1").select("lifter_id", "other")
 
 
@@ -608,20 +654,27 @@ def geo_19(v):
     return side("a").join(side("b"), "min_x").where("a < b and (ahi = blo or bhi = alo)").select("a", "b")
 
 
-@query("dq_2_resolve_by_exclusion", """, e AS (SELECT result_id AS entry_id, lifter_name AS nm, meet_id, CASE WHEN result_id % 3 = 0 THEN lifter_id % 1300 WHEN result_id % 3 = 1 THEN result_id % 1500 END AS iid FROM results),
+@query("dq_2_resolve_by_exclusion", """, e AS (SELECT result_id AS entry_id, lifter_name AS nm, meet_id, body_weight_kg AS bw, total, CASE WHEN result_id % 3 = 0 THEN lifter_id % 1300 WHEN result_id % 3 = 1 THEN result_id % 1500 END AS iid FROM results),
+    busy AS (SELECT lifter_id, meet_id, result_id AS x, body_weight_kg AS bw, total FROM results UNION ALL SELECT l.lifter_id, e.meet_id, -(entry_id * 1000000 + l.lifter_id), CASE WHEN (l.lifter_id + entry_id) % 5 = 0 THEN NULL ELSE bw + CASE WHEN (l.lifter_id + entry_id) % 3 = 0 THEN 0.3::DOUBLE ELSE 5::DOUBLE END END, CASE WHEN (l.lifter_id + entry_id) % 4 = 0 THEN total + 1 WHEN (l.lifter_id + entry_id) % 4 = 1 THEN NULL ELSE total END FROM e JOIN lifters l ON l.athlete_name = e.nm WHERE entry_id % 4 = 0),
     c1 AS (SELECT entry_id, MIN(lifter_id) AS x FROM e JOIN lifters l ON l.internal_id = e.iid AND l.athlete_name = e.nm GROUP BY 1 HAVING COUNT(*) = 1),
     c2 AS (SELECT entry_id, MIN(lifter_id) AS x FROM e JOIN lifters l ON l.internal_id = e.iid GROUP BY 1 HAVING COUNT(*) = 1),
-    c3 AS (SELECT entry_id, MIN(lifter_id) AS x FROM e JOIN lifters l ON l.athlete_name = e.nm GROUP BY 1 HAVING COUNT(*) = 1),
-    c4 AS (SELECT entry_id, MIN(lifter_id) AS x FROM e JOIN lifters l ON l.athlete_name = e.nm AND l.internal_id IS NULL GROUP BY 1 HAVING COUNT(*) = 1),
-    c5 AS (SELECT e.entry_id, MIN(l.lifter_id) AS x FROM e JOIN lifters l ON l.athlete_name = e.nm WHERE NOT EXISTS (SELECT 1 FROM results r WHERE r.lifter_id = l.lifter_id AND r.meet_id = e.meet_id AND r.result_id <> e.entry_id) GROUP BY 1 HAVING COUNT(*) = 1)
-    SELECT e.entry_id, COALESCE(c1.x, c2.x, c3.x, c4.x, c5.x) AS lifter_id, CASE WHEN c1.x IS NOT NULL THEN 'id and name' WHEN c2.x IS NOT NULL THEN 'id' WHEN c3.x IS NOT NULL THEN 'name' WHEN c4.x IS NOT NULL THEN 'adopted' WHEN c5.x IS NOT NULL THEN 'exclusion' ELSE 'new' END AS tier
-    FROM e LEFT JOIN c1 ON c1.entry_id = e.entry_id LEFT JOIN c2 ON c2.entry_id = e.entry_id LEFT JOIN c3 ON c3.entry_id = e.entry_id LEFT JOIN c4 ON c4.entry_id = e.entry_id LEFT JOIN c5 ON c5.entry_id = e.entry_id""")
+    c3 AS (SELECT entry_id, MIN(lifter_id) AS x, COUNT(*) AS n FROM e JOIN lifters l ON l.athlete_name = e.nm GROUP BY 1),
+    c4 AS (SELECT entry_id, MIN(lifter_id) AS x FROM e JOIN lifters l ON l.athlete_name = e.nm AND l.internal_id IS NULL WHERE e.iid IS NOT NULL GROUP BY 1 HAVING COUNT(*) = 1),
+    c5 AS (SELECT e.entry_id, MIN(l.lifter_id) AS x FROM e JOIN lifters l ON l.athlete_name = e.nm WHERE NOT EXISTS (SELECT 1 FROM busy b WHERE b.lifter_id = l.lifter_id AND b.meet_id = e.meet_id AND b.x <> e.entry_id) GROUP BY 1),
+    c6 AS (SELECT e.entry_id, min_by(l.lifter_id, b.x) AS x FROM e JOIN lifters l ON l.athlete_name = e.nm JOIN busy b ON b.lifter_id = l.lifter_id AND b.meet_id = e.meet_id AND b.x <> e.entry_id WHERE COALESCE(abs(b.bw - e.bw) < 0.5, TRUE) AND COALESCE(abs(b.total - e.total) < 0.1, TRUE) GROUP BY 1)
+    SELECT e.entry_id, COALESCE(c1.x, c2.x, CASE WHEN c3.n = 1 THEN c3.x END, c4.x, c5.x, c6.x) AS lifter_id, CASE WHEN c1.x IS NOT NULL THEN 'id and name' WHEN c2.x IS NOT NULL THEN 'id' WHEN c3.n = 1 THEN 'name' WHEN c4.x IS NOT NULL THEN 'adopted' WHEN c5.x IS NOT NULL THEN 'exclusion' WHEN c6.x IS NOT NULL THEN 'again' WHEN c3.n > 1 THEN 'conflict' ELSE 'new' END AS tier
+    FROM e LEFT JOIN c1 ON c1.entry_id = e.entry_id LEFT JOIN c2 ON c2.entry_id = e.entry_id LEFT JOIN c3 ON c3.entry_id = e.entry_id LEFT JOIN c4 ON c4.entry_id = e.entry_id LEFT JOIN c5 ON c5.entry_id = e.entry_id LEFT JOIN c6 ON c6.entry_id = e.entry_id""")
 def dq_2(v):
+    # at a quarter of the entries' meets all of the name are made to have a result, some of them like the entry's
     k = F.col("result_id")
     iid = F.when(k % 3 == 0, F.col("lifter_id") % 1300).when(k % 3 == 1, k % 1500)
-    e = v.results.select(k.alias("entry_id"), F.col("lifter_name").alias("athlete_name"), "meet_id", iid.alias("internal_id"))
-    busy = v.results.select("lifter_id", "meet_id", F.col("result_id").alias("x"))
-    return identity.resolve_in_tiers(e, v.lifters.select("lifter_id", "athlete_name", "internal_id"), busy)
+    e = v.results.select(k.alias("entry_id"), F.col("lifter_name").alias("athlete_name"), "meet_id", "body_weight_kg", "total", iid.alias("internal_id"))
+    own = v.results.select("lifter_id", "meet_id", k.alias("x"), "body_weight_kg", "total")
+    both = F.col("lifter_id") + F.col("entry_id")
+    weight = F.when(both % 5 != 0, F.col("body_weight_kg") + F.when(both % 3 == 0, 0.3).otherwise(5.0))
+    total = F.when(both % 4 == 0, F.col("total") + 1).when(both % 4 != 1, F.col("total"))
+    more = e.where("entry_id % 4 = 0").join(v.lifters.select("lifter_id", "athlete_name"), "athlete_name").select("lifter_id", "meet_id", (-(F.col("entry_id") * 1_000_000 + F.col("lifter_id"))).alias("x"), weight.alias("body_weight_kg"), total.alias("total"))
+    return resolving.resolve_in_tiers(e, v.lifters.select("lifter_id", "athlete_name", "internal_id"), own.unionByName(more))
 
 
 @query("dq_14_name_masters", "SELECT athlete_name, MIN(lifter_id) AS master, COUNT(*) AS n FROM lifters GROUP BY 1 HAVING COUNT(*) > 1")
@@ -647,10 +700,30 @@ def dq_25(v):
     return v.results.select("result_id", keep(21, 30, "open_total"), keep(10, 20, "youth_total"))
 
 
-@query("dq_28_entry_resolver", "SELECT entry_id, COALESCE((SELECT MIN(lifter_id) FROM lifters l WHERE l.membership_number = r.membership_number), (SELECT MIN(lifter_id) FROM lifters l WHERE l.athlete_name = r.lifter_name)) AS lifter_id, CAST(CASE WHEN r.membership_number IS NOT NULL THEN 1 ELSE 2 END AS INT) AS rule FROM entries e JOIN results r ON r.result_id = e.entry_id")
+def _rounds(n):
+    """The walk through the entries in order, as rounds: each decides all of them by the changes that the round before found, each
+    change seen by later entries only."""
+    out = """, e AS MATERIALIZED (SELECT result_id AS entry_id, CASE WHEN result_id % 5 = 0 THEN CASE WHEN result_id % 25 = 0 THEN '9999' ELSE membership_number END END AS m, CASE WHEN result_id % 3 = 1 THEN lifter_id % 1300 WHEN result_id % 3 = 2 THEN 5000 + result_id % 900 END AS iid, CASE WHEN result_id % 11 = 0 THEN 'New ' || CAST(result_id % 400 AS VARCHAR) ELSE lifter_name END AS nm, result_id % 4 <> 0 AS may FROM results),
+    t0 AS (SELECT NULL::BIGINT AS p, NULL::BIGINT AS iid, NULL::BIGINT AS since, NULL::VARCHAR AS nm WHERE FALSE)"""
+    for r in range(1, n + 1):
+        out += f""", k{r} AS MATERIALIZED (SELECT l.lifter_id AS p, l.membership_number AS m, l.athlete_name AS nm, COALESCE(l.internal_id, t.iid) AS iid, NULL::BIGINT AS since, t.since AS id_since FROM lifters l LEFT JOIN t{r - 1} t ON t.p = l.lifter_id AND t.nm IS NULL UNION ALL SELECT c.p, NULL, c.nm, COALESCE(c.iid, t.iid), c.since, t.since FROM t{r - 1} c LEFT JOIN t{r - 1} t ON t.p = c.p AND t.nm IS NULL WHERE c.nm IS NOT NULL),
+    a{r} AS (SELECT entry_id, MIN(p) AS p, arg_min(k.iid IS NOT NULL AND COALESCE(id_since < entry_id, TRUE), p) AS has FROM e JOIN k{r} k ON k.m = e.m GROUP BY 1),
+    b{r} AS (SELECT entry_id, MIN(p) AS p, MIN(p) FILTER (k.nm = e.nm) AS named FROM e JOIN k{r} k ON k.iid = e.iid WHERE e.m IS NULL AND COALESCE(since < entry_id, TRUE) AND COALESCE(id_since < entry_id, TRUE) GROUP BY 1),
+    c{r} AS (SELECT entry_id, COUNT(*) AS n, MIN(p) AS p, COUNT(*) FILTER (NOT has) AS n_free, MIN(p) FILTER (NOT has) AS free FROM (SELECT entry_id, p, k.iid IS NOT NULL AND COALESCE(id_since < entry_id, TRUE) AS has FROM e JOIN k{r} k ON k.nm = e.nm WHERE e.m IS NULL AND COALESCE(since < entry_id, TRUE)) GROUP BY 1),
+    d{r} AS MATERIALIZED (SELECT e.entry_id, e.iid, e.nm, a.p AS ap, b.p AS bp, b.named, c.p AS cp, free, CASE WHEN e.m IS NOT NULL THEN CASE WHEN a.p IS NULL THEN 'no such member' WHEN e.iid IS NOT NULL AND NOT has THEN 'membership adopts' ELSE 'membership' END WHEN named IS NOT NULL THEN 'id and name' WHEN b.p IS NOT NULL THEN 'id' WHEN n = 1 THEN CASE WHEN e.iid IS NOT NULL AND n_free = 1 THEN 'name adopts' ELSE 'name' END WHEN n > 1 AND e.iid IS NOT NULL AND n_free = 1 THEN 'adopts among several' WHEN may THEN 'created' ELSE 'unmatched' END AS rule FROM e LEFT JOIN a{r} a ON a.entry_id = e.entry_id LEFT JOIN b{r} b ON b.entry_id = e.entry_id LEFT JOIN c{r} c ON c.entry_id = e.entry_id),
+    w{r} AS MATERIALIZED (SELECT *, CASE WHEN rule LIKE 'membership%' THEN ap WHEN rule = 'id and name' THEN named WHEN rule = 'id' THEN bp WHEN rule IN ('name', 'name adopts') THEN cp WHEN rule = 'adopts among several' THEN free WHEN rule = 'created' THEN -entry_id END AS who FROM d{r}),
+    t{r} AS MATERIALIZED (SELECT who AS p, arg_min(iid, entry_id) AS iid, MIN(entry_id) AS since, NULL::VARCHAR AS nm FROM w{r} WHERE rule LIKE '%adopts%' GROUP BY 1 UNION ALL SELECT who, iid, entry_id, nm FROM w{r} WHERE rule = 'created')"""
+    return out + f" SELECT entry_id, who AS lifter_id, rule FROM w{n}"
+
+
+@query("dq_28_entry_resolver", _rounds(12))
 def dq_28(v):
-    e = v.entries.select("entry_id").join(v.results.select(F.col("result_id").alias("entry_id"), "membership_number", F.col("lifter_name").alias("athlete_name")), "entry_id")
-    return identity.resolve(e, v.lifters, [["membership_number"], ["athlete_name"]], "entry_id", "lifter_id")
+    k = F.col("result_id")
+    iid = F.when(k % 3 == 1, F.col("lifter_id") % 1300).when(k % 3 == 2, 5000 + k % 900)
+    member = F.when(k % 5 == 0, F.when(k % 25 == 0, "9999").otherwise(F.col("membership_number")))
+    name = F.when(k % 11 == 0, F.concat(F.lit("New "), (k % 400).cast("string"))).otherwise(F.col("lifter_name"))
+    e = v.results.select(k.alias("entry_id"), member.alias("membership_number"), iid.alias("internal_id"), name.alias("athlete_name"), (k % 4 != 0).alias("may_create"))
+    return resolving.resolve_entries(e, v.lifters)
 
 
 @query("dml_3_delete_repeats", ", k AS (SELECT result_id, ROW_NUMBER() OVER (PARTITION BY meet_id, lifter_id ORDER BY total DESC, result_id) AS n FROM results) SELECT result_id FROM k WHERE n = 1")
@@ -718,9 +791,6 @@ def src_14(v):
     return hit.select("meet_id", "region", (F.col("box")["max_x"] - F.col("box")["min_x"]).alias("width"))
 
 
-_SIX = ("s1", "s2", "s3", "c1", "c2", "c3")
-
-
 @query("stm_1_enriched_stream", ORACLE_SQL["fn_4_analytics"].split(WITH)[1].replace("SELECT result_id,", "SELECT result_id, age, qpoints,").replace("FROM results", "FROM (SELECT * FROM results JOIN (" + ORACLE_SQL["fn_6_qpoints"].split(WITH)[1] + ") USING (result_id))"))
 def stm_1(v):
     """Results as they come are enriched with everything the library derives from a row: attempts made, bounce-backs, age, points.
