@@ -15,6 +15,7 @@ whole chunks if need be, up to the ends of the text. Strings of special tokens e
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,14 +28,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barpath.llm.common import batches, small_batches, table
-from barpath.llm.packing import Encoder, default_tokenizer
+from barpath.llm.packing import _BLANKS, default_tokenizer
 from barpath.session import shuffle_partitions
 
 #: Bytes of a chunk at least and at most, and about how many more the rolling hash takes to end one.
 LEAST, MOST, MEAN = 256, 8192, 1024
 #: Bytes of text of a group and of a bucket, about.
-GROUP_BYTES = 16 << 20
+GROUP_BYTES = 8 << 20
 BUCKET_BYTES = 64 << 20
+#: How hard rows are compressed that are shuffled.
+LEVEL = 6
 
 ROWS = "kind string, bucket long, grp long, body binary"
 _GEAR = np.random.default_rng(13).integers(0, 1 << 32, 256, dtype=np.uint32)
@@ -69,26 +72,34 @@ def _whole(b: np.ndarray, p: int) -> int:
     return p
 
 
+def special_tokens(path: str) -> dict[str, int]:
+    """The strings of a vocabulary file that are tokens by themselves."""
+    from tokenizers import Tokenizer
+
+    added = Tokenizer.from_file(path).get_added_tokens_decoder()
+    if any(t.normalized or t.lstrip or t.rstrip or t.single_word for t in added.values()):
+        raise ValueError("special tokens that take part of the text around them are not supported")
+    return {t.content: i for i, t in added.items()}
+
+
 class Vocabulary:
-    """Encoding, decoding and the bytes of each id."""
-
-    def __init__(self, path: str, ranks_path: str):
-        self.encoder = Encoder(path, ranks_path)
-        added = self.encoder.whole.get_added_tokens_decoder()
-        if any(t.normalized or t.lstrip or t.rstrip or t.single_word for t in added.values()):
-            raise ValueError("special tokens that take part of the text around them are not supported")
-        self.special = {t.content: i for i, t in added.items()}
+    """Encoding, decoding and the bytes of each id. A task holds the rank file's library; the vocabulary file's own is loaded only for
+    runs of white space that are too long for the former."""
+
+    def __init__(self, path: str, ranks_path: str, special: dict[str, int] | None = None):
+        import base64
+
+        self.path, self.whole, self.fast = path, None, None
+        self.special = special_tokens(path) if special is None else special
         self._split = re.compile("(" + "|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
-        ranks = self.encoder.fast
-        size = max(ranks.n_vocab, max(self.special.values(), default=-1) + 1, self.encoder.whole.get_vocab_size())
+        with open(ranks_path, "rb") as f:
+            self._ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        size = max([*self._ranks.values(), *self.special.values()]) + 1
         self.bytes = [b""] * size
-        for i in range(ranks.n_vocab):
-            try:
-                self.bytes[i] = ranks.decode_single_token_bytes(i)
-            except KeyError:
-                continue
-        for s, i in self.special.items():
-            self.bytes[i] = s.encode()
+        for x, i in self._ranks.items():
+            self.bytes[i] = x
+        for x, i in self.special.items():
+            self.bytes[i] = x.encode()
         self.sizes = np.array([len(x) for x in self.bytes], np.int64)
         self.kind = "<u2" if size <= 1 << 16 else "<u4"
 
@@ -98,7 +109,19 @@ class Vocabulary:
 
     def ids(self, data: bytes) -> np.ndarray:
         """The ids of a text without special tokens."""
-        return np.array(self.encoder.ids(data.decode("utf-8")), dtype=self.kind)
+        text = data.decode("utf-8")
+        if _BLANKS.search(text):
+            if self.whole is None:
+                from tokenizers import Tokenizer
+
+                self.whole = Tokenizer.from_file(self.path)
+            return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype=self.kind)
+        if self.fast is None:
+            import public_tokenizers
+            import tiktoken
+
+            self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=self._ranks, special_tokens={})
+        return np.array(self.fast.encode_ordinary(text), dtype=self.kind)
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.bytes.__getitem__, ids.tolist()))
@@ -107,21 +130,40 @@ class Vocabulary:
 class Chunk:
     """A chunk, its ids, where they begin in its bytes, and its stable places, of which each is the beginning of a token."""
 
-    def __init__(self, vocabulary: Vocabulary, ids: np.ndarray):
-        self.ids, self.data = ids, vocabulary.decode(ids)
-        self.at = np.concatenate([[0], np.cumsum(vocabulary.sizes[ids])])
-        b = np.frombuffer(self.data, np.uint8)
-        space = (b == 32) | ((b >= 9) & (b <= 13) & (b != 11) & (b != 12))
-        ink = (b > 32) & (b < 127)
-        if (b >= 128).any():  # the last byte of a character that is no white space: no two bytes after C2, no three after E1, E2, E3
-            ink[1:] |= (b[1:] >= 128) & (b[:-1] >= 0xC3) & (b[:-1] <= 0xDF)
-            ink[2:] |= (b[2:] >= 128) & (b[1:-1] >= 128) & (b[:-2] >= 0xE4) & (b[:-2] <= 0xED)
-        places = np.flatnonzero(space[1:] & ink[:-1]) + 1
-        self.stable = places[self.at[np.searchsorted(self.at, places)] == places].tolist()
+    __slots__ = ("at", "data", "ids", "stable")
+
+    def __init__(self, ids: np.ndarray, data: bytes, at: np.ndarray, stable: list[int]):
+        self.ids, self.data, self.at, self.stable = ids, data, at, stable
 
     def token(self, place: int) -> int:
         """The number of the token that begins at a place."""
-        return int(np.searchsorted(self.at, place))
+        return int(self.at.searchsorted(place))
+
+
+def chunks_of(vocabulary: Vocabulary, ids: list[np.ndarray]) -> list[Chunk]:
+    """Chunks from their ids, all at once."""
+    if not ids:
+        return []
+    flat = np.concatenate(ids)
+    data = vocabulary.decode(flat)
+    at = np.concatenate([[0], np.cumsum(vocabulary.sizes[flat])])
+    b = np.frombuffer(data, np.uint8)
+    space = (b == 32) | ((b >= 9) & (b <= 13) & (b != 11) & (b != 12))
+    ink = (b > 32) & (b < 127)
+    if (b >= 128).any():  # the last byte of a character that is no white space: no two bytes after C2, no three after E1, E2, E3
+        ink[1:] |= (b[1:] >= 128) & (b[:-1] >= 0xC3) & (b[:-1] <= 0xDF)
+        ink[2:] |= (b[2:] >= 128) & (b[1:-1] >= 128) & (b[:-2] >= 0xE4) & (b[:-2] <= 0xED)
+    begins = np.zeros(len(b) + 1, bool)
+    begins[at] = True
+    stable = np.flatnonzero(space[1:] & ink[:-1] & begins[1:-1]) + 1
+    tokens = np.cumsum([0, *map(len, ids)])
+    ends = at[tokens]
+    places = np.searchsorted(stable, ends)
+    places_after = np.searchsorted(stable, ends, side="right")  # the first place of a chunk is none: what stands before it is in another
+    return [
+        Chunk(x, data[lo:hi], at[t : t + len(x) + 1] - lo, (stable[p:q] - lo).tolist())
+        for x, lo, hi, t, p, q in zip(ids, ends.tolist(), ends[1:].tolist(), tokens.tolist(), places_after.tolist(), places[1:].tolist(), strict=False)
+    ]
 
 
 def joined(vocabulary: Vocabulary, chunks: list[Chunk], repairs: dict[bytes, np.ndarray] | None = None) -> np.ndarray:
@@ -130,9 +172,10 @@ def joined(vocabulary: Vocabulary, chunks: list[Chunk], repairs: dict[bytes, np.
     out, i, begin = [], 0, 0  # all before ``begin`` in chunk i is done
     while i + 1 < len(chunks):
         left, wide = chunks[i], 2
+        first = bisect_right(left.stable, begin)
         while True:
-            own = [p for p in left.stable if p > begin]
-            a = own[-wide] if len(own) >= wide else begin
+            inside = len(left.stable) - first >= wide
+            a = left.stable[-wide] if inside else begin
             j = i + 1
             while j < len(chunks) and len(chunks[j].stable) < wide:
                 j += 1
@@ -145,12 +188,12 @@ def joined(vocabulary: Vocabulary, chunks: list[Chunk], repairs: dict[bytes, np.
                 if len(region) < 256:
                     repairs[region] = ids
             fine = True
-            if len(own) >= wide:  # the outer word of the left chunk
-                word = left.ids[left.token(a) : left.token(own[1 - wide])]
-                fine = len(ids) >= len(word) and bool((ids[: len(word)] == word).all())
+            if inside:  # the outer word of the left chunk
+                word = left.ids[left.token(a) : left.token(left.stable[1 - wide])]
+                fine = ids[: len(word)].tobytes() == word.tobytes()
             if fine and right:
                 word = right.ids[right.token(right.stable[wide - 2]) : right.token(c)]
-                fine = len(ids) >= len(word) and bool((ids[len(ids) - len(word) :] == word).all())
+                fine = ids[max(0, len(ids) - len(word)) :].tobytes() == word.tobytes()
             if fine:
                 break
             wide *= 2
@@ -229,7 +272,7 @@ class _Group:
             mine = order[ends[b] : ends[b + 1]]
             ask = np.zeros(len(mine), _ASK)
             ask["low"], ask["high"], ask["size"] = hashes[mine, 0], hashes[mine, 1], sizes[mine]
-            yield _rows([("ask", b, number, zstandard.compress(_sized([ask.tobytes(), b"".join([self.chunks[i] for i in mine.tolist()])]), 3))])
+            yield _rows([("ask", b, number, zstandard.compress(_sized([ask.tobytes(), b"".join([self.chunks[i] for i in mine.tolist()])]), LEVEL))])
         names = pa.BufferOutputStream()
         with pa.ipc.new_stream(names, self.columns[0].schema) as writer:
             for batch in self.columns:
@@ -250,6 +293,7 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", tokenizer: tup
     spark = docs.sparkSession
     small_batches(spark)
     path = tokenizer or default_tokenizer()
+    path = (*path, special_tokens(path[0]))
     keep = [f for f in docs.schema.fields if f.name not in (text, ids)]
     names = [f.name for f in keep]
     one, whole = (next(c for c in (x + "_" * k for k in range(len(names) + 1)) if c not in names) for x in ("__row", "__text"))
@@ -287,13 +331,11 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", tokenizer: tup
                     known[low, high] = vocabulary.ids(data[begin : begin + size])
                 given.append(known[low, high])
                 begin += size
-            flat = np.concatenate(given)
-            planes = flat.view(np.uint8).reshape(len(flat), -1).T.tobytes()  # low bytes and high bytes by themselves
-            yield _rows([("answer", bucket, grp, zstandard.compress(_sized([np.array([len(g) for g in given], "<u4").tobytes(), planes]), 3))])
+            sizes = np.array([len(g) for g in given], "<u4").tobytes()
+            yield _rows([("answer", bucket, grp, zstandard.compress(_sized([sizes, np.concatenate(given).tobytes()]), LEVEL))])
 
     def assemble(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(*path)
-        item = np.dtype(vocabulary.kind).itemsize
 
         def made(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
             body = next(b for kind, _, _, b in rows if kind == "group")
@@ -302,12 +344,13 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", tokenizer: tup
             chunk_ids: list = [None] * len(order)
             for kind, b, _, body in rows:
                 if kind == "answer":
-                    sizes, planes = _unsized(zstandard.decompress(body))
-                    flat = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(item, -1).T).view(vocabulary.kind).ravel()
+                    sizes, flat = _unsized(zstandard.decompress(body))
+                    flat = np.frombuffer(flat, vocabulary.kind)
                     for c, part in zip(order[ends[b] : ends[b + 1]].tolist(), np.split(flat, np.cumsum(np.frombuffer(sizes, "<u4"))[:-1]), strict=True):
                         chunk_ids[c] = part
             columns = pa.ipc.open_stream(table_).read_all().combine_chunks()
             documents, repairs = np.frombuffer(documents, "<i4"), {}
+            chunks_ = chunks_of(vocabulary, chunk_ids)
             out, size, first, at = [], 0, 0, 0
             for k, m in enumerate(lengths.tolist()):
                 parts, chunks = [], []
@@ -316,9 +359,9 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", tokenizer: tup
                         parts += [joined(vocabulary, chunks, repairs), np.array([-1 - c], vocabulary.kind)]
                         chunks = []
                     else:
-                        chunks.append(c if m == 1 else Chunk(vocabulary, chunk_ids[c]))
+                        chunks.append(chunks_[c])
                 at += m
-                parts.append(chunk_ids[chunks[0]] if chunks and m == 1 else joined(vocabulary, chunks, repairs))
+                parts.append(joined(vocabulary, chunks, repairs))
                 out.append(np.concatenate(parts).astype(np.int32))
                 size += len(out[-1])
                 if len(repairs) > 100_000:
@@ -351,6 +394,7 @@ def decode(encoded: DataFrame, ids: str = "ids", text: str = "text", tokenizer:
     UTF-8 become U+FFFD. Null ids give a null text; ids that the vocabulary does not have, and null ids in a list, are passed over. A column of the
     name ``text`` is replaced."""
     path = tokenizer or default_tokenizer()
+    path = (*path, special_tokens(path[0]))
     keep = [f for f in encoded.schema.fields if f.name != text]
     names = [f.name for f in keep]
 

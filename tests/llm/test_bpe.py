@@ -56,13 +56,13 @@ def test_joins(vocabulary, library, texts, size):
         if not t or "<|endoftext|>" in t:
             continue
         t = t[: 3000 * size]
-        chunks = [bpe.Chunk(vocabulary, vocabulary.ids(t[a : a + size].encode())) for a in range(0, len(t), size)]
+        chunks = bpe.chunks_of(vocabulary, [vocabulary.ids(t[a : a + size].encode()) for a in range(0, len(t), size)])
         assert bpe.joined(vocabulary, chunks).tolist() == library.encode(t, add_special_tokens=False).ids
 
 
 def test_a_region_that_does_not_agree_is_widened(vocabulary, library):
     t = "one two three four five six seven eight nine ten eleven twelve"
-    a, b = (bpe.Chunk(vocabulary, vocabulary.ids(x.encode())) for x in (t[:30], t[30:]))
+    a, b = bpe.chunks_of(vocabulary, [vocabulary.ids(x.encode()) for x in (t[:30], t[30:])])
     wrong = a.token(a.stable[-2])
     a.ids = a.ids.copy()
     a.ids[wrong] += 1  # as if the outer word had been encoded in another way
