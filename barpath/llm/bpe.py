@@ -101,6 +101,7 @@ class Vocabulary:
         for x, i in self.special.items():
             self.bytes[i] = x.encode()
         self.sizes = np.array([len(x) for x in self.bytes], np.int64)
+        self._blob, self._first = np.frombuffer(b"".join(self.bytes), np.uint8), np.cumsum(self.sizes) - self.sizes
         self.kind = "<u2" if size <= 1 << 16 else "<u4"
 
     def parts(self, text: str) -> list[str]:
@@ -124,7 +125,10 @@ class Vocabulary:
         return np.array(self.fast.encode_ordinary(text), dtype=self.kind)
 
     def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.bytes.__getitem__, ids.tolist()))
+        """The bytes of all ids, gathered from one blob."""
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)
+        return self._blob[np.repeat(self._first[ids] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)].tobytes()
 
 
 class Chunk:
@@ -400,7 +404,7 @@ def decode(encoded: DataFrame, ids: str = "ids", text: str = "text", tokenizer:
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(*path)
-        of, size = vocabulary.bytes.__getitem__, len(vocabulary.bytes)
+        size = len(vocabulary.bytes)
         for batch in batches(it):
             texts = []
             for x in batch.column(ids):
@@ -408,7 +412,7 @@ def decode(encoded: DataFrame, ids: str = "ids", text: str = "text", tokenizer:
                     texts.append(None)
                     continue
                 a = x.values.drop_null().to_numpy()
-                texts.append(b"".join(map(of, a[(a >= 0) & (a < size)].tolist())).decode("utf-8", "replace"))
+                texts.append(vocabulary.decode(a[(a >= 0) & (a < size)]).decode("utf-8", "replace"))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(texts, pa.string())], names=[*names, text])
 
     return encoded.select(*names).mapInArrow(run, T.StructType([*keep, T.StructField(text, T.StringType())]))
