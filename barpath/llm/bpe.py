@@ -14,8 +14,8 @@ whole chunks if need be, up to the ends of the text. Strings of special tokens e
 
 from __future__ import annotations
 
+import hashlib
 import re
-from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +38,8 @@ GROUP_BYTES = 8 << 20
 BUCKET_BYTES = 64 << 20
 #: How hard rows are compressed that are shuffled.
 LEVEL = 6
+#: Ids that are made bytes at a time.
+SLAB = 1 << 17
 
 ROWS = "kind string, bucket long, grp long, body binary"
 _GEAR = np.random.default_rng(13).integers(0, 1 << 32, 256, dtype=np.uint32)
@@ -125,10 +127,13 @@ class Vocabulary:
         return np.array(self.fast.encode_ordinary(text), dtype=self.kind)
 
     def decode(self, ids: np.ndarray) -> bytes:
-        """The bytes of all ids, gathered from one blob."""
+        """The bytes of all ids, gathered from one blob, some ids at a time."""
+        return b"".join(self._bytes(ids[a : a + SLAB]) for a in range(0, len(ids), SLAB))
+
+    def _bytes(self, ids: np.ndarray) -> bytes:
         sizes = self.sizes[ids]
         ends = np.cumsum(sizes)
-        return self._blob[np.repeat(self._first[ids] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)].tobytes()
+        return self._blob[np.repeat(self._first[ids] - ends + sizes, sizes) + np.arange(ends[-1])].tobytes()
 
 
 class Chunk:
@@ -136,7 +141,7 @@ class Chunk:
 
     __slots__ = ("at", "data", "ids", "stable")
 
-    def __init__(self, ids: np.ndarray, data: bytes, at: np.ndarray, stable: list[int]):
+    def __init__(self, ids: np.ndarray, data: bytes, at: np.ndarray, stable: np.ndarray):
         self.ids, self.data, self.at, self.stable = ids, data, at, stable
 
     def token(self, place: int) -> int:
@@ -145,9 +150,17 @@ class Chunk:
 
 
 def chunks_of(vocabulary: Vocabulary, ids: list[np.ndarray]) -> list[Chunk]:
-    """Chunks from their ids, all at once."""
-    if not ids:
-        return []
+    """Chunks from their ids, many at once."""
+    out, begin, size = [], 0, 0
+    for k, x in enumerate(ids):
+        size += len(x)
+        if size >= SLAB or k + 1 == len(ids):
+            out += _chunks(vocabulary, ids[begin : k + 1])
+            begin, size = k + 1, 0
+    return out
+
+
+def _chunks(vocabulary: Vocabulary, ids: list[np.ndarray]) -> list[Chunk]:
     flat = np.concatenate(ids)
     data = vocabulary.decode(flat)
     at = np.concatenate([[0], np.cumsum(vocabulary.sizes[flat])])
@@ -165,7 +178,7 @@ def chunks_of(vocabulary: Vocabulary, ids: list[np.ndarray]) -> list[Chunk]:
     places = np.searchsorted(stable, ends)
     places_after = np.searchsorted(stable, ends, side="right")  # the first place of a chunk is none: what stands before it is in another
     return [
-        Chunk(x, data[lo:hi], at[t : t + len(x) + 1] - lo, (stable[p:q] - lo).tolist())
+        Chunk(x, data[lo:hi], (at[t : t + len(x) + 1] - lo).astype(np.int32), (stable[p:q] - lo).astype(np.int32))
         for x, lo, hi, t, p, q in zip(ids, ends.tolist(), ends[1:].tolist(), tokens.tolist(), places_after.tolist(), places[1:].tolist(), strict=False)
     ]
 
@@ -176,15 +189,15 @@ def joined(vocabulary: Vocabulary, chunks: list[Chunk], repairs: dict[bytes, np.
     out, i, begin = [], 0, 0  # all before ``begin`` in chunk i is done
     while i + 1 < len(chunks):
         left, wide = chunks[i], 2
-        first = bisect_right(left.stable, begin)
+        first = int(left.stable.searchsorted(begin, side="right"))
         while True:
             inside = len(left.stable) - first >= wide
-            a = left.stable[-wide] if inside else begin
+            a = int(left.stable[-wide]) if inside else begin
             j = i + 1
             while j < len(chunks) and len(chunks[j].stable) < wide:
                 j += 1
             right = chunks[j] if j < len(chunks) else None
-            c = right.stable[wide - 1] if right else 0
+            c = int(right.stable[wide - 1]) if right else 0
             region = b"".join([left.data[a:], *(x.data for x in chunks[i + 1 : j]), right.data[:c] if right else b""])
             ids = repairs.get(region)
             if ids is None:
@@ -418,22 +431,30 @@ def decode(encoded: DataFrame, ids: str = "ids", text: str = "text", tokenizer:
     return encoded.select(*names).mapInArrow(run, T.StructType([*keep, T.StructField(text, T.StringType())]))
 
 
-def ids_sha256(encoded: DataFrame, ids: str = "ids", name: str = "ids_sha256") -> DataFrame:
-    """All columns but the ids, ``n_tokens`` and the SHA-256 of the ids as little-endian unsigned 32-bit numbers."""
-    import hashlib
-
-    keep = [f for f in encoded.schema.fields if f.name not in (ids, "n_tokens", name)]
+def digests(encoded: DataFrame, ids: str = "ids", tokenizer: tuple[str, str] | None = None) -> DataFrame:
+    """All columns but the ids, and ``n_tokens``, ``ids_sha256`` (of the ids as little-endian unsigned 32-bit numbers) and ``decoded_sha256``
+    (of what ``decode`` makes of them, in UTF-8). Null ids have no digests."""
+    path = tokenizer or default_tokenizer()
+    path = (*path, special_tokens(path[0]))
+    added = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
+    keep = [f for f in encoded.schema.fields if f.name not in (ids, *(f.name for f in added))]
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = Vocabulary(*path)
         for batch in batches(it):
-            arrays = [np.asarray(x.values.to_numpy(), dtype="<u4") for x in batch.column(ids)]
-            digests = [hashlib.sha256(np.ascontiguousarray(a)).hexdigest() for a in arrays]
-            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in keep), pa.array([len(a) for a in arrays], pa.int64()), pa.array(digests)], names=[*(f.name for f in keep), "n_tokens", name])
+            found = []
+            for x in batch.column(ids):
+                if not x.is_valid:
+                    found.append((None, None, None))
+                    continue
+                a = x.values.to_numpy()
+                text = vocabulary.decode(a).decode("utf-8", "replace").encode("utf-8")
+                found.append((len(a), hashlib.sha256(np.ascontiguousarray(a, dtype="<u4")).hexdigest(), hashlib.sha256(text).hexdigest()))
+            n, of_ids, of_text = zip(*found, strict=True)
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in keep), pa.array(n, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())], names=[f.name for f in [*keep, *added]])
 
-    return encoded.mapInArrow(run, T.StructType([*keep, T.StructField("n_tokens", T.LongType()), T.StructField(name, T.StringType())]))
+    return encoded.mapInArrow(run, T.StructType([*keep, *added]))
 
 
 def op13_bpe(spark, sf_dir: str) -> DataFrame:
-    encoded = encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    decoded = decode(encoded, text="decoded").withColumn("decoded_sha256", F.sha2(F.col("decoded").cast("binary"), 256)).drop("decoded")
-    return ids_sha256(decoded).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    return digests(encode(table(spark, sf_dir, "documents").select("doc_id", "text")))
