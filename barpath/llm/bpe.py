@@ -34,10 +34,10 @@ from barpath.session import shuffle_partitions
 #: Bytes of a chunk at least and at most, and about how many more the rolling hash takes to end one.
 LEAST, MOST, MEAN = 256, 8192, 1024
 #: Bytes of text of a group and of a bucket, about.
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 16 << 20
 BUCKET_BYTES = 64 << 20
-#: How hard rows are compressed that are shuffled.
-LEVEL = 6
+#: How hard texts and ids are compressed that are shuffled.
+TEXT_LEVEL, IDS_LEVEL = 6, 9
 #: Ids that are made bytes at a time.
 SLAB = 1 << 17
 
@@ -289,7 +289,7 @@ class _Group:
             mine = order[ends[b] : ends[b + 1]]
             ask = np.zeros(len(mine), _ASK)
             ask["low"], ask["high"], ask["size"] = hashes[mine, 0], hashes[mine, 1], sizes[mine]
-            yield _rows([("ask", b, number, zstandard.compress(_sized([ask.tobytes(), b"".join([self.chunks[i] for i in mine.tolist()])]), LEVEL))])
+            yield _rows([("ask", b, number, zstandard.compress(_sized([ask.tobytes(), b"".join([self.chunks[i] for i in mine.tolist()])]), TEXT_LEVEL))])
         names = pa.BufferOutputStream()
         with pa.ipc.new_stream(names, self.columns[0].schema) as writer:
             for batch in self.columns:
@@ -349,7 +349,7 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", tokenizer: tup
                 given.append(known[low, high])
                 begin += size
             sizes = np.array([len(g) for g in given], "<u4").tobytes()
-            yield _rows([("answer", bucket, grp, zstandard.compress(_sized([sizes, np.concatenate(given).tobytes()]), LEVEL))])
+            yield _rows([("answer", bucket, grp, zstandard.compress(_sized([sizes, np.concatenate(given).tobytes()]), IDS_LEVEL))])
 
     def assemble(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(*path)
