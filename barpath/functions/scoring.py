@@ -159,6 +159,11 @@ def with_distribution_scores(df: DataFrame, factors: dict[str, DataFrame], value
     return keyed.drop("__g", "__b", "__a")
 
 
+def recompute(df: DataFrame, name: str, value: Column, asked: Column) -> DataFrame:
+    """FN-19: a stored score is computed again in the rows that are asked for (a condition, or what is not null); the others keep theirs."""
+    return df.withColumn(name, F.when(asked.isNotNull(), value).otherwise(F.col(name)))
+
+
 def age_factor_table(spark: SparkSession) -> DataFrame:
     rows = [("F", 30 + i, f) for i, f in enumerate(WOMEN_FROM_30)] + [("M", 30 + i, f) for i, f in enumerate(MEN_FROM_30)]
     return spark.createDataFrame(rows, "gender string, age int, factor double")

@@ -42,6 +42,24 @@ def division_ranks(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.withColumns({"snatch_rank": place("best_snatch"), "cj_rank": place("best_cj"), "total_rank": place("total")})
 
 
+def id_gaps(df: DataFrame, key: str, width: int = 1 << 16) -> DataFrame:
+    """WIN-11: ``first, last, missing``: the gaps between ids. Neighbours are found within ranges of ``width`` ids, and those that end
+    a range by the ends of the ranges: of these there are a ``width``-th of the ids' span at most, dealt again in ranges of theirs, until
+    few are left. No gap is written out, however long."""
+    ids = df.select(F.col(key).cast("long").alias("id")).where(F.col("id").isNotNull()).distinct()
+    part = F.floor(F.col("id") / width)
+    w = Window.partitionBy(part).orderBy("id")
+    inside = ids.select("id", F.lead("id").over(w).alias("next")).where("next > id + 1")
+    ends = ids.groupBy(part.alias("part")).agg(F.min("id").alias("low"), F.max("id").alias("high"))
+    far = ends.select("*", F.floor(F.col("part") / width).alias("far"))
+    v = Window.partitionBy("far").orderBy("part")
+    across = far.select("high", F.lead("low").over(v).alias("next"), "far", "low")
+    last = across.groupBy("far").agg(F.min("low").alias("low"), F.max("high").alias("high"))  # a row for each width ** 2 ids
+    final = last.select("high", F.lead("low").over(Window.orderBy("far")).alias("next"))
+    gaps = inside.unionByName(across.where("next is not null").select(F.col("high").alias("id"), "next")).unionByName(final.select(F.col("high").alias("id"), "next"))
+    return gaps.where("next > id + 1").select((F.col("id") + 1).alias("first"), (F.col("next") - 1).alias("last"), (F.col("next") - F.col("id") - 1).alias("missing"))
+
+
 def snapshots(first: str, last: str, months: int = 6) -> Column:
     """DAT-5."""
     return F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"), F.make_interval(months=F.lit(months)))
@@ -71,18 +89,27 @@ def activity(results: DataFrame, key: str, since: str, until: str) -> DataFrame:
 
 
 def career(results: DataFrame, least: int = 12) -> DataFrame:
-    """AGG-24: success, clutch, bounce-back and consistency of each lifter, of ``least`` attempts or more. One pass."""
+    """AGG-24: success, clutch, bounce-back, consistency, frequency, best score, openings and jumps of each lifter, of ``least``
+    attempts or more. Consistency needs two totals. Openings are held against the total of the result before, if there is one.
+
+    ``results``: lifter_id, result_id, date, total, the six attempts, qpoints, q_youth, q_masters. One window and one aggregation
+    over the same rows of a lifter, so one shuffle.
+    """
     a = {k: parse.attempt(k) for k in ("s1", "s2", "s3", "c1", "c2", "c3")}
     total = lambda f, ks: sum((f(a[k]) for k in ks), F.lit(0))
     made, missed = (lambda x: F.when(x > 0, 1).otherwise(0)), (lambda x: F.when(x < 0, 1).otherwise(0))
     both = lambda f: f("s") + f("c")
     clutch = lambda k: (a[k + "1"] < 0) & (a[k + "2"] < 0) & a[k + "3"].isNotNull()
     flag = lambda c: F.when(c, 1).otherwise(0)
+    size = lambda k: F.abs(a[k])
+    jumps = F.filter(F.array(*[100.0 * (size(f"{k}{i + 1}") - size(f"{k}{i}")) / F.nullif(size(f"{k}{i}"), F.lit(0)) for k in "sc" for i in (1, 2)]), lambda x: x.isNotNull())
+    before = F.nullif(F.lag("total").over(Window.partitionBy("lifter_id").orderBy("date", "result_id")), F.lit(0))
+    opening = F.nullif(F.coalesce(size("s1"), F.lit(0)) + F.coalesce(size("c1"), F.lit(0)), F.lit(0))
     per = results.select(
-        "lifter_id", "date", "total",
+        "lifter_id", "date", "total", jumps.alias("jumps"), (100.0 * opening / before).alias("opening"), F.greatest("qpoints", "q_youth", "q_masters").alias("q"),
         *[total(made, [f"{k}{i}" for i in (1, 2, 3)]).alias(f"{k}_made") for k in "sc"], *[total(missed, [f"{k}{i}" for i in (1, 2, 3)]).alias(f"{k}_missed") for k in "sc"],
         both(lambda k: flag(clutch(k))).alias("clutch"), both(lambda k: flag(clutch(k) & (a[k + "3"] > 0))).alias("clutch_made"),
-        both(lambda k: flag((a[k + "1"] < 0) & a[k + "2"].isNotNull())).alias("bounce"), both(lambda k: flag((a[k + "1"] < 0) & (a[k + "2"] > 0))).alias("bounce_made"),
+        *[flag((a[k + "1"] < 0) & a[k + "2"].isNotNull()).alias(f"{k}_bounce") for k in "sc"], *[flag((a[k + "1"] < 0) & (a[k + "2"] > 0)).alias(f"{k}_bounce_made") for k in "sc"],
     )
     rate = lambda x, n: 100 * F.sum(x) / F.nullif(F.sum(n), F.lit(0))
     days = F.datediff(F.max(F.to_date("date")), F.min(F.to_date("date")))
@@ -91,8 +118,10 @@ def career(results: DataFrame, least: int = 12) -> DataFrame:
         F.sum(F.expr("s_made + s_missed + c_made + c_missed")).alias("attempts"),
         rate(F.expr("s_made + c_made"), F.expr("s_made + s_missed + c_made + c_missed")).alias("success_rate"),
         rate(F.col("s_made"), F.expr("s_made + s_missed")).alias("snatch_rate"), rate(F.col("c_made"), F.expr("c_made + c_missed")).alias("cj_rate"),
-        rate(F.col("clutch_made"), F.col("clutch")).alias("clutch_rate"), rate(F.col("bounce_made"), F.col("bounce")).alias("bounce_rate"),
-        F.greatest(F.lit(0.0), 100 - 100 * F.stddev_pop(scored) / F.avg(scored)).alias("consistency"),
+        rate(F.col("clutch_made"), F.col("clutch")).alias("clutch_rate"),
+        rate(F.expr("s_bounce_made + c_bounce_made"), F.expr("s_bounce + c_bounce")).alias("bounce_rate"), rate(F.col("s_bounce_made"), F.col("s_bounce")).alias("snatch_bounce_rate"), rate(F.col("c_bounce_made"), F.col("c_bounce")).alias("cj_bounce_rate"),
+        F.when(F.count(scored) >= 2, F.greatest(F.lit(0.0), 100 - 100 * F.stddev_pop(scored) / F.avg(scored))).alias("consistency"), F.max("q").alias("q_score"), F.avg("opening").alias("opening_strategy"),
+        (F.sum(F.aggregate("jumps", F.lit(0.0), lambda s, x: s + x)) / F.nullif(F.sum(F.size("jumps")), F.lit(0))).alias("jump_percentage"),
         F.when(F.count("*") < 2, 0.0).otherwise((F.count("*") - 1) / F.greatest(F.lit(90), days) * 365.25).alias("frequency"),
     )
     return out.where(F.col("attempts") >= least)

@@ -58,6 +58,25 @@ def fill_in(target: DataFrame, new: DataFrame, key: str, fields: Sequence[str])
     return target.join(renamed, key, "left").withColumns({f: F.coalesce(f"__{f}", f) for f in fields}).drop(*[f"__{f}" for f in fields])
 
 
+def harmonised(sources: Sequence[DataFrame], columns: dict[str, tuple[str, Sequence[str]]]) -> DataFrame:
+    """AGG-40: tables of one kind with other columns under one schema. ``columns``: by name the type and the names it may have in a
+    source; the first that a source has is taken, and null if it has none."""
+
+    def one(df: DataFrame) -> DataFrame:
+        there = {c.lower(): c for c in df.columns}
+        pick = lambda names: next((F.col(f"`{there[n.lower()]}`") for n in names if n.lower() in there), F.lit(None))
+        return df.select(*[pick(names).cast(kind).alias(name) for name, (kind, names) in columns.items()])
+
+    return reduce(DataFrame.unionByName, (one(df) for df in sources))
+
+
+def checks(df: DataFrame, conditions: dict[str, str]) -> DataFrame:
+    """AGG-40: ``issue, n, status``: how many rows meet each condition (SQL), and PASS if none does. One pass."""
+    counts = df.agg(*[F.count_if(F.expr(c)).alias(name) for name, c in conditions.items()])
+    long = counts.unpivot([], list(conditions), "issue", "n")
+    return long.withColumn("status", F.when(F.col("n") == 0, "PASS").otherwise("FAIL"))
+
+
 def fingerprint(columns: Sequence[str | Column]) -> Column:
     """AGG-35: md5 of the columns as text, nulls marked."""
     return F.md5(F.concat_ws("|", *[F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("NULL")) for c in columns]).cast("binary"))

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from barpath.functions import attempts, geo, parse, scoring, text
-from barpath.operators import identity, linking, resolving, series, tables
+from barpath.operators import borders, identity, linking, resolving, series, tables
 from barpath.operators.components import components
 from barpath.plans.binding import WITH
 from barpath.plans.registry import ORACLE_SQL, query
@@ -648,10 +648,44 @@ def geo_18(v):
     return _addresses(v).join(inside, "meet_id", "left").select("meet_id", x.alias("x")).select("meet_id", "x.*")
 
 
-@query("geo_19_border_pairs", "SELECT a.region AS a, b.region AS b FROM regions a JOIN regions b ON a.region < b.region AND a.min_x = b.min_x AND (a.max_y = b.min_y OR b.max_y = a.min_y)")
+# the tables have no polygons: customers are cells of a slanted grid, in blocks of ten by twenty; cells of one segment and every
+# seventh are left out, so blocks have holes and islands; every fifth is two halves, so corners lie on edges of neighbours
+_CELLS = ", c AS (SELECT c_custkey % 40 AS x, c_custkey // 40 AS y, 'R' || CAST(c_custkey % 40 // 10 + 4 * (c_custkey // 40 // 20) AS VARCHAR) AS region FROM customer WHERE c_mktsegment <> 'BUILDING' AND c_custkey % 7 <> 3) "
+_SIDES = "FROM c a JOIN c b ON (b.x = a.x + 1 AND b.y = a.y) OR (b.x = a.x AND b.y = a.y + 1)"
+_SIDE = "CASE WHEN a.y = b.y THEN 0.1::DOUBLE ELSE sqrt(0.0125::DOUBLE) END"
+
+
+def _cells(v):
+    k = F.col("c_custkey")
+    c = v.table("customer").where("c_mktsegment != 'BUILDING' and c_custkey % 7 != 3").select(k, (k % 40).cast("double").alias("x"), F.expr("c_custkey div 40").cast("double").alias("y"))
+    c = c.withColumn("region", F.concat(F.lit("R"), F.expr("cast(c_custkey % 40 div 10 + 4 * (c_custkey div 40 div 20) as string)")))
+    point = lambda a, b: F.struct(((F.col("x") + a) * 0.1).alias("x"), ((F.col("y") + b) * 0.1 + (F.col("x") + a) * 0.05).alias("y"))
+    quad = lambda a, b, p, q: F.array(F.array(point(a, b), point(p, b), point(p, q), point(a, q)))
+    halves = F.when(k % 2 == 0, F.array(quad(0, 0, 0.5, 1), quad(0.5, 0, 1, 1))).otherwise(F.array(quad(0, 0, 1, 0.5), quad(0, 0.5, 1, 1)))
+    return c.select("region", F.col("c_custkey").alias("cell"), F.explode(F.when(k % 5 == 0, halves).otherwise(F.array(quad(0, 0, 1, 1)))).alias("rings"))
+
+
+@query("geo_19_border_pairs", _CELLS + f"SELECT LEAST(a.region, b.region) AS a, GREATEST(a.region, b.region) AS b, ROUND(SUM({_SIDE}), 5) AS length {_SIDES} WHERE a.region <> b.region GROUP BY 1, 2")
 def geo_19(v):
-    side = lambda n: v.regions.select("min_x", F.col("region").alias(n), F.col("min_y").alias(f"{n}lo"), F.col("max_y").alias(f"{n}hi"))
-    return side("a").join(side("b"), "min_x").where("a < b and (ahi = blo or bhi = alo)").select("a", "b")
+    return borders.borders(_cells(v), "region", "rings").select("a", "b", F.round("length", 5).alias("length"))
+
+
+# cells that touch make one polygon, and holes are what is left out: by the counts of the four cells around each corner
+_QUADS = """, e AS (SELECT region, x + i AS qx, y + j AS qy, i * 2 + j AS k FROM c, (VALUES (0), (1)) s(i), (VALUES (0), (1)) t(j)), q AS (SELECT region, qx, qy, COUNT(*) AS n, SUM(k) AS w FROM e GROUP BY 1, 2, 3),
+    u AS (SELECT region, SUM(CASE WHEN n = 1 THEN 1 WHEN n = 3 THEN -1 WHEN n = 2 AND w = 3 THEN 2 ELSE 0 END) // 4 AS euler FROM q GROUP BY 1)"""
+
+
+@query("geo_16_dissolved_regions", _CELLS.rstrip() + _QUADS + f", s AS (SELECT a.region, SUM({_SIDE}) AS shared {_SIDES} WHERE a.region = b.region GROUP BY 1) SELECT c.region, ROUND(COUNT(*) * 0.01, 5)::DOUBLE AS area, ROUND(COUNT(*) * 2 * (0.1::DOUBLE + sqrt(0.0125::DOUBLE)) - 2 * MAX(COALESCE(shared, 0)), 4) AS border, CAST(MAX(euler) AS BIGINT) AS polygons_less_holes FROM c JOIN u ON u.region = c.region LEFT JOIN s ON s.region = c.region GROUP BY 1")
+def geo_16(v):
+    u = borders.union(_cells(v), "region", "cell", "rings")
+    ring = lambda r: F.aggregate(F.sequence(F.lit(1), F.size(r)), F.lit(0.0), lambda s, i: s + _step(F.element_at(r, i), F.element_at(r, F.when(i == F.size(r), 1).otherwise(i + 1))))
+    total = F.aggregate(F.flatten("shape"), F.lit(0.0), lambda s, r: s + ring(r))
+    holes = F.size(F.flatten("shape")) - F.size("shape")
+    return u.select(F.col("group").alias("region"), F.round("area", 5).alias("area"), F.round(total, 4).alias("border"), (F.size("shape") - holes).cast("long").alias("polygons_less_holes"))
+
+
+def _step(a, b):
+    return F.sqrt(F.pow(a["x"] - b["x"], F.lit(2.0)) + F.pow(a["y"] - b["y"], F.lit(2.0)))
 
 
 @query("dq_2_resolve_by_exclusion", """, e AS (SELECT result_id AS entry_id, lifter_name AS nm, meet_id, body_weight_kg AS bw, total, CASE WHEN result_id % 3 = 0 THEN lifter_id % 1300 WHEN result_id % 3 = 1 THEN result_id % 1500 END AS iid FROM results),

@@ -7,11 +7,19 @@ from pyspark.sql import functions as F
 
 from barpath.functions import scoring, text
 from barpath.operators import series, tables
-from barpath.plans.registry import query
+from barpath.plans.binding import WITH
+from barpath.plans.registry import ORACLE_SQL, query
 from barpath.plans.row_queries import _DIV, _MASTER, _PREFIX, _curve  # noqa: F401
 
 
 
+#: What each column of results may be called in a source, and its type.
+RESULT_COLUMNS = {
+    "result_id": ("long", ["result_id", "db_result_id"]), "lifter_name": ("string", ["lifter_name"]), "competition_age": ("int", ["competition_age"]), "gender": ("string", ["gender"]), "total": ("string", ["total"]),
+    "body_weight_kg": ("string", ["body_weight_kg"]), "q_youth": ("double", ["q_youth"]), "qpoints": ("double", ["qpoints"]), "q_masters": ("double", ["q_masters"]),
+}
+
+
 def n_rows():
     return F.count("*")
 
@@ -102,9 +110,11 @@ def join_15(v):
 
 @query("join_16_shared_membership", "SELECT result_id, EXISTS (SELECT 1 FROM results b WHERE b.membership_number = a.membership_number AND b.meet_id = a.meet_id AND b.lifter_id <> a.lifter_id) AS redundant FROM results a")
 def join_16(v):
+    # rows without a membership meet in no window
     w = Window.partitionBy("membership_number", "meet_id")
-    many = F.min("lifter_id").over(w) != F.max("lifter_id").over(w)
-    return v.results.select("result_id", (F.col("membership_number").isNotNull() & many).alias("redundant"))
+    known, none = (v.results.where(F.col("membership_number").isNull() == n).select("result_id", "lifter_id", "membership_number", "meet_id") for n in (False, True))
+    many = known.select("result_id", (F.min("lifter_id").over(w) != F.max("lifter_id").over(w)).alias("redundant"))
+    return many.unionByName(none.select("result_id", F.lit(False).alias("redundant")))
 
 
 @query("join_17_scalar_count", "SELECT meet_id, (SELECT COUNT(*) FROM results r WHERE r.meet_id = m.meet_id AND r.total = 0) AS bombed FROM meets m")
@@ -285,35 +295,53 @@ def agg_23(v):
 _ATT = "CASE WHEN {0} NOT IN ('', '0', '---') THEN TRY_CAST({0} AS INT) END"
 
 
-def _career_sql():
+_SCORED = "SELECT results.*, qpoints, q_youth, q_masters, LAG(total) OVER (PARTITION BY lifter_id ORDER BY date, result_id) AS before, COALESCE(ABS(" + _ATT.format("s1") + "), 0) + COALESCE(ABS(" + _ATT.format("c1") + "), 0) AS opening FROM results JOIN (" + ORACLE_SQL["fn_7_national_points"].split(WITH)[1].split(") SELECT", 1)[0].replace(", q AS (", "WITH q AS (", 1) + ") SELECT" + ORACLE_SQL["fn_7_national_points"].split(WITH)[1].split(") SELECT", 1)[1] + ") USING (result_id)"
+
+
+def _career_sql(least=12):
     a = {k: f"({_ATT.format(k)})" for k in ("s1", "s2", "s3", "c1", "c2", "c3")}
     add = lambda cs: "CAST(SUM(" + " + ".join(f"CASE WHEN {c} THEN 1 ELSE 0 END" for c in cs) + ") AS BIGINT)"
     made, tried = (lambda ks: add([f"{a[k]} > 0" for k in ks])), (lambda ks: add([f"{a[k]} <> 0" for k in ks]))
     clutch = [f"{a[k + '1']} < 0 AND {a[k + '2']} < 0 AND {a[k + '3']} IS NOT NULL" for k in "sc"]
     bounce = [f"{a[k + '1']} < 0 AND {a[k + '2']} IS NOT NULL" for k in "sc"]
     s, c = ("s1", "s2", "s3"), ("c1", "c2", "c3")
+    jumps = [f"CASE WHEN {a[k + str(i)]} <> 0 AND {a[k + str(i + 1)]} <> 0 THEN 100.0::DOUBLE * (ABS({a[k + str(i + 1)]}) - ABS({a[k + str(i)]})) / ABS({a[k + str(i)]}) END" for k in "sc" for i in (1, 2)]
     rate = lambda x, n: f"ROUND(100.0::DOUBLE * {x} / NULLIF({n}, 0), 4)"
     return f"""SELECT lifter_id, {tried(s + c)} AS attempts, {rate(made(s + c), tried(s + c))} AS success_rate, {rate(made(s), tried(s))} AS snatch_rate, {rate(made(c), tried(c))} AS cj_rate,
       {rate(add([f"{x} AND {a[k + '3']} > 0" for x, k in zip(clutch, "sc")]), add(clutch))} AS clutch_rate, {rate(add([f"{x} AND {a[k + '2']} > 0" for x, k in zip(bounce, "sc")]), add(bounce))} AS bounce_rate,
-      ROUND(GREATEST(0.0::DOUBLE, 100 - 100 * stddev_pop(NULLIF(total, 0)) / AVG(NULLIF(total, 0))), 4) AS consistency,
-      ROUND(CASE WHEN COUNT(*) < 2 THEN 0 ELSE (COUNT(*) - 1)::DOUBLE / GREATEST(90, date_diff('day', MIN(CAST(date AS DATE)), MAX(CAST(date AS DATE)))) * 365.25 END, 4) AS frequency
-      FROM results GROUP BY lifter_id HAVING {tried(s + c)} >= 12"""
+      CASE WHEN COUNT(NULLIF(total, 0)) >= 2 THEN ROUND(GREATEST(0.0::DOUBLE, 100 - 100 * stddev_pop(NULLIF(total, 0)) / AVG(NULLIF(total, 0))), 4) END AS consistency,
+      ROUND(CASE WHEN COUNT(*) < 2 THEN 0 ELSE (COUNT(*) - 1)::DOUBLE / GREATEST(90, date_diff('day', MIN(CAST(date AS DATE)), MAX(CAST(date AS DATE)))) * 365.25 END, 4) AS frequency,
+      {', '.join(f"{rate(add([f'{bounce[k]} AND {a[l + chr(50)]} > 0']), add([bounce[k]]))} AS {n}_bounce_rate" for k, l, n in ((0, 's', 'snatch'), (1, 'c', 'cj')))},
+      ROUND(MAX(GREATEST(qpoints, q_youth, q_masters)), 4) AS q_score,
+      ROUND(AVG(CASE WHEN before <> 0 AND opening > 0 THEN 100.0::DOUBLE * opening / before END), 4) AS opening_strategy,
+      ROUND(({' + '.join(f'SUM(COALESCE({j}, 0))' for j in jumps)}) / NULLIF({' + '.join(f'COUNT({j})' for j in jumps)}, 0), 4) AS jump_percentage
+      FROM ({_SCORED}) x GROUP BY lifter_id HAVING {tried(s + c)} >= {least}"""
 
 
-_METRICS = ["success_rate", "snatch_rate", "cj_rate", "clutch_rate", "bounce_rate", "consistency", "frequency"]
+_METRICS = ["success_rate", "snatch_rate", "cj_rate", "clutch_rate", "bounce_rate", "consistency", "frequency", "snatch_bounce_rate", "cj_bounce_rate", "q_score", "opening_strategy", "jump_percentage"]
 
 
-@query("agg_24_careers", _career_sql())
+@query("agg_24_careers", _career_sql(1))
 def agg_24(v):
-    c = series.career(v.results)
+    """All metrics of a document: any attempt will do."""
+    c = series.career(_scored(v), least=1)
     return c.select("lifter_id", "attempts", *[F.round(m, 4).alias(m) for m in _METRICS])
 
 
-@query("agg_25_distributions", ", k AS (" + _career_sql() + "), p AS (SELECT lifter_id, MAX(gender) AS gender, MAX(age) AS age FROM results GROUP BY 1), m AS (SELECT lifter_id, 'success_rate' AS metric, success_rate AS value FROM k UNION ALL SELECT lifter_id, 'frequency', frequency FROM k), t AS (SELECT metric, value, UNNEST(list_filter(['all', CASE WHEN age < 13 THEN 'U13' END, CASE WHEN age BETWEEN 13 AND 17 THEN 'Youth' END, CASE WHEN age BETWEEN 15 AND 20 THEN 'Junior' END, CASE WHEN age >= 15 THEN 'Senior' END, CASE WHEN age >= 35 THEN 'Masters' END], lambda x: x IS NOT NULL)) AS e, gender FROM m JOIN p ON p.lifter_id = m.lifter_id WHERE value IS NOT NULL) SELECT 'USAW_' || gender || '_' || e AS bucket, metric, COUNT(*) AS n, MIN(value) AS low, MAX(value) AS high, ROUND(SUM(value), 2) AS total FROM t GROUP BY 1, 2")
+def _scored(v):
+    return v.results.select("*", *scoring.national_points("total", "body_weight_kg", "gender", "age"))
+
+
+_BUCKETED = "['all', CASE WHEN age < 13 THEN 'U13' END, CASE WHEN age BETWEEN 13 AND 17 THEN 'Youth' END, CASE WHEN age BETWEEN 15 AND 20 THEN 'Junior' END, CASE WHEN age >= 15 THEN 'Senior' END, CASE WHEN age >= 35 THEN 'Masters' END]"
+
+
+@query("agg_25_distributions", ", k AS (" + _career_sql() + "), p AS (SELECT lifter_id, MAX(gender) AS gender, MAX(age) AS age FROM results GROUP BY 1), m AS (UNPIVOT (SELECT lifter_id, " + ", ".join(f"CAST({m} AS DOUBLE) AS {m}" for m in _METRICS[:10]) + " FROM k) ON " + ", ".join(_METRICS[:10]) + " INTO NAME metric VALUE value), t AS (SELECT metric, value, UNNEST(list_filter(" + _BUCKETED + ", lambda x: x IS NOT NULL)) AS e, gender FROM m JOIN p ON p.lifter_id = m.lifter_id WHERE value IS NOT NULL) SELECT 'USAW_' || gender || '_' || e AS bucket, metric, COUNT(*) AS n, MIN(value) AS low, MAX(value) AS high, ROUND(SUM(value), 2) AS total FROM t GROUP BY 1, 2")
 def agg_25(v):
+    # of those with twelve attempts, every metric that is held against a population
+    kept = _METRICS[:10]
     people = v.results.groupBy("lifter_id").agg(F.max("gender").alias("gender"), F.max("age").alias("age")).withColumn("source", F.lit("USAW"))
-    k = series.career(v.results).withColumns({m: F.round(m, 4) for m in ("success_rate", "frequency")})
-    d = series.distributions(k, people, ["success_rate", "frequency"])
+    k = series.career(_scored(v)).withColumns({m: F.round(m, 4) for m in kept})
+    d = series.distributions(k, people, kept)
     return d.groupBy("bucket", "metric").agg(F.sum("n").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"), F.round(F.sum(F.col("value") * F.col("n")), 2).alias("total"))
 
 
@@ -399,11 +427,29 @@ def agg_39(v):
     return v.results.where("total > 0").groupBy(band.alias("band"), kind.alias("kind")).agg(n_rows().alias("n"))
 
 
-@query("agg_40_checks", "SELECT source, CASE WHEN COUNT(*) FILTER (total < 0) = 0 THEN 'PASS' ELSE 'FAIL' END AS totals, CASE WHEN COUNT(*) FILTER (birth_year IS NULL) = 0 THEN 'PASS' ELSE 'FAIL' END AS births FROM results GROUP BY 1")
+_SIDES_40 = """, a AS (SELECT result_id AS db_result_id, lifter_name, age AS competition_age, gender, CAST(total AS VARCHAR) AS total, body_weight_kg, CASE WHEN result_id % 10 < 8 THEN qpoints ELSE total END AS qpoints, q_youth FROM results JOIN q7 USING (result_id) WHERE source = 'IWF'),
+    b AS (SELECT result_id, lifter_name, age AS competition_age, gender, total, CAST(body_weight_kg AS VARCHAR) AS body_weight_kg, qpoints, CASE WHEN result_id % 10 < 9 THEN q_youth END AS q_youth, CASE WHEN result_id % 10 < 7 THEN q_masters ELSE 1.0 END AS q_masters FROM results JOIN q7 USING (result_id) WHERE source = 'USAW'),
+    x AS (SELECT db_result_id AS result_id, lifter_name, competition_age AS age, gender, total, CAST(body_weight_kg AS VARCHAR) AS bw, q_youth, qpoints, NULL::DOUBLE AS q_masters FROM a UNION ALL SELECT result_id, lifter_name, competition_age, gender, CAST(total AS VARCHAR), body_weight_kg, q_youth, qpoints, q_masters FROM b),
+    y AS (SELECT *, TRY_CAST(total AS DOUBLE) > 0 AND TRY_CAST(bw AS DOUBLE) > 0 AND gender IS NOT NULL AS whole, COALESCE((gender = 'M' AND age BETWEEN 31 AND 75) OR (gender = 'F' AND age BETWEEN 31 AND 110), FALSE) AS master FROM x)"""
+_Q7 = ", q7 AS (" + ORACLE_SQL["fn_7_national_points"].split(WITH)[1].replace(", q AS (", "WITH q AS (", 1) + ")"
+_CHECKS = {
+    "q_youth outside 10 to 20": "q_youth IS NOT NULL AND (age < 10 OR age > 20 OR age IS NULL)", "qpoints outside 21 to 30": "qpoints IS NOT NULL AND (age < 21 OR age > 30 OR age IS NULL)", "q_masters of no master": "q_masters IS NOT NULL AND NOT master",
+    "q_youth missing": "age BETWEEN 10 AND 20 AND q_youth IS NULL AND whole", "qpoints missing": "age BETWEEN 21 AND 30 AND qpoints IS NULL AND whole", "q_masters missing": "master AND q_masters IS NULL AND whole",
+    "several scores": "(CASE WHEN q_youth IS NULL THEN 0 ELSE 1 END + CASE WHEN qpoints IS NULL THEN 0 ELSE 1 END + CASE WHEN q_masters IS NULL THEN 0 ELSE 1 END) > 1", "no result id": "result_id IS NULL",
+}
+
+
+@query("agg_40_checks", _Q7 + _SIDES_40 + " " + " UNION ALL ".join(f"SELECT '{n}' AS issue, COUNT(*) AS n, CASE WHEN COUNT(*) = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM y WHERE {c}" for n, c in _CHECKS.items()))
 def agg_40(v):
-    ok = lambda when: F.when(F.count_if(when) == 0, "PASS").otherwise("FAIL")
-    parts = [v.results.where(F.col("source") == s) for s in ("IWF", "USAW")]
-    return parts[0].unionByName(parts[1], allowMissingColumns=True).groupBy("source").agg(ok(F.col("total") < 0).alias("totals"), ok(F.col("birth_year").isNull()).alias("births"))
+    """Two tables of one kind of results with other columns and types, some of their scores spoilt, under one schema."""
+    k = F.col("result_id")
+    rows = _scored(v).withColumn("competition_age", F.col("age"))
+    a = rows.where("source = 'IWF'").select(k.alias("db_result_id"), "lifter_name", "competition_age", "gender", F.col("total").cast("string").alias("total"), "body_weight_kg", F.when(k % 10 < 8, F.col("qpoints")).otherwise(F.col("total")).alias("qpoints"), "q_youth")
+    b = rows.where("source = 'USAW'").select(k, "lifter_name", "competition_age", "gender", "total", F.col("body_weight_kg").cast("string").alias("body_weight_kg"), "qpoints", F.when(k % 10 < 9, F.col("q_youth")).alias("q_youth"), F.when(k % 10 < 7, F.col("q_masters")).otherwise(1.0).alias("q_masters"))
+    both = tables.harmonised([a, b], RESULT_COLUMNS)
+    number = lambda c: F.col(c).try_cast("double")
+    both = both.select("*", F.col("competition_age").alias("age"), ((number("total") > 0) & (number("body_weight_kg") > 0) & F.col("gender").isNotNull()).alias("whole"), scoring.is_master("gender", "competition_age").alias("master"))
+    return tables.checks(both, _CHECKS)
 
 
 @query("agg_41_date_formats", ", t AS (SELECT CASE result_id % 5 WHEN 0 THEN 'us' WHEN 1 THEN 'iso' WHEN 2 THEN 'long' WHEN 3 THEN 'range' ELSE 'other' END AS format FROM results) SELECT format, COUNT(*) AS n FROM t GROUP BY 1")
@@ -508,14 +554,12 @@ def win_10(v):
     return g.groupBy("lifter_id").agg(F.max("gap").alias("gap")).where("gap > 20")
 
 
-@query("win_11_missing_ids", ", i AS (SELECT lifter_id FROM lifters WHERE lifter_id % 6 <> 0) SELECT UNNEST(range((SELECT MIN(lifter_id) FROM i), (SELECT MAX(lifter_id) FROM i) + 1)) AS missing EXCEPT SELECT lifter_id FROM i")
+_IDS = ", i AS (SELECT lifter_id FROM lifters WHERE lifter_id % 6 <> 0 AND NOT lifter_id BETWEEN 100 AND 140) "
+
+
+@query("win_11_missing_ids", _IDS + ", g AS (SELECT lifter_id, LEAD(lifter_id) OVER (ORDER BY lifter_id) AS n FROM i) SELECT lifter_id + 1 AS first, n - 1 AS last, n - lifter_id - 1 AS missing FROM g WHERE n > lifter_id + 1")
 def win_11(v):
-    # gaps lie between neighbours; each is expanded by itself. Neighbours are found within ranges of ids, and across them by their ends.
-    ids = v.lifters.where("lifter_id % 6 <> 0").select("lifter_id", F.floor(F.col("lifter_id") / 1000).alias("range"))
-    inside = ids.withColumn("next", F.lead("lifter_id").over(Window.partitionBy("range").orderBy("lifter_id")))
-    ends = ids.groupBy("range").agg(F.min("lifter_id").alias("a"), F.max("lifter_id").alias("b")).withColumn("next", F.lead("a").over(Window.orderBy("range")))  # one row for each range
-    gaps = inside.select("lifter_id", "next").unionByName(ends.select(F.col("b").alias("lifter_id"), "next")).where("next > lifter_id + 1")
-    return gaps.select(F.explode(F.sequence(F.col("lifter_id") + 1, F.col("next") - 1)).alias("missing"))
+    return series.id_gaps(v.lifters.where("lifter_id % 6 != 0 and not lifter_id between 100 and 140"), "lifter_id")
 
 
 @query("win_12_order_rank", ", c AS (SELECT club_name, COUNT(DISTINCT lifter_id) AS members FROM results GROUP BY 1) SELECT club_name, members, CAST(ROW_NUMBER() OVER (ORDER BY members DESC, club_name) AS INT) AS place FROM c ORDER BY place LIMIT 15")
