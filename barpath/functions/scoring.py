@@ -58,9 +58,9 @@ def points(total, body_weight, gender, digits: int = 2) -> Column:
 
 
 def age_factor(age, gender) -> Column:
-    """FN-10: 1 under 30 or for an unknown sex, else by the table."""
+    """FN-10: 1 under 30 or for an unknown age or sex, else by the table."""
     look = lambda values: F.element_at(F.array(*map(F.lit, values)), F.least(col(age) - 29, F.lit(len(values))).cast("int"))
-    return F.when(col(age) < 30, 1.0).when(sex(gender) == "F", look(WOMEN_FROM_30)).when(sex(gender) == "M", look(MEN_FROM_30)).otherwise(1.0)
+    return F.when(col(age).isNull() | (col(age) < 30), 1.0).when(sex(gender) == "F", look(WOMEN_FROM_30)).when(sex(gender) == "M", look(MEN_FROM_30)).otherwise(1.0)
 
 
 def is_master(gender, age) -> Column:

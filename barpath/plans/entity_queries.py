@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from barpath.functions import attempts, geo, parse, scoring, text
+from barpath.functions import attempts, geo, parse, scoring, surface, text
 from barpath.operators import borders, identity, linking, resolving, series, tables
 from barpath.operators.components import components
 from barpath.plans.binding import WITH
@@ -855,3 +855,37 @@ def stm_5(v):
     s = streams.source(v.spark, f"{v.sf_dir}/events.parquet").select("user_id", "event_id", "event_type", "value")
     streams.upsert_into(s, path, ["user_id"], ["event_id"], ["event_type", "value"]).awaitTermination()
     return streams.latest(v.spark, path, ["user_id"])
+
+
+# The library's functions under their SQL names.
+
+_YTD_MAX = "MAX({0}) OVER (PARTITION BY lifter_id, SUBSTRING(date, 1, 4) ORDER BY date RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+_FROM_SQL = """SELECT r.result_id, text_to_numeric_safe(s1) AS number, count_successful_attempts(s1, s2, s3) AS made, calculate_bounce_back(s1, s2) AS bounced, calculate_qpoints_from_row(cast(r.total AS DOUBLE), r.body_weight_kg, r.gender) AS qpoints,
+    is_master_age(r.gender, cast(r.age AS INT)) AS master, get_age_factor(cast(r.age AS INT), r.gender) AS age_factor, round(gamx_erf((r.body_weight_kg - 85) / 20), 6) AS erf, round(gamx_norm_cdf((r.body_weight_kg - 85) / 20), 6) AS cdf,
+    round(gamx_norm_inv((r.result_id % 9973 + 1) / 10000D), 6) AS inv, round(calculate_gamx_raw(cast(r.total AS DOUBLE), r.body_weight_kg + 100, 0.25D, CASE r.result_id % 3 WHEN 0 THEN 0.0D WHEN 1 THEN 0.5D ELSE -0.5D END), 1) AS raw,
+    get_youth_age_factor_interpolated(cast(r.age AS INT), r.body_weight_kg, r.gender) AS youth, round(get_gamx_score('total', r.gender, cast(r.age AS INT), r.body_weight_kg, cast(r.total AS DOUBLE)), 1) AS gamx,
+    a.total_successful_attempts AS all_made, a.best_snatch_ytd, a.best_total_ytd, a.bounce_back_cj_3
+    FROM some_results r, LATERAL calculate_meet_result_analytics(r.lifter_id, r.date, s1, s2, s3, c1, c2, c3) a"""
+_PIECES = {n: ORACLE_SQL[q].split(WITH)[1] for n, q in (("f1", "fn_4_analytics"), ("f6", "fn_6_qpoints"), ("f9", "fn_9_is_master"), ("f10", "fn_10_age_factor"), ("f13", "fn_13_erf"), ("f15", "fn_15_norm_inv"), ("f16", "fn_16_distribution_score"), ("f12", "fn_12_youth_factor"), ("f18", "fn_18_distribution_scores"))}
+
+
+def _piece(n):
+    sql = _PIECES[n].lstrip()
+    return f"{n} AS ({'WITH ' + sql[1:] if sql.startswith(',') else sql})"
+
+
+@query("sql_functions", ", " + ", ".join(map(_piece, _PIECES)) + f""", y AS (SELECT result_id, {_YTD_MAX.format('best_snatch')} AS best_snatch_ytd, {_YTD_MAX.format('total')} AS best_total_ytd FROM results),
+    g AS (SELECT result_id, CASE WHEN total > 0 THEN gamx_u END AS gamx FROM f18 JOIN results USING (result_id))
+    SELECT r.result_id, CAST(TRY_CAST(NULLIF(NULLIF(regexp_replace(s1, '[^0-9.]', '', 'g'), ''), '.') AS DECIMAL(12,4)) AS DOUBLE) AS number, f1.snatch_made AS made, f1.bounce_snatch_2 AS bounced, qpoints, is_master AS master, COALESCE(f10.factor, 1.0) AS age_factor, erf, cdf, z AS inv, f16.score AS raw, youth_factor AS youth, gamx, f1.total_made AS all_made, best_snatch_ytd, best_total_ytd, f1.bounce_cj_3 AS bounce_back_cj_3
+    FROM results r JOIN f1 USING (result_id) JOIN f6 USING (result_id) JOIN f9 USING (result_id) LEFT JOIN f10 USING (result_id) JOIN f13 USING (result_id) JOIN f15 USING (result_id) JOIN f16 USING (result_id) JOIN f12 USING (result_id) JOIN g USING (result_id) JOIN y USING (result_id)""")
+def sql_functions(v):
+    """Every function of the surface that works on a result, called from SQL."""
+    from barpath.plans.row_queries import _youth_factors
+
+    _youth_factors(v).createOrReplaceTempView("youth_factors")
+    base = v.spark.range(400, 1300).select((F.col("id") / 10).cast("decimal(5,1)").alias("bodyweight"))
+    base.select(F.lit("total").alias("kind"), F.explode(F.array(F.lit("m"), F.lit("f"))).alias("gender"), F.lit(None).cast("int").alias("age"), "bodyweight", (F.lit(120.0) + F.col("bodyweight").cast("double")).alias("mu"), F.lit(0.3).alias("sigma"), F.lit(0.0).alias("nu")).createOrReplaceTempView("gamx_factors")
+    v.results.createOrReplaceTempView("some_results")
+    v.results.select("lifter_id", "date", "best_snatch", "best_cj", "total").createOrReplaceTempView("meet_results")
+    surface.register(v.spark)
+    return v.spark.sql(_FROM_SQL).withColumn("number", F.col("number").cast("double"))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from barpath.functions import attempts
 from barpath.operators import series, tables
 from barpath.plans.registry import query
 from barpath.plans.row_queries import _bounce_i
-from barpath.sources import readers
+from barpath.sources import readers, sheets
 from barpath.streaming import streams
 
 # Files.
@@ -73,6 +74,34 @@ def src_9(v):
     return tables.first_by(cards, ["name", "since", "substance"], ["page", "position"]).select("name", "nation", "since", "until", "substance", "page")
 
 
+_SHEETS = """, f AS (SELECT result_id, CASE WHEN result_id % 3 = 0 THEN 'u' ELSE 's' END AS kind, lower(gender) AS gender, CASE WHEN result_id % 3 = 0 THEN age END AS age, CASE WHEN result_id % 7 <> 0 AND result_id % 11 <> 0 THEN body_weight_kg END AS bw, 120 + body_weight_kg AS mu, CASE WHEN result_id % 5 <> 0 THEN 0.25::DOUBLE END AS nu FROM results)
+    SELECT kind, gender, age, bw AS bodyweight, mu, 0.3::DOUBLE AS sigma, nu FROM f WHERE bw IS NOT NULL"""
+
+
+@query("src_11_factor_sheets", _SHEETS)
+def src_11(v):
+    """Factors in workbooks: one for fifty athletes and a thousand results, four sheets each, of which two have ages. Some weights
+    are missing, some are remarks, and some rows end early; the first row is a header."""
+    k, low = F.col("result_id"), F.lower("gender")
+    weight = F.when(k % 7 == 0, None).when(k % 11 == 0, "n/a").otherwise(F.col("body_weight_kg").cast("string"))
+    row = F.struct((k % 3 == 0).alias("aged"), low.alias("gender"), F.col("age").cast("int").alias("age"), weight.alias("weight"), (F.col("body_weight_kg") + 120).alias("mu"), F.when(k % 5 != 0, 0.25).alias("nu"))
+    books = v.results.groupBy(F.floor(F.col("lifter_id") / 50).alias("people"), F.floor(k / 1000).alias("ids")).agg(F.collect_list(row).alias("rows"))
+
+    def write(it):
+        for batch in it:
+            for at, rows in enumerate(batch.column("rows").to_pylist()):
+                pages = {}
+                for aged in (True, False):
+                    for sex in "mf":
+                        own = [r for r in rows if r["aged"] == aged and r["gender"] == sex]
+                        pages[f"params_{'u' if aged else 's'}_{sex}"] = [["age"] * aged + ["bmass", "mu", "sigma", "nu"]] + [[r["age"]] * aged + [r["weight"] if r["weight"] in (None, "n/a") else float(r["weight"]), r["mu"], 0.3, r["nu"]] for r in own]
+                yield pa.RecordBatch.from_pydict({"path": [str(at)], "content": pa.array([sheets.workbook(pages)], pa.binary())})
+
+    items = [(f"params_{kind}_{sex}", kind, sex, kind == "u") for kind in "us" for sex in "mf"]
+    cells = sheets.cells_of(books.mapInArrow(write, "path string, content binary"), [i[0] for i in items])
+    return sheets.factors(cells, items).withColumn("bodyweight", F.col("bodyweight").cast("double"))
+
+
 @query("arr_2_split_parts", ", t AS (SELECT meet_id, string_split(CASE WHEN meet_id % 2 = 0 THEN meet_date || ' - ' || level ELSE meet_date END, ' - ') AS p FROM meets) SELECT meet_id, CAST(len(p) AS INT) AS n, p[1] AS first, p[2] AS second FROM t")
 def arr_2(v):
     p = F.split(F.when(F.col("meet_id") % 2 == 0, F.concat_ws(" - ", "meet_date", "level")).otherwise(F.col("meet_date")), " - ")
