@@ -90,6 +90,59 @@ def merge_by(df: DataFrame, shared: str, key: str) -> DataFrame:
     return known.unionByName(df.where(F.col(shared).isNull()).withColumn("master", F.col(key)))
 
 
+def shared_signatures(rows: DataFrame, name: str) -> DataFrame:
+    """DQ-5: of each name and ``signature`` how many results belong to another athlete at another meet than the first that has it (by
+    athlete, meet and result)."""
+    first = rows.groupBy(name, "signature").agg(F.min(F.struct("lifter_id", "meet_id", "result_id")).alias("f"))
+    other = (F.col("lifter_id") != F.col("f.lifter_id")) & (F.col("meet_id") != F.col("f.meet_id"))
+    return rows.join(first, [name, "signature"]).where(other).groupBy(name, "signature").agg(F.count("*").alias("others"))
+
+
+def cleanup_plan(matches: DataFrame, orphans: DataFrame) -> DataFrame:
+    """DQ-17: the rows of a plan: athletes to create or update, results to reassign, results of nobody.
+
+    ``matches``: result_id, lifter_id, lifter_name, membership_number, birth_year, internal_id, needs_new; ``orphans``: result_id. An athlete is
+    an internal id; what is known of him is that of his first result, whose athlete he keeps unless he needs an id of his own ('NEW_'
+    and the internal id, until it is made).
+    """
+    facts = F.min(F.struct("result_id", F.col("lifter_name").alias("athlete_name"), "membership_number", "birth_year", F.col("lifter_id").alias("old"))).alias("f")
+    people = matches.groupBy("internal_id", "needs_new").agg(facts, F.count("*").alias("meets"))
+    new = F.col("needs_new")
+    athletes = people.select(F.when(new, "create").otherwise("update").alias("kind"), "internal_id", F.col("f.old").alias("lifter_id"), "f.athlete_name", "f.membership_number", F.when(new, F.col("f.birth_year")).alias("birth_year"), "meets")
+    target = F.when(new, F.concat(F.lit("NEW_"), F.col("internal_id").cast("string"))).otherwise(F.col("f.old").cast("string"))
+    moves = matches.select("result_id", "lifter_id", F.col("lifter_name").alias("athlete_name"), "internal_id", "needs_new").join(people.select("internal_id", "needs_new", "f"), ["internal_id", "needs_new"])
+    moves = moves.select(F.lit("reassign").alias("kind"), "internal_id", "result_id", "lifter_id", target.alias("target"), "athlete_name", F.lit(1).cast("long").alias("meets"))
+    return athletes.unionByName(moves, allowMissingColumns=True).unionByName(orphans.select(F.lit("orphan").alias("kind"), "result_id"), allowMissingColumns=True)
+
+
+def safe_ghosts(people: DataFrame, results: DataFrame, metadata: Sequence[str]) -> DataFrame:
+    """DQ-24: athletes without results of whom another with results has the name, and whatever is known of ``metadata`` too."""
+    ghosts = people.join(results.select("lifter_id"), "lifter_id", "left_anti").alias("g")
+    active = people.join(results.select("lifter_id"), "lifter_id", "left_semi").alias("a")
+    same = F.col("g.athlete_name") == F.col("a.athlete_name")
+    for c in metadata:
+        same = same & (F.col(f"g.{c}").isNull() | F.coalesce(F.col(f"a.{c}") == F.col(f"g.{c}"), F.lit(False)))
+    return ghosts.join(active, same, "left_semi")
+
+
+def audit_verdict(name, title) -> Column:
+    """DQ-26: is the title of a public profile the name? Letters and single spaces only."""
+    plain = lambda t: F.trim(F.regexp_replace(F.regexp_replace(F.lower(t), r"[^a-z\s]", ""), r"\s+", " "))
+    page = F.regexp_replace(F.col(title), r"(?i)\s*Results\s*Back\s*to\s*Rankings\s*$", "")
+    return F.when(plain(F.col(name)) == plain(page), "MATCH").otherwise("MISMATCH")
+
+
+def audit_queue(people: DataFrame, n: int, first: str | None = None) -> DataFrame:
+    """DQ-26: the next ``n`` to audit with their ``place``: the least recently audited; of equals those of the sex that comes first, then the
+    unknown; then by id. Only n rows are ever in one task."""
+    order = ["last_audited"]
+    if first:
+        order.append(F.when(F.col("gender_hint") == first, 0).when(F.col("gender_hint").isin("F", "M"), 2).otherwise(1))
+    order.append("lifter_id")
+    chosen = people.orderBy(*order).limit(n)
+    return chosen.withColumn("place", F.row_number().over(Window.orderBy(*order)))
+
+
 def completeness(stored: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """DQ-11: rows stored and in the source, their difference and status."""
     a = stored.groupBy(key).agg(F.count("*").alias("stored"), F.max(F.col("total").isNull()).alias("holes"))

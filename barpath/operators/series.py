@@ -191,6 +191,22 @@ def name_tokens(*columns) -> Column:
     return F.array_distinct(F.filter(words, lambda x: (F.length(x) > 2) & ~x.rlike("^[0-9]+$")))
 
 
+def batch_proximity(rows: DataFrame, key: str, time: str, within: int) -> DataFrame:
+    """DQ-22: ``a, b, n, near, share``: of the n rows of a, how many have a row of b less than ``within`` away; pairs with none are left out.
+
+    The nearest row of b is in the bin of the row (any there is near enough), or it is the last of the bin before or the first of
+    the bin after: the ends of each b in a bin are all that is needed. Rows of one time are counted first, so a time that very many share is
+    one row.
+    """
+    counts = rows.groupBy(F.col(key).alias("a"), F.col(time).alias("t")).agg(F.count("*").alias("k")).withColumn("bin", F.floor(F.col("t") / within))
+    ends = counts.groupBy("bin", F.col("a").alias("b")).agg(F.min("t").alias("lo"), F.max("t").alias("hi"))
+    around = counts.withColumn("bin", F.explode(F.array(*[F.col("bin") + i for i in (-1, 0, 1)])))
+    hit = around.join(ends, "bin").where((F.col("a") != F.col("b")) & (F.col("hi") > F.col("t") - within) & (F.col("lo") < F.col("t") + within))
+    near = hit.select("a", "b", "t", "k").distinct().groupBy("a", "b").agg(F.sum("k").alias("near"))
+    total = counts.groupBy("a").agg(F.sum("k").alias("n"))
+    return near.join(total, "a").select("a", "b", "n", "near", (F.col("near") / F.col("n")).alias("share"))
+
+
 def nearest_meet(meets: DataFrame, others: DataFrame, days: int = 14) -> DataFrame:
     """JOIN-9: of the meets within ``days`` days the one that shares most words of name and level, at least one; of equals the
     smallest id. Each meet is copied to the bins of days it can match in, so the range join is an equi-join."""

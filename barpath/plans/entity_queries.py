@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from barpath.functions import attempts, geo, parse, scoring, surface, text
+from barpath.functions import attempts, geo, parse, regions, scoring, surface, text
 from barpath.operators import borders, identity, linking, resolving, series, tables
 from barpath.operators.components import components
 from barpath.plans.binding import WITH
@@ -74,50 +74,132 @@ def geo_4(v):
     return hits.groupBy("meet_id").agg(F.min_by("region", F.struct(far, "region")).alias("region"))
 
 
-_STATES = {"TX": "Texas", "CA": "California", "WA": "Washington", "KS": "Kansas", "AR": "Arkansas"}
-_ADDRESS = ", a AS (SELECT meet_id, CASE meet_id % 5 WHEN 0 THEN 'Texas' WHEN 1 THEN 'California' WHEN 2 THEN 'Arkansas' WHEN 3 THEN 'Kansas' END AS state FROM meets) "
+# Places: one for each customer, with what is known of it: coordinates, a state field, an address, a name. Boxes are the regions of the
+# tables, each under the name of a state; every second box has a triangle for a territory, and that of the divided state has two.
+_BOXED = ["Alabama", "Alaska", "Arizona", "Arkansas", "California", "Colorado", "Delaware", "Florida", "Georgia", "Idaho", "Illinois", "Iowa", "Kansas", "Maine", "Nevada", "Ohio", "Oregon", "Texas", "Utah", "Vermont", "Virginia", "Washington", "Wisconsin", "Wyoming", "Puerto Rico"]
+_NAMES = ["Northern California Open", "Spring Classic 3", "Texas Showdown", "PNW Cup", "Ohio State Games", "City Meet 9", "Grand Finale WA"]
+_ADDRESSES = ["1 Main St, Austin, TX 73301, USA", "Hall, Los Angeles, California", "2 Elm Ave, Little Rock, Arkansas, USA", "Gym, Topeka, KS", "Somewhere", "9 Bay Rd, Oakland, California 94601, United States", "Kansas, Nowhere, Abroad, Lima", "Barn, Boise, Idaho"]
+_list = lambda xs: "[" + ", ".join(f"'{x}'" for x in xs) + "]"
+_CODES_SQL = "MAP {" + ", ".join(f"'{k}': '{n}'" for k, n in regions.STATES.items()) + "}"
+_REGION_SQL = "MAP {" + ", ".join(f"'{s}': '{r}'" for r, ss in regions.REGIONS.items() for s in ss) + "}"
+_PLACES = f""", pc AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE 18.037::DOUBLE + (c_custkey * 37 % 340) / 10.0::DOUBLE END AS lat, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE -124.987::DOUBLE + (c_custkey * 53 % 560) / 10.0::DOUBLE END AS lng, {_list(_NAMES)}[c_custkey % 7 + 1] AS nm, CASE WHEN c_custkey % 3 <> 0 THEN {_list(_ADDRESSES)}[c_custkey % 8 + 1] END AS address FROM customer),
+    bx AS (SELECT n_nationkey AS i, {_list(_BOXED)}[n_nationkey + 1] AS state, n_name, 20.0 + 6 * (n_nationkey % 5) AS y0, -120.0 + 10 * (n_nationkey // 5) AS x0 FROM nation),
+    pl AS (SELECT pc.*, bx.state AS box, bx.i, n_name, lat - y0 AS dy, lng - x0 AS dx FROM pc LEFT JOIN bx ON lat >= y0 AND lat < y0 + 6 AND lng >= x0 AND lng < x0 + 10),
+    pf AS (SELECT *, CASE k % 6 WHEN 0 THEN 'Town, ' || COALESCE(box, 'Maine') WHEN 1 THEN ' ' || lower({_list(list(regions.STATES))}[k % 51 + 1]) || ' ' WHEN 2 THEN 'Nowhere' WHEN 3 THEN '' END AS fld,
+      CASE WHEN box = 'California' AND dy < 3 - dx / 10 THEN 'California South' WHEN box = 'California' AND dy > 4 THEN 'California North Central' END AS territory, CASE WHEN i % 2 = 0 AND box <> 'California' AND dx / 10 + dy / 6 < 1 THEN 'P ' || n_name END AS tri FROM pl) """
 
 
-def _addresses(v):
-    m = F.col("meet_id") % 5
-    a = F.when(m == 0, "1 Main St, Austin, TX 73301, USA").when(m == 1, "Hall, Los Angeles, California").when(m == 2, "2 Elm Ave, Little Rock, Arkansas, USA").when(m == 3, "Gym, Topeka, KS").otherwise("Somewhere")
-    return v.meets.select("meet_id", "latitude", "longitude", a.alias("address"))
+def _places(v):
+    k = F.col("c_custkey")
+    pick = lambda xs, i: F.get(F.array(*map(F.lit, xs)), i.cast("int"))
+    at = lambda low, step, n: F.when(k % 4 != 0, F.lit(low) + (k * step % n) / 10.0)
+    p = v.table("customer").select(k.alias("k"), at(18.037, 37, 340).alias("lat"), at(-124.987, 53, 560).alias("lng"), pick(_NAMES, k % 7).alias("nm"), F.when(k % 3 != 0, pick(_ADDRESSES, k % 8)).alias("address"))
+    i = F.col("n_nationkey")
+    pt = lambda x, y: F.struct((F.col("x0") + x).alias("x"), (F.col("y0") + y).alias("y"))
+    ring = lambda *pts: F.array(F.array(F.array(*[pt(x, y) for x, y in pts])))
+    own = F.col("box") == "California"
+    shapes = [
+        (own, "California South", ring((0.0, 0.0), (10.0, 0.0), (10.0, 2.0), (0.0, 3.0))), (own, "California North Central", ring((0.0, 4.0), (10.0, 4.0), (10.0, 6.0), (0.0, 6.0))),
+        ((i % 2 == 0) & ~own, None, ring((0.0, 0.0), (10.0, 0.0), (0.0, 6.0))),
+    ]
+    listed = F.array(*[F.when(c, F.struct((F.lit(n) if n else F.concat(F.lit("P "), "n_name")).alias("name"), own.alias("divided"), s.alias("shape"))) for c, n, s in shapes])
+    boxes = v.table("nation").select(i, pick(_BOXED, i).alias("box"), "n_name", (20.0 + 6 * (i % 5)).alias("y0"), (-120.0 + 10 * F.floor(i / 5)).alias("x0")).select("box", "x0", "y0", F.filter(listed, lambda s: s.isNotNull()).alias("shapes"))
+    # a point is in one box at most; its territories, three at most, come with it
+    inside = (F.col("lat") >= F.col("y0")) & (F.col("lat") < F.col("y0") + 6) & (F.col("lng") >= F.col("x0")) & (F.col("lng") < F.col("x0") + 10)
+    p = p.join(F.broadcast(boxes), inside, "left")
+    hit = lambda own: F.get(F.transform(F.filter("shapes", lambda s: (s["divided"] == F.lit(own)) & geo.in_shape("lng", "lat", s["shape"])), lambda s: s["name"]), F.lit(0))
+    m = F.col("k") % 6
+    field = F.when(m == 0, F.concat(F.lit("Town, "), F.coalesce("box", F.lit("Maine")))).when(m == 1, F.concat(F.lit(" "), F.lower(pick(list(regions.STATES), F.col("k") % 51)), F.lit(" "))).when(m == 2, "Nowhere").when(m == 3, "")
+    return p.select("k", "lat", "lng", "nm", "address", "box", field.alias("fld"), hit(True).alias("territory"), hit(False).alias("tri"))
+
+
+_PARTS = "list_transform(string_split({0}, ','), lambda p: trim(p))"
+_LAST = "{0}[greatest(len({0}) - 2, 1):]"
+_FIND = "list_filter(list_transform({1}, lambda p: {0}), lambda z: z IS NOT NULL)[1]"
+
+
+def _sql_state(c):
+    parts = _PARTS.format(c)
+    codes, names = f"COALESCE({_CODES_SQL}[upper(p)], {_CODES_SQL}[upper(string_split(p, ' ')[1])])", "MAP {" + ", ".join(f"'{n.lower()}': '{n}'" for n in regions.STATES.values()) + "}"
+    named = f"CASE WHEN NOT contains(lower(p), 'united states') AND NOT contains(lower(p), 'usa') AND lower(p) <> 'america' THEN COALESCE({names}[lower(p)], {names}[string_split(lower(p), ' ')[1]]) END"
+    last = _LAST.format(parts)
+    return f"CASE WHEN len({parts}) >= 2 THEN COALESCE({_FIND.format(codes, last)}, {_FIND.format(named, last)}) END"
+
+
+def _sql_city(c):
+    has = lambda cities: f"len(list_filter({_list(cities)}, lambda z: contains(lower({c}), z))) > 0"
+    return f"CASE WHEN {has(regions.SOUTH_CITIES)} THEN 'California South' WHEN {has(regions.NORTH_CITIES)} THEN 'California North Central' END"
+
+
+def _sql_region(state, address):
+    half = "CASE WHEN lat >= 35.5 THEN 'California North Central' ELSE 'California South' END"
+    return f"CASE WHEN {state} = 'California' THEN COALESCE(CASE WHEN lat IS NOT NULL THEN COALESCE(territory, {half}) END, {_sql_city(address)}, 'California North Central') ELSE {_REGION_SQL}[{state}] END"
+
+
+def _sql_location(c):
+    order = sorted(regions.STATES.items(), key=lambda x: (x[0] == "DC", x[1]))
+    by_name = [(s, (s.lower().replace(" ", "\\s*") + f"|{k.lower()}(?:\\s|$)" + ("|socal|norcal|nor\\s*cal|so\\s*cal" if k == "CA" else "")) if k != "DC" else "washington\\s*dc|dc(?:\\s|$)|district\\s*of\\s*columbia") for k, s in order]
+    whens = [f"WHEN regexp_matches({c}, '(?i){w}') THEN 'region:{r}'" for r, w in regions.REGION_WORDS.items()] + [f"WHEN regexp_matches({c}, '(?i){w}') THEN 'state:{s}'" for s, w in by_name]
+    return "CASE " + " ".join(whens) + " END"
+
+
+@query("geo_6_state_of_address", _PLACES + f"SELECT k AS place, {_sql_state('address')} AS state FROM pf")
+def geo_6(v):
+    return _places(v).select(F.col("k").alias("place"), regions.state_of_address("address").alias("state"))
 
 
-@query("geo_6_state_of_address", _ADDRESS + "SELECT meet_id, state FROM a")
-def geo_6(v):
-    return _addresses(v).select("meet_id", geo.state_of_address("address", _STATES).alias("state"))
+_STATED = _PLACES.rstrip() + f""", ps AS (SELECT *, CASE WHEN COALESCE(fld, '') <> '' THEN COALESCE({_CODES_SQL}[upper(trim(fld))], {_sql_state('trim(fld)')}) END AS said, {_sql_state('address')} AS from_address, {_sql_state('fld')} AS from_field, {_sql_location('nm')} AS loc, COALESCE(fld, '') <> '' OR COALESCE(address, '') <> '' AS anything FROM pf)"""
+_CASCADE = _STATED + f""", hc AS (SELECT nm, tri, COUNT(*) AS n FROM pf WHERE tri IS NOT NULL GROUP BY 1, 2), hi AS (SELECT nm, tri AS history FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY nm ORDER BY n DESC, tri) AS z FROM hc) WHERE z = 1 AND nm NOT LIKE '%9'),
+    x AS (SELECT k, lat IS NOT NULL AS pt, anything, CASE WHEN said <> box THEN {_sql_region('box', 'NULL::VARCHAR')} END AS x1, CASE WHEN said = box THEN {_sql_region('said', 'address')} END AS x2, CASE WHEN lat IS NULL THEN {_sql_region('said', 'address')} END AS x3, COALESCE(territory, tri) AS x4, {_sql_region('box', 'NULL::VARCHAR')} AS x5,
+      {_sql_region('COALESCE(from_address, from_field)', 'CASE WHEN from_address IS NOT NULL THEN address ELSE fld END')} AS x6, CASE WHEN loc LIKE 'region:%' THEN substr(loc, 8) END AS x7, CASE WHEN loc LIKE 'state:%' THEN {_sql_region('substr(loc, 7)', 'address')} END AS x8, history AS x9 FROM ps LEFT JOIN hi ON hi.nm = ps.nm),
+    g AS (SELECT k AS place, COALESCE(x1, x2, x3, x4, x5, x6, x7, x8, x9) AS region, CASE WHEN x1 IS NOT NULL THEN 'coordinates_validated' WHEN x2 IS NOT NULL THEN 'state_field_validated' WHEN x3 IS NOT NULL THEN 'state_field' WHEN x4 IS NOT NULL THEN 'coordinates_polygon' WHEN x5 IS NOT NULL THEN 'coordinates_bbox' WHEN x6 IS NOT NULL THEN 'address_state' WHEN x7 IS NOT NULL THEN 'meet_name_region' WHEN x8 IS NOT NULL THEN 'meet_name_state' WHEN x9 IS NOT NULL THEN 'historical_data' END AS method,
+      ROUND((CASE WHEN x1 IS NOT NULL THEN 1.0 WHEN x2 IS NOT NULL THEN 1.0 WHEN x3 IS NOT NULL THEN 0.98 WHEN x4 IS NOT NULL THEN CASE WHEN anything THEN 1.0 ELSE 0.95 END WHEN x5 IS NOT NULL THEN CASE WHEN anything THEN 0.9 ELSE 0.855 END WHEN x6 IS NOT NULL THEN CASE WHEN pt THEN 0.9 ELSE 0.85 END WHEN x7 IS NOT NULL THEN CASE WHEN pt AND anything THEN 1.0 ELSE 0.95 END WHEN x8 IS NOT NULL THEN CASE WHEN pt AND anything THEN 0.9 ELSE 0.85 END WHEN x9 IS NOT NULL THEN CASE WHEN pt AND anything THEN 0.95 ELSE 0.9 END ELSE 0.0 END)::DOUBLE, 4) AS confidence, pt, anything FROM x) """
 
 
-_NEAR = "power(m.longitude - (r.min_x + r.max_x) / 2, 2) + power(m.latitude - (r.min_y + r.max_y) / 2, 2)"
-_CASCADE = f"""{_ADDRESS.strip().rstrip(',')}, h AS (SELECT m.meet_id, MIN(r.region) AS region FROM meets m JOIN regions r ON {_IN} WHERE m.meet_id % 4 <> 0 GROUP BY 1),
-    hc AS (SELECT meet_name, region, COUNT(*) AS n FROM h JOIN meets m ON m.meet_id = h.meet_id GROUP BY 1, 2), hist AS (SELECT meet_name, region FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY meet_name ORDER BY n DESC, region) AS k FROM hc) WHERE k = 1),
-    nr AS (SELECT meet_id, region FROM (SELECT m.meet_id, r.region, ROW_NUMBER() OVER (PARTITION BY m.meet_id ORDER BY {_NEAR}, r.region) AS k FROM meets m CROSS JOIN regions r WHERE m.meet_id % 4 <> 0) WHERE k = 1),
-    s AS (SELECT m.meet_id, CASE WHEN m.meet_id % 7 = 0 THEN 'Field' END AS x1, h.region AS x2, a.state AS x3, CASE WHEN m.meet_id % 9 < 5 THEN hist.region END AS x4, CASE WHEN regexp_matches(m.level, '(?i)north american') THEN 'north' END AS x5, nr.region AS x6 FROM meets m JOIN a ON a.meet_id = m.meet_id LEFT JOIN h ON h.meet_id = m.meet_id LEFT JOIN hist ON hist.meet_name = m.meet_name LEFT JOIN nr ON nr.meet_id = m.meet_id),
-    g AS (SELECT meet_id, COALESCE(x1, x2, x3, x4, x5, x6, 'Unknown') AS region, CASE WHEN x1 IS NOT NULL THEN 'state_field' WHEN x2 IS NOT NULL THEN 'coordinates' WHEN x3 IS NOT NULL THEN 'address' WHEN x4 IS NOT NULL THEN 'historical' WHEN x5 IS NOT NULL THEN 'parsing' WHEN x6 IS NOT NULL THEN 'fallback' ELSE 'default' END AS method, ROUND(LEAST(1.0, CASE WHEN x1 IS NOT NULL THEN 0.98 WHEN x2 IS NOT NULL THEN 0.95 WHEN x3 IS NOT NULL THEN 0.85 WHEN x4 IS NOT NULL THEN 0.85 WHEN x5 IS NOT NULL THEN 0.75 WHEN x6 IS NOT NULL THEN 0.50 ELSE 0.30 END + CASE WHEN x2 IS NOT NULL AND x3 IS NOT NULL THEN 0.05 ELSE 0 END), 2)::DOUBLE AS confidence FROM s) """
+def _assigned(v):
+    p = _places(v)
+    often = tables.first_by(p.where("tri is not null").groupBy("nm", "tri").agg(count().alias("n")), ["nm"], [F.desc("n"), "tri"]).where("nm not like '%9'").select("nm", F.col("tri").alias("history"))
+    p = p.join(F.broadcast(often), "nm", "left")  # a name of a meet in a row: seven here
+    g = regions.assign("lat", "lng", "fld", "address", "nm", "box", F.coalesce("territory", "tri"), "territory", "history")
+    return p.select(F.col("k").alias("place"), g.alias("g"), F.col("lat").isNotNull().alias("pt"), ((F.coalesce("fld", F.lit("")) != "") | (F.coalesce("address", F.lit("")) != "")).alias("anything")).select("place", "g.*", "pt", "anything")
 
 
-@query("geo_8_cascade", _CASCADE + "SELECT meet_id, region, method, confidence FROM g")
+@query("geo_8_cascade", _CASCADE + "SELECT place, region, method, confidence FROM g")
 def geo_8(v):
-    """Seven steps: the state field, the coordinates' region, the address, what meets of the name had most often, words of the
-    name, the nearest region, nothing. Coordinates and address together add 0.05."""
-    m = _addresses(v).join(v.meets.select("meet_id", "meet_name", "level"), "meet_id")
-    known = F.col("meet_id") % 4 != 0  # the others have no coordinates
-    hit = v.meets.where(known).join(F.broadcast(_rings(v).withColumn("box", geo.bbox("shape"))), geo.in_bbox("longitude", "latitude", "box")).where(geo.in_shape("longitude", "latitude", "shape"))
-    inside = hit.groupBy("meet_id", "meet_name").agg(F.min("region").alias("x2"))
-    often = tables.first_by(inside.groupBy("meet_name", "x2").agg(count().alias("n")), ["meet_name"], [F.desc("n"), "x2"]).select("meet_name", F.col("x2").alias("x4"))
-    # regions are a short list of fixed size: the nearest is picked from an array of them, and no rows are paired
-    far = lambda r: F.pow(F.col("longitude") - (r["min_x"] + r["max_x"]) / 2, F.lit(2)) + F.pow(F.col("latitude") - (r["min_y"] + r["max_y"]) / 2, F.lit(2))
-    listed = v.regions.agg(F.collect_list(F.struct("region", "min_x", "max_x", "min_y", "max_y")).alias("all"))
-    near = v.meets.where(known).join(F.broadcast(listed.withColumn("one", F.lit(1))), F.lit(1) == F.col("one"))
-    near = near.select("meet_id", F.array_min(F.transform("all", lambda r: F.struct(far(r).alias("d"), r["region"].alias("region"))))["region"].alias("x6"))
-    m = m.join(inside.select("meet_id", "x2"), "meet_id", "left").join(often, "meet_name", "left").join(near, "meet_id", "left")
-    address = geo.state_of_address("address", _STATES)
-    steps = {
-        "state_field": F.when(F.col("meet_id") % 7 == 0, "Field"), "coordinates": F.col("x2"), "address": address, "historical": F.when(F.col("meet_id") % 9 < 5, F.col("x4")),
-        "parsing": F.when(F.col("level").rlike("(?i)north american"), "north"), "fallback": F.col("x6"), "default": F.lit("Unknown"),
-    }
-    return m.select("meet_id", geo.cascade(steps, F.col("x2").isNotNull() & address.isNotNull()).alias("x")).select("meet_id", "x.*")
+    return _assigned(v).select("place", "region", "method", "confidence")
+
+
+@query("geo_5_region_of_state", _STATED + f" SELECT k AS place, {_sql_region('COALESCE(from_address, box)', 'address')} AS region FROM ps")
+def geo_5(v):
+    p = _places(v).withColumn("state", F.coalesce(regions.state_of_address("address"), "box"))
+    return p.select(F.col("k").alias("place"), regions.region_of_state("state", "address", "lat", "lng", "territory").alias("region"))
+
+
+@query("geo_7_region_of_name", _STATED + " SELECT k AS place, CASE WHEN loc LIKE 'region:%' THEN 'region' WHEN loc LIKE 'state:%' THEN 'state' END AS type, CASE WHEN loc LIKE 'region:%' THEN substr(loc, 8) WHEN loc LIKE 'state:%' THEN substr(loc, 7) END AS value FROM ps")
+def geo_7(v):
+    return _places(v).select(F.col("k").alias("place"), regions.location_of_name("nm").alias("x")).select("place", "x.type", "x.value")
+
+
+_VERDICT = _PLACES.rstrip() + f""", gv AS (SELECT k AS place, CASE WHEN k % 5 = 0 THEN NULL WHEN k % 5 = 1 THEN 'Alabama' ELSE rr END AS region, lat, lng, box, rr FROM (SELECT *, CASE WHEN box = 'California' THEN CASE WHEN lat >= 35.5 THEN 'California North Central' ELSE 'California South' END ELSE {_REGION_SQL}[box] END AS rr FROM pf)),
+    gw AS (SELECT place, CASE WHEN lat IS NULL OR region IS NULL THEN 'invalid' WHEN region = rr THEN 'valid' ELSE 'contaminated' END AS verdict, CASE WHEN lat IS NOT NULL AND region IS NOT NULL THEN rr END AS "right", CASE WHEN lat IS NULL OR region IS NULL THEN 'missing' WHEN box IS NULL THEN 'outside' WHEN rr IS NULL THEN 'no region' WHEN region = rr THEN 'right' ELSE 'other' END AS reason FROM gv) """
+
+
+def _verdicts(v):
+    p = _places(v)
+    right = regions.region_of_state("box", F.lit(None).cast("string"), "lat", "lng")
+    stored = F.when(F.col("k") % 5 == 1, "Alabama").when(F.col("k") % 5 != 0, right)
+    return p.withColumn("region", stored).select(F.col("k").alias("place"), regions.validate("region", "lat", "lng", "box").alias("x")).select("place", "x.*")
+
+
+@query("geo_9_validate", _VERDICT + 'SELECT place, verdict, "right", reason FROM gw')
+def geo_9(v):
+    return _verdicts(v)
+
+
+def _addresses(v):
+    m = F.col("meet_id") % 5
+    a = F.when(m == 0, "1 Main St, Austin, TX 73301, USA").when(m == 1, "Hall, Los Angeles, California").when(m == 2, "2 Elm Ave, Little Rock, Arkansas, USA").when(m == 3, "Gym, Topeka, KS").otherwise("Somewhere")
+    return v.meets.select("meet_id", "latitude", "longitude", a.alias("address"))
 
 
 @query("geo_10_address_parts", "SELECT meet_id, CASE meet_id % 5 WHEN 0 THEN 'Austin' WHEN 1 THEN 'Los Angeles' WHEN 2 THEN 'Little Rock' WHEN 3 THEN 'Topeka' END AS city, CASE WHEN meet_id % 5 = 0 THEN '73301' END AS zip, CASE WHEN meet_id % 5 IN (0, 2) THEN 'United States' END AS country FROM meets")
@@ -174,10 +256,10 @@ def agg_19(v):
     return n.na.fill(0, ["meets", "lifters", "participations", "activity_factor"]).select("region", "clubs", "meets", "lifters", "participations", "population", "activity_factor")
 
 
-@query("agg_31_contamination", "SELECT COUNT(*) AS n, COUNT(*) FILTER (total > 0 AND birth_year IS NOT NULL) AS valid, COUNT(*) FILTER (total = 0) AS contaminated, ROUND(100.0 * COUNT(*) FILTER (total = 0) / COUNT(*), 2)::DOUBLE AS rate FROM results")
+@query("agg_31_contamination", _VERDICT + "SELECT COUNT(*) AS total, COUNT(*) FILTER (verdict = 'valid') AS valid, COUNT(*) FILTER (verdict = 'contaminated') AS contaminated, COUNT(*) FILTER (verdict = 'invalid') AS invalid, ROUND(100.0 * COUNT(*) FILTER (verdict = 'contaminated') / COUNT(*), 2)::DOUBLE AS rate FROM gw")
 def agg_31(v):
-    bad = F.count_if(F.col("total") == 0)
-    return v.results.agg(count().alias("n"), F.count_if((F.col("total") > 0) & F.col("birth_year").isNotNull()).alias("valid"), bad.alias("contaminated"), F.round(100 * bad / count(), 2).alias("rate"))
+    n = lambda kind: F.count_if(F.col("verdict") == kind)
+    return _verdicts(v).agg(count().alias("total"), *[n(k).alias(k) for k in ("valid", "contaminated", "invalid")], F.round(100 * n("contaminated") / count(), 2).alias("rate"))
 
 
 @query("agg_34_travel_extremes", ", t AS (SELECT meet_id, COUNT(DISTINCT wso) AS regions FROM results GROUP BY 1), k AS (SELECT *, ROW_NUMBER() OVER (ORDER BY regions DESC, meet_id) AS a, ROW_NUMBER() OVER (ORDER BY regions, meet_id) AS b FROM t) SELECT 'top' AS side, meet_id, regions FROM k WHERE a <= 10 UNION ALL SELECT 'bottom', meet_id, regions FROM k WHERE b <= 10")
@@ -187,12 +269,14 @@ def agg_34(v):
     return side("top", F.desc("regions"), "meet_id").unionByName(side("bottom", "regions", "meet_id"))
 
 
-@query("agg_44_assignment_report", _CASCADE + ", d AS (SELECT UNNEST(['method', 'confidence', 'region']) AS kind, UNNEST([method, CASE WHEN confidence >= 0.8 THEN 'high' WHEN confidence >= 0.6 THEN 'medium' ELSE 'low' END, region]) AS part FROM g) SELECT kind, part, COUNT(*) AS n FROM d GROUP BY 1, 2")
+@query("agg_44_assignment_report", _CASCADE + ", d AS (SELECT UNNEST(['method', 'confidence', 'region', 'coordinates', 'address']) AS kind, UNNEST([COALESCE(method, 'none'), CASE WHEN confidence >= 0.8 THEN 'high' WHEN confidence >= 0.6 THEN 'medium' ELSE 'low' END, COALESCE(region, 'none'), CASE WHEN pt THEN 'yes' ELSE 'no' END, CASE WHEN anything THEN 'yes' ELSE 'no' END]) AS part FROM g) SELECT kind, part, COUNT(*) AS n FROM d GROUP BY 1, 2")
 def agg_44(v):
-    c = F.col("confidence")
+    """Assignments by method, confidence and region, and how many places have coordinates and an address or a state."""
+    c, yes = F.col("confidence"), lambda f: F.when(f, "yes").otherwise("no")
     bucket = F.when(c >= 0.8, "high").when(c >= 0.6, "medium").otherwise("low")
-    kinds = geo_8(v).select("meet_id", "method", bucket.alias("confidence"), "region").unpivot("meet_id", ["method", "confidence", "region"], "kind", "part")
-    return kinds.groupBy("kind", "part").agg(count().alias("n"))
+    named = lambda f: F.coalesce(f, F.lit("none")).alias(f)
+    kinds = _assigned(v).select("place", named("method"), bucket.alias("confidence"), named("region"), yes(F.col("pt")).alias("coordinates"), yes(F.col("anything")).alias("address"))
+    return kinds.unpivot("place", ["method", "confidence", "region", "coordinates", "address"], "kind", "part").groupBy("kind", "part").agg(count().alias("n"))
 
 
 # Identities and data quality.
@@ -240,10 +324,23 @@ def dq_4(v):
     return s.withColumn("case_type", identity.case_type(F.col("score")))
 
 
-@query("dq_5_shared_signature", ", s AS (SELECT meet_id || '|' || best_snatch || '|' || best_cj || '|' || body_weight_kg AS k, lifter_id, meet_id FROM results WHERE total > 0), g AS (SELECT best_snatch, best_cj FROM results WHERE total > 0 GROUP BY 1, 2 HAVING COUNT(DISTINCT lifter_id) > 1 AND COUNT(DISTINCT meet_id) > 1) SELECT best_snatch, best_cj FROM g")
+_SIG = "concat_ws('-', " + ", ".join(f"coalesce({c}, 'null')" for c in ("s1", "s2", "s3", "c1", "c2", "c3")) + ")"
+# the tables have no equal results of two athletes: every ninth is copied under another id, some at another meet
+_COPIED = ", sr AS (SELECT result_id, lifter_id, lifter_name, meet_id, s1, s2, s3, c1, c2, c3 FROM results UNION ALL SELECT -result_id, lifter_id + CASE WHEN result_id % 2 = 0 THEN 700 ELSE 0 END, lifter_name, meet_id + CASE WHEN result_id % 4 < 2 THEN 1 ELSE 0 END, s1, s2, s3, c1, c2, c3 FROM results WHERE result_id % 9 = 0) "
+
+
+def _copied(v):
+    k = F.col("result_id")
+    cols = ["lifter_name", "s1", "s2", "s3", "c1", "c2", "c3"]
+    copies = v.results.where("result_id % 9 = 0").select((-k).alias("result_id"), (F.col("lifter_id") + F.when(k % 2 == 0, 700).otherwise(0)).alias("lifter_id"), (F.col("meet_id") + F.when(k % 4 < 2, 1).otherwise(0)).alias("meet_id"), *cols)
+    return v.results.select("result_id", "lifter_id", "meet_id", *cols).unionByName(copies)
+
+
+@query("dq_5_shared_signature", _COPIED + f", f AS (SELECT *, {_SIG} AS sig FROM sr), h AS (SELECT lifter_name, sig, arg_min(lifter_id, [lifter_id, meet_id, result_id]) AS l0, arg_min(meet_id, [lifter_id, meet_id, result_id]) AS m0 FROM f GROUP BY 1, 2) SELECT f.lifter_name, f.sig AS signature, COUNT(*) AS others FROM f JOIN h ON h.lifter_name = f.lifter_name AND h.sig = f.sig WHERE f.lifter_id <> l0 AND f.meet_id <> m0 GROUP BY 1, 2")
 def dq_5(v):
-    g = v.results.where("total > 0").groupBy("best_snatch", "best_cj").agg(F.count_distinct("lifter_id").alias("l"), F.count_distinct("meet_id").alias("m"))
-    return g.where("l > 1 and m > 1").select("best_snatch", "best_cj")
+    """Of the athletes of one name: six equal attempts that another athlete at another meet has than the first who had them."""
+    sig = F.concat_ws("-", *[F.coalesce(c, F.lit("null")) for c in _SIX])
+    return identity.shared_signatures(_copied(v).withColumn("signature", sig), "lifter_name")
 
 
 @query("dq_6_same_day", ", x AS (SELECT lifter_name, date, meet_id * 2 + result_id % 2 AS meet FROM results) SELECT lifter_name, date, COUNT(DISTINCT meet) AS n FROM x GROUP BY 1, 2 HAVING COUNT(DISTINCT meet) > 1")
@@ -353,18 +450,10 @@ def dq_21(v):
     return identity.name_change_plan(v.lifters, v.results, active, v.results.where("result_id % 41 != 0"))
 
 
-@query("dq_22_batch_proximity", ", e AS (SELECT event_type, epoch_us(ts) AS t FROM events), a AS (SELECT e.event_type, e.t, EXISTS (SELECT 1 FROM e b WHERE b.event_type <> e.event_type AND abs(b.t - e.t) <= 10000000) AS near FROM e) SELECT event_type, COUNT(*) AS n, COUNT(*) FILTER (near) AS near FROM a GROUP BY 1")
+@query("dq_22_batch_proximity", ", e AS (SELECT event_type, epoch_us(ts) AS t FROM events), p AS (SELECT a.event_type AS a, o.event_type AS b, a.t, EXISTS (SELECT 1 FROM e x WHERE x.event_type = o.event_type AND abs(x.t - a.t) < 10000000) AS near FROM e a JOIN (SELECT DISTINCT event_type FROM e) o ON o.event_type <> a.event_type) SELECT a, b, COUNT(*) AS n, COUNT(*) FILTER (near) AS near, ROUND(COUNT(*) FILTER (near)::DOUBLE / COUNT(*), 6) AS share FROM p GROUP BY 1, 2 HAVING COUNT(*) FILTER (near) > 0")
 def dq_22(v):
-    # the nearest event of another type is in the ten-second bin of an event (any there is near enough), or it is the last of
-    # the bin before or the first of the bin after: the ends of each type in a bin are all that is needed
-    e = v.table("events").select("event_id", "event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("t"))
-    e = e.withColumn("bin", F.floor(F.col("t") / 10_000_000))
-    ends = e.groupBy("bin", F.col("event_type").alias("other")).agg(F.min("t").alias("lo"), F.max("t").alias("hi"))
-    around = e.withColumn("bin", F.explode(F.array(*[F.col("bin") + k for k in (-1, 0, 1)])))
-    near = (F.col("hi") >= F.col("t") - 10_000_000) & (F.col("lo") <= F.col("t") + 10_000_000)
-    hit = around.join(ends, "bin").where((F.col("event_type") != F.col("other")) & near).select("event_id").distinct()
-    flagged = e.join(hit.withColumn("hit", F.lit(True)), "event_id", "left")
-    return flagged.groupBy("event_type").agg(count().alias("n"), F.count("hit").alias("near"))
+    e = v.table("events").select("event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("t"))
+    return series.batch_proximity(e, "event_type", "t", 10_000_000).select("a", "b", "n", "near", F.round("share", 6).alias("share"))
 
 
 @query("dq_23_meet_pairs", ", g AS (SELECT lifter_name, best_snatch, best_cj, string_agg(DISTINCT CAST(meet_id AS VARCHAR), ',' ORDER BY CAST(meet_id AS VARCHAR)) AS pair, COUNT(DISTINCT meet_id) AS k FROM results WHERE total > 0 GROUP BY 1, 2, 3) SELECT pair, COUNT(*) AS n FROM g WHERE k > 1 GROUP BY 1")
@@ -373,17 +462,24 @@ def dq_23(v):
     return g.groupBy(F.array_join("m", ",").alias("pair")).agg(count().alias("n"))
 
 
-@query("dq_24_safe_ghosts", ", g AS (SELECT * FROM lifters WHERE lifter_id NOT IN (SELECT lifter_id FROM results)) SELECT g.lifter_id FROM g WHERE EXISTS (SELECT 1 FROM lifters l WHERE l.athlete_name = g.athlete_name AND l.lifter_id IN (SELECT lifter_id FROM results))")
+@query("dq_24_safe_ghosts", ", l AS (SELECT lifter_id, athlete_name, CASE WHEN lifter_id % 5 = 0 THEN NULL ELSE membership_number END AS m, CASE WHEN lifter_id < 0 AND lifter_id % 4 = 0 THEN abs(lifter_id) % 1300 ELSE internal_id END AS i FROM lifters), g AS (SELECT * FROM l WHERE lifter_id NOT IN (SELECT lifter_id FROM results)) SELECT g.lifter_id FROM g WHERE EXISTS (SELECT 1 FROM l WHERE l.athlete_name = g.athlete_name AND l.lifter_id <> g.lifter_id AND l.lifter_id IN (SELECT lifter_id FROM results) AND (g.m IS NULL OR l.m = g.m) AND (g.i IS NULL OR l.i = g.i))")
 def dq_24(v):
-    ghosts = v.lifters.join(v.results, "lifter_id", "left_anti")
-    active = v.lifters.join(v.results, "lifter_id", "left_semi").select("athlete_name")
-    return ghosts.join(active, "athlete_name", "left_semi").select("lifter_id")
+    k = F.col("lifter_id")
+    people = v.lifters.select(k, "athlete_name", F.when(k % 5 != 0, F.col("membership_number")).alias("membership_number"), F.when((k < 0) & (k % 4 == 0), F.abs(k) % 1300).otherwise(F.col("internal_id")).alias("internal_id"))
+    return identity.safe_ghosts(people, v.results, ["membership_number", "internal_id"]).select("lifter_id")
+
 
+_TITLE = r"regexp_replace(page, '(?i)\s*Results\s*Back\s*to\s*Rankings\s*$', '')"
+_CLEAN = r"trim(regexp_replace(regexp_replace(lower({0}), '[^a-z\\s]', '', 'g'), '\\s+', ' ', 'g'))"
 
-@query("dq_26_name_audit", "SELECT r.result_id, CASE WHEN upper(trim(r.lifter_name)) = upper(trim(l.athlete_name)) THEN 'MATCH' ELSE 'MISMATCH' END AS verdict FROM results r JOIN lifters l ON l.lifter_id = r.lifter_id")
+
+@query("dq_26_name_audit", f", a AS (SELECT lifter_id, athlete_name, CASE WHEN lifter_id % 3 = 0 THEN upper(athlete_name) || ' Results Back to Rankings' WHEN lifter_id % 3 = 1 THEN athlete_name || ' X  Results  Back to rankings ' ELSE athlete_name END AS page, CASE WHEN lifter_id % 4 <> 0 THEN lifter_id % 7 ELSE 0 END AS audited, CASE WHEN lifter_id % 5 = 0 THEN 'U' ELSE gender END AS hint FROM lifters WHERE internal_id IS NOT NULL) SELECT lifter_id, CASE WHEN {_CLEAN.format('athlete_name')} = {_CLEAN.format(_TITLE)} THEN 'MATCH' ELSE 'MISMATCH' END AS verdict, CAST(ROW_NUMBER() OVER (ORDER BY audited, CASE hint WHEN 'F' THEN 0 WHEN 'M' THEN 2 ELSE 1 END, lifter_id) AS INT) AS place FROM a QUALIFY place <= 500")
 def dq_26(v):
-    j = v.results.join(v.lifters.select("lifter_id", "athlete_name"), "lifter_id")
-    return j.select("result_id", F.when(text.match_key("lifter_name") == text.match_key("athlete_name"), "MATCH").otherwise("MISMATCH").alias("verdict"))
+    """Names held against the titles of public profiles; the next five hundred to audit: those longest ago first, women first."""
+    k = F.col("lifter_id")
+    page = F.when(k % 3 == 0, F.concat(F.upper("athlete_name"), F.lit(" Results Back to Rankings"))).when(k % 3 == 1, F.concat("athlete_name", F.lit(" X  Results  Back to rankings "))).otherwise(F.col("athlete_name"))
+    rows = v.lifters.where("internal_id is not null").select(k, "athlete_name", page.alias("title"), F.when(k % 4 != 0, k % 7).otherwise(0).alias("last_audited"), F.when(k % 5 == 0, "U").otherwise(F.col("gender")).alias("gender_hint"))
+    return identity.audit_queue(rows, 500, first="F").select("lifter_id", identity.audit_verdict("athlete_name", "title").alias("verdict"), "place")
 
 
 @query("dq_27_skip_decision", ", s AS (SELECT meet_id, COUNT(*) AS n, COUNT(*) - meet_id % 2 AS seen FROM results GROUP BY 1) SELECT meet_id, CASE WHEN n = seen THEN 'skip' ELSE 'revalidate' END AS decision FROM s")
@@ -611,27 +707,6 @@ def srt_2(v):
     return v.lifters.select("lifter_id").orderBy("lifter_id").offset(200).limit(100)
 
 
-@query("geo_5_region_of_state", "SELECT meet_id, CASE meet_id % 5 WHEN 0 THEN 'South' WHEN 1 THEN CASE WHEN latitude >= 35.5 THEN 'West North' ELSE 'West South' END WHEN 2 THEN 'South' WHEN 3 THEN 'Plains' END AS region FROM meets")
-def geo_5(v):
-    state = geo.state_of_address("address", _STATES)
-    split = F.when(F.col("latitude") >= 35.5, "West North").otherwise("West South")
-    region = F.when(state.isin("Texas", "Arkansas"), "South").when(state == "California", split).when(state == "Kansas", "Plains")
-    return _addresses(v).select("meet_id", region.alias("region"))
-
-
-@query("geo_7_region_of_name", "SELECT meet_id, CASE WHEN regexp_matches(level, '(?i)north american') THEN 'north' WHEN regexp_matches(level, '(?i)national') THEN 'nation' END AS region FROM meets")
-def geo_7(v):
-    rules = [("(?i)north american", "north"), ("(?i)national", "nation")]
-    return v.meets.select("meet_id", F.coalesce(*[F.when(F.col("level").rlike(p), r) for p, r in rules]).alias("region"))
-
-
-@query("geo_9_validate", ", h AS (SELECT m.club_name, m.wso, MIN(r.region) AS region FROM clubs m LEFT JOIN regions r ON m.longitude BETWEEN r.min_x AND r.max_x AND m.latitude BETWEEN r.min_y AND r.max_y GROUP BY 1, 2) SELECT club_name, CASE WHEN region IS NULL THEN 'invalid' WHEN region = wso THEN 'valid' ELSE 'contaminated' END AS verdict FROM h")
-def geo_9(v):
-    hits = v.clubs.join(F.broadcast(v.regions), F.col("longitude").between(F.col("min_x"), F.col("max_x")) & F.col("latitude").between(F.col("min_y"), F.col("max_y")), "left")
-    h = hits.groupBy("club_name", "wso").agg(F.min("region").alias("region"))
-    return h.select("club_name", F.when(F.col("region").isNull(), "invalid").when(F.col("region") == F.col("wso"), "valid").otherwise("contaminated").alias("verdict"))
-
-
 @query("geo_17_bbox_fallback", "SELECT club_name, COUNT(r.region) AS hits FROM clubs m LEFT JOIN regions r ON m.longitude BETWEEN r.min_x AND r.max_x AND m.latitude BETWEEN r.min_y AND r.max_y GROUP BY 1")
 def geo_17(v):
     near = F.col("longitude").between(F.col("min_x"), F.col("max_x")) & F.col("latitude").between(F.col("min_y"), F.col("max_y"))
@@ -644,7 +719,7 @@ def geo_18(v):
     box = _rings(v).withColumn("box", geo.bbox("shape"))
     inside = v.meets.join(F.broadcast(box), geo.in_bbox("longitude", "latitude", "box")).where(geo.in_shape("longitude", "latitude", "shape")).groupBy("meet_id").agg(F.min("region").alias("region"))
     none = F.struct(F.lit(None).cast("string").alias("state"), F.lit(0.0).alias("confidence"), F.lit("none").alias("method"))
-    x = F.coalesce(step(F.when(F.col("meet_id") % 4 == 0, "Utah"), 1.0, "field"), step(geo.state_of_address("address", _STATES), 0.95, "address"), step(F.col("region"), 0.9, "coordinates"), none)
+    x = F.coalesce(step(F.when(F.col("meet_id") % 4 == 0, "Utah"), 1.0, "field"), step(regions.state_of_address("address"), 0.95, "address"), step(F.col("region"), 0.9, "coordinates"), none)
     return _addresses(v).join(inside, "meet_id", "left").select("meet_id", x.alias("x")).select("meet_id", "x.*")
 
 
@@ -716,11 +791,17 @@ def dq_14(v):
     return v.lifters.groupBy("athlete_name").agg(F.min("lifter_id").alias("master"), count().alias("n")).where("n > 1")
 
 
-@query("dq_17_plans", ", c AS (SELECT e.entry_id, COUNT(l.lifter_id) AS n, MIN(l.lifter_id) AS target FROM entries e JOIN results r ON r.result_id = e.entry_id JOIN lifters l ON l.membership_number = r.membership_number GROUP BY 1) SELECT target, COUNT(*) AS n FROM c WHERE n = 1 GROUP BY 1")
+@query("dq_17_plans", """, m AS (SELECT r.result_id, r.lifter_id, r.meet_name, r.date, r.lifter_name, r.membership_number, CAST(r.membership_number AS BIGINT) * 3 AS iid, CAST(r.membership_number AS BIGINT) % 4 = 0 AS fresh, r.birth_year FROM results r WHERE membership_number IS NOT NULL AND result_id % 5 <> 0), o AS (SELECT result_id FROM results WHERE membership_number IS NULL OR result_id % 5 = 0),
+    a AS (SELECT iid, fresh, arg_min(lifter_name, result_id) AS nm, arg_min(membership_number, result_id) AS member, first(birth_year ORDER BY result_id) AS born, arg_min(lifter_id, result_id) AS old, COUNT(*) AS n FROM m GROUP BY 1, 2)
+    SELECT CASE WHEN fresh THEN 'create' ELSE 'update' END AS kind, iid AS internal_id, NULL::BIGINT AS result_id, old AS lifter_id, NULL::VARCHAR AS target, nm AS athlete_name, member AS membership_number, CASE WHEN fresh THEN born END AS birth_year, n AS meets FROM a
+    UNION ALL SELECT 'reassign', m.iid, result_id, lifter_id, CASE WHEN m.fresh THEN 'NEW_' || CAST(m.iid AS VARCHAR) ELSE CAST(old AS VARCHAR) END, lifter_name, NULL, NULL, 1 FROM m JOIN a ON a.iid = m.iid AND a.fresh = m.fresh
+    UNION ALL SELECT 'orphan', NULL, result_id, NULL, NULL, NULL, NULL, NULL, NULL FROM o""")
 def dq_17(v):
-    m = v.lifters.where("membership_number is not null").groupBy("membership_number").agg(count().alias("k"), F.min("lifter_id").alias("target")).where("k = 1")
-    e = v.entries.select("entry_id").join(v.results.select(F.col("result_id").alias("entry_id"), "membership_number"), "entry_id")
-    return e.join(m, "membership_number").groupBy("target").agg(count().alias("n"))
+    """Results matched to scraped athletes (here by membership; a quarter of these need an id of their own), and orphans."""
+    k, member = F.col("result_id"), F.col("membership_number").cast("long")
+    known = F.col("membership_number").isNotNull() & (k % 5 != 0)
+    matches = v.results.where(known).select("result_id", "lifter_id", "lifter_name", "membership_number", "birth_year", (member * 3).alias("internal_id"), (member % 4 == 0).alias("needs_new"))
+    return identity.cleanup_plan(matches, v.results.where(~known).select("result_id"))
 
 
 @query("dq_20_history_sanity", "SELECT wso, COUNT(*) FILTER (date < '1994-01-01') AS early, COUNT(*) AS n FROM results GROUP BY 1")
@@ -819,8 +900,8 @@ def src_10(v):
 
 @query("src_14_region_cache", f"SELECT m.meet_id, r.region, r.max_x - r.min_x AS width FROM meets m JOIN regions r ON {_IN}")
 def src_14(v):
-    # the boundaries with their boxes are made once, kept for the session, and handed to every task
-    cached = _rings(v).withColumn("box", geo.bbox("shape")).cache()
+    # the boundaries with their boxes are made once and handed out for five minutes; then they are read anew and the old ones let go
+    cached = readers.cached_for(300, ("regions", v.sf_dir), lambda: _rings(v).withColumn("box", geo.bbox("shape")))
     hit = v.meets.join(F.broadcast(cached), geo.in_bbox("longitude", "latitude", "box")).where(geo.in_shape("longitude", "latitude", "shape"))
     return hit.select("meet_id", "region", (F.col("box")["max_x"] - F.col("box")["min_x"]).alias("width"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from barpath.functions import attempts, divisions, parse, scoring, text
+from barpath.functions import attempts, divisions, parse, regions, scoring, text
 from barpath.operators import names
 from barpath.plans.binding import WITH
 from barpath.plans.registry import ORACLE_SQL, query
@@ -436,11 +436,13 @@ def fn_29(v):
     return v.regions.select("region", F.substring("region", 1, 3).alias("code")).join(F.broadcast(names), "code", "left").select("region", "name")
 
 
-@query("fn_30_region_of_state", ", s(state, area) AS (VALUES ('Texas', 'South'), ('California', 'West')) , m AS (SELECT meet_id, CASE meet_id % 3 WHEN 0 THEN 'Texas' WHEN 1 THEN 'California' ELSE 'Ohio' END AS state FROM meets) SELECT meet_id, COALESCE(area, 'Other') AS area FROM m LEFT JOIN s USING (state)")
+_STATES_SQL = ", sn(state, area, people) AS (VALUES " + ", ".join(f"('{s}', {repr(next((r for r, ss in regions.REGIONS.items() if s in ss), None)).replace('None', 'NULL')}, {regions.POPULATIONS.get(s, 'NULL')})" for s in regions.STATES.values()) + ")"
+
+
+@query("fn_30_region_of_state", _STATES_SQL + ", k AS (SELECT result_id, [" + ", ".join(f"'{s}'" for s in [*regions.STATES.values(), "Nowhere"]) + "][result_id % 52 + 1] AS state FROM results) SELECT result_id, area, CAST(people AS INT) AS people FROM k LEFT JOIN sn USING (state)")
 def fn_30(v):
-    areas = F.create_map(*[F.lit(x) for x in ("Texas", "South", "California", "West")])
-    state = F.when(F.col("meet_id") % 3 == 0, "Texas").when(F.col("meet_id") % 3 == 1, "California").otherwise("Ohio")
-    return v.meets.select("meet_id", F.coalesce(F.try_element_at(areas, state), F.lit("Other")).alias("area"))
+    state = F.get(F.array(*map(F.lit, [*regions.STATES.values(), "Nowhere"])), (F.col("result_id") % 52).cast("int"))
+    return v.results.select("result_id", state.alias("state")).select("result_id", regions.region_of_mapped_state("state").alias("area"), regions.population("state").alias("people"))
 
 
 @query("fil_3_zero_total", "SELECT result_id FROM results WHERE total = 0")

@@ -414,10 +414,21 @@ def agg_37(v):
     return v.lifters.select("lifter_id").join(v.results.where("total > 250").select("lifter_id", "result_id"), "lifter_id", "left").groupBy("lifter_id").agg(F.count("result_id").alias("n"))
 
 
-@query("agg_38_birth_years", "SELECT 'names' AS issue, COUNT(*) AS n FROM (SELECT athlete_name FROM lifters GROUP BY 1 HAVING COUNT(DISTINCT birth_year) > 1) UNION ALL SELECT 'members', COUNT(*) FROM (SELECT membership_number FROM lifters WHERE membership_number IS NOT NULL GROUP BY 1 HAVING COUNT(DISTINCT birth_year) > 1)")
+_LIFES = ", w AS (SELECT lifter_id, lifter_name, CASE WHEN lifter_id % 17 = 0 THEN NULL WHEN lifter_id % 23 = 0 AND result_id % 3 = 0 THEN birth_year + 1 ELSE birth_year END AS born, date, weight_class FROM results)"
+
+
+@query("agg_38_birth_years", _LIFES + ", g AS (SELECT lifter_id, COUNT(DISTINCT born) AS years, string_agg(DISTINCT CAST(born AS VARCHAR), ', ' ORDER BY CAST(born AS VARCHAR)) AS births, COUNT(DISTINCT date) AS competitions, COUNT(DISTINCT weight_class) AS classes FROM w WHERE born IS NOT NULL GROUP BY 1 HAVING COUNT(DISTINCT born) > 1) SELECT 'several years of birth' AS issue, lifter_id, years, births, competitions, classes, NULL::BIGINT AS n FROM g UNION ALL SELECT 'all with several', NULL, NULL, NULL, NULL, NULL, COUNT(*) FROM g UNION ALL SELECT 'no internal id', NULL, NULL, NULL, NULL, NULL, COUNT(*) FROM lifters WHERE internal_id IS NULL UNION ALL SELECT 'nor year of birth', NULL, NULL, NULL, NULL, NULL, COUNT(*) FROM lifters WHERE internal_id IS NULL AND birth_year IS NULL")
 def agg_38(v):
-    part = lambda key, name: v.lifters.where(F.col(key).isNotNull()).groupBy(key).agg(F.count_distinct("birth_year").alias("k")).where("k > 1").agg(n_rows().alias("n")).select(F.lit(name).alias("issue"), "n")
-    return part("athlete_name", "names").unionByName(part("membership_number", "members"))
+    k = F.col("lifter_id")
+    born = F.when(k % 17 == 0, None).when((k % 23 == 0) & (F.col("result_id") % 3 == 0), F.col("birth_year") + 1).otherwise(F.col("birth_year"))
+    w = v.results.withColumn("born", born).where("born is not null")
+    g = w.groupBy("lifter_id").agg(F.count_distinct("born").alias("years"), F.array_join(F.array_sort(F.collect_set(F.col("born").cast("string"))), ", ").alias("births"), F.count_distinct("date").alias("competitions"), F.count_distinct("weight_class").alias("classes")).where("years > 1")
+    summary = lambda df, issue: df.agg(n_rows().alias("n")).select(F.lit(issue).alias("issue"), "n")
+    none = v.lifters.where("internal_id is null")
+    out = g.select(F.lit("several years of birth").alias("issue"), "*")
+    for df, issue in ((g, "all with several"), (none, "no internal id"), (none.where("birth_year is null"), "nor year of birth")):
+        out = out.unionByName(summary(df, issue), allowMissingColumns=True)
+    return out
 
 
 @query("agg_39_misplaced", f", s AS (SELECT age, {_MASTER} AS m FROM results WHERE total > 0) SELECT CASE WHEN age <= 20 THEN 'youth' WHEN age <= 30 THEN 'open' ELSE 'older' END AS band, CASE WHEN m THEN 'masters' ELSE 'none' END AS kind, COUNT(*) AS n FROM s GROUP BY 1, 2")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Sequence
 
@@ -104,3 +105,20 @@ def write_delimited(df: DataFrame, path: str, sep: str = "|") -> None:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new folder in the place all executors share."""
     return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+_CACHED: dict[tuple, tuple[float, DataFrame]] = {}
+
+
+def cached_for(seconds: float, key: tuple, make, clock=time.monotonic) -> DataFrame:
+    """SRC-14: a small table that is made once and kept in memory for some time; after it, it is made anew and the old one is let go."""
+    held = _CACHED.get(key)
+    if held and clock() - held[0] < seconds and held[1].sparkSession.getActiveSession() is not None and not held[1].sparkSession.sparkContext._jsc.sc().isStopped():
+        return held[1]
+    if held:
+        _CACHED.pop(key)
+        if not held[1].sparkSession.sparkContext._jsc.sc().isStopped():
+            held[1].unpersist()
+    table = make().cache()
+    _CACHED[key] = clock(), table
+    return table
