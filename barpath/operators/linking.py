@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,23 +42,26 @@ def attempt_pairs(a: DataFrame, b: DataFrame, block: str) -> DataFrame:
     Rows that agree within one in four slots of six agree in both slots of one of three groups. Values are binned by two, so a value and
     what is within one of it lie in two bins: the left row goes to all bins of its group, the right row to its own. A pair of
     which fewer than four slots are known on both sides has a side with two unknown ones or more; these few rows meet the others by
-    single slots.
+    every two slots, and those of three unknown ones or more by single slots too: a pair with one slot known on both sides has such a side.
     """
-    value = lambda k: F.get(F.col("a"), F.lit(k))
-    own = lambda k: F.floor(value(k) / 2)
-    near = lambda k: F.array_distinct(F.array(F.floor((value(k) - 1) / 2), F.floor((value(k) + 1) / 2)))
-    near2 = lambda i, j: F.flatten(F.transform(near(i), lambda x: F.transform(near(j), lambda y: F.concat_ws(":", x, y))))
-    known = lambda *ks: reduce(lambda x, y: x & y, (value(k).isNotNull() for k in ks))
-    key = lambda tag, values: F.transform(values, lambda v: F.concat(F.lit(f"{tag}/"), v.cast("string")))
-    keys = lambda parts: F.flatten(F.array(*[F.when(c, x).otherwise(F.array().cast("array<string>")) for c, x in parts]))
-    side = lambda df, name, parts: df.select(block, F.col("id").alias(name), F.explode(F.array_distinct(keys(parts))).alias("__key"))
-    groups_a = [(known(i, j), key(f"g{i}", near2(i, j))) for i, j in GROUPS]
-    groups_b = [(known(i, j), key(f"g{i}", F.array(F.concat_ws(":", own(i), own(j))))) for i, j in GROUPS]
-    slots_a, slots_b = [(known(k), key(f"s{k}", near(k))) for k in range(SLOTS)], [(known(k), key(f"s{k}", F.array(own(k)))) for k in range(SLOTS)]
-    few = F.size(F.filter("a", lambda x: x.isNull())) >= 2
-    pairs = side(a, "left", groups_a).join(side(b, "right", groups_b), [block, "__key"]).select("left", "right")
-    pairs = pairs.unionByName(side(a.where(few), "left", slots_a).join(side(b, "right", slots_b), [block, "__key"]).select("left", "right"))
-    pairs = pairs.unionByName(side(a.where(~few), "left", slots_a).join(side(b.where(few), "right", slots_b), [block, "__key"]).select("left", "right"))
+
+    def side(df: DataFrame, name: str, slots, reach: int) -> DataFrame:
+        """A row for each two slots and each of their bins; ``reach`` is how far a value looks."""
+        which = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in slots]))
+        rows = df.select(block, F.col("id").alias(name), "a", which.alias("s")).select(block, name, "s", F.get("a", F.col("s.i")).alias("v"), F.get("a", F.col("s.j")).alias("w")).where("v is not null and w is not null")
+        for x in ("v", "w"):  # a value and what is within one of it lie in two bins
+            low, high = (F.floor((F.col(x) + k) / 2) for k in (-reach, reach))
+            rows = rows.withColumn(x, F.explode(F.array(low, high)) if reach else low)
+        return rows.select(block, name, F.xxhash64("s", "v", "w").alias("__key"))
+
+    def met(left: DataFrame, right: DataFrame, slots) -> DataFrame:
+        return side(left, "left", slots, 1).join(side(right, "right", slots, 0), [block, "__key"]).select("left", "right")
+
+    unknown = F.size(F.filter("a", lambda x: x.isNull()))
+    two, one = [(i, j) for i in range(SLOTS) for j in range(i + 1, SLOTS)], [(i, i) for i in range(SLOTS)]
+    pairs = met(a, b, GROUPS)
+    for few, slots in ((unknown >= 2, two), (unknown >= 3, one)):
+        pairs = pairs.unionByName(met(a.where(few), b, slots)).unionByName(met(a.where(~few), b.where(few), slots))
     return pairs.distinct()
 
 
