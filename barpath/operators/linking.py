@@ -67,8 +67,8 @@ def attempt_pairs(a: DataFrame, b: DataFrame, block: str) -> DataFrame:
 
 def name_pairs(a: DataFrame, b: DataFrame, block: str) -> DataFrame:
     """(left, right) of one ``block`` whose names are equal, or share the last word of the right one or two words of it. Rows: id,
-    block, name. Two words are a key of their own, so a first name that very many have brings no pairs about."""
-    w = tokens("name")
+    block, name, w (its words). Two words are a key of their own, so a first name that very many have brings no pairs about."""
+    w = F.col("w")
     two = lambda x: F.flatten(F.transform(x, lambda p: F.transform(F.filter(x, lambda q: q > p), lambda q: F.concat_ws(" ", p, q))))
     tag = lambda t, x: F.transform(x, lambda v: F.concat(F.lit(t), v))
     plain = F.lower(F.trim("name"))
@@ -96,15 +96,14 @@ def link(i: DataFrame, u: DataFrame, people: DataFrame, manual: DataFrame, banne
     words, two or more, are all in the athlete's, at a confidence of 90. Pairs are proposed by names and by attempts and never by
     the meet alone. What is proposed is stored once, and one aggregation decides each result.
     """
-    a = i.withColumn("id", F.col("ir"))
-    b = u.withColumn("id", F.col("ur"))
+    a = materialise(i.withColumns({"id": F.col("ir"), "w": tokens("name")}), "left")  # words are made once, not for each pair
+    b = materialise(u.withColumns({"id": F.col("ur"), "w": tokens("name")}), "right")
     proposed = name_pairs(a, b, "meet_id").unionByName(attempt_pairs(a, b, "meet_id")).distinct()
-    left = i.select(F.col("ir").alias("left"), F.col("name").alias("n1"), F.col("total").alias("t1"), F.col("best_snatch").alias("s1"), F.col("a").alias("a1"), "home")
-    right = u.select(F.col("ur").alias("right"), "usaw", F.col("name").alias("n2"), F.col("total").alias("t2"), F.col("best_snatch").alias("s2"), F.col("a").alias("a2"))
-    p = proposed.join(left, "left").join(right, "right")
-    w1, w2 = tokens("n1"), tokens("n2")
-    shared = F.filter(w2, lambda x: F.array_contains(w1, x))
-    same = F.lower(F.trim("n1")) == F.lower(F.trim("n2"))
+    low = F.lower(F.trim("name"))
+    left = a.select(F.col("id").alias("left"), low.alias("n1"), F.col("w").alias("w1"), F.col("total").alias("t1"), F.col("best_snatch").alias("s1"), F.col("a").alias("a1"), "home")
+    right = b.select(F.col("id").alias("right"), "usaw", low.alias("n2"), F.col("w").alias("w2"), F.col("total").alias("t2"), F.col("best_snatch").alias("s2"), F.col("a").alias("a2"))
+    p = proposed.join(left, "left").join(right, "right").withColumn("shared", F.filter("w2", lambda x: F.array_contains("w1", x)))
+    w2, shared, same = F.col("w2"), F.col("shared"), F.col("n1") == F.col("n2")
     strong = (F.size(shared) >= 2) | ((F.size(shared) == 1) & (F.get(shared, F.lit(0)) == F.element_at(w2, -1)))
     physics = same_attempts(F.col("a1"), F.col("a2"), F.col("t1"), F.col("t2"))
     status = F.when(same | ((F.size(shared) >= 1) & physics), "match").when(strong, "failed").when((F.size(shared) == 0) & F.col("home") & physics & (F.col("t1") > 0), "only physics")
