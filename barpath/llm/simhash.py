@@ -1,13 +1,15 @@
 """Operator 8, SimHash near-duplicates through broadcast BK-trees.
 
-The distinct fingerprints are dealt to rounds of a bounded size. A round is broadcast and every task makes the shard trees of
-it: a shard for each value of each block of the bits. Two fingerprints that differ in at most ``radius`` bits agree in at
-least one of ``radius + 1`` blocks, so a search of the shards of its own blocks finds every link of a fingerprint. A shard is
-a BK-tree: children are keyed by their integer Hamming distance to the parent, and a search follows only the edges within the
-radius. Trees of a task are built and searched together, a level at a time.
-
-Rounds grow with the fingerprints, and each reads them all. For very many of them, ``shuffled_links`` brings each fingerprint
-to the shards of its blocks by a shuffle instead, and gives the same links.
+Two fingerprints that differ in at most ``radius`` bits agree in at least one of ``radius + 1`` blocks: they share the shard of that
+block and its value. A shard is a BK-tree: children are keyed by their integer Hamming distance to the parent, and a search
+follows only the edges within the radius. Trees of a task are built and searched together, a level at a time.
+
+Shards are dealt to rounds of a bounded size. A round is broadcast, and only the fingerprints of its shards are read: a task gets
+those of some shards, makes their trees from the broadcast and searches them. So a fingerprint is broadcast and read once for each
+of its blocks, whatever the number of rounds. Of a shard that is larger than a round, each part is broadcast by itself and searched by the
+whole shard.
+
+``shuffled_links`` brings each fingerprint to the shards of its blocks by a shuffle instead, and gives the same links.
 """
 
 from __future__ import annotations
@@ -24,13 +26,17 @@ from pyspark.sql import types as T
 
 from barpath.llm.common import batches, forest, small_batches, table
 from barpath.operators.components import components
-from barpath.session import materialise
+from barpath.session import materialise, shuffle_partitions
 
 BITS = 64
 RADIUS = 3
 WORDS = 3
-#: Fingerprints of a round: half a megabyte is broadcast at a time.
-ROUND_ROWS = 1 << 16
+#: Rows of a round, a fingerprint in one of its shards each: four megabytes are broadcast at a time.
+ROUND_ROWS = 1 << 18
+#: Shards are dealt to rounds by so many buckets: their counts are known to the driver.
+BUCKETS = 1 << 16
+#: Rows of a round that a task searches, about.
+TASK_ROWS = 1 << 14
 #: Fingerprints that one tree of ``shuffled_links`` holds at most; larger shards are searched in pairs of parts.
 TREE_ROWS = 4000
 #: Keys that are broadcast at most when duplicates are dropped.
@@ -126,38 +132,64 @@ def _blocks(radius: int) -> list[tuple[int, int]]:
     return [(k * width, width if k < radius else BITS - k * width) for k in range(radius + 1)]
 
 
-def _shards(prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """(fingerprint, shard) for every fingerprint and each of its blocks."""
-    shards = [(prints >> np.uint64(at) & np.uint64((1 << n) - 1)).astype(np.int64) << 8 | k for k, (at, n) in enumerate(_blocks(radius))]
-    return np.tile(prints, radius + 1), np.concatenate(shards)
+def _shard_column(radius: int):
+    """The shards of a fingerprint, an array: the value of each block and, in the last eight bits, the block."""
+    return F.array(*[F.shiftleft(F.shiftrightunsigned("fingerprint", at).bitwiseAND(F.lit((1 << n) - 1)), 8).bitwiseOR(F.lit(k)) for k, (at, n) in enumerate(_blocks(radius))])
+
+
+def rounds_of(counts: dict[int, int], round_rows: int) -> list[tuple[int, int, int]]:
+    """(first bucket, last bucket, parts): runs of buckets of ``round_rows`` rows at most; a larger bucket is a run of its own, in parts."""
+    out, held = [], 0
+    for bucket, n in sorted(counts.items()):
+        if n > round_rows:
+            out.append((bucket, bucket, -(-n // round_rows)))
+            held = round_rows  # nothing joins it
+        elif not out or held + n > round_rows:
+            out.append((bucket, bucket, 1))
+            held = n
+        else:
+            out[-1] = (out[-1][0], bucket, 1)
+            held += n
+    return out
 
 
 def fingerprint_links(prints: DataFrame, radius: int = RADIUS, round_rows: int = ROUND_ROWS) -> DataFrame:
     """Links ``(a, b)``, a < b, whose components are those of all distinct ``fingerprint`` values within ``radius`` bits.
 
-    ``prints`` is a stored table. Each round takes the fingerprints of its hash, about ``round_rows`` of them, to all tasks;
-    a pair is found in the round of its lesser one. Tasks send on a spanning forest of what they find.
+    Rows of fingerprint and shard are stored in the order of their buckets, so a round reads its own. Tasks send on a spanning
+    forest of what they find.
     """
     spark = prints.sparkSession
-    rounds = -(-prints.count() // round_rows)
+    rows = prints.select("fingerprint", F.explode(_shard_column(radius)).alias("shard")).withColumn("bucket", F.pmod(F.xxhash64("shard"), F.lit(BUCKETS)))
+    shards = materialise(rows.repartitionByRange(shuffle_partitions(spark), "bucket").sortWithinPartitions("bucket"), "shards")
+    counts = {r["bucket"]: r["count"] for r in shards.groupBy("bucket").count().collect()}  # BUCKETS at most
     found = []
-    for k in range(rounds):
-        part = prints.where(F.pmod(F.xxhash64("fingerprint"), F.lit(rounds)) == k).select("fingerprint").toPandas()  # about round_rows
-        shared = spark.sparkContext.broadcast(part["fingerprint"].to_numpy(np.int64))
-
-        def search(it: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            nodes, shards = _shards(shared.value.view(np.uint64), radius)
-            trees = BKForest(nodes, shards)
-            for batch in batches(it):
-                asked, where = _shards(batch.column("fingerprint").to_numpy().view(np.uint64), radius)
-                for i, j in trees.search(asked, where, radius):
+    for first, last, parts in rounds_of(counts, round_rows):
+        own = shards.where(F.col("bucket").between(first, last)).select("fingerprint", "shard")
+        size = sum(counts.get(b, 0) for b in range(first, last + 1))
+        for k in range(parts):
+            part = own.where(F.pmod(F.xxhash64("fingerprint"), F.lit(parts)) == k).toPandas()  # about round_rows at most
+            shared = spark.sparkContext.broadcast((part["fingerprint"].to_numpy(np.int64).view(np.uint64), part["shard"].to_numpy(np.int64)))
+
+            def search(it: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+                held = [(b.column("fingerprint").to_numpy().view(np.uint64), b.column("shard").to_numpy()) for b in batches(it)]
+                if not held:
+                    return
+                asked, where = (np.concatenate(x) for x in zip(*held, strict=True))
+                nodes, shard = shared.value
+                mine = np.isin(shard, np.unique(where))
+                nodes, shard = nodes[mine], shard[mine]
+                for i, j in BKForest(nodes, shard).search(asked, where, radius):
                     a, b = nodes[j].view(np.int64), asked[i].view(np.int64)
-                    a, b = forest(a[a < b], b[a < b])
+                    a, b = forest(a[a != b], b[a != b])
                     if len(a):
                         yield pa.RecordBatch.from_pydict({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
 
-        found.append(materialise(prints.select("fingerprint").mapInArrow(search, "a long, b long"), "links"))
-        shared.unpersist()
+            tasks = max(1, min(shuffle_partitions(spark), -(-size // TASK_ROWS)))
+            # a shard in parts may be any size: its rows go to all tasks, of which each makes the part's tree
+            dealt = own.repartition(tasks, "shard") if parts == 1 else own.repartition(max(tasks, -(-size // round_rows)))
+            found.append(materialise(dealt.mapInArrow(search, "a long, b long"), "links"))
+            shared.unpersist()
     return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], "a long, b long")
 
 
@@ -167,8 +199,7 @@ def shuffled_links(prints: DataFrame, radius: int = RADIUS, tree_rows: int = TRE
     Shards with more than ``tree_rows`` fingerprints are dealt in parts, and each pair of parts meets in a task of its own,
     so no task holds more than two parts. Their number is known from a count per shard, whose large ones only are kept.
     """
-    shards = F.array(*[F.shiftleft(F.shiftrightunsigned("fingerprint", at).bitwiseAND(F.lit((1 << n) - 1)), 8).bitwiseOR(F.lit(k)) for k, (at, n) in enumerate(_blocks(radius))])
-    rows = prints.select("fingerprint", F.explode(shards).alias("shard"))
+    rows = prints.select("fingerprint", F.explode(_shard_column(radius)).alias("shard"))
     large = rows.groupBy("shard").count().where(F.col("count") > tree_rows).select("shard", F.ceil(F.col("count") / tree_rows).cast("long").alias("parts"))
     rows = rows.join(large, "shard", "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("long")))
     part = F.pmod(F.xxhash64("fingerprint"), F.col("parts"))

@@ -199,3 +199,14 @@ def test_rows_of_a_frequent_pair_are_bounded_by_groups(spark):
     _, model = katz.score(df, group_tokens=1000)
     assert model.grams(2).where("count >= 1500").count() >= 1
     assert model.read("level2").where("kind = 'answer'").select("grp").distinct().count() <= 12
+
+
+def test_rounds_read_each_row_once():
+    rng = random.Random(9)
+    counts = {b: rng.choice([1, 5, 40, 90, 250]) for b in rng.sample(range(1000), 300)}
+    runs = simhash.rounds_of(counts, 100)
+    assert all(a[1] < b[0] for a, b in zip(runs, runs[1:], strict=False))
+    held = [sum(n for b, n in counts.items() if lo <= b <= hi) for lo, hi, _ in runs]
+    assert sum(held) == sum(counts.values())  # every row in one round, whatever the number of rounds
+    assert all(n <= 100 * parts for n, (_, _, parts) in zip(held, runs, strict=True)) and {p for *_, p in runs} == {1, 3}
+    assert simhash.rounds_of({}, 100) == []
