@@ -1,4 +1,4 @@
-"""Places: boxes, polygons, distances, and the cascade that assigns a region. SURVEY GEO-*, MTH-2, 3."""
+"""Places: boxes, polygons, distances and addresses. SURVEY GEO-*, MTH-2, 3."""
 
 from __future__ import annotations
 
@@ -60,32 +60,6 @@ def in_shape(x, y, shape, holes: bool = False) -> Column:
     return F.exists(col(shape), inside)
 
 
-def state_of_address(address, names: dict[str, str]) -> Column:
-    """GEO-6: a state from the last three comma parts: an abbreviation, else a name, the longest first."""
-    parts = F.slice(F.reverse(F.split(col(address), r"\s*,\s*")), 1, 3)
-    words = F.flatten(F.transform(parts, lambda p: F.split(p, r"\s+")))
-    by_code = F.create_map(*[x for k, v in names.items() for x in (F.lit(k), F.lit(v))])
-    code = F.element_at(F.filter(F.transform(words, lambda w: F.try_element_at(by_code, w)), lambda v: v.isNotNull()), 1)
-    tail = F.concat_ws(" ", parts)
-    out = F.lit(None).cast("string")
-    for name in sorted(names.values(), key=len):
-        out = F.when(F.lower(tail).contains(name.lower()), name).otherwise(out)
-    return F.coalesce(F.when(F.size(F.filter(F.transform(words, lambda w: F.try_element_at(by_code, w)), lambda v: v.isNotNull())) > 0, code), out)
-
-
-#: Confidence of each step of the cascade, in order.
-CONFIDENCE = {"state_field": 0.98, "coordinates": 0.95, "region": 0.90, "address": 0.85, "historical": 0.85, "state_name": 0.80, "parsing": 0.75, "fallback": 0.50, "default": 0.30}
-
-
-def cascade(steps: dict[str, Column], boost: Column | None = None) -> Column:
-    """GEO-8: a struct of region, method, confidence: the first step that gives a region; a boost of 0.05, at most 1."""
-    out = F.struct(F.lit(None).cast("string").alias("region"), F.lit(None).cast("string").alias("method"), F.lit(None).cast("double").alias("confidence"))
-    for name, region in reversed(steps.items()):
-        sure = F.lit(CONFIDENCE[name]) + (F.when(boost, 0.05).otherwise(0.0) if boost is not None else 0.0)
-        out = F.when(region.isNotNull(), F.struct(region.alias("region"), F.lit(name).alias("method"), F.round(F.least(sure, F.lit(1.0)), 2).alias("confidence"))).otherwise(out)
-    return out
-
-
 def address_precision(address) -> Column:
     """GEO-11: points for a street number, a street word, a postal code and each comma part up to three; 6 need no new look-up."""
     a = F.coalesce(col(address), F.lit(""))

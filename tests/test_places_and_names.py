@@ -3,7 +3,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from barpath.functions import geo
 from barpath.operators import borders, names
@@ -120,4 +119,3 @@ def test_search_is_that_of_all_pairs(spark):
             if name is not None and (t.lower() in name.lower() or alike > 0.2) or member == t:
                 hits.append((1 if member == t else 2 if name.lower() == t.lower() else 3, -alike, name, k))
         assert found.get(n, []) == [(k, *clubs[k]) for *_, k in sorted(hits, key=lambda h: (h[:2], h[2] is not None, h[2] or "", h[3]))[:20]], t
-    assert F
