@@ -13,12 +13,14 @@ Documents are worked on in groups of about ``group_tokens`` tokens. A group know
 distinct k-grams: a k-gram is the number of its history among the (k-1)-grams and a word. At each level the groups send
 their k-grams, with their counts in training, to the buckets of their histories; a bucket adds up the counts of all groups,
 keeps its part of the model, and answers each group in the order of what it sent. So a k-gram has one entry for a group,
-however often it occurs, and a bucket needs no documents. At last each group evaluates the recursion once for each of its
-distinct k-grams, and a text is the sum over its tokens.
+however often it occurs, and a bucket needs no documents. A group is a row of a table that holds what it knows so far; each
+level's answers go into a new row, and the old one and the answers are deleted. At last each group evaluates the recursion
+once for each of its distinct k-grams, and a text is the sum over its tokens.
 
 Words are 64-bit hashes at first and get numbers at level 1, small ones to frequent words; two words of one hash would count
 as one. The k-grams of a history of more than ``hot`` tokens are dealt to several buckets by word, and its sums are
-put together afterwards; ``hot`` is at least a 2**20-th of all tokens, so there are never more such histories than that.
+put together afterwards; ``hot`` is at least a 2**20-th of all tokens, so there are never more such histories than that, and
+those of a level, with their weights, are broadcast (8 bytes for each word and for the weight: 24 MB at most at order 3).
 Tables of the model, partitioned by kind, each row a bucket: ``level1`` (words, numbers, counts), ``level2`` .. (k-grams with their
 counts and lower counts, which give a(h); sums of hot histories by themselves), ``about`` (sizes, counts of counts).
 ``score_with`` scores other texts by a stored model.
@@ -284,7 +286,7 @@ class Group:
         self.gram, self.suffix, self.word = [None, tokens.astype(np.int32)], [None, None], [None, np.arange(len(words))]
         self.history, self.count = [None, None], [None, np.append(counts, model["docs"][0])]
         self.columns = [None, np.append(words, START)[:, None]]
-        self.seen = [None, None]
+        self.seen, self.alpha = [None, None], {}
 
     def extend(self) -> None:
         """The next level: distinct pairs of history and word."""
@@ -339,8 +341,9 @@ class Group:
         s = self.suffix[k]
         return self.count[k - 1][s], self.count[k - 2][self.history[k - 1][s]] if k > 2 else np.full(len(s), self.model["tokens"][0])
 
-    def answer(self, k: int, answers: dict[int, bytes], hot: dict[tuple, tuple]) -> None:
-        """Counts of the level's k-grams, and backoff weights where they are needed, from what the buckets gave."""
+    def answer(self, k: int, answers: dict[int, bytes], hot: tuple[np.ndarray, np.ndarray]) -> None:
+        """Counts of the level's k-grams, and backoff weights where they are needed, from what the buckets gave; ``hot``: the
+        hot histories as sorted keys, and their weights."""
         order, ends, is_hot = self.requests(k)
         count = np.zeros(len(self.columns[k]), np.int64)
         log_alpha = np.zeros(len(count))
@@ -358,14 +361,15 @@ class Group:
                 place = np.empty(len(first), np.int64)
                 place[np.argsort(first, kind="stable")] = np.arange(len(first))
                 log_alpha[ask] = backoff(np.column_stack(kinds), mass, d)[place[at.ravel()]]
-        count[-1] = self.model["docs"][0]
-        if hot:
-            ask = order[is_hot & (count[order] == 0)]
-            for h in np.unique(self.history[k][ask]).tolist():
-                kinds, mass = hot[tuple(self.columns[k - 1][h].tolist())]
-                log_alpha[ask[self.history[k][ask] == h]] = backoff(kinds[None], np.array([mass]), d)[0]
-        self.count[k] = count
-        self.alpha = getattr(self, "alpha", {}) | {k: log_alpha[:-1]}
+        ask = order[is_hot & (count[order] == 0)]
+        if len(ask):
+            asked, at = np.unique(self.history[k][ask], return_inverse=True)
+            log_alpha[ask] = hot[1][np.searchsorted(hot[0], _keys(self.columns[k - 1][asked]))][at.ravel()]
+        self.know(k, count[:-1], log_alpha[:-1])
+
+    def know(self, k: int, count: np.ndarray, log_alpha: np.ndarray) -> None:
+        self.count[k] = np.append(count, self.model["docs"][0])
+        self.alpha[k] = log_alpha
 
     def evaluate(self, order: int) -> np.ndarray:
         """log10 Pk of each distinct k-gram of the highest level, by recursion from the words up."""
@@ -384,9 +388,19 @@ class Group:
 
 
 def _group(body: bytes, model: dict) -> Group:
-    words, tokens, lengths = _split(body)
+    """A group with all levels that its row knows."""
+    words, tokens, lengths, *levels = _split(body)
     number, count = unpack(words, "<i8", "<i8")
-    return Group(number, count, unpack(tokens, "<u4")[0], *unpack(lengths, "<i8", "u1"), model)
+    group = Group(number, count, unpack(tokens, "<u4")[0], *unpack(lengths, "<i8", "u1"), model)
+    for k, known in enumerate(levels, 2):
+        group.extend()
+        group.know(k, *unpack(known, "<i8", "<f8"))
+    return group
+
+
+def _keys(columns: np.ndarray) -> np.ndarray:
+    """Rows of numbers as byte strings of the same order."""
+    return np.ascontiguousarray(columns.astype(">i8")).view(f"S{8 * columns.shape[1]}").ravel()
 
 
 # Buckets.
@@ -494,17 +508,23 @@ def _sizes(rows: DataFrame) -> np.ndarray:
     return np.array([r["n"] for r in sorted(got, key=lambda r: r["i"])], dtype=np.int64)
 
 
-def _hot(rows: DataFrame, k: int) -> dict[tuple, tuple]:
-    """Sums of the hot histories, which are at most 2**20: those of more than a 2**20-th of all tokens."""
-    total: dict[tuple, tuple] = {}
-    for r in rows.where("kind = 'hot'").select("body").toLocalIterator():
-        *columns, mass = unpack(bytes(r["body"]), *["i8"] * (k - 1), *["i8"] * (K + 1), "f8")
-        for i in range(len(mass)):
-            h = tuple(int(c[i]) for c in columns[: k - 1])
-            kinds = np.array([int(c[i]) for c in columns[k - 1 :]])
-            old = total.get(h, (np.zeros(K + 1, np.int64), 0.0))
-            total[h] = (old[0] + kinds, old[1] + float(mass[i]))
-    return total
+def _hot(rows: DataFrame, k: int, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of hot histories, sorted, and their backoff weights; at most 2**20 of them: those of more than a 2**20-th of
+    all tokens. Their sums are put together before they come to the driver."""
+    words, kinds = [f"w{i + 1}" for i in range(k - 1)], [f"n{i + 1}" for i in range(K + 1)]
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(it):
+            for body in batch.column("body").to_pylist():
+                arrays = unpack(body, *["<i8"] * (k + K), "<f8")
+                yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=[*words, *kinds, "mass"])
+
+    schema = ", ".join([*(f"{c} long" for c in (*words, *kinds)), "mass double"])
+    got = rows.where("kind = 'hot'").select("body").mapInArrow(run, schema).groupBy(*words).agg(*(F.sum(c).alias(c) for c in (*kinds, "mass"))).toArrow()
+    columns = lambda of: np.column_stack([got.column(c).to_numpy() for c in of])
+    keys, weights = _keys(columns(words)), backoff(columns(kinds), got.column("mass").to_numpy(), d)
+    order = np.argsort(keys)
+    return keys[order], weights[order]
 
 
 def _words_asked(n: int):
@@ -540,42 +560,56 @@ def _numbered(n: int):
 
 
 def _grams_asked(k: int, shared):
-    """Rows of what groups ask of level k, from their own row and the answers of the levels before."""
+    """Rows of what groups ask of level k, from rows that know the levels before."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for g, group in _answered(it, k - 1, shared):
-            group.extend()
-            order, ends, hot = group.requests(k)
-            low, base = group.lower(k)
-            seen = group.seen[k].astype(np.int64)
-            arrays = [group.columns[k][order, j] for j in range(k)] + [seen[order], np.where(seen > 0, low, 0)[order], np.where(seen > 0, base, 0)[order], hot.astype(np.uint8)]
-            yield _batch([_row("ask", -1, g, b"")] + [_row("ask", b, g, pack(*(a[ends[b] : ends[b + 1]] for a in arrays))) for b in np.flatnonzero(ends[1:] > ends[:-1]).tolist()])
+        for batch in batches(it):
+            for g, body in zip(batch.column("grp"), batch.column("body"), strict=True):
+                group, g = _group(body.as_py(), shared.value), g.as_py()
+                group.extend()
+                order, ends, hot = group.requests(k)
+                low, base = group.lower(k)
+                seen = group.seen[k].astype(np.int64)
+                arrays = [group.columns[k][order, j] for j in range(k)] + [seen[order], np.where(seen > 0, low, 0)[order], np.where(seen > 0, base, 0)[order], hot.astype(np.uint8)]
+                del group
+                yield _batch([_row("ask", -1, g, b"")] + [_row("ask", b, g, pack(*(a[ends[b] : ends[b + 1]] for a in arrays))) for b in np.flatnonzero(ends[1:] > ends[:-1]).tolist()])
 
     return run
 
 
-def _answered(it: Iterator[pa.RecordBatch], levels: int, shared) -> Iterator[tuple[int, Group]]:
-    """Groups with the answers of levels 2 .. ``levels``. Kinds of answers end in their level."""
+def _answered(it: Iterator[pa.RecordBatch], k: int, shared) -> Iterator[tuple[int, Group, list[tuple]]]:
+    """Groups with the answers of level k (none at level 1), and their rows."""
     model, hot = shared.value
     for g, rows in _by(it, "grp"):
         group = _group(next(body for kind, _, _, body in rows if kind == "group"), model)
-        for k in range(2, levels + 1):
+        if k > 1:
             group.extend()
-            group.answer(k, {b: body for kind, b, _, body in rows if kind == f"answer{k}"}, hot.get(k, {}))
-        group.docs = next((body for kind, _, _, body in rows if kind == "docs"), None)
-        yield g, group
+            group.answer(k, {b: body for kind, b, _, body in rows if kind == "answer"}, hot)
+        yield g, group, rows
+
+
+def _settled(k: int, shared):
+    """Rows of groups that know level k too."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for g, group, rows in _answered(it, k, shared):
+            old = next(body for kind, _, _, body in rows if kind == "group")
+            new = pack(group.count[k][:-1], group.alpha[k])
+            yield _batch([_row("group", -1, g, old + len(new).to_bytes(8, "little") + new)])
+
+    return run
 
 
 def _scores(order: int, shared):
     names = ["key", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, group in _answered(it, order, shared):
+        for _, group, rows in _answered(it, order, shared):
             n, v = group.model["tokens"][0], group.model["types"][0]
             log, c = group.evaluate(order)[group.gram[order]], group.count[1][group.tokens]
             total = lambda x: np.add.reduceat(x, group.first)
             base = total(np.log10(c + 0.1)) - group.lengths * math.log10(n + 0.1 * (v + 1))
-            keys = pa.ipc.open_stream(zstandard.decompress(group.docs)).read_all().column("key").combine_chunks()
+            keys = pa.ipc.open_stream(zstandard.decompress(next(body for kind, _, _, body in rows if kind == "docs"))).read_all().column("key").combine_chunks()
             columns = [keys, pa.array(group.out == 1), pa.array(group.lengths, pa.int64()), pa.array(total((c > 0).astype(np.int64))), pa.array(np.full(len(group.lengths), n, np.int64)), pa.array(base), pa.array(total(log))]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -611,30 +645,35 @@ def _run(docs: DataFrame, model: Model, order: int, group_tokens: int, hot: int,
     release_shuffles(spark)
     work.remove("groups/kind=group")
     (work if stored else model).remove("level1/kind=answer")
-    numbered, hots, given = work.read("numbered"), {}, []
+    known, name, given, hot_ones = work.read("numbered"), "numbered", None, None
+    kept = work if stored else model
     for k in range(2, order + 1):
-        shared = spark.sparkContext.broadcast((about, hots))
-        parts = numbered
-        for a in given:
-            parts = parts.unionByName(a)
-        asked = _dealt(parts, least, "grp").mapInArrow(_grams_asked(k, shared), ROWS).where("bucket >= 0")
+        asked = known.select("grp", "body").mapInArrow(_grams_asked(k, spark.sparkContext.broadcast(about)), ROWS).where("bucket >= 0")
         if stored:
             asked = asked.unionByName(model.read(f"level{k}").where("kind = 'grams'"))
         d = discounts(about[f"of{k - 1}"])
-        (work if stored else model).write(_dealt(asked, n, "bucket").mapInArrow(_merge_grams(k, d, stored), ROWS), f"level{k}", by_kind=True)
+        kept.write(_dealt(asked, n, "bucket").mapInArrow(_merge_grams(k, d, stored), ROWS), f"level{k}", by_kind=True)
         release_shuffles(spark)
-        level = (work if stored else model).read(f"level{k}")
+        level = kept.read(f"level{k}")
         if not stored:
             of = _sizes(level)
             about[f"of{k}"] = of.tolist() if len(of) else [0] * (K + 1)
-        hots[k] = _hot(model.read(f"level{k}"), k)
-        given.append(level.where("kind = 'answer'").select(F.lit(f"answer{k}").alias("kind"), "bucket", "grp", "body"))
+        hot_ones = _hot(model.read(f"level{k}"), k, discounts(about[f"of{k}"]))
+        given = level.where("kind = 'answer'")
+        if k < order:
+            shared = spark.sparkContext.broadcast((about, hot_ones))
+            work.write(_dealt(known.unionByName(given), least, "grp").mapInArrow(_settled(k, shared), ROWS), f"known{k}")
+            release_shuffles(spark)
+            work.remove(name)
+            kept.remove(f"level{k}/kind=answer")
+            name = f"known{k}"
+            known = work.read(name)
     if not stored:
         model.set_about(about)
-    shared = spark.sparkContext.broadcast((about, hots))
-    parts = numbered.unionByName(names)
-    for a in given:
-        parts = parts.unionByName(a)
+    shared = spark.sparkContext.broadcast((about, hot_ones))
+    parts = known.unionByName(names)
+    if given is not None:
+        parts = parts.unionByName(given)
     return _dealt(parts, least, "grp").mapInArrow(_scores(order, shared), SCORES)
 
 
