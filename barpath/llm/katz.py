@@ -53,6 +53,8 @@ HOT = 1 << 19
 #: buckets grow with the square root of the corpus beyond some 1e10 tokens, so rows stay few and of some size.
 BUCKET_TOKENS = 1 << 19
 ROW_GRAMS = 64
+#: Entries from which on each place of a byte is compressed by itself.
+APART = 1024
 #: Documents of a group at most.
 GROUP_DOCS = 1 << 16
 FOLDS, HELD_OUT = 10, 0
@@ -108,19 +110,32 @@ def backoff(kinds: np.ndarray, mass: np.ndarray, d: np.ndarray) -> np.ndarray:
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays of equal length, byte by byte, compressed: entries lie sorted and numbers are small, so most bytes repeat."""
-    planes = (np.ascontiguousarray(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T).tobytes() for a in arrays)
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
+    """Arrays of equal length, byte by byte, compressed: entries lie sorted and numbers are small, so most bytes repeat. Each
+    place of a byte is compressed by itself, as its values have a distribution of their own; short arrays all together."""
+    planes = [p for a in arrays for p in np.ascontiguousarray(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T)]
+    press, n = zstandard.ZstdCompressor(level=1).compress, len(arrays[0])
+    if n < APART:
+        return bytes([0]) + press(b"".join(p.tobytes() for p in planes))
+    frames = [press(p) if p.any() else b"" for p in planes]
+    return bytes([1]) + n.to_bytes(8, "little") + b"".join(len(f).to_bytes(8, "little") + f for f in frames)
 
 
 def unpack(body: bytes, *kinds: str) -> list[np.ndarray]:
-    plain = zstandard.ZstdDecompressor().decompress(body)
-    raw = np.frombuffer(plain, np.uint8) if plain else np.zeros(0, np.uint8)
-    sizes = [np.dtype(k).itemsize for k in kinds]
-    n, at, out = len(raw) // sum(sizes), 0, []
+    sizes, plain = [np.dtype(k).itemsize for k in kinds], zstandard.ZstdDecompressor().decompress
+    if body[0]:
+        n, zeros = int.from_bytes(body[1:9], "little"), None
+        planes = []
+        for frame in _split(body[9:]):
+            zeros = np.zeros(n, np.uint8) if zeros is None and not frame else zeros
+            planes.append(np.frombuffer(plain(frame), np.uint8) if frame else zeros)
+    else:
+        raw = plain(body[1:])
+        n = len(raw) // sum(sizes)
+        planes = list(np.frombuffer(raw, np.uint8).reshape(sum(sizes), n)) if n else [_EMPTY.astype(np.uint8)] * sum(sizes)
+    out, at = [], 0
     for kind, size in zip(kinds, sizes, strict=True):
-        out.append(np.ascontiguousarray(raw[at : at + n * size].reshape(size, n).T).view(kind).ravel())
-        at += n * size
+        out.append(np.stack(planes[at : at + size], axis=1).view(kind).ravel())
+        at += size
     return out
 
 
