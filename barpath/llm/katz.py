@@ -80,6 +80,19 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+def in_order(*numbers: np.ndarray) -> np.ndarray:
+    """A stable order by several columns of numbers from 0 up, the first the least: sixteen bits at a time, which numpy sorts
+    in linear time."""
+    order = np.arange(len(numbers[0]))
+    for x in numbers:
+        top, shift = int(x.max()) if len(x) else 0, 0
+        while shift == 0 or top >> shift:
+            digit = (x >> shift).astype(np.uint16)
+            order = order[np.argsort(digit[order], kind="stable")]
+            shift += 16
+    return order
+
+
 def discounts(of: list[int], k: int = K) -> np.ndarray:
     """d(0..k) by Good-Turing, as Katz has it, from the number of types seen 1..k+1 times; d(0) is 0. The counts of counts are
     smoothed first by a line through their logarithms, which always falls fast enough for discounts between 0 and 1."""
@@ -337,7 +350,7 @@ class Group:
     def requests(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The k-grams that are sent (their history occurs in training), in the order sent; where buckets begin; and whether
         the history of each is hot. Sorted by bucket, then history, its last word first (rows of one lower history stand
-        together and compress well), and word."""
+        together and compress well), and word: k-grams are numbered by history and word, so that is a stable order by the rest."""
         n, hot = self.model["buckets"][0], self.model["hot"][0]
         of = self.count[k - 1][self.history[k]]
         columns = self.columns[k][:-1]
@@ -348,7 +361,7 @@ class Group:
         code = mixed(code + mixed(columns[:, k - 1].astype(np.uint64) + np.uint64(77)) % parts)
         bucket = (code % np.uint64(n)).astype(np.int64)
         sent = np.flatnonzero(of > 0)
-        order = sent[np.lexsort([columns[sent, k - 1], *(columns[sent, j] for j in range(k - 1)), bucket[sent]])]
+        order = sent[in_order(*(columns[sent, j] for j in range(1, k - 1)), bucket[sent])]
         return order, np.searchsorted(bucket[order], np.arange(n + 1)), of[order] > hot
 
     def lower(self, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -447,6 +460,18 @@ def _merge_words(n: int, numbered: bool):
     return run
 
 
+def _gram_order(columns: list[np.ndarray]) -> np.ndarray:
+    """The order in which the groups sent them: history, its last word first, and word. One number for each k-gram where 63 bits
+    are enough: what the groups sent is sorted, and numpy merges sorted runs."""
+    sizes = [int(c.max()).bit_length() for c in columns]
+    if sum(sizes) > 63:
+        return in_order(columns[-1], *columns[:-1])
+    key = np.zeros(len(columns[0]), np.int64)
+    for j in [*range(len(columns) - 2, -1, -1), len(columns) - 1]:
+        key = (key << sizes[j]) | columns[j]
+    return np.argsort(key, kind="stable")
+
+
 def _merge_grams(k: int, d: np.ndarray, counted: bool):
     """Level k: add up the k-grams of a bucket and what their histories need, answer the groups. ``counted``: the model has
     the counts already, and what the groups say of theirs does not matter."""
@@ -468,7 +493,7 @@ def _merge_grams(k: int, d: np.ndarray, counted: bool):
             asks = [(g, a[k + 3]) for g, a in asks]
             del asks_and_model
             # the number of each history, and of each k-gram
-            order = np.lexsort([columns[-1], *columns[:-1]])  # as the groups sort them
+            order = _gram_order(columns)
             differs = lambda c: np.concatenate([[True], c[order[1:]] != c[order[:-1]]])
             new_history = np.logical_or.reduce([differs(c) for c in columns[:-1]])
             new = new_history | differs(columns[-1])
