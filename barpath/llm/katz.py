@@ -699,6 +699,7 @@ def _run(docs: DataFrame, model: Model, order: int, group_tokens: int, hot: int,
             of = _sizes(level)
             about[f"of{k}"] = of.tolist() if len(of) else [0] * (K + 1)
         hot_ones = _hot(model.read(f"level{k}"), k, discounts(about[f"of{k}"]))
+        release_shuffles(spark)  # once more: until other jobs have run, Spark may still refer to the last one's shuffle
         given = level.where("kind = 'answer'")
         if k < order:
             shared = spark.sparkContext.broadcast((about, hot_ones))
