@@ -326,7 +326,7 @@ class Group:
         key = before.astype(np.int64)
         key <<= 32
         key |= self.tokens
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)  # places of one k-gram are alike: any of them may come first
         new = np.empty(len(key), bool)
         new[:1] = True
         np.not_equal(key[order[1:]], key[order[:-1]], out=new[1:])
