@@ -174,3 +174,38 @@ def test_linking_reads_its_tables_a_few_times(spark, sf):
 
     plan = registry.QUERIES["dq_9_link_decision"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("orders.parquet") == 0  # all that is left to read are the stored pairs and steps
+
+
+def test_tiers_of_a_full_meet_and_of_unknown_weights(spark):
+    rng = random.Random(3)
+    people = [(p, f"N{p % 3}", rng.choice([None, 1, 2, 3])) for p in range(1, 19)]
+    some = lambda *x: rng.choice([None, *x])
+    entries = [(e, f"N{rng.randint(0, 3)}", some(1, 2, 3), rng.randint(1, 5), some(80.0, 80.3, 81.0), some(200.0, 200.05, 201.0)) for e in range(60)]
+    own = [(rng.randint(1, 18), r[3], r[0], r[4], r[5]) for r in entries]
+    more = [(p, m, -(100 * m + p), 80.4 if p % 2 else None, 200.0 if p % 4 else None) for p, n, _ in people for m in (1, 2) if (n, m) != ("N0", 2)]
+    least = {}  # of those alike the one of the least x stands for all: the meets are full
+    for p, m, x, w, t in more:
+        key = f"N{p % 3}", m, w, t
+        least[key] = min(least.get(key, (p, m, x, w, t)), (p, m, x, w, t), key=lambda r: r[2])
+    kind = "lifter_id long, meet_id long, x long, body_weight_kg double, total double"
+    e = spark.createDataFrame(entries, "entry_id long, athlete_name string, internal_id long, meet_id long, body_weight_kg double, total double")
+    q = spark.createDataFrame(people, "lifter_id long, athlete_name string, internal_id long")
+    whole = resolving.resolve_in_tiers(e, q, spark.createDataFrame(own + more, kind))
+    full = spark.createDataFrame(sorted({k[:2] for k in least}), "athlete_name string, meet_id long")
+    brief = resolving.resolve_in_tiers(e, q, spark.createDataFrame(own + list(least.values()), kind), full)
+
+    def plain(entry, name, iid, meet, bw, total):
+        named, ided = [p for p in people if p[1] == name], [p for p in people if iid is not None and p[2] == iid]
+        for tier, found in (("id and name", [p for p in ided if p[1] == name]), ("id", ided), ("name", named), ("adopted", [p for p in named if iid is not None and p[2] is None])):
+            if len(found) == 1:
+                return found[0][0], tier
+        others = [b for b in own + more if b[1] == meet and b[2] != entry and b[0] in {p[0] for p in named}]
+        free = {p[0] for p in named} - {b[0] for b in others}
+        near = lambda a, b, d: a is None or b is None or abs(a - b) < d
+        again = [(b[2], b[0]) for b in others if near(b[3], bw, 0.5) and near(b[4], total, 0.1)]
+        return (min(free), "exclusion") if free else (min(again)[1], "again") if again else (None, "conflict" if named else "new")
+
+    want = {r[0]: plain(*r) for r in entries}
+    assert {"exclusion", "again", "new"} <= {t for _, t in want.values()}
+    for got in (whole, brief):
+        assert {r.entry_id: (r.lifter_id, r.tier) for r in got.collect()} == want
