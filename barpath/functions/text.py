@@ -133,6 +133,12 @@ def day_gap(a, b) -> Column:
     return F.coalesce(F.abs(F.datediff(F.try_to_date(col(a), "yyyy-MM-dd"), F.try_to_date(col(b), "yyyy-MM-dd"))), F.lit(9999))
 
 
+def whole_years(start, end) -> Column:
+    """AGG-3: years from one day to another, less one before the month and day come round: 29 February does on 1 March."""
+    early = F.date_format(col(end), "MMdd") < F.date_format(col(start), "MMdd")
+    return F.year(col(end)).cast("long") - F.year(col(start)) - F.when(early, 1).otherwise(0)
+
+
 def date_format_class(text) -> Column:
     """AGG-41."""
     rules = [(r"^\d{4}-\d{2}-\d{2}$", "iso"), (r"^\d{1,2}/\d{1,2}/\d{4}$", "us"), (r"^[A-Za-z]+ \d{1,2}(st|nd|rd|th)? \d{4}$", "long"), (r" - ", "range")]

@@ -169,8 +169,8 @@ def agg_2(v):
 
 @query("agg_3_long_careers", ", s AS (SELECT lifter_id, date_diff('year', MIN(CAST(date AS DATE)), MAX(CAST(date AS DATE))) - CASE WHEN strftime(MAX(CAST(date AS DATE)), '%m%d') < strftime(MIN(CAST(date AS DATE)), '%m%d') THEN 1 ELSE 0 END AS years FROM results GROUP BY lifter_id) SELECT lifter_id, CAST(years AS BIGINT) AS years FROM s WHERE years >= 5")
 def agg_3(v):
-    years = F.floor(F.months_between(F.max(F.to_date("date")), F.min(F.to_date("date"))) / 12)
-    return v.results.groupBy("lifter_id").agg(years.alias("years")).where("years >= 5")
+    first, last = F.min(F.to_date("date")), F.max(F.to_date("date"))
+    return v.results.groupBy("lifter_id").agg(text.whole_years(first, last).alias("years")).where("years >= 5")
 
 
 @query("agg_4_top_volume", "SELECT lifter_id, COUNT(*) AS n FROM results GROUP BY lifter_id ORDER BY n DESC, lifter_id LIMIT 20")

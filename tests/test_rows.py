@@ -103,3 +103,10 @@ def test_places(spark):
     assert row.select(geo.in_shape("x", "y", "s"), geo.bbox("s")["max_x"]).first()[:] == (True, 7.0)
     km = spark.createDataFrame([(40.0, -75.0, 41.0, -75.0), (0.0, 1.0, 2.0, 3.0)], "a double, b double, c double, d double")
     assert [r[0] for r in km.select(geo.haversine_km("a", "b", "c", "d")).collect()] == [111.2, None]
+
+
+def test_whole_years_at_the_end_of_february(spark):
+    d = datetime.date
+    rows = [(d(2000, 2, 29), d(2005, 2, 28)), (d(2000, 2, 29), d(2004, 2, 29)), (d(2001, 2, 28), d(2004, 2, 29)), (d(2000, 5, 31), d(2001, 5, 30)), (d(2000, 5, 1), d(2000, 5, 1)), (None, d(2000, 5, 1))]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, a date, b date")
+    assert [r.y for r in df.orderBy("i").select(text.whole_years("a", "b").alias("y")).collect()] == [4, 4, 3, 0, 0, None]
