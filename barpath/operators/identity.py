@@ -26,7 +26,8 @@ def surgical_merge(results: DataFrame, masters: DataFrame, harvest: Sequence[str
     one = F.struct((~own).alias("late"), "lifter_id", "result_id", F.col("total").cast("double").alias("t"), *harvest)
     days = rows.where(F.col("master").isNotNull()).groupBy("master", "meet_name", "date").agg(F.array_sort(F.collect_list(one)).alias("all"))
     meets = lambda k, x: (k["lifter_id"] != x["lifter_id"]) & F.coalesce(F.abs(k["t"] - x["t"]) < 0.1, F.lit(False))
-    filled = lambda k, x: F.struct(*[k[c].alias(c) for c in ("late", "lifter_id", "result_id", "t")], *[F.when(k[c].isNull() | k[c].cast("string").isin("", "-"), F.coalesce(x[c], k[c])).otherwise(k[c]).alias(c) for c in harvest])
+    lacks = lambda y, c: y[c].isNull() | y[c].cast("string").isin("", "-")
+    filled = lambda k, x: F.struct(*[k[c].alias(c) for c in ("late", "lifter_id", "result_id", "t")], *[F.when(lacks(k, c) & ~lacks(x, c), x[c]).otherwise(k[c]).alias(c) for c in harvest])
 
     def step(kept: Column, x: Column) -> Column:
         hit = F.filter(F.transform(kept, lambda k, i: F.when(meets(k, x), i)), lambda i: i.isNotNull())

@@ -39,6 +39,11 @@ def test_merge_harvests_and_reassigns(spark):
     ]
 
 
+def test_merge_takes_nothing_from_one_that_lacks_it_too(spark):
+    rows = [(1, 5, "M", "d", 90.0, None, ""), (2, 7, "M", "d", 90.0, "-", "-"), (3, 5, "N", "d", 90.0, None, "-"), (4, 7, "N", "d", 90.0, "-", ""), (5, 8, "N", "d", 90.0, "c", "-")]
+    assert merged(spark, rows, [(5, 5), (7, 5), (8, 5)])[0] == [(1, 5, None, "", "kept"), (3, 5, "c", "-", "kept")]
+
+
 def test_name_changes(spark):
     people = spark.createDataFrame([(1, "Ann Lee", "m", None), (2, "Ann Roe ", "m", 7), (3, "ann roe", "m", 8), (4, "Bo", "n", None), (5, "Bob", "n", None), (6, "Cy", "o", 1), (7, "Cyd", "o", None), (8, "Di", "p", 3), (9, "Dy", "p", None), (10, "X", "q", 1), (11, "x ", "q", 2)], "lifter_id long, athlete_name string, membership_number string, internal_id long")
     active = spark.createDataFrame([("m", "ANN ROE"), ("o", "Nobody"), ("p", "dy")], "membership_number string, active_name string")
