@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -10,6 +11,9 @@ from pyspark.sql import functions as F
 from barpath.functions import parse
 from barpath.functions.parse import col
 
+#: Attempts of a result.
+SLOTS = 6
+
 
 def made(*lifts) -> Column:
     """FN-1: how many of the attempts are over 0."""
@@ -57,6 +61,12 @@ def competition_age(date, birth_year, given_age=None) -> tuple[Column, Column]:
 def overlap(a: Column, b: Column) -> Column:
     """DQ-10: do two arrays of attempts belong to one lifter on one day? Of four shared slots or more, four within a kilo;
     of fewer, all; of none, null (the caller compares totals)."""
-    gaps = F.filter(F.zip_with(a, b, lambda x, y: F.abs(x - y)), lambda g: g.isNotNull())
-    near = F.size(F.filter(gaps, lambda g: g <= 1))
-    return F.when(F.size(gaps) >= 4, near >= 4).when(F.size(gaps) > 0, near == F.size(gaps))
+    return overlap_of([F.get(a, F.lit(k)) for k in range(SLOTS)], [F.get(b, F.lit(k)) for k in range(SLOTS)])
+
+
+def overlap_of(a: Sequence[Column], b: Sequence[Column]) -> Column:
+    """The same of attempts as columns. No array is made for a pair, so very many pairs are cheap."""
+    gaps = [F.abs(x - y) for x, y in zip(a, b, strict=True)]
+    total = lambda flags: reduce(lambda p, q: p + q, (F.when(f, 1).otherwise(0) for f in flags))
+    known, near = total(g.isNotNull() for g in gaps), total(g <= 1 for g in gaps)
+    return F.when(known >= 4, near >= 4).when(known > 0, near == known)
