@@ -10,6 +10,7 @@ from barpath.operators import series, tables
 from barpath.plans.binding import WITH
 from barpath.plans.registry import ORACLE_SQL, query
 from barpath.plans.row_queries import _DIV, _MASTER, _PREFIX, _curve  # noqa: F401
+from barpath.session import materialise
 
 
 
@@ -396,10 +397,12 @@ _MD5 = "md5(" + " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), 'NULL')" for
 @query("agg_35_fingerprints", f", x AS (SELECT result_id AS id, meet_id AS meet, * FROM results UNION ALL SELECT -result_id, meet_id + 1, * FROM results WHERE result_id % 8 = 0), f AS (SELECT id, meet, {_MD5} AS k FROM x WHERE total > 0) SELECT id, MIN(id) OVER (PARTITION BY k) AS group_id FROM f WHERE k IN (SELECT k FROM f GROUP BY k HAVING COUNT(DISTINCT meet) > 1)")
 def agg_35(v):
     # every eighth result again at the next meet; all twenty columns make the fingerprint
-    rows = v.results.withColumns({"id": F.col("result_id"), "meet": F.col("meet_id")})
-    rows = rows.unionByName(v.results.where("result_id % 8 = 0").withColumns({"id": -F.col("result_id"), "meet": F.col("meet_id") + 1})).where("total > 0")
-    f = rows.select("id", "meet", tables.fingerprint([F.expr(c) for c in _PRINT]).alias("k"))
-    g = f.groupBy("k").agg(F.min("id").alias("group_id"), F.count_distinct("meet").alias("m")).where("m > 1")
+    k, meet = F.col("result_id"), F.col("meet_id")
+    own = F.struct(k.alias("id"), meet.alias("meet"))
+    again = F.when(k % 8 == 0, F.array(own, F.struct((-k).alias("id"), (meet + 1).alias("meet")))).otherwise(F.array(own))
+    rows = v.results.where("total > 0").select(F.unhex(tables.fingerprint([F.expr(c) for c in _PRINT])).alias("k"), F.explode(again).alias("r"))
+    f = materialise(rows.select("k", "r.id", "r.meet"), "fingerprints")  # read twice: made once
+    g = f.groupBy("k").agg(F.min("id").alias("group_id"), F.min("meet").alias("a"), F.max("meet").alias("b")).where("a != b").select("k", "group_id")
     return f.join(g, "k").select("id", "group_id")
 
 
