@@ -200,9 +200,10 @@ def batch_proximity(rows: DataFrame, key: str, time: str, within: int) -> DataFr
     """
     counts = rows.groupBy(F.col(key).alias("a"), F.col(time).alias("t")).agg(F.count("*").alias("k")).withColumn("bin", F.floor(F.col("t") / within))
     ends = counts.groupBy("bin", F.col("a").alias("b")).agg(F.min("t").alias("lo"), F.max("t").alias("hi"))
-    around = counts.withColumn("bin", F.explode(F.array(*[F.col("bin") + i for i in (-1, 0, 1)])))
-    hit = around.join(ends, "bin").where((F.col("a") != F.col("b")) & (F.col("hi") > F.col("t") - within) & (F.col("lo") < F.col("t") + within))
-    near = hit.select("a", "b", "t", "k").distinct().groupBy("a", "b").agg(F.sum("k").alias("near"))
+    side = F.explode(F.array(*[F.struct((F.col("bin") + i).alias("bin"), F.when(F.lit(i == 0), True).alias("own"), F.when(F.lit(i == 1), F.col("hi")).alias("before"), F.when(F.lit(i == -1), F.col("lo")).alias("after")) for i in (-1, 0, 1)]))
+    around = ends.select("b", side.alias("s")).groupBy("s.bin", "b").agg(F.max("s.own").alias("own"), F.max("s.before").alias("before"), F.min("s.after").alias("after"))
+    close = F.col("own").isNotNull() | F.coalesce(F.col("before") > F.col("t") - within, F.lit(False)) | F.coalesce(F.col("after") < F.col("t") + within, F.lit(False))
+    near = counts.join(around, "bin").where((F.col("a") != F.col("b")) & close).groupBy("a", "b").agg(F.sum("k").alias("near"))
     total = counts.groupBy("a").agg(F.sum("k").alias("n"))
     return near.join(total, "a").select("a", "b", "n", "near", (F.col("near") / F.col("n")).alias("share"))
 

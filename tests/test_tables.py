@@ -197,3 +197,18 @@ def test_plans_of_large_tables(spark, sf):
     plan = lambda name: registry.QUERIES[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
     assert "lambda" not in plan("dq_10_physics")
     assert "md5" not in plan("agg_35_fingerprints")
+
+
+def test_batch_proximity_keeps_no_row_apart_after_the_join(spark):
+    import random
+    import re
+
+    from barpath.operators import series
+
+    rng = random.Random(5)
+    rows = [(rng.choice("xyz"), rng.choice([None, *range(0, 400, 7), -30, -1])) for _ in range(60)]
+    got = series.batch_proximity(spark.createDataFrame(rows, "e string, t long"), "e", "t", 10)
+    near = lambda t, b: any(e == b and u is not None and abs(u - t) < 10 for e, u in rows)
+    want = {(a, b): sum(e == a and t is not None and near(t, b) for e, t in rows) for a in "xyz" for b in "xyz" if a != b}
+    assert {(r.a, r.b): r.near for r in got.collect()} == {k: n for k, n in want.items() if n}
+    assert not re.search(r"Aggregate \[a#\d+, b#\d+, t#\d+L?, k#\d+L?\]", got._jdf.queryExecution().optimizedPlan().toString())
