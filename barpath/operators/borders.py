@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barpath.functions.geo import in_ring
-from barpath.session import materialise
+from barpath.session import SHUFFLED, materialise
 
 SCALE = 1_000_000
 
@@ -61,7 +61,7 @@ def split(e: DataFrame) -> DataFrame:
     long = F.when(F.col("steep"), F.abs(dy)).otherwise(dx)
     rows = materialise(rows.withColumns({"crossing": crossing, "long": long}), "edges")
     size = rows.groupBy("group").agg(F.ceil(F.avg("long")).alias("size"))
-    rows = rows.join(size, "group")
+    rows = rows.join(size.hint(SHUFFLED), "group")
     bin_ = lambda steep, x, y: F.floor(F.when(steep, y).otherwise(x) / F.col("size"))
     s = F.col("steep")
     ends = F.array(F.struct(F.col("x").alias("px"), F.col("y").alias("py")), F.struct(F.col("u").alias("px"), F.col("v").alias("py")))
@@ -70,8 +70,8 @@ def split(e: DataFrame) -> DataFrame:
     lo, hi = bin_(s, F.col("x"), F.col("y")), bin_(s, F.col("u"), F.col("v"))
     reach = rows.select("id", "group", "steep", "slope", F.floor(F.col("crossing") + 0.5).alias("line"), "x", "y", "u", "v", F.explode(F.sequence(F.least(lo, hi), F.greatest(lo, hi))).alias("bin"))
     on = F.expr("(u - x) * (py - y) = (v - y) * (px - x) and (x < px or (x = px and y < py)) and (px < u or (px = u and py < v))")
-    cut = reach.join(points, ["group", "steep", "slope", "line", "bin"]).where(on).groupBy("id").agg(F.array_sort(F.collect_set(F.struct("px", "py"))).alias("cuts"))
-    j = rows.join(cut, "id", "left")
+    cut = reach.join(points.hint(SHUFFLED), ["group", "steep", "slope", "line", "bin"]).where(on).groupBy("id").agg(F.array_sort(F.collect_set(F.struct("px", "py"))).alias("cuts"))
+    j = rows.join(cut.hint(SHUFFLED), "id", "left")
     place = lambda a, b: F.array(F.struct(F.col(a).alias("px"), F.col(b).alias("py")))
     stops = F.when(F.col("cuts").isNull(), F.concat(place("x", "y"), place("u", "v"))).otherwise(F.concat(place("x", "y"), F.col("cuts"), place("u", "v")))
     pieces = F.transform(F.sequence(F.lit(1), F.size(stops) - 1), lambda i: F.struct(F.element_at(stops, i).alias("a"), F.element_at(stops, i + 1).alias("b")))
@@ -110,23 +110,23 @@ def rings_of(border: DataFrame, max_rounds: int = 60) -> DataFrame:
     after = s.select("group", F.col("fx").alias("tx"), F.col("fy").alias("ty"), (F.col("tx") - F.col("fx")).cast("double").alias("nx"), (F.col("ty") - F.col("fy")).cast("double").alias("ny"), F.col("id").alias("next"))
     dx, dy = (F.col("tx") - F.col("fx")).cast("double"), (F.col("ty") - F.col("fy")).cast("double")
     turn = F.atan2(dx * F.col("ny") - dy * F.col("nx"), dx * F.col("nx") + dy * F.col("ny"))
-    follow = s.join(after, ["group", "tx", "ty"]).groupBy("id").agg(F.max_by("next", turn).alias("next"))
+    follow = s.join(after.hint(SHUFFLED), ["group", "tx", "ty"]).groupBy("id").agg(F.max_by("next", turn).alias("next"))
     follow = materialise(follow, "next")
 
     def jumps(state: DataFrame, value: str, put, done) -> DataFrame:
         for _ in range(max_rounds):
             there = state.select(F.col("id").alias("ptr"), F.col("ptr").alias("far"), F.col(value).alias("theirs"))
-            state = materialise(state.join(there, "ptr").select("id", F.col("far").alias("ptr"), put(F.col(value), F.col("theirs")).alias(value), (put(F.col(value), F.col("theirs")) != F.col(value)).alias("moved")), "jumps")
+            state = materialise(state.join(there.hint(SHUFFLED), "ptr").select("id", F.col("far").alias("ptr"), put(F.col(value), F.col("theirs")).alias(value), (put(F.col(value), F.col("theirs")) != F.col(value)).alias("moved")), "jumps")
             if state.where(done).isEmpty():
                 return state
         raise RuntimeError(f"rings of over 2**{max_rounds} segments")
 
     least = jumps(follow.select("id", F.col("next").alias("ptr"), F.least("id", "next").alias("low")), "low", lambda a, b: F.least(a, b), "moved").select("id", F.col("low").alias("ring"))
     first = F.col("id") == F.col("ring")
-    start = follow.join(least, "id").select("id", F.when(first, F.col("id")).otherwise(F.col("next")).alias("ptr"), F.when(first, 0).otherwise(1).cast("long").alias("left"))
+    start = follow.join(least.hint(SHUFFLED), "id").select("id", F.when(first, F.col("id")).otherwise(F.col("next")).alias("ptr"), F.when(first, 0).otherwise(1).cast("long").alias("left"))
     order = jumps(start, "left", lambda a, b: a + b, "moved").select("id", "left")
     # the last before the first has one step left: the farther, the earlier
-    rows = s.join(least, "id").join(order, "id")
+    rows = s.join(least.hint(SHUFFLED), "id").join(order.hint(SHUFFLED), "id")
     corner = F.struct((-F.when(first, F.lit(1 << 62)).otherwise(F.col("left"))).alias("__k"), F.col("fx").alias("x"), F.col("fy").alias("y"))
     whole = rows.groupBy("group", "ring").agg(F.transform(F.array_sort(F.collect_list(corner)), lambda c: F.struct(c["x"].alias("x"), c["y"].alias("y"))).alias("points"))
     n = F.size("points")
@@ -152,9 +152,9 @@ def union(parts: DataFrame, group: str, part: str, rings: str) -> DataFrame:
     # the middle of a hole's edge lies on no other ring: rings meet in corners only
     a, b = F.get("points", F.lit(0)), F.get("points", F.lit(1))
     holes = r.where("area < 0").withColumns({"mx": (a["x"] + b["x"]) / 2, "my": (a["y"] + b["y"]) / 2})
-    inside = holes.join(outer, "group").where("low_x >= o_low_x and high_x <= o_high_x and low_y >= o_low_y and high_y <= o_high_y").where(in_ring("mx", "my", F.col("around")))
+    inside = holes.join(outer.hint(SHUFFLED), "group").where("low_x >= o_low_x and high_x <= o_high_x and low_y >= o_low_y and high_y <= o_high_y").where(in_ring("mx", "my", F.col("around")))
     owned = inside.groupBy("group", "ring").agg(F.min_by(F.struct("outer", "points", "area"), F.struct("size", "outer")).alias("h"))
     owned = owned.groupBy("group", F.col("h.outer").alias("ring")).agg(F.array_sort(F.collect_list(F.col("h.points"))).alias("holes"), F.sum("h.area").alias("less"))
-    shapes = r.where("area > 0").join(owned, ["group", "ring"], "left")
+    shapes = r.where("area > 0").join(owned.hint(SHUFFLED), ["group", "ring"], "left")
     polygon = F.concat(F.array("points"), F.coalesce("holes", F.array().cast(r.schema["points"].dataType.simpleString().join(["array<", ">"]))))
     return shapes.groupBy("group").agg(F.array_sort(F.collect_list(polygon)).alias("shape"), F.sum(F.col("area") + F.coalesce("less", F.lit(0.0))).alias("area"))

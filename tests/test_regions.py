@@ -82,3 +82,14 @@ def test_recomputing_some(spark):
     df = spark.createDataFrame([(1, -1.0), (2, -1.0)], "k int, q double")
     out = scoring.recompute(df, "q", F.lit(5.0), F.when(F.col("k") == 2, "range"))
     assert sorted((r.k, r.q) for r in out.collect()) == [(1, -1.0), (2, 5.0)]
+
+
+def test_joins_that_grow_are_not_sent_through_the_driver(spark):
+    from barpath.operators import borders, linking
+
+    square = [(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0)]
+    parts = spark.createDataFrame([("g", k, [[(x + k, y) for x, y in square]]) for k in range(2)], "g string, p long, r array<array<struct<x: double, y: double>>>")
+    people = spark.createDataFrame([(1, 1, "Ann Lee", ["ann", "lee"])], "id long, meet long, name string, w array<string>")
+    rows = spark.createDataFrame([(1, 1, [1.0] * 6)], "id long, meet long, a array<double>")
+    for df in (borders.split(borders.edges(parts, "g", "p", "r")), linking.name_pairs(people, people, "meet"), linking.attempt_pairs(rows, rows, "meet")):
+        assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
