@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from barpath.functions.attempts import overlap
 from barpath.functions.text import tokens
-from barpath.session import materialise
+from barpath.session import SHUFFLED, materialise
 
 SLOTS = 6
 #: Two of six slots may differ, and these spoil two of three groups at most: rows that agree in four slots agree in a whole group.
@@ -27,7 +27,7 @@ def contained(a: DataFrame, b: DataFrame, words: Callable[[str], Column] = _word
     other name, two or more, are in the name. The year and the last word of the other name are the join key."""
     long = a.withColumn("__key", F.explode(words("name")))
     other = b.withColumn("__w", words("other_name")).where(F.size("__w") >= 2).withColumn("__key", F.element_at("__w", -1))
-    return long.join(other, ["birth_year", "__key"]).where(F.size(F.array_except("__w", words("name"))) == 0).drop("__key", "__w")
+    return long.join(other.hint(SHUFFLED), ["birth_year", "__key"]).where(F.size(F.array_except("__w", words("name"))) == 0).drop("__key", "__w")
 
 
 def same_attempts(a: Column, b: Column, total: Column, other_total: Column) -> Column:
@@ -55,7 +55,7 @@ def attempt_pairs(a: DataFrame, b: DataFrame, block: str) -> DataFrame:
         return rows.select(block, name, F.xxhash64("s", "v", "w").alias("__key"))
 
     def met(left: DataFrame, right: DataFrame, slots) -> DataFrame:
-        return side(left, "left", slots, 1).join(side(right, "right", slots, 0), [block, "__key"]).select("left", "right")
+        return side(left, "left", slots, 1).join(side(right, "right", slots, 0).hint(SHUFFLED), [block, "__key"]).select("left", "right")
 
     unknown = F.size(F.filter("a", lambda x: x.isNull()))
     two, one = [(i, j) for i in range(SLOTS) for j in range(i + 1, SLOTS)], [(i, i) for i in range(SLOTS)]
@@ -75,7 +75,7 @@ def name_pairs(a: DataFrame, b: DataFrame, block: str) -> DataFrame:
     left = F.concat(F.array(F.concat(F.lit("="), plain)), tag("1", F.array_distinct(w)), tag("2", two(F.array_distinct(w))))
     right = F.concat(F.array(F.concat(F.lit("="), plain)), tag("1", F.when(F.size(w) > 0, F.array(F.element_at(w, -1))).otherwise(F.array().cast("array<string>"))), tag("2", two(F.array_distinct(w))))
     side = lambda df, name, keys: df.select(block, F.col("id").alias(name), F.explode(keys).alias("__key"))
-    return side(a, "left", left).join(side(b, "right", right), [block, "__key"]).select("left", "right").distinct()
+    return side(a, "left", left).join(side(b, "right", right).hint(SHUFFLED), [block, "__key"]).select("left", "right").distinct()
 
 
 def link(i: DataFrame, u: DataFrame, people: DataFrame, manual: DataFrame, banned: Callable[[Column, Column], Column]) -> DataFrame:
@@ -102,7 +102,7 @@ def link(i: DataFrame, u: DataFrame, people: DataFrame, manual: DataFrame, banne
     low = F.lower(F.trim("name"))
     left = a.select(F.col("id").alias("left"), low.alias("n1"), F.col("w").alias("w1"), F.col("total").alias("t1"), F.col("best_snatch").alias("s1"), F.col("a").alias("a1"), "home")
     right = b.select(F.col("id").alias("right"), "usaw", low.alias("n2"), F.col("w").alias("w2"), F.col("total").alias("t2"), F.col("best_snatch").alias("s2"), F.col("a").alias("a2"))
-    p = proposed.join(left, "left").join(right, "right").withColumn("shared", F.filter("w2", lambda x: F.array_contains("w1", x)))
+    p = proposed.join(left.hint(SHUFFLED), "left").join(right.hint(SHUFFLED), "right").withColumn("shared", F.filter("w2", lambda x: F.array_contains("w1", x)))
     w2, shared, same = F.col("w2"), F.col("shared"), F.col("n1") == F.col("n2")
     strong = (F.size(shared) >= 2) | ((F.size(shared) == 1) & (F.get(shared, F.lit(0)) == F.element_at(w2, -1)))
     physics = same_attempts(F.col("a1"), F.col("a2"), F.col("t1"), F.col("t2"))
@@ -114,18 +114,18 @@ def link(i: DataFrame, u: DataFrame, people: DataFrame, manual: DataFrame, banne
     by_delta = pairs.groupBy("ir", "status", "delta").agg(F.count("*").alias("n"), F.min("usaw").alias("low"), F.max("usaw").alias("high"))
     nearest = F.min(F.when(F.col("status") == "match", F.struct("delta", "n", "low")))
     found = by_delta.groupBy("ir").agg(nearest.alias("near"), F.min(F.when(F.col("status") == "match", F.col("low"))).alias("low"), F.max(F.when(F.col("status") == "match", F.col("high"))).alias("high"), F.max(F.col("status") == "only physics").alias("only"), F.max(F.col("status") == "failed").alias("failed"))
-    held = i.join(manual.withColumnRenamed("usaw", "by_hand"), "iwf").join(u.select("meet_id", F.col("usaw").alias("by_hand")), ["meet_id", "by_hand"], "left_semi").groupBy("ir").agg(F.min("by_hand").alias("by_hand"))
+    held = i.join(manual.withColumnRenamed("usaw", "by_hand").hint(SHUFFLED), "iwf").join(u.select("meet_id", F.col("usaw").alias("by_hand")).hint(SHUFFLED), ["meet_id", "by_hand"], "left_semi").groupBy("ir").agg(F.min("by_hand").alias("by_hand"))
     several = (F.col("near.n") > 1) & (F.col("low") != F.col("high"))
     step = (
         F.when(F.col("by_hand").isNotNull(), 5).when(F.col("near").isNotNull() & several, 3).when(F.col("near").isNotNull(), F.when(banned(F.col("iwf"), F.col("near.low")), 1).otherwise(4))
         .when(F.col("only"), 3).when(F.col("failed"), 2).otherwise(1)
     )
-    steps = i.select("ir", "iwf", "name", "birth_year").join(found, "ir", "left").join(held, "ir", "left")
+    steps = i.select("ir", "iwf", "name", "birth_year").join(found.hint(SHUFFLED), "ir", "left").join(held.hint(SHUFFLED), "ir", "left")
     steps = materialise(steps.select("iwf", "name", "birth_year", step.alias("step"), F.coalesce("by_hand", "near.low").alias("usaw")), "steps")
     linked = steps.where("step >= 4").select("iwf", "usaw").distinct().select("iwf", "usaw", F.lit("linked").alias("decision"), F.lit(100).alias("confidence"))
     whole = steps.groupBy("iwf").agg(F.max("birth_year").alias("birth_year"), F.max("name").alias("name"), F.max("step").alias("step")).where("step < 4")
     named = contained(whole, people.withColumnRenamed("name", "other_name"), tokens).where(~banned(F.col("iwf"), F.col("usaw")))
     named = named.groupBy("iwf").agg(F.min("usaw").alias("usaw"), F.count("*").alias("n")).where("n = 1").select("iwf", "usaw", F.lit("linked").alias("decision"), F.lit(90).alias("confidence"))
     why = F.when(F.col("step") == 3, "ambiguous").when(F.col("step") == 2, "physics_failed").otherwise("unmatched")
-    rest = whole.join(named, "iwf", "left_anti").select("iwf", F.lit(None).cast(u.schema["usaw"].dataType).alias("usaw"), why.alias("decision"), F.lit(0).alias("confidence"))
+    rest = whole.join(named.hint(SHUFFLED), "iwf", "left_anti").select("iwf", F.lit(None).cast(u.schema["usaw"].dataType).alias("usaw"), why.alias("decision"), F.lit(0).alias("confidence"))
     return linked.unionByName(named).unionByName(rest)
