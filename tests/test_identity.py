@@ -214,3 +214,15 @@ def test_tiers_of_a_full_meet_and_of_unknown_weights(spark):
     assert {"exclusion", "again", "new"} <= {t for _, t in want.values()}
     for got in (whole, brief):
         assert {r.entry_id: (r.lifter_id, r.tier) for r in got.collect()} == want
+
+
+def test_namesakes_do_not_lengthen_the_walk(spark):
+    """One creation leads to another all along the entries of a name (they settled one by one), and no entry meets its namesakes in a join."""
+    entries = [(k, None, (None, 1000 + k % 3)[k % 2], f"x{k % 2}" if k % 5 else "y", k % 3 != 0) for k in range(1, 301)]
+    people = [(k, None, None if k % 2 else 5 + k, "y") for k in range(40)]
+    e = spark.createDataFrame(entries, "entry_id long, membership_number string, internal_id long, athlete_name string, may_create boolean")
+    p = spark.createDataFrame(people, "lifter_id long, membership_number string, internal_id long, athlete_name string")
+    out = resolving.resolve_entries(e, p, max_rounds=6)
+    assert {r.entry_id: (r.lifter_id, r.rule) for r in out.collect()} == walk(entries, people)
+    joins = [line for line in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line]
+    assert not any("athlete_name" in line or "internal_id" in line for line in joins)
