@@ -80,12 +80,12 @@ _SHEETS = """, f AS (SELECT result_id, CASE WHEN result_id % 3 = 0 THEN 'u' ELSE
 
 @query("src_11_factor_sheets", _SHEETS)
 def src_11(v):
-    """Factors in workbooks: one for fifty athletes and a thousand results, four sheets each, of which two have ages. Some weights
+    """Factors in workbooks: one for a thousand result ids, four sheets each, of which two have ages. Some weights
     are missing, some are remarks, and some rows end early; the first row is a header."""
     k, low = F.col("result_id"), F.lower("gender")
     weight = F.when(k % 7 == 0, None).when(k % 11 == 0, "n/a").otherwise(F.col("body_weight_kg").cast("string"))
     row = F.struct((k % 3 == 0).alias("aged"), low.alias("gender"), F.col("age").cast("int").alias("age"), weight.alias("weight"), (F.col("body_weight_kg") + 120).alias("mu"), F.when(k % 5 != 0, 0.25).alias("nu"))
-    books = v.results.groupBy(F.floor(F.col("lifter_id") / 50).alias("people"), F.floor(k / 1000).alias("ids")).agg(F.collect_list(row).alias("rows"))
+    books = v.results.groupBy(F.floor(k / 1000).alias("ids")).agg(F.collect_list(row).alias("rows"))
 
     def write(it):
         for batch in it:

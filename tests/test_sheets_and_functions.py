@@ -78,3 +78,13 @@ def test_functions_from_sql(spark):
     terms = spark.createDataFrame([(1, "ann")], "term_id int, term string")
     same = names.search_athletes(people.select("lifter_id", "athlete_name", "membership_number"), people.select("lifter_id", "gender", "club_name", "wso"), terms)
     assert found == [3, 1, 2] == [r.lifter_id for r in same.orderBy("place").collect()]
+
+
+def test_workbooks_are_of_a_thousand_results(spark, sf, monkeypatch):
+    from barpath.plans import registry
+
+    books, cells_of = [], sheets.cells_of
+    monkeypatch.setattr(sheets, "cells_of", lambda files, names: books.append(files) or cells_of(files, names))
+    registry.QUERIES["src_11_factor_sheets"](spark, sf)
+    results = spark.read.parquet(f"{sf}/orders.parquet").count()
+    assert books[0].count() <= results // 1000 + 1
