@@ -65,15 +65,22 @@ SCALARS: dict[str, tuple[str, str, str]] = {
     ),
 }
 
+#: The bests of an athlete on a day: at most 366 of them in a year.
+_DAY = "STRUCT<date: STRING, snatch: INT, cj: INT, total: INT>"
+
 #: name: (parameters, type, body, view and its columns).
 LOOKUPS: dict[str, tuple[str, str, str, str]] = {
     "get_youth_factor_exact": ("input_age INT, input_bodyweight INT, input_gender STRING", "DOUBLE", "(SELECT max(f.factor) FROM youth_factors f WHERE f.age = input_age AND f.bodyweight_kg = input_bodyweight AND f.gender = upper(substr(input_gender, 1, 1)))", "youth_factors"),
     "youth_between": ("age INT, weight DOUBLE, gender STRING", "DOUBLE", "round(coalesce(get_youth_factor_exact(age, cast(floor(weight) AS INT), gender), 1.0D) + (weight - floor(weight)) * (coalesce(get_youth_factor_exact(age, cast(ceil(weight) AS INT), gender), 1.0D) - coalesce(get_youth_factor_exact(age, cast(floor(weight) AS INT), gender), 1.0D)), 4)", "youth_factors"),
     "get_youth_age_factor_interpolated": ("age INT, bodyweight DOUBLE, gender STRING", "DOUBLE", "CASE WHEN age BETWEEN 8 AND 20 THEN youth_between(age, greatest(30.0D, least(115.0D, bodyweight)), gender) ELSE 1.0D END", "youth_factors"),
-    "ytd_bests": (
-        "p_lifter_id BIGINT, p_date STRING", "STRUCT<snatch: INT, cj: INT, total: INT>",
-        "(SELECT struct(max(r.best_snatch), max(r.best_cj), max(r.total)) FROM meet_results r WHERE r.lifter_id = p_lifter_id AND r.date <= p_date AND substr(r.date, 1, 4) = substr(p_date, 1, 4))", "meet_results",
+    # conditions on a lookup are equalities alone: with another one, Spark joins all dates asked for with all results of their years
+    "ytd_days": (
+        "p_lifter_id BIGINT, p_year STRING", f"ARRAY<{_DAY}>",
+        "(SELECT collect_list(struct(r.date, r.snatch, r.cj, r.total)) FROM (SELECT lifter_id, substr(date, 1, 4) AS year, date, max(best_snatch) AS snatch, max(best_cj) AS cj, max(total) AS total FROM meet_results GROUP BY lifter_id, date) r WHERE r.lifter_id = p_lifter_id AND r.year = p_year)", "meet_results",
     ),
+    "bests_of_days": (f"days ARRAY<{_DAY}>", "STRUCT<snatch: INT, cj: INT, total: INT>", "struct(array_max(days.snatch), array_max(days.cj), array_max(days.total))", "meet_results"),
+    "bests_until": (f"days ARRAY<{_DAY}>, p_date STRING", "STRUCT<snatch: INT, cj: INT, total: INT>", "bests_of_days(filter(days, d -> d.date <= p_date))", "meet_results"),
+    "ytd_bests": ("p_lifter_id BIGINT, p_date STRING", "STRUCT<snatch: INT, cj: INT, total: INT>", "bests_until(ytd_days(p_lifter_id, substr(p_date, 1, 4)), p_date)", "meet_results"),
     "best_of": ("b STRUCT<snatch: INT, cj: INT, total: INT>, p_lift_type STRING", "INT", "CASE p_lift_type WHEN 'snatch' THEN b.snatch WHEN 'cj' THEN b.cj ELSE b.total END", "meet_results"),
     "calculate_ytd_best": ("p_lifter_id BIGINT, p_date STRING, p_lift_type STRING", "INT", "best_of(ytd_bests(p_lifter_id, p_date), p_lift_type)", "meet_results"),
     "gamx_factor_of": (

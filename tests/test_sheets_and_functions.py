@@ -88,3 +88,16 @@ def test_workbooks_are_of_a_thousand_results(spark, sf, monkeypatch):
     registry.QUERIES["src_11_factor_sheets"](spark, sf)
     results = spark.read.parquet(f"{sf}/orders.parquet").count()
     assert books[0].count() <= results // 1000 + 1
+
+
+def test_bests_until_a_date_are_looked_up_by_equality(spark):
+    rows = [(1, "2020-01-05", 50, 60, 110), (1, "2020-01-05", 55, None, 100), (1, "2020-03-01", 40, 90, 130), (1, "2021-01-01", 10, 10, 20), (2, "2020-02-02", 99, 99, 198)]
+    spark.createDataFrame(rows, "lifter_id long, date string, best_snatch int, best_cj int, total int").createOrReplaceTempView("meet_results")
+    surface.register(spark)
+    asked = [(1, "2020-01-04"), (1, "2020-01-05"), (1, "2020-02-02"), (1, "2020-12-31"), (1, "2021-01-01"), (3, "2020-01-05"), (1, None), (None, "2020-01-05")]
+    spark.createDataFrame(asked, "a long, d string").createOrReplaceTempView("asked")
+    out = spark.sql("SELECT a, d, calculate_ytd_best(a, d, 'snatch') s, calculate_ytd_best(a, d, 'cj') c, calculate_ytd_best(a, d, 'total') t FROM asked")
+    known = lambda a, d, k: max((r[k] for r in rows if r[0] == a and d and r[1] <= d and r[1][:4] == d[:4] and r[k] is not None), default=None)
+    assert sorted(map(repr, map(tuple, out.collect()))) == sorted(repr((a, d, *(known(a, d, k) for k in (2, 3, 4)))) for a, d in asked)
+    joins = [line for line in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line]
+    assert joins and not any("<= " in line for line in joins)
