@@ -62,7 +62,9 @@ def search_athletes(people: DataFrame, recent: DataFrame, terms: DataFrame, top:
     """
     known = people.join(recent.where(F.col("club_name").isNotNull()), "lifter_id")
     names = known.select("athlete_name").where(F.col("athlete_name").isNotNull()).distinct()
-    asked = terms.where(F.col("term").isNotNull()).select("term_id", "term")
+    # a term that is asked for again is searched for once: its first id stands for all
+    every = terms.where(F.col("term").isNotNull()).select("term_id", "term")
+    asked = every.groupBy("term").agg(F.min("term_id").alias("term_id")).select("term_id", "term")
     found = similar(names, asked).select("term_id", "athlete_name").unionByName(containing(names, asked)).distinct()
     hits = found.join(known, "athlete_name").unionByName(asked.join(known, F.col("term") == F.col("membership_number")).select("term_id", *known.columns), allowMissingColumns=True)
     first = known.where(F.col("athlete_name").isNotNull()).orderBy("athlete_name", "lifter_id").limit(top)
@@ -72,4 +74,5 @@ def search_athletes(people: DataFrame, recent: DataFrame, terms: DataFrame, top:
     alike = F.coalesce(similarity("athlete_name", "term"), F.lit(0.0))
     place = F.row_number().over(Window.partitionBy("term_id").orderBy(rank, alike.desc(), "athlete_name", "lifter_id"))
     unknown = lambda c: F.coalesce(c, F.lit("Unknown")).alias(c)
-    return hits.withColumn("place", place).where(F.col("place") <= top).select("term_id", "place", "lifter_id", "athlete_name", "membership_number", unknown("gender"), unknown("club_name"), unknown("wso"))
+    best = hits.withColumn("place", place).where(F.col("place") <= top).drop("term_id").join(every, "term")
+    return best.select("term_id", "place", "lifter_id", "athlete_name", "membership_number", unknown("gender"), unknown("club_name"), unknown("wso"))

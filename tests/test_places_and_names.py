@@ -119,3 +119,14 @@ def test_search_is_that_of_all_pairs(spark):
             if name is not None and (t.lower() in name.lower() or alike > 0.2) or member == t:
                 hits.append((1 if member == t else 2 if name.lower() == t.lower() else 3, -alike, name, k))
         assert found.get(n, []) == [(k, *clubs[k]) for *_, k in sorted(hits, key=lambda h: (h[:2], h[2] is not None, h[2] or "", h[3]))[:20]], t
+
+
+def test_repeated_terms_are_searched_once(spark, monkeypatch):
+    asked, similar = [], names.similar
+    monkeypatch.setattr(names, "similar", lambda known, terms: asked.append(terms) or similar(known, terms))
+    people = spark.createDataFrame([(1, "Ann Lee", "7"), (2, "Bo Ann", "8")], "lifter_id long, athlete_name string, membership_number string")
+    recent = spark.createDataFrame([(1, "F", "C", "W"), (2, "M", "C", None)], "lifter_id long, gender string, club_name string, wso string")
+    terms = spark.createDataFrame([(1, "ann"), (2, "ann"), (3, "7"), (4, "7"), (5, "ann"), (6, None)], "term_id long, term string")
+    got = sorted((r.term_id, r.place, r.lifter_id) for r in names.search_athletes(people, recent, terms).collect())
+    assert [t[1:] for t in got if t[0] == 1] == [t[1:] for t in got if t[0] == 5] != [] and [t for t in got if t[0] in (3, 4)] == [(3, 1, 1), (4, 1, 1)]
+    assert asked[0].count() == 2
