@@ -226,3 +226,50 @@ def test_namesakes_do_not_lengthen_the_walk(spark):
     assert {r.entry_id: (r.lifter_id, r.rule) for r in out.collect()} == walk(entries, people)
     joins = [line for line in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line]
     assert not any("athlete_name" in line or "internal_id" in line for line in joins)
+
+
+def rounds_of_walk(entries, people, rounds):
+    """The rounds that the SQL of dq_28 writes out, one by one: takes of known and created persons alike go by their ids, which they may share."""
+    takes, made, out = {}, [], {}
+    for _ in range(rounds):
+        known = [(p, m, n, takes.get(p, (None, None))[0] if i is None else i, None, takes.get(p, (None, None))[1]) for p, m, i, n in people]
+        known += [(p, None, n, takes.get(p, (None, None))[0] if i is None else i, since, takes.get(p, (None, None))[1]) for p, i, n, since in made]
+        before = lambda since, e: since is None or since < e
+        out = {}
+        for e, m, i, n, create in entries:
+            has = lambda k, e=e: k[3] is not None and before(k[5], e)
+            if m is not None:
+                own = min((k for k in known if k[1] == m), default=None, key=lambda k: k[0])
+                out[e] = (None, "no such member") if own is None else (own[0], "membership adopts" if i is not None and not has(own) else "membership")
+                continue
+            there = [k for k in known if before(k[4], e)]
+            ided, named = [k for k in there if i is not None and k[3] == i and before(k[5], e)], [k for k in there if k[2] == n]
+            free = [k for k in named if not has(k)]
+            if ided:
+                both = [k[0] for k in ided if k[2] == n]
+                out[e] = (min(both), "id and name") if both else (min(k[0] for k in ided), "id")
+            elif len(named) == 1:
+                out[e] = named[0][0], "name adopts" if i is not None and len(free) == 1 else "name"
+            elif len(named) > 1 and i is not None and len(free) == 1:
+                out[e] = free[0][0], "adopts among several"
+            else:
+                out[e] = (-e, "created") if create else (None, "unmatched")
+        takes, made = {}, [(-e, i, n, e) for e, _, i, n, _ in entries if out[e][1] == "created"]
+        for e, _, i, _, _ in entries:
+            if "adopts" in out[e][1]:
+                takes.setdefault(out[e][0], (i, e))
+    return out
+
+
+def test_rounds_are_those_of_the_sql(spark):
+    """Known persons have the ids of created ones, and the chain of changes is longer than the rounds."""
+    rng = random.Random(8)
+    some = lambda p, x: x if rng.random() < p else None
+    people = [(-k, some(0.5, f"m{rng.randrange(12)}"), None, f"n{rng.randrange(8)}") for k in range(1, 120, 3)]
+    entries = [(k, some(0.1, f"m{rng.randrange(14)}"), some(0.7, rng.randrange(60)), f"n{rng.randrange(24)}", rng.random() < 0.6) for k in range(1, 161)]
+    e = spark.createDataFrame(entries, "entry_id long, membership_number string, internal_id long, athlete_name string, may_create boolean")
+    p = spark.createDataFrame(people, "lifter_id long, membership_number string, internal_id long, athlete_name string")
+    plain = [rounds_of_walk(entries, people, n) for n in range(1, 40)]
+    assert plain[1] != plain[2] != plain[3] and plain[37] == plain[38]
+    for n in (1, 2, 3, 39):
+        assert {r.entry_id: (r.lifter_id, r.rule) for r in resolving.resolve_entries(e, p, rounds=n).collect()} == plain[n - 1]
