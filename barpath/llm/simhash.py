@@ -66,6 +66,14 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
     return sum(1 << i for i in np.flatnonzero(2 * counts > n).tolist())
 
 
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """The SimHash of distinct shingles by their hashes, each once."""
+    counts = np.zeros(BITS, dtype=np.int64)
+    for at in range(0, len(hashes), BLOCK):
+        counts += np.unpackbits(hashes[at : at + BLOCK].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0])
+
+
 def with_fingerprints(docs: DataFrame, text: str = "text", words: int = WORDS) -> DataFrame:
     """All columns but the text, and ``fingerprint`` as a signed long of the 64 bits."""
     small_batches(docs.sparkSession)

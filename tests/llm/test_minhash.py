@@ -69,3 +69,25 @@ def test_pipeline_drops_every_near_copy(spark, sf):
     rows = sorted((r.doc_id, r.text) for r in docs.collect())
     got = dict(corpus_pipeline.STAGES)["simhash_near_dedup"](spark, docs, sf)
     assert {r.doc_id for r in got.collect()} == set(expected(*map(list, zip(*rows, strict=True)))) and got.columns == docs.columns
+
+
+def test_simhash_proposes_where_no_band_does(spark, monkeypatch):
+    """Links within three bits of the SimHash of the five-word shingles are proposed by fingerprints alone, and only alike sets are linked."""
+    rng = random.Random(9)
+    texts = [None, ""]
+    for n in (40, 200, 400, 400):
+        b = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+        texts += [" ".join([*b[: n - k], *(f"x{rng.randrange(10**6)}" for _ in range(k))]) for k in (0, 1, 1, 2, 12, n // 4)]
+    keys = list(range(len(texts)))
+    df = spark.createDataFrame(list(zip(keys, texts, strict=True)), "doc_id long, text string")
+    signed = minhash.signatures(df)
+    of = {r.doc_id: r.fingerprint for r in signed.withColumnRenamed("key", "doc_id").collect()}
+    for k, t in enumerate(texts):
+        h = [int(x) for x in minhash.shingles(t)]
+        assert of[k] % 2**64 == sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+    monkeypatch.setattr(minhash, "band_proposals", lambda signed: signed.selectExpr("set", "set as least").limit(0))
+    sets = [jaccard_sets(t) for t in texts]
+    near = lambda i, j: sets[i] == sets[j] or (bin((of[i] ^ of[j]) % 2**64).count("1") <= 3 and linked(sets[i], sets[j]))
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(df).collect()}
+    want = plain.classes(keys, near)
+    assert [got[k] for k in keys] == want and len(set(want)) < len(set(plain.classes(keys, lambda i, j: sets[i] == sets[j])))
