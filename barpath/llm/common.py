@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barpath.session import hold_batches
+
 #: Rows and bytes in an Arrow batch: texts are long, and a task holds a batch at a time.
 BATCH_ROWS = 1000
 BATCH_BYTES = 8 << 20
@@ -21,10 +22,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def small_batches(spark: SparkSession) -> None:
     """Hold Arrow batches to ``BATCH_ROWS`` rows and ``BATCH_BYTES`` bytes in this session."""
-    for name, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
-        now = re.match(r"\d+", spark.conf.get(name))
-        if not now or int(now[0]) == 0 or int(now[0]) > most:
-            spark.conf.set(name, str(most))
+    hold_batches(spark, maxRecordsPerBatch=BATCH_ROWS, maxBytesPerBatch=BATCH_BYTES)
 
 
 def crc32_mod(column: str, n: int):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 import pyarrow as pa
 from pyspark.sql import functions as F
 
@@ -84,18 +86,20 @@ def src_11(v):
     are missing, some are remarks, and some rows end early; the first row is a header."""
     k, low = F.col("result_id"), F.lower("gender")
     weight = F.when(k % 7 == 0, None).when(k % 11 == 0, "n/a").otherwise(F.col("body_weight_kg").cast("string"))
-    row = F.struct((k % 3 == 0).alias("aged"), low.alias("gender"), F.col("age").cast("int").alias("age"), weight.alias("weight"), (F.col("body_weight_kg") + 120).alias("mu"), F.when(k % 5 != 0, 0.25).alias("nu"))
-    books = v.results.groupBy(F.floor(k / 1000).alias("ids")).agg(F.collect_list(row).alias("rows"))
+    rows = v.results.select(F.floor(k / 1000).alias("ids"), (k % 3 == 0).alias("aged"), low.alias("gender"), F.col("age").cast("int").alias("age"), weight.alias("weight"), (F.col("body_weight_kg") + 120).alias("mu"), F.when(k % 5 != 0, 0.25).alias("nu"))
+    books = rows.repartition("ids").sortWithinPartitions("ids")
+
+    def pages_of(own):
+        for aged in (True, False):
+            for sex in "mf":
+                lines = [[r["age"]] * aged + [r["weight"] if r["weight"] in (None, "n/a") else float(r["weight"]), r["mu"], 0.3, r["nu"]] for r in own if r["aged"] == aged and r["gender"] == sex]
+                yield f"params_{'u' if aged else 's'}_{sex}", [["age"] * aged + ["bmass", "mu", "sigma", "nu"]] + lines
 
     def write(it):
-        for batch in it:
-            for at, rows in enumerate(batch.column("rows").to_pylist()):
-                pages = {}
-                for aged in (True, False):
-                    for sex in "mf":
-                        own = [r for r in rows if r["aged"] == aged and r["gender"] == sex]
-                        pages[f"params_{'u' if aged else 's'}_{sex}"] = [["age"] * aged + ["bmass", "mu", "sigma", "nu"]] + [[r["age"]] * aged + [r["weight"] if r["weight"] in (None, "n/a") else float(r["weight"]), r["mu"], 0.3, r["nu"]] for r in own]
-                yield pa.RecordBatch.from_pydict({"path": [str(at)], "content": pa.array([sheets.workbook(pages)], pa.binary())})
+        """The rows of a book follow one another: a task holds those of one."""
+        flat = (r for batch in it for part in range(0, batch.num_rows, 1000) for r in batch.slice(part, 1000).to_pylist())
+        for at, own in itertools.groupby(flat, key=lambda r: r["ids"]):
+            yield pa.RecordBatch.from_pydict({"path": [str(at)], "content": pa.array([sheets.workbook(dict(pages_of(list(own))))], pa.binary())})
 
     items = [(f"params_{kind}_{sex}", kind, sex, kind == "u") for kind in "us" for sex in "mf"]
     cells = sheets.cells_of(books.mapInArrow(write, "path string, content binary"), [i[0] for i in items])

@@ -101,3 +101,16 @@ def test_bests_until_a_date_are_looked_up_by_equality(spark):
     assert sorted(map(repr, map(tuple, out.collect()))) == sorted(repr((a, d, *(known(a, d, k) for k in (2, 3, 4)))) for a, d in asked)
     joins = [line for line in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line]
     assert joins and not any("<= " in line for line in joins)
+
+
+def test_a_task_writes_one_workbook_at_a_time(spark, sf, monkeypatch):
+    """No group of a whole workbook goes to Python, where a batch held thousands of them, and none is parsed from more than a few megabytes."""
+    from barpath.plans import registry
+
+    books, cells_of = [], sheets.cells_of
+    monkeypatch.setattr(sheets, "cells_of", lambda files, names: books.append(files) or cells_of(files, names))
+    registry.QUERIES["src_11_factor_sheets"](spark, sf)
+    assert "collect_list" not in books[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").removesuffix("b")) <= sheets.BATCH_BYTES
+    keys = [r.path for r in books[0].select("path").collect()]
+    assert len(keys) == len(set(keys)) > 1  # whole books
