@@ -3,19 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barpath.functions.attempts import overlap
+from barpath.functions.attempts import SLOTS, overlap_of
 from barpath.functions.text import tokens
-from barpath.session import SHUFFLED, materialise
+from barpath.session import SHUFFLED, materialise, shuffle_partitions
 
-SLOTS = 6
 #: Two of six slots may differ, and these spoil two of three groups at most: rows that agree in four slots agree in a whole group.
 GROUPS = ((0, 1), (2, 3), (4, 5))
-#: A pair of which fewer slots than this are known on both sides must agree in all of them.
-WHOLE = 4
+#: The distinct attempts of a meet are compared in so many tasks.
+PARTS = 8
 
 
 def _words(name) -> Column:
@@ -24,15 +24,13 @@ def _words(name) -> Column:
 
 def contained(a: DataFrame, b: DataFrame, words: Callable[[str], Column] = _words) -> DataFrame:
     """JOIN-11: rows of ``a`` (name, birth_year) and of ``b`` (other_name, birth_year) born in one year, where all words of the
-    other name, two or more, are in the name. The year and the last word of the other name are the join key."""
-    long = a.withColumn("__key", F.explode(words("name")))
-    other = b.withColumn("__w", words("other_name")).where(F.size("__w") >= 2).withColumn("__key", F.element_at("__w", -1))
-    return long.join(other.hint(SHUFFLED), ["birth_year", "__key"]).where(F.size(F.array_except("__w", words("name"))) == 0).drop("__key", "__w")
-
-
-def same_attempts(a: Column, b: Column, total: Column, other_total: Column) -> Column:
-    """DQ-10 whole: ``overlap``, and where no slot is known on both sides, neither made a total."""
-    return F.coalesce(overlap(a, b), (F.coalesce(total, F.lit(0)) == 0) & (F.coalesce(other_total, F.lit(0)) == 0))
+    other name, two or more, are in the name. The year, the last word of the other name and another one are the join key."""
+    # two words of the other name are a key, and every two of the name: few meet who share only a last name
+    w, n = F.col("__w"), F.col("__n")
+    long = a.withColumn("__n", F.array_distinct(words("name"))).withColumn("__key", F.explode(n)).withColumn("__key2", F.explode(n))
+    other = b.withColumn("__w", words("other_name")).where(F.size(w) >= 2).withColumn("__key", F.element_at(w, -1))
+    other = other.withColumn("__key2", F.coalesce(F.get(F.filter(w, lambda x: x != F.element_at(w, -1)), F.lit(0)), "__key"))
+    return long.join(other.hint(SHUFFLED), ["birth_year", "__key", "__key2"]).where(F.size(F.array_except(w, n)) == 0).drop("__key", "__key2", "__w", "__n")
 
 
 def attempt_pairs(a: DataFrame, b: DataFrame, block: str) -> DataFrame:
@@ -78,6 +76,74 @@ def name_pairs(a: DataFrame, b: DataFrame, block: str) -> DataFrame:
     return side(a, "left", left).join(side(b, "right", right).hint(SHUFFLED), [block, "__key"]).select("left", "right").distinct()
 
 
+def _class() -> list[Column]:
+    """total, best_snatch, the six attempts as columns, and a text of all that is equal for results that no rule but the names tells apart."""
+    slots = [F.get("a", F.lit(k)).alias(f"a{k}") for k in range(SLOTS)]
+    whole = F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("-")) for c in (F.col("total"), F.col("best_snatch"), *[F.get("a", F.lit(k)) for k in range(SLOTS)])])
+    return [F.col("total"), F.col("best_snatch"), *slots, whole.alias("class")]
+
+
+def _slots(prefix: str = "") -> list[Column]:
+    return [F.col(f"{prefix}a{k}") for k in range(SLOTS)]
+
+
+_OF_CLASS = ["total", "best_snatch", *[f"a{k}" for k in range(SLOTS)]]
+
+
+def _nearest(a: DataFrame, b: DataFrame) -> DataFrame:
+    """ir, near (the least usaw of those at the least distance), more (others are as near), low, high (of all usaw), for each of ``a`` who
+    has a partner of the same name, or one who shares a word and whose attempts agree.
+
+    All of it is made of minima and maxima, so that it does not matter how many words bring a pair about, and a class needs to know only
+    its first and last result and person. Distances come first, and then who is at the least one.
+    """
+    keys = lambda df: df.withColumn("__key", F.explode(F.concat(F.array(F.concat(F.lit("="), F.lower(F.trim("name")))), F.transform(F.array_distinct("w"), lambda x: F.concat(F.lit("1"), x))))).where("__key is not null")
+    by = ["meet_id", "__key", "class"]
+    asked = keys(a.withColumn("w", F.coalesce("w", F.array().cast("array<string>")))).select("ir", *by, *_OF_CLASS)
+    left = materialise(asked.groupBy(*by).agg(*[F.first(c).alias(c) for c in _OF_CLASS]).withColumn("id", F.monotonically_increasing_id()), "classes")
+    there = keys(b.withColumn("w", F.coalesce("w", F.array().cast("array<string>"))))
+    right = there.groupBy(*by).agg(*[F.first(c).alias(f"o_{c}") for c in _OF_CLASS], *[f(c).alias(f"{n}_{c}") for c in ("ur", "usaw") for n, f in (("first", F.min), ("last", F.max))])
+    right = materialise(right.drop("class"), "other_classes")
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    delta = F.abs(F.when(zero("total") == 0, zero("best_snatch") - zero("o_best_snatch")).otherwise(zero("total") - zero("o_total")))
+    physics = F.coalesce(overlap_of(_slots(), _slots("o_")), (zero("total") == 0) & (zero("o_total") == 0))
+    n = shuffle_partitions(a.sparkSession)  # few bytes bring much work about: no partitions are put together
+    met = lambda df: df.repartition(n, "meet_id", "__key").join(right.repartition(n, "meet_id", "__key").hint(SHUFFLED), ["meet_id", "__key"]).where(F.col("__key").startswith("=") | physics)
+    best = materialise(met(left).groupBy("id").agg(F.min(delta).alias("best"), F.min("first_usaw").alias("low"), F.max("last_usaw").alias("high")), "best")
+    at = met(left.join(best.select("id", "best").hint(SHUFFLED), "id")).where(delta == F.col("best"))
+    at = at.groupBy("id").agg(F.min("first_ur").alias("first"), F.max("last_ur").alias("last"), F.min("first_usaw").alias("near"))
+    of_class = left.select("id", *by).join(best.hint(SHUFFLED), "id").join(at.hint(SHUFFLED), "id").drop("id")
+    rows = asked.select("ir", *by).join(of_class.hint(SHUFFLED), by).withColumn("least", F.min("best").over(Window.partitionBy("ir")))
+    nearest = lambda f, c: f(F.when(F.col("best") == F.col("least"), F.col(c)))
+    return rows.groupBy("ir").agg(nearest(F.min, "near").alias("near"), (nearest(F.min, "first") != nearest(F.max, "last")).alias("more"), F.min("low").alias("low"), F.max("high").alias("high"))
+
+
+def _failed(a: DataFrame, b: DataFrame) -> DataFrame:
+    """ir, failed: those of ``a`` who share with one of the meet the last word of the other, or two words of it (a repeated one is two)."""
+    w = F.col("w")
+    two = lambda x: F.flatten(F.transform(x, lambda p: F.transform(F.filter(x, lambda q: q > p), lambda q: F.concat_ws(" ", p, q))))
+    tag = lambda t, x: F.transform(x, lambda v: F.concat(F.lit(t), v))
+    once = F.array_distinct(w)
+    strong = F.when(F.size(w) > 0, F.concat(F.array(F.element_at(w, -1)), F.filter(once, lambda x: F.size(F.filter(w, lambda y: y == x)) > 1)))
+    left = a.select("ir", "meet_id", F.explode(F.concat(tag("1", once), tag("2", two(once)))).alias("__key"))
+    right = b.select("meet_id", F.explode(F.concat(tag("1", strong), tag("2", two(once)))).alias("__key")).distinct()
+    return left.join(right.hint(SHUFFLED), ["meet_id", "__key"], "left_semi").select("ir").distinct().withColumn("failed", F.lit(True))
+
+
+def _alike(a: DataFrame, b: DataFrame) -> DataFrame:
+    """ir, only: those of ``a`` with whose attempts those of one of the meet agree, by distinct attempts of a meet."""
+    slots = [f"a{k}" for k in range(SLOTS)]
+    # stored, so that Spark does not compare before it has made them distinct; dealt by number, as few bytes bring much work about
+    n = shuffle_partitions(a.sparkSession)
+    left = materialise(a.select("meet_id", *slots).distinct(), "attempts").withColumn("__part", F.pmod(F.xxhash64(*slots), F.lit(PARTS))).repartition(n, "meet_id", "__part")
+    right = materialise(b.select("meet_id", *[F.col(c).alias(f"o_{c}") for c in slots]).distinct(), "other_attempts").withColumn("__part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long"))))
+    on = (F.col("meet_id") == F.col("o_meet")) & (F.col("__part") == F.col("o_part")) & overlap_of(_slots(), _slots("o_"))
+    right = right.withColumnsRenamed({"meet_id": "o_meet", "__part": "o_part"}).repartition(n, "o_meet", "o_part")
+    hit = left.join(right.hint(SHUFFLED), on, "left_semi").select("meet_id", *slots)
+    same = reduce(lambda p, q: p & q, [F.col(f"h_{c}").eqNullSafe(F.col(c)) for c in ("meet_id", *slots)])
+    return a.join(hit.withColumnsRenamed({c: f"h_{c}" for c in ("meet_id", *slots)}).hint(SHUFFLED), same, "left_semi").select("ir", F.lit(True).alias("only"))
+
+
 def link(i: DataFrame, u: DataFrame, people: DataFrame, manual: DataFrame, banned: Callable[[Column, Column], Column]) -> DataFrame:
     """DQ-9: athletes of two federations: ``iwf, usaw, decision, confidence``.
 
@@ -93,35 +159,23 @@ def link(i: DataFrame, u: DataFrame, people: DataFrame, manual: DataFrame, banne
     - else unmatched.
 
     An athlete's best step over all results counts; one without a partner gets the only person born in the same year whose name
-    words, two or more, are all in the athlete's, at a confidence of 90. Pairs are proposed by names and by attempts and never by
-    the meet alone. What is proposed is stored once, and one aggregation decides each result.
+    words, two or more, are all in the athlete's, at a confidence of 90. No pairs are stored or shuffled: results of equal attempts and
+    totals that share a word at a meet are one class, classes meet by the word, and only the nearest of each goes on (``_nearest``); what
+    counts only for those without a partner is asked for by semi joins, which stop at the first hit (``_failed``, ``_alike``).
     """
-    a = materialise(i.withColumns({"id": F.col("ir"), "w": tokens("name")}), "left")  # words are made once, not for each pair
-    b = materialise(u.withColumns({"id": F.col("ur"), "w": tokens("name")}), "right")
-    proposed = name_pairs(a, b, "meet_id").unionByName(attempt_pairs(a, b, "meet_id")).distinct()
-    low = F.lower(F.trim("name"))
-    left = a.select(F.col("id").alias("left"), low.alias("n1"), F.col("w").alias("w1"), F.col("total").alias("t1"), F.col("best_snatch").alias("s1"), F.col("a").alias("a1"), "home")
-    right = b.select(F.col("id").alias("right"), "usaw", low.alias("n2"), F.col("w").alias("w2"), F.col("total").alias("t2"), F.col("best_snatch").alias("s2"), F.col("a").alias("a2"))
-    p = proposed.join(left.hint(SHUFFLED), "left").join(right.hint(SHUFFLED), "right").withColumn("shared", F.filter("w2", lambda x: F.array_contains("w1", x)))
-    w2, shared, same = F.col("w2"), F.col("shared"), F.col("n1") == F.col("n2")
-    strong = (F.size(shared) >= 2) | ((F.size(shared) == 1) & (F.get(shared, F.lit(0)) == F.element_at(w2, -1)))
-    physics = same_attempts(F.col("a1"), F.col("a2"), F.col("t1"), F.col("t2"))
-    status = F.when(same | ((F.size(shared) >= 1) & physics), "match").when(strong, "failed").when((F.size(shared) == 0) & F.col("home") & physics & (F.col("t1") > 0), "only physics")
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    delta = F.abs(F.when(zero("t1") == 0, zero("s1") - zero("s2")).otherwise(zero("t1") - zero("t2")))
-    pairs = materialise(p.select(F.col("left").alias("ir"), "usaw", status.alias("status"), delta.alias("delta")).where("status is not null"), "pairs")
-    # by distance first, so that the nearest and how many are as near come from one more aggregation
-    by_delta = pairs.groupBy("ir", "status", "delta").agg(F.count("*").alias("n"), F.min("usaw").alias("low"), F.max("usaw").alias("high"))
-    nearest = F.min(F.when(F.col("status") == "match", F.struct("delta", "n", "low")))
-    found = by_delta.groupBy("ir").agg(nearest.alias("near"), F.min(F.when(F.col("status") == "match", F.col("low"))).alias("low"), F.max(F.when(F.col("status") == "match", F.col("high"))).alias("high"), F.max(F.col("status") == "only physics").alias("only"), F.max(F.col("status") == "failed").alias("failed"))
+    a = materialise(i.select("ir", "iwf", "name", "birth_year", "home", "meet_id", *_class(), tokens("name").alias("w")), "left")  # words are made once
+    b = materialise(u.select("ur", "usaw", "name", "meet_id", *_class(), tokens("name").alias("w")), "right")
+    found = materialise(_nearest(a, b), "nearest")
+    lone = materialise(a.join(found.select("ir").hint(SHUFFLED), "ir", "left_anti"), "lone")
+    found = found.unionByName(_failed(lone, b).join(_alike(lone.where("home and total > 0"), b).hint(SHUFFLED), "ir", "full"), allowMissingColumns=True)
     held = i.join(manual.withColumnRenamed("usaw", "by_hand").hint(SHUFFLED), "iwf").join(u.select("meet_id", F.col("usaw").alias("by_hand")).hint(SHUFFLED), ["meet_id", "by_hand"], "left_semi").groupBy("ir").agg(F.min("by_hand").alias("by_hand"))
-    several = (F.col("near.n") > 1) & (F.col("low") != F.col("high"))
+    several = F.col("more") & (F.col("low") != F.col("high"))
     step = (
-        F.when(F.col("by_hand").isNotNull(), 5).when(F.col("near").isNotNull() & several, 3).when(F.col("near").isNotNull(), F.when(banned(F.col("iwf"), F.col("near.low")), 1).otherwise(4))
+        F.when(F.col("by_hand").isNotNull(), 5).when(F.col("near").isNotNull() & several, 3).when(F.col("near").isNotNull(), F.when(banned(F.col("iwf"), F.col("near")), 1).otherwise(4))
         .when(F.col("only"), 3).when(F.col("failed"), 2).otherwise(1)
     )
     steps = i.select("ir", "iwf", "name", "birth_year").join(found.hint(SHUFFLED), "ir", "left").join(held.hint(SHUFFLED), "ir", "left")
-    steps = materialise(steps.select("iwf", "name", "birth_year", step.alias("step"), F.coalesce("by_hand", "near.low").alias("usaw")), "steps")
+    steps = materialise(steps.select("iwf", "name", "birth_year", step.alias("step"), F.coalesce("by_hand", "near").alias("usaw")), "steps")
     linked = steps.where("step >= 4").select("iwf", "usaw").distinct().select("iwf", "usaw", F.lit("linked").alias("decision"), F.lit(100).alias("confidence"))
     whole = steps.groupBy("iwf").agg(F.max("birth_year").alias("birth_year"), F.max("name").alias("name"), F.max("step").alias("step")).where("step < 4")
     named = contained(whole, people.withColumnRenamed("name", "other_name"), tokens).where(~banned(F.col("iwf"), F.col("usaw")))

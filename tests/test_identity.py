@@ -273,3 +273,17 @@ def test_rounds_are_those_of_the_sql(spark):
     assert plain[1] != plain[2] != plain[3] and plain[37] == plain[38]
     for n in (1, 2, 3, 39):
         assert {r.entry_id: (r.lifter_id, r.rule) for r in resolving.resolve_entries(e, p, rounds=n).collect()} == plain[n - 1]
+
+
+def test_linking_stores_no_pairs(spark, monkeypatch):
+    """Results that are equal but for their names and persons meet as one: what is stored grows with the results, not with their pairs."""
+    stored, materialise = {}, linking.materialise
+    monkeypatch.setattr(linking, "materialise", lambda df, name: stored.setdefault(name, materialise(df, name)))
+    kind = "name string, meet_id long, total int, best_snatch int, {}a array<int>"
+    six, n = [100, 101, 102, 120, 121, 122], 120
+    i = spark.createDataFrame([(k, k, f"Ann Lee{k % 3}", 1, 222, 100, 1990, True, six) for k in range(n)], "ir long, iwf long, " + kind.format("birth_year int, home boolean, "))
+    u = spark.createDataFrame([(k, 1000 + k, f"Ann Ray{k % 3}", 1, 222, 100, six) for k in range(n)], "ur long, usaw long, " + kind.format(""))
+    people = spark.createDataFrame([(1000 + k, f"Ann Ray{k % 3}", 1990) for k in range(n)], "usaw long, name string, birth_year int")
+    out = linking.link(i, u, people, spark.createDataFrame([], "iwf long, usaw long"), lambda a, b: a == b).collect()
+    assert {r.iwf: r.decision for r in out} == {k: "ambiguous" for k in range(n)}
+    assert max(df.count() for df in stored.values()) <= n
