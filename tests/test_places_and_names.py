@@ -130,3 +130,24 @@ def test_repeated_terms_are_searched_once(spark, monkeypatch):
     got = sorted((r.term_id, r.place, r.lifter_id) for r in names.search_athletes(people, recent, terms).collect())
     assert [t[1:] for t in got if t[0] == 1] == [t[1:] for t in got if t[0] == 5] != [] and [t for t in got if t[0] in (3, 4)] == [(3, 1, 1), (4, 1, 1)]
     assert asked[0].count() == 2
+
+
+def test_only_the_best_names_of_a_block_leave_it(spark, monkeypatch):
+    """Blocks of few names and terms find what one block finds, and each sends on no more than is asked for."""
+    import random
+
+    rng = random.Random(4)
+    people = [(k, "".join(rng.choice("abc") for _ in range(5)) + " " + rng.choice(["Lee", "lee\nx", "Ro"])) for k in range(400)]
+    known = spark.createDataFrame(sorted({n for _, n in people}), "string").toDF("athlete_name")
+    terms = spark.createDataFrame([(k, t) for k, t in enumerate(["ab", "LEE", "abc", "ca r", "e\nx", "zz", "-", people[0][1].upper(), "bca lee"])], "term_id long, term string")
+    monkeypatch.setattr(names, "NAMES", 50)
+    monkeypatch.setattr(names, "TERMS", 4)
+    got = {}
+    for r in names.best_of(names.similar(known, terms), 7, "long").collect():
+        got.setdefault(r.term_id, set()).add(r.athlete_name)
+    from barpath.functions.text import similarity
+
+    rows = known.crossJoin(terms).select("*", similarity("athlete_name", "term").alias("s")).collect()
+    for t in terms.collect():
+        hits = [(r.athlete_name.lower() != t.term.lower(), -(r.s or 0), r.athlete_name) for r in rows if r.term_id == t.term_id and ((r.s or 0) > 0.2 or t.term.lower() in r.athlete_name.lower())]
+        assert got.get(t.term_id, set()) == {n for *_, n in sorted(hits)[:7]}, t
